@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,67 +12,77 @@ from trackframe.operators.clean import all_of, clean_rows, is_at_least, is_nonze
 from trackframe.operators.sample import append_dataset, erase_n, erase_windows, head_n_per_class, sample_n_per_class
 from trackframe.operators.sequence import clean_windows, fixed_windows
 from trackframe.operators.stats import class_counts, observe_rows
-from trackframe.sources.files import BUCKET, ORDER, quarantine_files, scan_dataset
+from trackframe.sources.files import ORDER, quarantine_files, scan_dataset
 from trackframe.sources.sinks import write_csv, write_windows
 from trackframe.spec import DatasetSpec
 
-WINDOW = ("_src", "_file", "_class")
+# What tells windows apart: source, file and class (empty for an earlier dataset), then number.
+WINDOW = ("_src", "_file", "_class", "win_id")
 
 
 def build_dataset(spark: SparkSession, spec: DatasetSpec) -> DataFrame:
     """The cleaned rows of one run, with a ``label`` column and the order or window columns."""
-    return _build_windows(spark, spec) if spec.time_series else _build_rows(spark, spec)
-
-
-def _read_new(spark: SparkSession, spec: DatasetSpec) -> DataFrame:
-    rows, _ = quarantine_files(spark, spec.data_dir, spec.features, spec.exclude_suffixes)
-    return rows
-
-
-def _merge(spark: SparkSession, spec: DatasetSpec, new: DataFrame | None, old: DataFrame | None) -> DataFrame:
-    if new is None:
-        return old.withColumn("_src", F.lit(1))
-    return new.withColumn("_src", F.lit(0)) if old is None else append_dataset(new, old)
+    f = spec.features
+    new = quarantine_files(spark, spec.data_dir, f, spec.exclude_suffixes)[0] if spec.data_dir else None
+    old = scan_dataset(spark, spec.dataset, f) if spec.dataset else None
+    return build_windows(new, old, spec) if spec.time_series else build_rows(new, old, spec)
 
 
-def _build_rows(spark: SparkSession, spec: DatasetSpec) -> DataFrame:
+def build_rows(
+    new: DataFrame | None, old: DataFrame | None, spec: DatasetSpec, order: Sequence[str] = ORDER
+) -> DataFrame:
+    """Add, append, erase and clean single rows. ``order`` identifies a row of one source."""
     f = spec.features
-    columns = [*f.columns, *ORDER]
-    new = _read_new(spark, spec) if spec.data_dir else None
-    if spec.add:
+    columns = [*f.columns, *order]
+    if new is not None and spec.add:
         classed = sep_classes(new, spec.vocabulary.only(spec.types), f.classes)
-        new = sample_n_per_class(classed, "label", spec.quota, ORDER, spec.seed).select(*columns)
-    old = scan_dataset(spark, spec.dataset, f) if spec.dataset else None
-    rows = _merge(spark, spec, new, old)
+        new = sample_n_per_class(classed, "label", spec.quota, order, spec.seed)
+    rows = _merge(new, old, columns)
     if spec.erase:
         classed = sep_classes(rows, spec.vocabulary, f.classes)
-        rows = erase_n(classed, "label", spec.quota, ["_src", *ORDER], spec.seed).select(*rows.columns)
-    clean = clean_rows(rows, f.dedupe_subset, ["_src", *ORDER], f.nonzero)
+        rows = erase_n(classed, "label", spec.quota, ["_src", *order], spec.seed).select(*rows.columns)
+    clean = clean_rows(rows, f.dedupe_subset, ["_src", *order], f.nonzero)
     return clean.withColumn("label", composite_label(*f.classes))
 
 
-def _build_windows(spark: SparkSession, spec: DatasetSpec) -> DataFrame:
+def build_windows(
+    new: DataFrame | None,
+    old: DataFrame | None,
+    spec: DatasetSpec,
+    file: str = "_file",
+    order: Sequence[str] = ("_blk", "_pos"),
+    bucket: Sequence[str] = ("_blk",),
+) -> DataFrame:
+    """The same for windows of ``spec.time_series`` rows, which are kept or dropped as a whole."""
     f, steps = spec.features, spec.time_series
-    new = old = None
-    if spec.data_dir:
-        classed = sep_classes(_read_new(spark, spec), spec.vocabulary, f.classes)
-        new = fixed_windows(classed, ["_file", "label"], ["_blk", "_pos"], ["_blk"], steps)
+    columns = list(dict.fromkeys([*f.columns, file, *order, *bucket, "_class", "win_id", "win_pos"]))
+    if new is not None:
+        classed = sep_classes(new, spec.vocabulary, f.classes)
+        new = fixed_windows(classed, [file, "label"], order, bucket, steps)
         if spec.add:
-            new = head_n_per_class(new, "label", spec.quota, ORDER, BUCKET, steps)
-        new = new.withColumn("_class", F.col("label")).drop("label", "idx")
-    if spec.dataset:
+            new = head_n_per_class(new, "label", spec.quota, [file, *order], [file, *bucket], steps)
+        new = new.withColumn("_class", F.col("label"))
+    if old is not None:
         # Written by write_dataset: every file holds whole windows, so positions count per file.
-        stored = scan_dataset(spark, spec.dataset, f)
-        old = fixed_windows(stored, ["_file"], ["_blk", "_pos"], ["_blk"], steps).withColumn("_class", F.lit(""))
-    rows = _merge(spark, spec, new, old)
+        old = fixed_windows(old, [file], order, bucket, steps).withColumn("_class", F.lit(""))
+    rows = _merge(new, old, columns)
+    window = ["_src", file, "_class"]
     if spec.erase:
         classed = sep_classes(rows, spec.vocabulary, f.classes)
-        rows = erase_windows(classed, "label", spec.quota, [*WINDOW, "win_id"], steps, spec.seed).select(*rows.columns)
+        rows = erase_windows(classed, "label", spec.quota, [*window, "win_id"], steps, spec.seed).select(*rows.columns)
     valid = all_of([*[is_nonzero(c) for c in f.nonzero], *[is_at_least(c, t) for c, t in f.minimum.items()]])
-    clean = clean_windows(rows, WINDOW, valid, f.dedupe_subset, steps)
+    clean = clean_windows(rows, window, valid, f.dedupe_subset, steps)
     return clean.withColumn("label", composite_label(*f.classes))
 
 
+def _merge(new: DataFrame | None, old: DataFrame | None, columns: Sequence[str]) -> DataFrame:
+    if new is None:
+        return old.select(*columns).withColumn("_src", F.lit(1))
+    if old is None:
+        return new.select(*columns).withColumn("_src", F.lit(0))
+    return append_dataset(new.select(*columns), old.select(*columns))
+
+
 def write_dataset(df: DataFrame, spec: DatasetSpec, path: str, mode: str = "errorifexists") -> int:
     """Write the CSV dataset and return its row count, observed during the write.
 
@@ -78,7 +90,7 @@ def write_dataset(df: DataFrame, spec: DatasetSpec, path: str, mode: str = "erro
     """
     counted, seen = observe_rows(df, "written")
     if spec.time_series:
-        write_windows(counted, path, spec.features.columns, [*WINDOW, "win_id"], mode)
+        write_windows(counted, path, spec.features.columns, WINDOW, mode)
     else:
         keyed = counted.withColumn("_key", row_key("_src", *ORDER, seed=spec.seed))
         write_csv(keyed.orderBy("_key"), path, spec.features.columns, mode)
