@@ -13,6 +13,8 @@ from pyspark.ml.feature import BucketedRandomProjectionLSH
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from trackframe.session import bounded
 
@@ -162,10 +164,17 @@ def _nearest(points: DataFrame, queries: DataFrame, cell: list[str], block_rows:
     keys = [*cell, "_pb", "_qb"]
     left = cut(queries, "_qn", "_pn", "_qb", "_pb", "qid").groupBy(*keys)
     right = cut(points, "_pn", "_qn", "_pb", "_qb", "tid").groupBy(*keys)
-    types = {"qid": queries.schema["qid"], "tid": points.schema["tid"], "label": points.schema["label"]}
-    schema = ", ".join(f"{n} {f.dataType.simpleString()}" for n, f in types.items()) + ", d double"
+    result = T.StructType([queries.schema["qid"], points.schema["tid"], points.schema["label"]]).add("d", "double")
+    empty = to_arrow_schema(result).empty_table()
+
+    def best_in_block(some_queries: pa.Table, some_points: pa.Table) -> pa.Table:
+        # Hashing may leave a block without rows on one side; such a table has no columns.
+        if some_queries.num_rows == 0 or some_points.num_rows == 0:
+            return empty
+        return _best_in_block(some_queries, some_points)
+
     best = F.min(F.struct("d", "tid", "label")).alias("_best")
-    return left.cogroup(right).applyInArrow(_best_in_block, schema).groupBy("qid").agg(best).select(
+    return left.cogroup(right).applyInArrow(best_in_block, result).groupBy("qid").agg(best).select(
         "qid", F.col("_best.tid").alias("neighbour"), F.col("_best.label").alias("label"),
         F.sqrt("_best.d").alias("distance"),
     )
@@ -174,12 +183,6 @@ def _nearest(points: DataFrame, queries: DataFrame, cell: list[str], block_rows:
 def _best_in_block(queries: pa.Table, points: pa.Table, rows_at_once: int = 512) -> pa.Table:
     """Closest point per query: a matrix product narrows it down, exact differences decide."""
     ids = points.column("tid").to_numpy()
-    if queries.num_rows == 0 or points.num_rows == 0:
-        none = pa.array([], pa.int64())
-        return pa.table({
-            "qid": queries.column("qid").take(none), "tid": points.column("tid").take(none),
-            "label": points.column("label").take(none), "d": pa.array([], pa.float64()),
-        })
     q, x = _matrix(queries.column("q")), _matrix(points.column("x"))
     largest = max(float((q * q).sum(1).max()), float((x * x).sum(1).max()))
     winners, distances = [], []

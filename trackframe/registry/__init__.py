@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 
 def _registries():
-    from trackframe.registry import rows
+    from trackframe.registry import measures, rows, sequences
 
-    return [m.registry for m in (rows,)]
+    return [m.registry for m in (rows, sequences, measures)]
 
 
 def all_queries() -> dict[str, Callable]:
