@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 
 def _registries():
-    from trackframe.registry import measures, rows, sequences
+    from trackframe.registry import measures, rows, sequences, service
 
-    return [m.registry for m in (rows, sequences, measures)]
+    return [m.registry for m in (rows, sequences, measures, service)]
 
 
 def all_queries() -> dict[str, Callable]:
