@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from trackframe.session import bounded
@@ -53,18 +53,11 @@ def all_of(conditions: Sequence[Column]) -> Column:
 def dedupe_first(df: DataFrame, subset: Sequence[str], order: Sequence[str]) -> DataFrame:
     """One row per distinct ``subset``: the first by the order key. NULL equals NULL.
 
-    An aggregation, not a window: copies shrink to one row per map task before the shuffle, so
-    a key held by a third of all rows costs no more than any other. Columns of the subset are
-    grouping keys; only the remaining ones travel in the aggregation buffer.
+    Spark limits each key to one row per map task before the shuffle (WindowGroupLimit), so a
+    key held by a third of all rows reaches its task as one row per map task.
     """
-    rest = [c for c in df.columns if c not in subset and c not in order]
-    keep = [c for c in order if c not in subset]
-    if not keep and not rest:
-        return df.distinct()
-    first = F.min_by(F.struct(*keep, *rest), F.struct(*order))
-    return df.groupBy(*subset).agg(first.alias("_first")).select(
-        *[F.col(c) if c in subset else F.col("_first")[c].alias(c) for c in df.columns]
-    )
+    by_key = Window.partitionBy(*subset).orderBy(*order)
+    return df.withColumn("_copy", F.row_number().over(by_key)).where(F.col("_copy") == 1).drop("_copy")
 
 
 def clean_rows(

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from trackframe.functions.columns import text_part
 from trackframe.operators.position import number_rows
-from trackframe.session import bounded
+from trackframe.session import bounded, cut_lineage
 
 
 def _follows(symbol: Column, previous: Column) -> Column:
@@ -40,8 +40,9 @@ def taken_lines(
 ) -> DataFrame:
     """The lines the reader takes: ``sym`` (0, 1, 2) and ``number`` (third ``:`` part).
 
-    Rows are only sorted inside a bucket. One row per bucket carries the last pattern, the
-    collapsed length and the last known state on to later buckets.
+    The matching lines, narrow and few, are written once to the checkpoint folder, so the log
+    itself is scanned once. Rows are only sorted inside a bucket; one row per bucket carries the
+    last pattern, the collapsed length and the last known state on to later buckets.
     """
     if len(patterns) != 3:
         raise ValueError("a record is made of three patterns")
@@ -49,9 +50,9 @@ def taken_lines(
     matches = F.array(*[F.when(F.col(text).contains(p), F.lit(i)) for i, p in enumerate(patterns)])
     number = text_part(F.col(text), ":", 2).try_cast("double")
     # A line with several patterns acts like several lines, in pattern order.
-    hits = lines.select(
+    hits = cut_lineage(lines.select(
         *keys, *[c for c in order if c not in keys], number.alias("number"), F.explode(F.array_compact(matches)).alias("sym")
-    )
+    ))
     local = Window.partitionBy(*keys).orderBy(*order, "sym")
     so_far = local.rowsBetween(Window.unboundedPreceding, 0)
     changed = F.coalesce(F.col("sym") != F.col("_prev"), F.lit(False))

@@ -97,24 +97,6 @@ def cut_points(
     return bounded(cuts)
 
 
-def up_to_cut(df: DataFrame, cuts: DataFrame, group: Sequence[str], order: Sequence[str], cut: str) -> DataFrame:
-    """Rows whose order key is at or before their group's cut (none where the cut is NULL)."""
-    return _with_cuts(df, cuts, group).where(F.struct(*order) <= F.col(cut)).select(*df.columns)
-
-
-def after_cut(df: DataFrame, cuts: DataFrame, group: Sequence[str], order: Sequence[str], cut: str) -> DataFrame:
-    """Rows whose order key is after their group's cut (all where the cut is NULL)."""
-    past = F.coalesce(F.struct(*order) > F.col(cut), F.lit(True))
-    return _with_cuts(df, cuts, group).where(past).select(*df.columns)
-
-
-def _with_cuts(df: DataFrame, cuts: DataFrame, group: Sequence[str]) -> DataFrame:
-    if group:
-        return df.join(cuts, list(group), "left")
-    # One group over the whole table: the cuts are a single row, read as scalar subqueries.
-    return df.select("*", *[cuts.select(c).scalar().alias(c) for c in cuts.columns])
-
-
 def neighbour(
     df: DataFrame,
     group: Sequence[str],

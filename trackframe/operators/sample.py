@@ -8,24 +8,29 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trackframe.functions.columns import key_number, row_key
-from trackframe.operators.position import after_cut, cut_points, up_to_cut
+from trackframe.operators.position import cut_points
 
-# Hex digits of the hash key that form a bucket: 65,536 even buckets per class.
-BUCKET_DIGITS = 4
+# Rows a hash bucket should hold: one bucket per class is sorted, the others are only counted.
+BUCKET_ROWS = 50_000
 
 
-def _keyed(df: DataFrame, ids: Sequence[str], seed: int | str) -> DataFrame:
-    key = row_key(*ids, seed=seed)
-    return df.withColumn("_key", key).withColumn("_bucket", F.substring("_key", 1, BUCKET_DIGITS))
+def _keyed(df: DataFrame, ids: Sequence[str], seed: int | str, rows: int) -> DataFrame:
+    """Add the hash key and its leading hex digits, as many as ``rows`` rows need, as bucket."""
+    digits = 1
+    while rows > BUCKET_ROWS * 16**digits:
+        digits += 1
+    return df.withColumn("_key", row_key(*ids, seed=seed)).withColumn("_bucket", F.substring("_key", 1, digits))
 
 
-def _quota(quota: Mapping[str, int | None], label: str) -> Column:
-    """Rows wanted per class, never more than the class has; None means all of it."""
-    given = [(k, v) for k, v in quota.items() if v is not None]
-    if not given:
-        return F.col("_n")
-    amounts = F.create_map(*[F.lit(x) for k, v in given for x in (k, int(v))])
-    return F.coalesce(F.least(F.get(F.array(amounts[F.col(label)]), F.lit(0)), F.col("_n")), F.col("_n"))
+def _class_sizes(df: DataFrame, label: str) -> dict[str, int]:
+    """Rows per class, at most one entry per requested label."""
+    return {r[label]: r["count"] for r in df.groupBy(label).count().collect()}
+
+
+def _amounts(amounts: Mapping[str, int], label: str) -> Column:
+    """Rows wanted per class, never more than the class has."""
+    lookup = F.create_map(*[F.lit(x) for k, v in amounts.items() for x in (k, int(v))])
+    return F.least(lookup[F.col(label)], F.col("_n"))
 
 
 def shuffle_rows(df: DataFrame, ids: Sequence[str], seed: int | str = 42) -> DataFrame:
@@ -38,15 +43,29 @@ def sample_n_per_class(
 ) -> DataFrame:
     """Random rows per requested class without replacement; classes not requested are dropped.
 
-    The n-th smallest hash key of each class is found first; the rows are then filtered by it.
+    An amount above the class size, or none, takes the whole class. For the other classes the
+    n-th smallest hash key is found first; then rows are filtered by it, never ranked.
     """
-    wanted = df.where(F.col(label).isin(list(quota)))
-    if all(v is None for v in quota.values()):
+    whole, part = _resolve(df, label, quota)
+    wanted = df.where(F.col(label).isin([*whole, *part]))
+    if not part:
         return wanted
-    keyed = _keyed(wanted, ids, seed)
     order = ["_key", *ids]
-    cuts = cut_points(keyed, [label], order, ["_bucket"], {"_cut": _quota(quota, label)})
-    return up_to_cut(keyed, cuts, [label], order, "_cut").select(*df.columns)
+    sizes = max(n for n, _ in part.values())
+    counted = _keyed(df.where(F.col(label).isin(list(part))), ids, seed, sizes)
+    cuts = cut_points(counted, [label], order, ["_bucket"], {"_cut": _amounts({k: a for k, (_, a) in part.items()}, label)})
+    chosen = F.col(label).isin(whole) | (F.struct(*order) <= F.col("_cut"))
+    return _keyed(wanted, ids, seed, sizes).join(cuts, [label], "left").where(chosen).select(*df.columns)
+
+
+def _resolve(
+    df: DataFrame, label: str, quota: Mapping[str, int | None]
+) -> tuple[list[str], dict[str, tuple[int, int]]]:
+    """Classes to take whole, and size and amount of the classes to take a part of (an action)."""
+    sizes = _class_sizes(df.where(F.col(label).isin(list(quota))), label)
+    whole = [k for k, v in quota.items() if k in sizes and (v is None or v >= sizes[k])]
+    part = {k: (sizes[k], v) for k, v in quota.items() if k in sizes and k not in whole and v > 0}
+    return whole, part
 
 
 def head_n_per_class(
@@ -58,12 +77,14 @@ def head_n_per_class(
     steps: int = 1,
 ) -> DataFrame:
     """The first rows per requested class, the amount rounded down to a multiple of ``steps``."""
-    wanted = df.where(F.col(label).isin(list(quota)))
-    rounded = {k: None if v is None else v // steps * steps for k, v in quota.items()}
-    if all(v is None for v in rounded.values()):
+    whole, part = _resolve(df, label, {k: None if v is None else v // steps * steps for k, v in quota.items()})
+    wanted = df.where(F.col(label).isin([*whole, *part]))
+    if not part:
         return wanted
-    cuts = cut_points(wanted, [label], order, bucket, {"_cut": _quota(rounded, label)})
-    return up_to_cut(wanted, cuts, [label], order, "_cut")
+    counted = df.where(F.col(label).isin(list(part)))
+    cuts = cut_points(counted, [label], order, bucket, {"_cut": _amounts({k: a for k, (_, a) in part.items()}, label)})
+    chosen = F.col(label).isin(whole) | (F.struct(*order) <= F.col("_cut"))
+    return wanted.join(cuts, [label], "left").where(chosen).select(*df.columns)
 
 
 def erase_n(
@@ -73,16 +94,16 @@ def erase_n(
 
     Classes not requested are untouched, and a requested class without rows changes nothing.
     """
-    gone = [k for k, v in quota.items() if v is None]
-    kept = df.where(~F.col(label).isin(gone)) if gone else df
-    counted = {k: v for k, v in quota.items() if v is not None}
-    if not counted:
+    whole, part = _resolve(df, label, quota)
+    kept = df.where(~F.col(label).isin(whole)) if whole else df
+    if not part:
         return kept
-    keyed = _keyed(kept, ids, seed)
-    touched = keyed.where(F.col(label).isin(list(counted)))
     order = ["_key", *ids]
-    cuts = cut_points(touched, [label], order, ["_bucket"], {"_cut": _quota(counted, label)})
-    return after_cut(keyed, cuts, [label], order, "_cut").select(*df.columns)
+    sizes = max(n for n, _ in part.values())
+    counted = _keyed(df.where(F.col(label).isin(list(part))), ids, seed, sizes)
+    cuts = cut_points(counted, [label], order, ["_bucket"], {"_cut": _amounts({k: a for k, (_, a) in part.items()}, label)})
+    left = F.coalesce(F.struct(*order) > F.col("_cut"), F.lit(True))
+    return _keyed(kept, ids, seed, sizes).join(cuts, [label], "left").where(left).select(*df.columns)
 
 
 def erase_windows(
@@ -118,8 +139,8 @@ def random_split(
 def random_split_exact(
     df: DataFrame, ids: Sequence[str], train: float = 0.9, dev: float = 0.5, seed: int | str = 42
 ) -> DataFrame:
-    """Add ``split`` with exact sizes: two cut keys over the whole table, sizes rounded down."""
-    keyed = _keyed(df, ids, seed)
+    """Add ``split`` with exact sizes, rounded down: two cut keys over the whole table."""
+    keyed = _keyed(df, ids, seed, df.count())
     train_rows = F.floor(F.col("_n") * F.lit(train))
     dev_rows = F.floor((F.col("_n") - train_rows) * F.lit(dev))
     order = ["_key", *ids]

@@ -7,11 +7,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
-from trackframe.session import bounded
+from trackframe.session import bounded, cut_lineage
 
 # The percentiles of a class profile.
 PROFILE_PERCENTILES = (0.01, 0.05, 0.1, 0.25, 0.5, 0.75, 0.9, 0.95, 0.99, 0.999, 0.9999)
 
+# Buckets of a histogram in the search for exact percentiles.
+HISTOGRAM_BUCKETS = 2048
+
 
 def class_counts(df: DataFrame, label: str) -> DataFrame:
     return df.groupBy(label).agg(F.count("*").alias("n"))
@@ -35,7 +38,7 @@ def clean_report(before: DataFrame, after: DataFrame, label: str) -> DataFrame:
 
 def _long(df: DataFrame, label: str, columns: Sequence[str]) -> DataFrame:
     values = [df[c].cast("double").alias(c) for c in columns]
-    return df.select(label, *values).unpivot(label, list(columns), "feature", "value").where("value is not null")
+    return df.select(label, *values).unpivot(label, list(columns), "feature", "value").where("value is not null and not isnan(value)")
 
 
 def _summary() -> list[Column]:
@@ -66,69 +69,58 @@ def profile_approx(
 
 
 def profile(
-    df: DataFrame,
-    label: str,
-    columns: Sequence[str],
-    percentiles: Sequence[float] = PROFILE_PERCENTILES,
-    accuracy: int = 10_000,
+    df: DataFrame, label: str, columns: Sequence[str], percentiles: Sequence[float] = PROFILE_PERCENTILES
 ) -> DataFrame:
-    """Exact percentiles with linear interpolation, without holding a class's values in one task.
-
-    A sketch (first pass, an action) brackets every percentile. The second pass counts rows
-    per slot between bracket edges; only values inside a bracket are counted one by one, and
-    equal values collapse in the map-side aggregation. Ranks then follow from running counts.
-    Should a bracket miss its rank, which the sketch's error bound rules out only up to its
-    own rounding, the slot that does hold the rank is the one looked up, value by value.
-    """
-    long = _long(df, label, columns)
-    margin = 2.0 / accuracy
-    marks = sorted({min(max(p + d, 0.0), 1.0) for p in percentiles for d in (-margin, margin)})
-    edges = F.array_sort(F.array_distinct(F.percentile_approx("value", F.array(*[F.lit(m) for m in marks]), accuracy)))
-    stats = bounded(long.groupBy(label, "feature").agg(*_summary(), edges.alias("edges")))
-    wanted = stats.select(
-        label, "feature", F.explode(F.array(*[F.lit(p) for p in percentiles])).alias("percentile"),
-        "n", ((F.col("n") - 1) * F.col("percentile")).alias("_pos"),
-    ).withColumn("_low", F.floor("_pos")).withColumn("_high", F.ceil("_pos"))
-
-    # Slots alternate: 2i is the open gap below edge i, 2i + 1 the edge value itself.
-    below = F.size(F.filter("edges", lambda e: e < F.col("value")))
-    on_edge = F.array_contains("edges", F.col("value"))
-    slotted = long.join(stats.select(label, "feature", "edges"), [label, "feature"]).select(
-        label, "feature", "value", (below * 2 + on_edge.cast("int")).alias("slot")
-    )
-    keys = [label, "feature"]
-    earlier = Window.partitionBy(*keys).orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)
-    slots = slotted.groupBy(*keys, "slot").agg(F.count("*").alias("c")).withColumn(
-        "before", F.coalesce(F.sum("c").over(earlier), F.lit(0))
-    )
-    needed = wanted.select(*keys, F.explode(F.array("_low", "_high")).alias("rank")).distinct()
-    at = needed.join(slots, keys).where(
-        (F.col("rank") >= F.col("before")) & (F.col("rank") < F.col("before") + F.col("c"))
-    )
-    hit = bounded(at.select(*keys, "slot", "before", "rank"))
-    chosen = hit.select(*keys, "slot", "before").distinct()
-    values = slotted.join(chosen, [*keys, "slot"])
-    values = values.groupBy(*keys, "slot", "before", "value").agg(F.count("*").alias("c"))
-    upto = Window.partitionBy(*keys, "slot").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-    spans = values.withColumn("upto", F.col("before") + F.sum("c").over(upto))
-    found = (
-        spans.join(hit.select(*keys, "slot", "rank"), [*keys, "slot"])
-        .where((F.col("rank") < F.col("upto")) & (F.col("rank") >= F.col("upto") - F.col("c")))
-        .select(*keys, "rank", "value")
-    )
+    """Exact percentiles with linear interpolation, per class, feature and percentile."""
+    long, keys = _long(df, label, columns), [label, "feature"]
+    stats = bounded(long.groupBy(*keys).agg(*_summary()))
+    points = F.explode(F.array(*[F.lit(p) for p in percentiles])).alias("percentile")
+    wanted = stats.select("*", points).withColumn("_pos", (F.col("n") - 1) * F.col("percentile"))
+    wanted = wanted.withColumns({"_low": F.floor("_pos"), "_high": F.ceil("_pos")})
+    ranks = wanted.select(*keys, "lowest", "highest", F.explode(F.array("_low", "_high")).alias("rank")).distinct()
+    found = _values_at(long, keys, ranks)
     low = found.select(*keys, F.col("rank").alias("_low"), F.col("value").alias("_lv"))
     high = found.select(*keys, F.col("rank").alias("_high"), F.col("value").alias("_hv"))
-    share = F.col("_pos") - F.col("_low")
-    return (
-        wanted.drop("n").join(low, [*keys, "_low"]).join(high, [*keys, "_high"])
-        .join(stats.drop("edges"), keys)
-        .select(
-            *keys, "n", "mean", "sd", "lowest", "highest", "percentile",
-            (F.col("_lv") + (F.col("_hv") - F.col("_lv")) * share).alias("value"),
-        )
+    value = F.col("_lv") + (F.col("_hv") - F.col("_lv")) * (F.col("_pos") - F.col("_low"))
+    return wanted.join(low, [*keys, "_low"]).join(high, [*keys, "_high"]).select(
+        *keys, "n", "mean", "sd", "lowest", "highest", "percentile", value.alias("value")
     )
 
 
+def _values_at(long: DataFrame, keys: Sequence[str], ranks: DataFrame) -> DataFrame:
+    """``keys, rank, value``: the values at given ranks (from 0) of each group.
+
+    Nothing is sorted and no group is gathered: a histogram of the span that holds a rank finds
+    the bucket that holds it, whose smallest and largest value are the next span, until both are
+    equal. A round is one narrow aggregation and divides a span by ``HISTOGRAM_BUCKETS``.
+    """
+    spans = bounded(ranks.select(*keys, "rank", F.col("lowest").alias("lo"), F.col("highest").alias("hi"),
+                                 F.lit(0).cast("long").alias("before")))
+    while True:
+        unsettled = spans.where("lo <> hi")
+        if unsettled.isEmpty():
+            return spans.select(*keys, "rank", F.col("lo").alias("value"))
+        # Halved, so that the width of a span cannot overflow.
+        share = (F.col("value") / 2 - F.col("lo") / 2) / (F.col("hi") / 2 - F.col("lo") / 2)
+        slot = F.least(F.floor(share * HISTOGRAM_BUCKETS), F.lit(HISTOGRAM_BUCKETS - 1)).alias("slot")
+        inside = long.join(unsettled.select(*keys, "lo", "hi", "before").distinct(), list(keys))
+        counted = inside.where("value between lo and hi").groupBy(*keys, "lo", "before", slot).agg(
+            F.count("*").alias("c"), F.min("value").alias("next_lo"), F.max("value").alias("next_hi")
+        )
+        earlier = Window.partitionBy(*keys, "lo").orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)
+        start = F.col("before") + F.coalesce(F.sum("c").over(earlier), F.lit(0))
+        slots = counted.withColumn("start", start).drop("before")
+        narrowed = (
+            unsettled.select(*keys, "rank", "lo").join(slots, [*keys, "lo"])
+            .where((F.col("rank") >= F.col("start")) & (F.col("rank") < F.col("start") + F.col("c")))
+            .select(*keys, "rank", F.col("next_lo").alias("lo"), F.col("next_hi").alias("hi"), F.col("start").alias("before"))
+        )
+        settled = spans.where("lo = hi").unionByName(narrowed)
+        spans = bounded(settled)
+        if spans is settled:
+            spans = cut_lineage(settled)
+
+
 def outcome_counts(df: DataFrame, truth: str = "truth", pred: str = "pred") -> DataFrame:
     """Rows per (truth, pred): the only pass over the data that an evaluation needs."""
     return df.groupBy(F.col(truth).alias("truth"), F.col(pred).alias("pred")).agg(F.count("*").alias("n"))

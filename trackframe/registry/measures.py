@@ -73,8 +73,8 @@ def minmax_scale(spark, folder):
     columns = [*ITEM_FEATURES[:-1], "same"]
     rows = items(spark, folder).select(*ITEM_ID, *ITEM_FEATURES, F.lit(7.0).alias("same")).drop(ITEM_FEATURES[-1])
     split = random_split(rows, ITEM_ID, train=0.9).withColumn("training", F.col("split") == "train").drop("split")
-    train, rest = scale_columns(split.where("training"), split.where("not training"), columns=columns)
-    return rounded(train.unionByName(rest), *columns)
+    _, scaled = scale_columns(split.where("training"), split, columns=columns)
+    return rounded(scaled, *columns)
 
 
 @registry.add("one_hot", f"with {ITEMS_SQL} select {IDS}, "

@@ -26,18 +26,6 @@ IDS = ", ".join(ITEM_ID)
 
 # --- files -----------------------------------------------------------------------------------
 
-FLAGS = ("11", "12", "21", "22", "31", "32")
-
-
-def item_files(spark, folder, name):
-    """lineitem as CSV folders by class, named so that two of them carry an excluded ending."""
-    path = scratch_path(spark, name)
-    rows = items(spark, folder)
-    for flag in FLAGS:
-        sinks.write_csv(rows.where(F.col("label") == flag), f"{path}/part={flag}", ITEM_SPEC.columns)
-    return path
-
-
 COLUMNS_SQL = ", ".join(ITEM_SPEC.columns)
 
 
