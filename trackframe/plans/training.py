@@ -99,7 +99,8 @@ class LabelPipeline:
     pipeline: Pipeline
 
     def fit(self, train: DataFrame) -> PipelineModel:
-        return self.pipeline.fit(self.index.transform(train))
+        # A copy leaves the training summary behind: it would tie the model to the training plan.
+        return self.pipeline.fit(self.index.transform(train)).copy()
 
 
 def encoder_stages(columns: Sequence[str]) -> list[Estimator]:
