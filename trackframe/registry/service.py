@@ -68,16 +68,19 @@ def exclude_suffix(spark, folder):
 # --- models ----------------------------------------------------------------------------------
 
 # The class to learn is a rule over two features, so that a right prediction can be told in SQL.
+# Grades of an event's two numbers: 0 to 4 and 0 to 3. The same text is valid in both engines.
+V = "least(floor(value / 20), 4)"
+Q = "floor(k / 25)"
 RULE = "case when v >= 3 then 'hot' when q >= 2 then 'warm' else 'cold' end"
 RULE_SQL = f"""{EVENTS_SQL},
- graded as (select *, floor(value / 100) as v, floor(k / 25) as q from ev),
+ graded as (select *, {V} as v, {Q} as q from ev),
  rule as (select event_id, {RULE} as label from graded)"""
 RULE_LABELS = ["hot", "warm", "cold"]
 
 
 def graded(spark, folder):
     rows = events(spark, folder)
-    rows = rows.withColumns({"v": F.floor(F.col("value") / 100).cast("double"), "q": F.floor(F.col("k") / 25).cast("double")})
+    rows = rows.withColumns({"v": F.expr(V).cast("double"), "q": F.expr(Q).cast("double")})
     return rows.select("event_id", "bucket", "v", "q", F.expr(RULE).alias("label"))
 
 
@@ -156,28 +159,28 @@ def model_roundtrip(spark, folder):
 
 # Event types play the ways a request can be wrong: errors lack a feature, some sign-ups send
 # text for one, purchases have no reply id, some clicks are cut off in the middle.
-FAULT_SQL = """case when event_type = 'click' and value < 50 then 'malformed'
-  when event_type = 'view' and value < 50 then 'no version'
+FAULT_SQL = """case when event_type = 'click' and value < 20 then 'malformed'
+  when event_type = 'view' and value < 20 then 'no version'
   when event_type = 'error' then 'no number for q'
-  when event_type = 'signup' and value > 400 then 'no number for q' end"""
-BROKEN_SQL = "(event_type = 'click' and value < 50)"
-ENVELOPE_FAULT_SQL = """case when event_type = 'click' and value < 50 then 'malformed'
-  when event_type = 'view' and value < 50 then 'no version' end"""
+  when event_type = 'signup' and value > 90 then 'no number for q' end"""
+BROKEN_SQL = "(event_type = 'click' and value < 20)"
+ENVELOPE_FAULT_SQL = """case when event_type = 'click' and value < 20 then 'malformed'
+  when event_type = 'view' and value < 20 then 'no version' end"""
 
 
 def requests(spark, folder):
     rows = events(spark, folder)
-    v, q = F.floor(F.col("value") / 100), F.floor(F.col("k") / 25).cast("string")
+    v, q = F.expr(V), F.expr(Q).cast("string")
     kind = F.col("event_type")
-    q_text = F.when(kind == "error", "").when((kind == "signup") & (F.col("value") > 400), ',"q":"many"').otherwise(F.concat(F.lit(',"q":'), q))
-    version = F.when((kind == "view") & (F.col("value") < 50), "").otherwise(',"version":"v2"')
+    q_text = F.when(kind == "error", "").when((kind == "signup") & (F.col("value") > 90), ',"q":"many"').otherwise(F.concat(F.lit(',"q":'), q))
+    version = F.when((kind == "view") & (F.col("value") < 20), "").otherwise(',"version":"v2"')
     reply_id = F.when(kind == "purchase", "").otherwise(F.concat(F.lit(',"ReplyId":'), F.col("event_id").cast("string")))
     text = F.concat(
         F.lit('{"AppName":"app-'), F.col("user_id").cast("string"), F.lit('","Command":"'), kind, F.lit('"'), reply_id,
         F.lit(',"ReplyInfo":"udp:host-'), F.col("user_id").cast("string"), F.lit(':12002","Parameters":{"v":'),
         v.cast("string"), q_text, version, F.lit("}}"),
     )
-    broken = (kind == "click") & (F.col("value") < 50)
+    broken = (kind == "click") & (F.col("value") < 20)
     return rows.select("event_id", F.when(broken, F.substring(text, 1, 40)).otherwise(text).alias("value"))
 
 
@@ -196,9 +199,9 @@ def parse_request(spark, folder):
 
 
 @registry.add("extract_features", f"""with {EVENTS_SQL} select event_id,
-  case when not {BROKEN_SQL} then floor(value / 100) end as v,
-  case when not {BROKEN_SQL} and event_type <> 'error' and not (event_type = 'signup' and value > 400) then floor(k / 25) end as q,
-  case when {BROKEN_SQL} then 'v,q' when event_type = 'error' or (event_type = 'signup' and value > 400) then 'q' else '' end as missing,
+  case when not {BROKEN_SQL} then {V} end as v,
+  case when not {BROKEN_SQL} and event_type <> 'error' and not (event_type = 'signup' and value > 90) then {Q} end as q,
+  case when {BROKEN_SQL} then 'v,q' when event_type = 'error' or (event_type = 'signup' and value > 90) then 'q' else '' end as missing,
   {FAULT_SQL} as fault from ev""")
 def features_of_requests(spark, folder):
     rows = extract_features(parse_requests(requests(spark, folder)), ["v", "q"])
@@ -219,8 +222,8 @@ def reply_fields(df):
 @registry.add("reply_json", f"""with {EVENTS_SQL}, ok as (select *, {FAULT_SQL} is null as good from ev)
  select event_id, case when good then 'app-' || user_id end as app_name, case when good then event_type end as command,
   case when good and event_type <> 'purchase' then event_id::varchar end as reply_id, case when good then 'Normal' end as status,
-  case when good then case event_type when 'view' then floor(value / 100)::int::varchar
-     when 'click' then (floor(value / 100)::int)::varchar || '.5' else 'grade-' || floor(value / 100)::int end end as target,
+  case when good then case event_type when 'view' then ({V})::int::varchar
+     when 'click' then (({V})::int)::varchar || '.5' else 'grade-' || ({V})::int end end as target,
   case when good then 'v2' end as version from ok""")
 def reply_json(spark, folder):
     rows = extract_features(parse_requests(requests(spark, folder)), ["v", "q"])
