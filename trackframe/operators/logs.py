@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from trackframe.functions.columns import text_part
 from trackframe.operators.position import number_rows
-from trackframe.session import bounded, cut_lineage
+from trackframe.session import bounded, stage
 
 
 def _follows(symbol: Column, previous: Column) -> Column:
@@ -40,8 +40,7 @@ def taken_lines(
 ) -> DataFrame:
     """The lines the reader takes: ``sym`` (0, 1, 2) and ``number`` (third ``:`` part).
 
-    The matching lines, narrow and few, are written once to the checkpoint folder, so the log
-    itself is scanned once. Rows are only sorted inside a bucket; one row per bucket carries the
+    The matching lines, narrow and few, are staged, so the log itself is scanned once. Rows are only sorted inside a bucket; one row per bucket carries the
     last pattern, the collapsed length and the last known state on to later buckets.
     """
     if len(patterns) != 3:
@@ -50,9 +49,9 @@ def taken_lines(
     matches = F.array(*[F.when(F.col(text).contains(p), F.lit(i)) for i, p in enumerate(patterns)])
     number = text_part(F.col(text), ":", 2).try_cast("double")
     # A line with several patterns acts like several lines, in pattern order.
-    hits = cut_lineage(lines.select(
+    hits = stage(lines.select(
         *keys, *[c for c in order if c not in keys], number.alias("number"), F.explode(F.array_compact(matches)).alias("sym")
-    ))
+    ), "log-lines")
     local = Window.partitionBy(*keys).orderBy(*order, "sym")
     so_far = local.rowsBetween(Window.unboundedPreceding, 0)
     changed = F.coalesce(F.col("sym") != F.col("_prev"), F.lit(False))
@@ -114,7 +113,10 @@ def log_records(
 
 
 def phase_split(records: DataFrame, group: Sequence[str], order: str, column: str, marker: float) -> DataFrame:
-    """Add ``phase``: 1 before a log's first record that shows the marker value, 2 from it on."""
+    """Add ``phase``: 1 before a log's first record that shows the marker value, 2 from it on.
+
+    The records are read twice: stage them first if they are costly to compute.
+    """
     first = records.where(F.col(column) == F.lit(marker)).groupBy(*group).agg(F.min(order).alias("_switch"))
     phase = F.when(F.col(order) >= F.col("_switch"), 2).otherwise(1)
     return records.join(bounded(first), list(group), "left").withColumn("phase", phase).drop("_switch")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from trackframe.functions.columns import key_number, row_key
 from trackframe.operators.position import cut_points
+from trackframe.session import stage
 
 # Rows a hash bucket should hold: one bucket per class is sorted, the others are only counted.
 BUCKET_ROWS = 50_000
@@ -114,8 +115,11 @@ def erase_windows(
     steps: int,
     seed: int | str = 42,
 ) -> DataFrame:
-    """Remove whole random windows per class: the amount counts rows and is rounded down."""
-    windows = df.select(label, *[c for c in window if c != label]).distinct()
+    """Remove whole random windows per class: the amount counts rows and is rounded down.
+
+    The list of windows is staged, since choosing among them takes several passes.
+    """
+    windows = stage(df.select(label, *[c for c in window if c != label]).distinct(), "windows")
     amounts = {k: None if v is None else v // steps for k, v in quota.items()}
     left = erase_n(windows, label, amounts, [c for c in window if c != label], seed)
     return df.join(left, list(dict.fromkeys([label, *window])), "left_semi").select(*df.columns)

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
-from trackframe.session import bounded, cut_lineage
+from trackframe.session import bounded, stage
 
 # The percentiles of a class profile.
 PROFILE_PERCENTILES = (0.01, 0.05, 0.1, 0.25, 0.5, 0.75, 0.9, 0.95, 0.99, 0.999, 0.9999)
@@ -118,7 +118,7 @@ def _values_at(long: DataFrame, keys: Sequence[str], ranks: DataFrame) -> DataFr
         settled = spans.where("lo = hi").unionByName(narrowed)
         spans = bounded(settled)
         if spans is settled:
-            spans = cut_lineage(settled)
+            spans = stage(settled, "spans")
 
 
 def outcome_counts(df: DataFrame, truth: str = "truth", pred: str = "pred") -> DataFrame:

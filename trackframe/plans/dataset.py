@@ -12,6 +12,7 @@ from trackframe.operators.clean import all_of, clean_rows, is_at_least, is_nonze
 from trackframe.operators.sample import append_dataset, erase_n, erase_windows, head_n_per_class, sample_n_per_class
 from trackframe.operators.sequence import clean_windows, fixed_windows
 from trackframe.operators.stats import class_counts, observe_rows
+from trackframe.session import stage
 from trackframe.sources.files import ORDER, quarantine_files, scan_dataset
 from trackframe.sources.sinks import write_csv, write_windows
 from trackframe.spec import DatasetSpec
@@ -25,6 +26,11 @@ def build_dataset(spark: SparkSession, spec: DatasetSpec) -> DataFrame:
     f = spec.features
     new = quarantine_files(spark, spec.data_dir, f, spec.exclude_suffixes)[0] if spec.data_dir else None
     old = scan_dataset(spark, spec.dataset, f) if spec.dataset else None
+    # Amounts and windows look at the rows several times and need row ids that stay the same.
+    if new is not None and (spec.add or spec.erase or spec.time_series):
+        new = stage(new, "new-rows")
+    if old is not None and (spec.erase or spec.time_series):
+        old = stage(old, "old-rows")
     return build_windows(new, old, spec) if spec.time_series else build_rows(new, old, spec)
 
 

@@ -9,6 +9,7 @@ from trackframe.operators.position import running_totals
 from trackframe.plans.dataset import build_windows as build_window_rows
 from trackframe.registry.rows import listed, quota_sql
 from trackframe.registry.tables import EVENTS_SQL, ITEM_FEATURES, Registry, events, items, rounded
+from trackframe.session import stage
 from trackframe.spec import DatasetSpec, FeatureSpec, Vocabulary
 
 registry = Registry()
@@ -179,7 +180,7 @@ def log_records(spark, folder):
  switches as (select user_id, min(record) as first from records where c = {MARKER} group by user_id)
  select records.*, case when record >= first then 2 else 1 end as phase from records left join switches using (user_id)""")
 def phase_split(spark, folder):
-    return logs.phase_split(user_records(spark, folder), ["user_id"], "record", "c", MARKER)
+    return logs.phase_split(stage(user_records(spark, folder), "records"), ["user_id"], "record", "c", MARKER)
 
 
 @registry.add("measure_sorted", "select distinct l_quantity, l_discount, l_tax from lineitem")

@@ -42,13 +42,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise in the shared checkpoint folder, so that lost executors only cost a re-read."""
-    context = df.sparkSession.sparkContext
-    folder = shared_dir(df.sparkSession)
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
+def stage(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Write ``df`` once as a Parquet table in the shared folder and go on from there (an action).
+
+    What was read from text is parsed once, later passes read only the columns they need, and a
+    lost executor costs a re-read. It also fixes running row ids: the splits of a text scan, and
+    with them the ids, may differ between two jobs.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def bounded(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:

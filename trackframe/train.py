@@ -12,7 +12,7 @@ from trackframe.operators.clean import sep_classes
 from trackframe.operators.sample import random_split
 from trackframe.operators.stats import accuracy, class_report, confusion
 from trackframe.plans import training
-from trackframe.session import builder, cut_lineage
+from trackframe.session import builder, stage
 from trackframe.sources.files import BUCKET, ORDER, scan_dataset
 from trackframe.spec import TRACK, TRACK_VOCABULARY, FeatureSpec, Vocabulary
 
@@ -34,10 +34,10 @@ def split_dataset(
 ) -> dict[str, DataFrame]:
     """Train, dev and test rows of a dataset, with ``label`` and a numeric row id.
 
-    The rows are written to the checkpoint folder once, which also fixes their ids.
+    The rows are staged, which fixes their ids.
     """
     rows = sep_classes(scan_dataset(spark, path, spec), vocabulary, spec.classes)
-    rows = cut_lineage(rows.withColumn("row_id", F.monotonically_increasing_id()))
+    rows = stage(rows.withColumn("row_id", F.monotonically_increasing_id()), "training")
     split = random_split(rows, ["row_id"])
     return {name: split.where(F.col("split") == name).drop("split") for name in ("train", "dev", "test")}
 
