@@ -8,6 +8,7 @@ from trackframe.operators.clean import clean_rows, dedupe_first, nonzero
 from trackframe.operators.sequence import clean_windows, fixed_windows
 from trackframe.plans.dataset import build_dataset, run
 from trackframe.sources.files import quarantine_files, scan_csv
+from trackframe.sources.sinks import write_families
 from trackframe.spec import TRACK, DatasetSpec, FeatureSpec, Vocabulary
 
 SMALL = FeatureSpec(
@@ -127,6 +128,13 @@ def test_results_do_not_depend_on_partitions(spark, tmp_path):
     assert seen[0] == seen[1] == seen[2]
 
 
+def test_column_families_are_written_apart(spark, tmp_path):
+    df = spark.createDataFrame([(1.0, 2.0, 3.0, 4.0, 5.0, 1, 1)], list(SMALL.columns))
+    write_families(df, str(tmp_path / "sets"), SMALL)
+    header = lambda name: spark.read.option("header", True).csv(str(tmp_path / "sets" / name)).columns
+    assert header("num") == list(SMALL.numbers) and header("matrix") == ["m1"] and header("y") == ["c1", "c2"]
+
+
 def test_dedupe_treats_missing_as_equal_and_signed_zero_as_one(spark):
     df = spark.createDataFrame([(1, None, 0.0, 5), (2, None, -0.0, 6), (3, 1.0, 0.0, 7)], "k int, a double, b double, v int")
     assert sorted(r.v for r in dedupe_first(df, ["a", "b"], ["k"]).collect()) == [5, 7]

@@ -7,8 +7,11 @@ compared as matrices. A group returns one row per query, never the pairs.
 
 from __future__ import annotations
 
+import sys
+
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.ml.feature import BucketedRandomProjectionLSH
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
@@ -18,6 +21,9 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from trackframe.session import bounded
 
+# Task functions travel to the workers by value: executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 MAX_PIVOTS = 1024
 BLOCK_ROWS = 4096
 # Relative slack against rounding: bounds may only let too much through, never too little.

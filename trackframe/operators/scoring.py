@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.ml import PipelineModel
+from pyspark.ml.functions import predict_batch_udf
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 from trackframe.functions.columns import is_whole, text_part
 
@@ -73,6 +75,18 @@ def predict(
     return out.select(*[F.col(f"_kept_{c}").alias(c) if c in features else F.col(c) for c in df.columns], "predicted")
 
 
+def predict_foreign(
+    df: DataFrame, make_predict: Callable, inputs: Sequence[str], out: str = "predicted", batch_rows: int = 4096
+) -> DataFrame:
+    """Score with a model of another library, loaded once per worker and called on Arrow batches.
+
+    ``make_predict`` returns a function from a (rows x inputs) array to one number per row.
+    """
+    call = predict_batch_udf(make_predict, return_type=DoubleType(), batch_size=batch_rows)
+    vector = F.array(*[F.col(c).cast("double") for c in inputs])
+    return df.withColumn(out, call(vector))
+
+
 def reply_json(df: DataFrame, target: str, prediction: str = "predicted") -> DataFrame:
     """Add ``reply``, the JSON answer; NULL where there is no prediction.
 

@@ -176,5 +176,5 @@ def knn1(spark, folder):
 
 @registry.add("knn_lsh")
 def knn_lsh(spark, folder):
-    near = nearest_by_hash(*vectors(spark, folder), "vec_id", "label", "vec_id", "x", bucket_length=0.5, tables=6)
+    near = nearest_by_hash(*vectors(spark, folder), "vec_id", "label", "vec_id", "x", bucket_length=0.1, tables=4)
     return rounded(near, "distance")

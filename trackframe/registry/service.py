@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from trackframe.functions.columns import row_key
 from trackframe.operators.sample import random_split
-from trackframe.operators.scoring import answer_requests, extract_features, parse_requests, reply_json as add_reply
+from trackframe.operators.scoring import answer_requests, extract_features, parse_requests, predict_foreign
+from trackframe.operators.scoring import reply_json as add_reply
 from trackframe.operators.stats import accuracy
 from trackframe.plans import training
 from trackframe.registry.measures import vectors
@@ -155,6 +156,18 @@ def model_roundtrip(spark, folder):
     )
 
 
+@registry.add("foreign_score", "select event_id, round(0.5 * value + 2, 6) as predicted from events")
+def foreign_score(spark, folder):
+    """A linear function of two inputs plays a model of another library."""
+
+    def load():
+        weights = [0.5, 2.0]
+        return lambda batch: batch @ weights
+
+    rows = events(spark, folder).select("event_id", "value", F.lit(1.0).alias("one"))
+    return predict_foreign(rows, load, ["value", "one"]).select("event_id", F.round("predicted", 6).alias("predicted"))
+
+
 # --- requests --------------------------------------------------------------------------------
 
 # Event types play the ways a request can be wrong: errors lack a feature, some sign-ups send

@@ -63,7 +63,8 @@ def bad_files(
     One aggregation over the raw lines; a shorter row is no fault (its missing cells are NULL).
     """
     lines = exclude_suffix(spark.read.text(path), exclude_suffixes).select("value", *_order_columns())
-    plain = F.regexp_replace("value", '"[^"]*"', "")
+    quoted = F.col("value").contains('"')
+    plain = F.when(quoted, F.regexp_replace("value", '"[^"]*"', "")).otherwise(F.col("value"))
     fields = (F.length(plain) - F.length(F.replace(plain, F.lit(","))) + 1).alias("fields")
     widths = lines.where(F.trim("value") != "").select(*ORDER, fields)
     per_file = widths.groupBy("_file").agg(

@@ -38,7 +38,8 @@ def column_families(df: DataFrame, spec: FeatureSpec) -> dict[str, DataFrame]:
 
 def write_families(df: DataFrame, path: str, spec: FeatureSpec, mode: str = "errorifexists") -> None:
     for name, family in column_families(df, spec).items():
-        write_csv(family, f"{path}/{name}", family.columns, mode)
+        if family.columns:
+            write_csv(family, f"{path}/{name}", family.columns, mode)
 
 
 def write_traces(traces: DataFrame, path: str, mode: str = "errorifexists") -> None:
