@@ -82,7 +82,9 @@ def predict_foreign(
 
     ``make_predict`` returns a function from a (rows x inputs) array to one number per row.
     """
-    call = predict_batch_udf(make_predict, return_type=DoubleType(), batch_size=batch_rows)
+    call = predict_batch_udf(
+        make_predict, return_type=DoubleType(), batch_size=batch_rows, input_tensor_shapes=[[len(inputs)]]
+    )
     vector = F.array(*[F.col(c).cast("double") for c in inputs])
     return df.withColumn(out, call(vector))
 
