@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from trackframe.operators.logs import log_records, phase_split
+from trackframe.session import attach
 from trackframe.operators.position import cut_points, neighbour, number_rows, running_totals
 
 
@@ -107,3 +108,11 @@ def test_stray_line_and_marker(spark):
     records = log_records(df, ["Alpha", "Beta", "Gamma"], ["x", "y", "z"], ["f"], ["k"], ["b"])
     out = phase_split(records, ["f"], "record", "z", 7.5).orderBy("record").collect()
     assert [(r.x, r.y, r.z, r.phase) for r in out] == [(1.5, 2.5, 10.0, 1), (3.0, 4.0, 7.5, 2), (5.0, 6.0, 20.0, 2)]
+
+
+def test_joins_without_broadcast_give_the_same_rows(spark):
+    rows = spark.range(1000).selectExpr("id", "if(id % 3 = 0, 0, id % 50) as k")
+    small = spark.range(0, 40).selectExpr("id as k", "id * 2 as v")
+    for how in ("inner", "left", "left_anti", "left_semi"):
+        plain, salted = (sorted(tuple(r) for r in attach(rows, small, ["k"], how, n).fillna(-1).collect()) for n in (100, 5))
+        assert plain == salted, how

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from trackframe.session import bounded
+from trackframe.session import attach, bounded
 from trackframe.spec import Vocabulary
 
 
@@ -107,13 +107,14 @@ def _bounds(df: DataFrame, columns: Sequence[str], group: Sequence[str], k: floa
     for c in columns:
         mean, spread = F.avg(c), F.stddev_samp(c) * F.lit(k)
         measures += [(mean - spread).alias(f"_lo_{c}"), (mean + spread).alias(f"_hi_{c}")]
-    return bounded(df.groupBy(*group).agg(*measures))
+    bounds = df.groupBy(*group).agg(*measures)
+    return bounds if group else bounded(bounds)
 
 
 def _within(df: DataFrame, bounds: DataFrame, columns: Sequence[str], group: Sequence[str]) -> DataFrame:
     names = df.columns
     if group:
-        df = df.join(bounds, list(group))
+        df = attach(df, bounds, group)
     else:
         df = df.select("*", *[bounds.select(c).scalar().alias(c) for c in bounds.columns])
     inside = all_of([F.col(c).between(F.col(f"_lo_{c}"), F.col(f"_hi_{c}")) for c in columns])

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from trackframe.session import bounded
+from trackframe.session import attach, bounded, stage
 
 # Task functions travel to the workers by value: executors need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -160,10 +160,12 @@ def _nearest(points: DataFrame, queries: DataFrame, cell: list[str], block_rows:
         return df.groupBy(*cell).agg(F.ceil(F.count("*") / block_rows).cast("int").alias(name))
 
     # Sizes decide how often the other side is repeated; cells met by one side only drop out.
-    sizes = bounded(blocks(points, "_pn").join(blocks(queries, "_qn"), cell))
+    sizes = blocks(points, "_pn").join(blocks(queries, "_qn"), cell)
+    found = bounded(sizes)
+    sizes = stage(sizes, "cells") if found is sizes else found
 
     def cut(df: DataFrame, own: str, other: str, own_block: str, other_block: str, row_id: str) -> DataFrame:
-        return df.join(sizes, cell).withColumn(own_block, F.pmod(F.xxhash64(row_id), F.col(own)).cast("int")).withColumn(
+        return attach(df, sizes, cell).withColumn(own_block, F.pmod(F.xxhash64(row_id), F.col(own)).cast("int")).withColumn(
             other_block, F.explode(F.sequence(F.lit(0), F.col(other) - 1))
         ).drop("_pn", "_qn")
 

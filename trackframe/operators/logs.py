@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from trackframe.functions.columns import text_part
 from trackframe.operators.position import number_rows
-from trackframe.session import bounded, stage
+from trackframe.session import attach, stage
 
 
 def _follows(symbol: Column, previous: Column) -> Column:
@@ -119,7 +119,7 @@ def phase_split(records: DataFrame, group: Sequence[str], order: str, column: st
     """
     first = records.where(F.col(column) == F.lit(marker)).groupBy(*group).agg(F.min(order).alias("_switch"))
     phase = F.when(F.col(order) >= F.col("_switch"), 2).otherwise(1)
-    return records.join(bounded(first), list(group), "left").withColumn("phase", phase).drop("_switch")
+    return attach(records, first, group, "left").withColumn("phase", phase).drop("_switch")
 
 
 def measure_sorted(records: DataFrame, columns: Sequence[str], by: Sequence[str]) -> DataFrame:

@@ -66,7 +66,7 @@ def cut_points(
 
     A rank is an expression over the group columns and ``_n``, the group's size. Ranks below 1
     give NULL. Only the bucket that holds a rank is sorted, so no wide row is shuffled. Order
-    keys must be unique within a group.
+    keys must be unique within a group. Join the result with :func:`trackframe.session.attach`.
     """
     keys = [*group, *bucket]
     sizes = bucket_totals(df, group, bucket, {"_c": F.lit(1).cast("long")}).withColumnRenamed("_c_all", "_n")
@@ -94,7 +94,7 @@ def cut_points(
             for name in ranks
         ]
     )
-    return bounded(cuts)
+    return cuts
 
 
 def neighbour(

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from trackframe.functions.columns import key_number, row_key
 from trackframe.operators.position import cut_points
-from trackframe.session import stage
+from trackframe.session import attach, bounded, stage
 
 # Rows a hash bucket should hold: one bucket per class is sorted, the others are only counted.
 BUCKET_ROWS = 50_000
@@ -56,7 +56,7 @@ def sample_n_per_class(
     counted = _keyed(df.where(F.col(label).isin(list(part))), ids, seed, sizes)
     cuts = cut_points(counted, [label], order, ["_bucket"], {"_cut": _amounts({k: a for k, (_, a) in part.items()}, label)})
     chosen = F.col(label).isin(whole) | (F.struct(*order) <= F.col("_cut"))
-    return _keyed(wanted, ids, seed, sizes).join(cuts, [label], "left").where(chosen).select(*df.columns)
+    return attach(_keyed(wanted, ids, seed, sizes), cuts, [label], "left").where(chosen).select(*df.columns)
 
 
 def _resolve(
@@ -85,7 +85,7 @@ def head_n_per_class(
     counted = df.where(F.col(label).isin(list(part)))
     cuts = cut_points(counted, [label], order, bucket, {"_cut": _amounts({k: a for k, (_, a) in part.items()}, label)})
     chosen = F.col(label).isin(whole) | (F.struct(*order) <= F.col("_cut"))
-    return wanted.join(cuts, [label], "left").where(chosen).select(*df.columns)
+    return attach(wanted, cuts, [label], "left").where(chosen).select(*df.columns)
 
 
 def erase_n(
@@ -104,7 +104,7 @@ def erase_n(
     counted = _keyed(df.where(F.col(label).isin(list(part))), ids, seed, sizes)
     cuts = cut_points(counted, [label], order, ["_bucket"], {"_cut": _amounts({k: a for k, (_, a) in part.items()}, label)})
     left = F.coalesce(F.struct(*order) > F.col("_cut"), F.lit(True))
-    return _keyed(kept, ids, seed, sizes).join(cuts, [label], "left").where(left).select(*df.columns)
+    return attach(_keyed(kept, ids, seed, sizes), cuts, [label], "left").where(left).select(*df.columns)
 
 
 def erase_windows(
@@ -148,7 +148,7 @@ def random_split_exact(
     train_rows = F.floor(F.col("_n") * F.lit(train))
     dev_rows = F.floor((F.col("_n") - train_rows) * F.lit(dev))
     order = ["_key", *ids]
-    cuts = cut_points(keyed, [], order, ["_bucket"], {"_train": train_rows, "_dev": train_rows + dev_rows})
+    cuts = bounded(cut_points(keyed, [], order, ["_bucket"], {"_train": train_rows, "_dev": train_rows + dev_rows}))
     key = F.struct(*order)
     train_cut, dev_cut = (cuts.select(c).scalar() for c in ("_train", "_dev"))
     return keyed.withColumn(

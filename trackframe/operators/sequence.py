@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from trackframe.operators.position import cut_points, number_rows
+from trackframe.session import attach
 
 
 def truncate_multiple(
@@ -74,7 +75,7 @@ def seq_split(
     cuts = cut_points(df, [label], order, bucket, {"_train": train_rows, "_dev": train_rows + dev_rows})
     key = F.struct(*order)
     return (
-        df.join(cuts, [label], "left")
+        attach(df, cuts, [label], "left")
         .withColumn(
             "split", F.when(key <= F.col("_train"), "train").when(key <= F.col("_dev"), "dev").otherwise("test")
         )

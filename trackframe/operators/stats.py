@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
-from trackframe.session import bounded, stage
+from trackframe.session import attach, bounded, stage
 
 # The percentiles of a class profile.
 PROFILE_PERCENTILES = (0.01, 0.05, 0.1, 0.25, 0.5, 0.75, 0.9, 0.95, 0.99, 0.999, 0.9999)
@@ -103,7 +103,7 @@ def _values_at(long: DataFrame, keys: Sequence[str], ranks: DataFrame) -> DataFr
         # Halved, so that the width of a span cannot overflow.
         share = (F.col("value") / 2 - F.col("lo") / 2) / (F.col("hi") / 2 - F.col("lo") / 2)
         slot = F.least(F.floor(share * HISTOGRAM_BUCKETS), F.lit(HISTOGRAM_BUCKETS - 1)).alias("slot")
-        inside = long.join(unsettled.select(*keys, "lo", "hi", "before").distinct(), list(keys))
+        inside = attach(long, unsettled.select(*keys, "lo", "hi", "before").distinct(), keys)
         counted = inside.where("value between lo and hi").groupBy(*keys, "lo", "before", slot).agg(
             F.count("*").alias("c"), F.min("value").alias("next_lo"), F.max("value").alias("next_hi")
         )

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from trackframe.functions.columns import blank_sentinel
 from trackframe.operators.position import neighbour, number_rows
+from trackframe.session import attach
 
 
 def timeline_long(wide: DataFrame, time: str = "Time", keep: Sequence[str] = (), sentinel: str = "_") -> DataFrame:
@@ -36,20 +37,21 @@ def extend_one(long: DataFrame, series: Sequence[str], time: str = "time", value
     """At a series' first gap after a value, carry the value one step on; later gaps stay.
 
     Two aggregations find the first value and the first gap behind it, a third the value to
-    carry. They combine on the map side, so a series of any length is never gathered.
+    carry. They combine on the map side, so a series of any length is never gathered. Their
+    results, one row per series, are evaluated one after the other.
     """
     keys = list(series)
     starts = long.where(F.col(value).isNotNull()).groupBy(*keys).agg(F.min(time).alias("_start"))
     gaps = (
-        long.where(F.col(value).isNull()).join(starts, keys).where(F.col(time) > F.col("_start"))
+        attach(long.where(F.col(value).isNull()), starts, keys).where(F.col(time) > F.col("_start"))
         .groupBy(*keys).agg(F.min(time).alias("_gap"))
     )
     carried = (
-        long.where(F.col(value).isNotNull()).join(gaps, keys).where(F.col(time) < F.col("_gap"))
+        attach(long.where(F.col(value).isNotNull()), gaps, keys).where(F.col(time) < F.col("_gap"))
         .groupBy(*keys).agg(F.max("_gap").alias("_gap"), F.max_by(value, time).alias("_carry"))
     )
     extended = F.when(F.col(time) == F.col("_gap"), F.col("_carry")).otherwise(F.col(value))
-    return long.join(carried, keys, "left").withColumn(value, extended).select(*long.columns)
+    return attach(long, carried, keys, "left").withColumn(value, extended).select(*long.columns)
 
 
 def pair_roles(long: DataFrame, keys: Sequence[str], time: str = "time") -> DataFrame:

@@ -24,6 +24,7 @@ from trackframe.operators.knn import knn1
 from trackframe.operators.position import cut_points
 from trackframe.operators.scale import MinMaxColumns, MinMaxColumnsModel
 from trackframe.operators.stats import accuracy, outcome_counts
+from trackframe.session import attach
 
 MAX_TREE_DEPTH = 30  # the deepest tree Spark ML grows
 
@@ -166,7 +167,7 @@ def class_folds(df: DataFrame, label: str, order: Sequence[str], bucket: Sequenc
     fold: Column = sum(
         (F.coalesce((key > F.col(name)).cast("int"), F.lit(1)) for name in ranks), F.lit(0)
     )
-    return df.join(cuts, [label], "left").withColumn("fold", fold).select(*df.columns, "fold")
+    return attach(df, cuts, [label], "left").withColumn("fold", fold).select(*df.columns, "fold")
 
 
 @dataclass

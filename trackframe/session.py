@@ -4,12 +4,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Largest table, in rows, that is turned into a broadcast table after counting it.
 MAX_BROADCAST_ROWS = 100_000
+# Tasks that share the rows of one key where a table is too large to broadcast.
+SALTS = 64
 
 
 def builder(app: str = "trackframe") -> SparkSession.Builder:
@@ -64,3 +67,19 @@ def bounded(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     if table.num_rows > max_rows:
         return df
     return F.broadcast(df.sparkSession.createDataFrame(table, schema=df.schema))
+
+
+def attach(
+    df: DataFrame, small: DataFrame, keys: Sequence[str], how: str = "inner", max_rows: int = MAX_BROADCAST_ROWS
+) -> DataFrame:
+    """Join a table that should be small to one where a single key may hold a third of the rows.
+
+    Broadcast where :func:`bounded` allows it. Otherwise the rows of a key are spread over
+    ``SALTS`` tasks by a hash of the whole row, and the other side is repeated for each of them.
+    """
+    table = bounded(small, max_rows)
+    if table is not small:
+        return df.join(table, list(keys), how)
+    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(SALTS)).cast("int"))
+    repeated = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return salted.join(repeated, [*keys, "_salt"], how).drop("_salt")

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trackframe.functions.columns import nan_to_null
-from trackframe.session import bounded
+from trackframe.session import attach, bounded
 from trackframe.spec import FeatureSpec
 
 # Row order of a scan: file, start of the file split, running id inside the scan task. A split
@@ -78,7 +78,7 @@ def quarantine_files(
 ) -> tuple[DataFrame, DataFrame]:
     """The rows of all sound files, and the list of files left out."""
     bad = bounded(bad_files(spark, path, len(spec.columns), exclude_suffixes))
-    return scan_csv(spark, path, spec, exclude_suffixes).join(bad.select("_file"), "_file", "left_anti"), bad
+    return attach(scan_csv(spark, path, spec, exclude_suffixes), bad.select("_file"), ["_file"], "left_anti"), bad
 
 
 def unclassed_rows(df: DataFrame, classes: Sequence[str]) -> tuple[DataFrame, DataFrame]:
