@@ -22,3 +22,16 @@ def test_entry(spark):
 
 def test_sql_twins_belong_to_queries():
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+WITHOUT_BROADCAST = [
+    "build_dataset", "sample_n_per_class", "erase_n", "head_n_per_class", "random_split_exact", "class_folds", "seq_split",
+    "sigma_filter", "profile", "phase_split", "extend_one", "knn1", "quarantine_files", "erase_windows",
+]
+
+
+@pytest.mark.parametrize("name", WITHOUT_BROADCAST)
+def test_query_equals_sql_without_broadcasts(spark, monkeypatch, name):
+    """Lookup tables that are too large to broadcast must lead to the same rows."""
+    monkeypatch.setattr("trackframe.session.MAX_BROADCAST_ROWS", 0)
+    assert compare(spark, FOLDER, entry.queries()[name], entry.oracle_sql()[name]) is None

@@ -57,12 +57,13 @@ def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def bounded(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+def bounded(df: DataFrame, max_rows: int | None = None) -> DataFrame:
     """Evaluate a table that should be small; a broadcast table if it is, else ``df`` itself.
 
     This is an action. At most ``max_rows + 1`` rows reach the driver; a larger table stays
     distributed and joins through a shuffle, with the same result.
     """
+    max_rows = MAX_BROADCAST_ROWS if max_rows is None else max_rows
     table = df.limit(max_rows + 1).toArrow()
     if table.num_rows > max_rows:
         return df
@@ -70,7 +71,7 @@ def bounded(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
 
 
 def attach(
-    df: DataFrame, small: DataFrame, keys: Sequence[str], how: str = "inner", max_rows: int = MAX_BROADCAST_ROWS
+    df: DataFrame, small: DataFrame, keys: Sequence[str], how: str = "inner", max_rows: int | None = None
 ) -> DataFrame:
     """Join a table that should be small to one where a single key may hold a third of the rows.
 
