@@ -72,20 +72,34 @@ def parts(spark, dataset):
 
 @pytest.mark.parametrize("kind,params", [
     ("gb", {"trees": 3, "depth": 3}), ("rf", {"trees": 8, "depth": 5}), ("dense", {"hidden": [8], "epochs": 60}), ("knn", {}),
+    ("merge", {"hidden": [8], "epochs": 60}),
 ])
 def test_models_learn_and_survive_storage(spark, parts, tmp_path, kind, params):
     model = trainer.fit(kind, parts["train"], SPEC, CLASSES, **params)
-    scored = trainer.score(kind, model, parts["test"])
+    scored = trainer.score(kind, model, parts["test"], SPEC)
     counts = training.evaluate(scored)
     assert training.accuracy(counts).first().accuracy > 0.9
     path = training.save(model, kind, str(tmp_path), counts, parts["train"].count())
     assert path.rsplit("/", 1)[1].startswith(f"{kind}_model_")
     loaded_kind, loaded = training.load(spark, path)
     assert loaded_kind == kind
-    answers = lambda m: {r.row_id: r.predicted_label for r in trainer.score(kind, m, parts["test"]).collect()}
+    answers = lambda m: {r.row_id: r.predicted_label for r in trainer.score(kind, m, parts["test"], SPEC).collect()}
     assert answers(model) == answers(loaded)
 
 
+def test_windowed_network(spark, dataset):
+    parts = trainer.split_windows(spark, dataset, 3, SPEC, CLASSES)
+    sizes = {n: p.count() for n, p in parts.items()}
+    assert sizes == {"train": 270, "dev": 15, "test": 15}
+    model = trainer.fit("ts", parts["train"], SPEC, CLASSES, hidden=[8], epochs=60)
+    scaler = model.stages[0]
+    assert scaler.getInputCols()[:4] == ["p_0", "q_0", "r_0", "p_1"]
+    assert scaler.getOrDefault(scaler.low)[0] == scaler.getOrDefault(scaler.low)[3]
+    assert training.accuracy(training.evaluate(trainer.score("ts", model, parts["test"]))).first().accuracy > 0.9
+    with pytest.raises(ValueError):
+        trainer.split_windows(spark, dataset, 0, SPEC, CLASSES)
+
+
 def test_split_covers_the_dataset(parts):
     seen = [r.row_id for p in parts.values() for r in p.select("row_id").collect()]
     assert len(seen) == len(set(seen)) == 900

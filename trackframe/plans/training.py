@@ -20,9 +20,11 @@ from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from trackframe.functions.columns import divide_by_row_max
 from trackframe.operators.knn import knn1
 from trackframe.operators.position import cut_points
 from trackframe.operators.scale import MinMaxColumns, MinMaxColumnsModel
+from trackframe.operators.sequence import fixed_windows, seq_split, window_tensor
 from trackframe.operators.stats import accuracy, outcome_counts
 from trackframe.session import attach
 
@@ -53,7 +55,8 @@ def dense_network(
 
 # Model kinds by their short names. "knn" is fitted by NearestNeighbourModel.
 REGISTRY = {"gb": gradient_boosting, "rf": random_forest, "dense": dense_network}
-KINDS = (*REGISTRY, "knn")
+# "merge" and "ts" are dense networks over prepared inputs, see trackframe.train.
+KINDS = (*REGISTRY, "knn", "merge", "ts")
 
 
 def label_pipeline(
@@ -64,21 +67,24 @@ def label_pipeline(
     encode: Sequence[str] = (),
     components: int | None = None,
     params: Mapping[str, object] | None = None,
+    unscaled: Sequence[str] = (),
+    scaler: MinMaxColumnsModel | None = None,
 ) -> "LabelPipeline":
     """Scale, assemble, optionally encode and reduce, classify, name the class.
 
-    Encoded features go before the rest. One sorted label list is stored with the model.
+    Encoded features go before the rest, ``unscaled`` columns after it. A fitted ``scaler`` for the
+    features may be given. One sorted label list is stored with the model.
     """
     plain = [f for f in features if f not in encode]
     scaled = [f"{f}_scaled" for f in plain]
-    stages = [MinMaxColumns(inputCols=plain, outputCols=scaled)]
+    stages = [scaler or MinMaxColumns(inputCols=plain, outputCols=scaled)]
     blocks = []
     if encode:
         stages += encoder_stages(encode)
         blocks = [f"{f}_hot" for f in encode]
     target = "assembled" if components else "features_vector"
-    stages.append(VectorAssembler(inputCols=[*blocks, *scaled], outputCol=target))
-    width = len(plain)
+    stages.append(VectorAssembler(inputCols=[*blocks, *scaled, *unscaled], outputCol=target))
+    width = len(plain) + len(unscaled)
     if encode and (components or kind == "dense"):
         raise ValueError("a reduced or dense model needs plain features: its input width must be known")
     if components:
@@ -205,6 +211,41 @@ class NearestNeighbourModel:
         return cls(MinMaxColumnsModel.load(f"{path}/scaler"), spark.read.parquet(f"{path}/train"))
 
 
+def merged_inputs(df: DataFrame, matrix: Sequence[str]) -> tuple[DataFrame, list[str]]:
+    """Add the matrix columns over their row's maximum; what is not finite counts as 0."""
+    names = [f"{c}_of_max" for c in matrix]
+    shares = df.withColumn("_shares", divide_by_row_max(F.array(*[F.col(c).cast("double") for c in matrix])))
+    finite = lambda x: F.when(~F.isnan(x) & (F.abs(x) < float("inf")), x).otherwise(0.0)
+    return shares.withColumns({n: finite(F.col("_shares")[i]) for i, n in enumerate(names)}).drop("_shares"), names
+
+
+def window_rows(
+    rows: DataFrame, features: Sequence[str], steps: int, order: Sequence[str], bucket: Sequence[str]
+) -> tuple[DataFrame, list[str]]:
+    """One row per window of ``steps`` rows of a class, split by position: label, split, features by step.
+
+    ``rows`` carry ``label``; they are read several times.
+    """
+    split = seq_split(rows, "label", order, bucket, steps)
+    windows = fixed_windows(split, ["label", "split"], order, bucket, steps)
+    tensors = window_tensor(windows, ["label", "split"], features)
+    names = [f"{f}_{i}" for i in range(steps) for f in features]
+    cells = [F.col("tensor")[i][j] for i in range(steps) for j in range(len(features))]
+    return tensors.select("label", "split", "win_id", *[c.alias(n) for c, n in zip(cells, names)]), names
+
+
+def window_scaler(train: DataFrame, features: Sequence[str], names: Sequence[str]) -> MinMaxColumnsModel:
+    """One range per feature, shared by all steps of a window."""
+    fitted = MinMaxColumns(inputCols=list(names), outputCols=[f"{n}_scaled" for n in names]).fit(train)
+    low, high = (fitted.getOrDefault(p) for p in (fitted.low, fitted.high))
+    width = len(features)
+    shared_low = [min(low[j::width]) for j in range(width)]
+    shared_high = [max(high[j::width]) for j in range(width)]
+    steps = len(names) // width
+    fitted._set(low=shared_low * steps, high=shared_high * steps)
+    return fitted
+
+
 def evaluate(scored: DataFrame, label: str = "label") -> DataFrame:
     """Rows per (truth, predicted label); confusion, accuracy and report derive from it."""
     return outcome_counts(scored, label, "predicted_label")

@@ -25,8 +25,8 @@ GRIDS = {
 
 
 def model_features(kind: str, spec: FeatureSpec = TRACK) -> list[str]:
-    """The dense network sees every feature; the other kinds do without the extra family."""
-    return list(spec.features if kind == "dense" else spec.numbers + spec.matrix)
+    """The networks on single rows see every feature; the other kinds do without the extra family."""
+    return list(spec.features if kind in ("dense", "merge") else spec.numbers + spec.matrix)
 
 
 def split_dataset(
@@ -46,10 +46,31 @@ def fit(kind: str, train: DataFrame, spec: FeatureSpec = TRACK, vocabulary: Voca
     features = model_features(kind, spec)
     if kind == "knn":
         return training.NearestNeighbourModel.fit(train, features, "label", "row_id")
+    if kind == "merge":
+        train, shares = training.merged_inputs(train, spec.matrix)
+        return training.label_pipeline("dense", features, vocabulary.labels, params=params, unscaled=shares).fit(train)
+    if kind == "ts":
+        names = [c for c in train.columns if c not in ("label", "split", "win_id")]
+        scaler = training.window_scaler(train, features, names)
+        return training.label_pipeline("dense", names, vocabulary.labels, params=params, scaler=scaler).fit(train)
     return training.label_pipeline(kind, features, vocabulary.labels, params=params).fit(train)
 
 
-def score(kind: str, model, rows: DataFrame) -> DataFrame:
+def split_windows(
+    spark: SparkSession, path: str, steps: int, spec: FeatureSpec = TRACK, vocabulary: Vocabulary = TRACK_VOCABULARY
+) -> dict[str, DataFrame]:
+    """Train, dev and test windows of a dataset built with the same number of steps."""
+    if steps < 1:
+        raise ValueError("a windowed model needs the number of steps per window")
+    rows = stage(sep_classes(scan_dataset(spark, path, spec), vocabulary, spec.classes), "training")
+    windows, _ = training.window_rows(rows, model_features("ts", spec), steps, ORDER, BUCKET)
+    windows = stage(windows, "windows")
+    return {name: windows.where(F.col("split") == name) for name in ("train", "dev", "test")}
+
+
+def score(kind: str, model, rows: DataFrame, spec: FeatureSpec = TRACK) -> DataFrame:
+    if kind == "merge":
+        rows, _ = training.merged_inputs(rows, spec.matrix)
     return model.transform(rows, "row_id") if kind == "knn" else model.transform(rows)
 
 
@@ -68,15 +89,22 @@ def parse(arguments: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("-lm", "--load_model", default="", help="bundle of an earlier run, evaluated only")
     parser.add_argument("-p", "--perf_check", action="store_true", help="measure rows scored per second")
     parser.add_argument("-gs", "--grid_search", action="store_true")
+    parser.add_argument("-tss", "--ts_steps", type=int, default=0, help="rows per window, for the ts model")
     parser.add_argument("-o", "--out", default="Models", help="folder for model bundles")
-    return parser.parse_args(arguments)
+    args = parser.parse_args(arguments)
+    if args.model == "ts" and args.ts_steps < 1:
+        parser.error("the ts model needs -tss")
+    return args
 
 
 def main(arguments: list[str] | None = None) -> None:
     args = parse(arguments)
     spark = builder("trackframe-train").getOrCreate()
-    parts = split_dataset(spark, args.dataset)
     kind = args.model
+    if kind == "ts":
+        parts = split_windows(spark, args.dataset, args.ts_steps)
+    else:
+        parts = split_dataset(spark, args.dataset)
     if args.grid_search:
         if kind not in GRIDS:
             raise SystemExit(f"there is no parameter grid for {kind}")
