@@ -105,7 +105,8 @@ def sigma_filter_single_pass(
 def _bounds(df: DataFrame, columns: Sequence[str], group: Sequence[str], k: float) -> DataFrame:
     measures = []
     for c in columns:
-        mean, spread = F.avg(c), F.stddev_samp(c) * F.lit(k)
+        value = F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double"))
+        mean, spread = F.avg(value), F.stddev_samp(value) * F.lit(k)
         measures += [(mean - spread).alias(f"_lo_{c}"), (mean + spread).alias(f"_hi_{c}")]
     bounds = df.groupBy(*group).agg(*measures)
     return bounds if group else bounded(bounds)

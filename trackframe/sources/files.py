@@ -37,12 +37,13 @@ def scan_csv(
 ) -> DataFrame:
     """All CSV files of a folder; names are imposed by position, file headers are discarded.
 
-    Adds the order key. NaN becomes NULL and class codes become integers.
+    Adds the order key. Empty cells, NaN and text become NULL, class codes integers. The parser
+    makes the NULLs: one expression per column would outgrow what the JVM compiles.
     """
     reader = spark.read.schema(spec.read_schema()).option("header", True).option("enforceSchema", True)
-    rows = exclude_suffix(reader.csv(path), exclude_suffixes).select(*spec.columns, *_order_columns())
-    rows = nan_to_null(rows, spec.columns)
-    return rows.withColumns({c: F.col(c).cast("int") for c in spec.classes})
+    rows = exclude_suffix(reader.option("nullValue", "NaN").csv(path), exclude_suffixes)
+    classes = [F.col(c).cast("int").alias(c) for c in spec.classes]
+    return rows.select(*spec.features, *classes, *_order_columns())
 
 
 def scan_parquet(spark: SparkSession, path: str, spec: FeatureSpec) -> DataFrame:
@@ -65,7 +66,7 @@ def bad_files(
     lines = exclude_suffix(spark.read.text(path), exclude_suffixes).select("value", *_order_columns())
     quoted = F.col("value").contains('"')
     plain = F.when(quoted, F.regexp_replace("value", '"[^"]*"', "")).otherwise(F.col("value"))
-    fields = (F.length(plain) - F.length(F.replace(plain, F.lit(","))) + 1).alias("fields")
+    fields = (F.octet_length(plain) - F.octet_length(F.replace(plain, F.lit(","))) + 1).alias("fields")
     widths = lines.where(F.trim("value") != "").select(*ORDER, fields)
     per_file = widths.groupBy("_file").agg(
         F.min_by("fields", F.struct("_blk", "_pos")).alias("header_fields"), F.max("fields").alias("most_fields")
