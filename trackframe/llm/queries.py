@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from trackframe.llm import bpe
+from trackframe.llm import bpe, mixing, quality_model, quality_rules
 from trackframe.llm.common import table
 from trackframe.registry.tables import Registry
 
@@ -23,3 +23,21 @@ def op2_bpe_encode_decode(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.encode_decode(
         table(spark, folder, "documents"), vocabulary("word_bpe_49k.json"), ("n_tokens", "ids_sha256", "decoded_sha256")
     )
+
+
+MAX_REPEATS = 1.25
+
+
+@registry.add("op3_temperature_mix", mixing.sql(MAX_REPEATS))
+def op3_temperature_mix(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mix(table(spark, folder, "documents"), max_repeats=MAX_REPEATS)
+
+
+@registry.add("op8_quality_classifier")
+def op8_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_model.classify(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@registry.add("op10_line_rules", quality_rules.SQL)
+def op10_line_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_rules.clean_lines(table(spark, folder, "documents"), with_text=False)
