@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from trackframe.llm import bpe, mixing, quality_model, quality_rules
+from trackframe.llm import bpe, mixing, quality_model, quality_rules, token_file
 from trackframe.llm.common import table
 from trackframe.registry.tables import Registry
 
@@ -41,3 +41,8 @@ def op8_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
 @registry.add("op10_line_rules", quality_rules.SQL)
 def op10_line_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules.clean_lines(table(spark, folder, "documents"), with_text=False)
+
+
+@registry.add("op6_repair_token_file")
+def op6_repair_token_file(spark: SparkSession, folder: str) -> DataFrame:
+    return token_file.write_and_read(table(spark, folder, "documents"), vocabulary("byte_bpe_50k.json"))
