@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from trackframe.llm import bpe, mixing, quality_model, quality_rules, token_file
+from trackframe.llm import bpe, line_dedup, mixing, quality_model, quality_rules, suffix_dedup, token_file
 from trackframe.llm.common import table
 from trackframe.registry.tables import Registry
 
@@ -46,3 +47,14 @@ def op10_line_rules(spark: SparkSession, folder: str) -> DataFrame:
 @registry.add("op6_repair_token_file")
 def op6_repair_token_file(spark: SparkSession, folder: str) -> DataFrame:
     return token_file.write_and_read(table(spark, folder, "documents"), vocabulary("byte_bpe_50k.json"))
+
+
+@registry.add("op4_repeated_bytes")
+def op4_repeated_bytes(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, folder, "documents"), with_kept=False)
+
+
+@registry.add("op9_line_dedup", line_dedup.SQL)
+def op9_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    rows = line_dedup.drop_repeated_lines(table(spark, folder, "documents").select("doc_id", "text"))
+    return rows.select("doc_id", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"), "n_removed_lines")
