@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trackframe.llm import bpe, line_dedup, mixing, quality_model, quality_rules, suffix_dedup, token_file
+from trackframe.llm import bpe, embedding_dedup, line_dedup, mixing, quality_model, quality_rules, suffix_dedup, token_file
 from trackframe.llm.common import table
 from trackframe.registry.tables import Registry
 
@@ -58,3 +58,8 @@ def op4_repeated_bytes(spark: SparkSession, folder: str) -> DataFrame:
 def op9_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     rows = line_dedup.drop_repeated_lines(table(spark, folder, "documents").select("doc_id", "text"))
     return rows.select("doc_id", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"), "n_removed_lines")
+
+
+@registry.add("op5_embedding_near_dedup")
+def op5_embedding_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(table(spark, folder, "embeddings"))
