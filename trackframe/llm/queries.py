@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trackframe.llm import bpe, embedding_dedup, line_dedup, mixing, quality_model, quality_rules, suffix_dedup, token_file
+from trackframe.llm import bpe, embedding_dedup, license_scan, line_dedup, mixing, quality_model, quality_rules, suffix_dedup, token_file
 from trackframe.llm.common import table
 from trackframe.registry.tables import Registry
 
@@ -63,3 +63,8 @@ def op9_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
 @registry.add("op5_embedding_near_dedup")
 def op5_embedding_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return embedding_dedup.near_duplicates(table(spark, folder, "embeddings"))
+
+
+@registry.add("op1_licence_scan", license_scan.SQL)
+def op1_licence_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return license_scan.scan_licences(table(spark, folder, "documents"))
