@@ -102,7 +102,7 @@ def drop_repeated_lines(
     spans = spans.toDF(*names)
     doc, ver = F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(NO_ID)), F.xxhash64(F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")))
     rows = docs.join(spans, (doc == F.col(names[0])) & (ver.bitwiseAND(0xFFFF) == F.col(names[1])), "left").drop(*names[:2])
-    schema = T.StructType([*(f for f in docs.schema.fields), T.StructField(removed, T.LongType())])
+    schema = T.StructType([*docs.schema.fields, T.StructField(removed, T.LongType())])
     place = docs.columns.index(text_col)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

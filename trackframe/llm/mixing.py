@@ -164,18 +164,18 @@ def mix(
     return placed.select("doc_id", "source", F.col("_tokens").alias("n_tokens"), "epoch", "start", block.alias("block"), F.col("_key").alias("order_key"))
 
 
-def mixed_rows(docs: DataFrame, id_col: str = "doc_id", **params) -> DataFrame:
-    """The documents of the mixture with all their columns, as often as they are in it.
+def mixed_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **params) -> DataFrame:
+    """The documents of the mixture with all their columns, once for every epoch that holds them.
 
-    The rows come back by their id; ids must be unique, as in a table of documents.
+    Rows that share an id are drawn alike; a row without an id goes by its text.
     """
-    copies = free_name(docs, "copies")
-    times = mix(docs, id_col=id_col, **params).groupBy("doc_id").agg(F.count("*").cast("int").alias(copies))
-    times = times.withColumnRenamed("doc_id", free_name(docs, "mixed_id"))
-    key = times.columns[0]
-    found = docs.join(times, docs[f"`{id_col}`"].cast("long").eqNullSafe(times[key]))
-    again = free_name(docs, "again")
-    return found.withColumn(again, F.explode(F.sequence(F.lit(1), F.col(copies)))).drop(key, copies, again)
+    key = F.coalesce(F.col(f"`{id_col}`").cast("long"), F.xxhash64(F.col(f"`{text_col}`").cast("string")))
+    own, epochs, again = (free_name(docs, x) for x in ("mixed_id", "epochs", "again"))
+    keyed = docs.withColumn(own, key)
+    times = mix(keyed, id_col=own, text_col=text_col, **params).select("doc_id", "epoch").distinct()
+    times = times.groupBy("doc_id").agg(F.count("*").cast("int").alias(epochs)).withColumnRenamed("doc_id", own)
+    found = keyed.join(times, own)
+    return found.withColumn(again, F.explode(F.sequence(F.lit(1), F.col(epochs)))).select(*docs.columns)
 
 
 def sql(max_repeats: float, block_words: int = 1 << 20, seed: int = 42) -> str:

@@ -5,7 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trackframe.llm import bpe, embedding_dedup, license_scan, line_dedup, mixing, quality_model, quality_rules, suffix_dedup, token_file
+from trackframe.llm import (
+    bpe,
+    embedding_dedup,
+    jaccard_join,
+    license_scan,
+    line_dedup,
+    mixing,
+    quality_model,
+    quality_rules,
+    suffix_dedup,
+    token_file,
+)
 from trackframe.llm.common import table
 from trackframe.registry.tables import Registry
 
@@ -68,3 +79,8 @@ def op5_embedding_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
 @registry.add("op1_licence_scan", license_scan.SQL)
 def op1_licence_scan(spark: SparkSession, folder: str) -> DataFrame:
     return license_scan.scan_licences(table(spark, folder, "documents"))
+
+
+@registry.add("op7_ngram_jaccard_join")
+def op7_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard_join.near_documents(table(spark, folder, "documents"))
