@@ -27,12 +27,13 @@ def test_build_then_train_then_load(spark, recordings, tmp_path, capsys):
     dataset, models = str(tmp_path / "current"), str(tmp_path / "models")
     build.main(["-dir", recordings, "-a", "-t", "2200", "1111", "5200", "-amt", "40", "50", "999", "-o", dataset])
     shown = capsys.readouterr().out
-    counts = {c[0].strip(): int(c[1]) for c in (line.strip("|").split("|") for line in shown.splitlines() if line.startswith("|")) if c[1].strip().isdigit()}
-    assert counts == {"1111": 50, "2200": 40, "5200": 75}
+    cells = [[x.strip() for x in line.strip("|").split("|")] for line in shown.splitlines() if line.startswith("|")]
+    counts = {c[0]: (int(c[1]), int(c[2])) for c in cells if c[1].isdigit()}
+    assert counts == {"1111": (75, 50), "1112": (75, 0), "1113": (75, 0), "1122": (75, 0), "2200": (75, 40), "5200": (75, 75)}
     train.main(["-d", dataset, "-m", "knn", "-p", "-o", models])
     shown = capsys.readouterr().out
     path = next(line.split("saved: ")[1] for line in shown.splitlines() if line.startswith("saved: "))
-    assert "knn_model_100.0_" in path and "rows per second" in shown
+    assert "/knn-2" in path and "rows per second" in shown
     train.main(["-d", dataset, "-lm", path])
     assert "weighted avg" in capsys.readouterr().out
 
@@ -41,7 +42,7 @@ def test_windows_from_recordings(spark, recordings, tmp_path, capsys):
     dataset = str(tmp_path / "windows")
     build.main(["-dir", recordings, "-a", "-t", "1111", "1112", "-amt", "30", "8", "-ts", "4", "-o", dataset])
     assert {tuple(p.strip() for p in line.strip("|").split("|")) for line in capsys.readouterr().out.splitlines() if "11" in line} == {
-        ("1111", "28"), ("1112", "8")
+        ("1111", "75", "28"), ("1112", "75", "8"), ("1113", "75", "0"), ("1122", "75", "0")
     }
     windows = train.split_windows(spark, dataset, 4)
     assert sum(p.count() for p in windows.values()) == 9

@@ -80,7 +80,7 @@ def test_models_learn_and_survive_storage(spark, parts, tmp_path, kind, params):
     counts = training.evaluate(scored)
     assert training.accuracy(counts).first().accuracy > 0.9
     path = training.save(model, kind, str(tmp_path), counts, parts["train"].count())
-    assert path.rsplit("/", 1)[1].startswith(f"{kind}_model_")
+    assert path.rsplit("/", 1)[1].startswith(f"{kind}-2")
     loaded_kind, loaded = training.load(spark, path)
     assert loaded_kind == kind
     answers = lambda m: {r.row_id: r.predicted_label for r in trainer.score(kind, m, parts["test"], SPEC).collect()}
@@ -110,9 +110,54 @@ def test_fitted_models_carry_no_training_plan(parts):
     assert not [s for s in model.stages if getattr(s, "hasSummary", False)]
 
 
-def test_deep_trees_are_cut_with_a_warning():
-    with pytest.warns(UserWarning, match="depth 32"):
-        training.random_forest(3, 3)
+def test_trees_deeper_than_the_engine_grows_are_refused():
+    with pytest.raises(ValueError, match="depth 32"):
+        training.random_forest(3, 3, depth=32)
+    assert training.random_forest(3, 3).getMaxDepth() == 30
+
+
+def test_grids_are_whole():
+    sizes = {k: {p: len(v) for p, v in grid.items()} for k, grid in trainer.GRIDS.items()}
+    assert sizes == {"gb": {"maxIter": 4, "maxDepth": 5, "stepSize": 3}, "rf": {"maxDepth": 5}, "dense": {"maxIter": 16}}
+    assert trainer.GRIDS["rf"]["maxDepth"] == [26, 29, 32, 35, 38]
+
+
+def test_training_stops_when_dev_no_longer_improves(spark, parts):
+    pipeline = training.label_pipeline("dense", ["p", "q"], CLASSES.labels, params={"hidden": [6], "epochs": 400})
+    model, scores = pipeline.fit_with_dev(parts["train"], parts["dev"], patience=20, step=10)
+    assert len(scores) < 40 and max(scores) > 0.9 and max(scores[-2:]) <= max(scores[:-2])
+    assert training.accuracy(training.evaluate(model.transform(parts["test"]))).first().accuracy > 0.9
+
+
+def test_trees_take_missing_features_and_networks_refuse_them(spark, parts):
+    holes = parts["train"].withColumn("q", F.when(F.col("row_id") % 3 > 0, F.col("q"))).withColumn("p", F.when(F.col("row_id") % 5 > 0, F.col("p")).otherwise(float("nan")))
+    for kind, params in (("rf", {"trees": 8, "depth": 6}), ("gb", {"trees": 3, "depth": 4})):
+        model = training.label_pipeline(kind, ["p", "q", "r"], CLASSES.labels, params=params).fit(holes)
+        assert model.transform(holes).where("predicted_label is null").count() == 0
+        assert training.accuracy(training.evaluate(model.transform(holes))).first().accuracy > 0.9
+    with pytest.raises(Exception, match="(?i)null|nan"):
+        training.label_pipeline("dense", ["p", "q"], CLASSES.labels, params={"hidden": [4], "epochs": 5}).fit(holes)
+
+
+def test_neighbours_of_rows_that_cannot_be_compared(spark):
+    nan, inf = float("nan"), float("inf")
+    train = spark.createDataFrame([(1, "a", [0.0, 0.0]), (2, "b", [5.0, 5.0]), (3, "c", [nan, 1.0]), (4, "d", None), (5, "e", [1.0])], "id long, label string, x array<double>")
+    test = spark.createDataFrame([(10, [1.0, 0.0]), (11, None), (12, [nan, 0.0]), (13, [1.0]), (14, [None, 1.0]), (15, [inf, 1.0]), (16, [4.0, 5.0])], "id long, x array<double>")
+    want = {10: "a", 16: "b", 11: None, 12: None, 13: None, 14: None, 15: None}
+    assert {r.qid: r.label for r in knn1(train, test, "id", "label", "id", "x").collect()} == want
+    assert {r.qid: r.label for r in knn_lsh(train, test, "id", "label", "id", "x", bucket_length=2.0).collect()} == want
+    with pytest.raises(ValueError):
+        knn1(train.where("id > 2").withColumn("x", F.lit(None).cast("array<double>")), test, "id", "label", "id", "x")
+
+
+def test_queries_meet_each_block_once_where_cells_do_not_prune(spark):
+    rng = np.random.default_rng(8)
+    train = [(i, "x", rng.normal(size=64)) for i in range(300)]
+    test = [(i, rng.normal(size=64)) for i in range(60)]
+    found = knn1(*frames(spark, train, test), "id", "label", "id", "x", block_rows=150)
+    assert {r.qid: (r.neighbour, r.label) for r in found.collect()} == brute(train, test)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "cell" in plan and plan.count("MapInArrow") == 0  # nothing was routed to cells
 
 
 def test_reduction_and_encoding(spark, parts):

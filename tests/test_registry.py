@@ -33,5 +33,5 @@ WITHOUT_BROADCAST = [
 @pytest.mark.parametrize("name", WITHOUT_BROADCAST)
 def test_query_equals_sql_without_broadcasts(spark, monkeypatch, name):
     """Lookup tables that are too large to broadcast must lead to the same rows."""
-    monkeypatch.setattr("trackframe.session.MAX_BROADCAST_ROWS", 0)
+    monkeypatch.setattr("trackframe.session.MAX_BROADCAST_BYTES", -1)
     assert compare(spark, FOLDER, entry.queries()[name], entry.oracle_sql()[name]) is None

@@ -1,6 +1,9 @@
+import pytest
+
 from trackframe import report
 from trackframe.plans.reports import measurement_tables, timeline_reports
 
+PARAMS = (("Irradiance", "Spot Size", "Range"), ("intensity", "spread", "range"), "range", 1994.5)
 LOG = """starting
 T = 0
 1: Peak Irradiance (W/cm^2): 500.5
@@ -26,17 +29,20 @@ lost the target
 
 def test_log_to_two_tables(spark, tmp_path):
     (tmp_path / "log.txt").write_text(LOG)
-    tables = measurement_tables(spark, str(tmp_path / "log.txt"))
+    tables = measurement_tables(spark, str(tmp_path / "log.txt"), *PARAMS)
     assert [tuple(r) for r in tables[1].collect()] == [(4000.25, 500.5, 3.5), (4500.0, 400.0, 4.0)]
     assert [tuple(r) for r in tables[2].collect()] == [(1994.5, 900.0, 1.0), (2100.0, 880.0, 1.25)]
-    report.main(["log", str(tmp_path / "log.txt"), "-o", str(tmp_path / "out")])
+    options = ["--patterns", *PARAMS[0], "--names", *PARAMS[1], "--by", "range", "--marker", "1994.5"]
+    report.main(["log", str(tmp_path / "log.txt"), "-o", str(tmp_path / "out"), *options])
+    with pytest.raises(SystemExit):
+        report.main(["log", str(tmp_path / "log.txt"), "-o", str(tmp_path / "out2")])
     assert spark.read.option("header", True).csv(str(tmp_path / "out" / "phase_2")).count() == 2
 
 
 def test_logs_are_read_apart(spark, tmp_path):
     for name in ("a", "b"):
         (tmp_path / f"{name}.txt").write_text(LOG.replace("1994.5", "1994.5" if name == "a" else "1990"))
-    tables = measurement_tables(spark, str(tmp_path))
+    tables = measurement_tables(spark, str(tmp_path), *PARAMS)
     assert tables[1].where("range < 2000").count() == 1 and tables[2].count() == 2
 
 

@@ -83,7 +83,7 @@ def test_profile_equals_pandas(spark, skewed, monkeypatch):
 
 def test_profile_with_tables_too_large_to_broadcast(spark, skewed, monkeypatch):
     pdf, df = skewed
-    monkeypatch.setattr(stats, "bounded", lambda t: t)
+    monkeypatch.setattr("trackframe.session.MAX_BROADCAST_BYTES", -1)
     got = {(r.label, r.percentile): r.value for r in stats.profile(df, "label", ["v"], [0.1, 0.5]).collect()}
     for label, rows in pdf.groupby("label"):
         assert got[label, 0.5] == pytest.approx(rows.v.median())
@@ -153,3 +153,24 @@ def test_observed_counts_need_no_job_of_their_own(spark):
     df, seen = stats.observe_rows(spark.range(20), "rows")
     df.where("id > 5").write.format("noop").mode("overwrite").save()
     assert seen.get["rows"] == 20
+
+
+def test_confusion_counts_every_row(spark):
+    rows = [("a", "a"), ("a", "b"), ("b", "zz"), ("new", "a"), (None, "a"), ("b", None), ("b", "b")]
+    counts = stats.outcome_counts(spark.createDataFrame(rows, "truth string, pred string"))
+    table = stats.confusion(counts, ["a", "b", "never"])
+    got = {r.truth: {c: r[c] for c in table.columns if c != "truth"} for r in table.collect()}
+    assert set(got) == {"a", "b", "never", "new", "zz", None}
+    assert sum(sum(r.values()) for r in got.values()) == len(rows)
+    assert got["b"] == {"p_a": 0, "p_b": 1, "p_never": 0, "p_new": 0, "p_zz": 1, "p_null": 1} and got[None]["p_a"] == 1
+
+
+@pytest.mark.parametrize("bucket_rows", [50_000, 3])
+def test_exact_split_without_one_task_over_all_rows(spark, monkeypatch, bucket_rows):
+    monkeypatch.setattr(sample, "BUCKET_ROWS", bucket_rows)
+    df = spark.range(1000).withColumnRenamed("id", "k")
+    split = sample.random_split_exact(df, ["k"])
+    assert {r.split: r["count"] for r in split.groupBy("split").count().collect()} == {"train": 900, "dev": 50, "test": 50}
+    assert "SinglePartition" not in split._jdf.queryExecution().executedPlan().toString()
+    assert sample.random_split_exact(df.limit(0), ["k"]).count() == 0
+    assert {r.split for r in sample.random_split_exact(spark.createDataFrame([(1,)], "k long"), ["k"]).collect()} == {"test"}

@@ -145,3 +145,35 @@ def test_timeline(spark, tmp_path):
 def test_uneven_timelines_are_refused(spark):
     with pytest.raises(ValueError):
         timeline_long(spark.createDataFrame([(1.0, "a")], "Time double, SystemTrack1 string"))
+
+
+def test_answers_for_topics(spark):
+    rows = [("q1", "reply", '{"a":1}', "host", 12, None), ("bad", "dead", None, None, None, "malformed")]
+    answered = spark.createDataFrame(rows, "value string, outcome string, reply string, reply_host string, reply_port int, fault string")
+    got = {r.topic: (r.key, r.value) for r in service.topic_rows(answered, "replies", "dead-letters").collect()}
+    assert got == {"replies": ("host:12", '{"a":1}'), "dead-letters": ("", '{"request":"bad","fault":"malformed"}')}
+
+
+def test_snapshots_bound_what_a_reader_looks_at(spark, tmp_path):
+    source, out, checkpoint = (str(tmp_path / n) for n in ("in", "out", "checkpoint"))
+    seen = {}
+    for i in range(7):
+        spark.createDataFrame([("a", float(i)), (f"k{i}", 1.0)], "k string, v double").coalesce(1).write.mode("append").parquet(source)
+        stream = spark.readStream.schema("k string, v double").parquet(source)
+        service.running_mean_stream(stream, ["k"], "v", out, checkpoint, snapshot_every=3).awaitTermination()
+        got = {r.k: (r.total, r.n) for r in service.latest_means(spark, out, ["k"]).collect()}
+        seen = {**seen, "a": (sum(range(i + 1)), i + 1), f"k{i}": (1.0, 1)}
+        assert got == seen
+    assert service.newest_snapshot(spark, out) == 5
+    assert {r.batch for r in spark.read.parquet(f"{out}/batches").where("batch > 5").collect()} == {6}
+
+
+def test_ingest_snapshots_keep_the_answer(spark, tmp_path):
+    for every in (2, 100):
+        source, out, checkpoint = (str(tmp_path / f"{n}{every}") for n in ("in", "out", "checkpoint"))
+        for i in range(5):
+            spark.createDataFrame([(i, i % 2, float(i)), (10 + i, 7, float(i == 4))], "id long, key int, climb double").coalesce(1).write.mode("append").parquet(source)
+            stream = spark.readStream.schema("id long, key int, climb double").parquet(source)
+            service.ingest_stream(stream, out, checkpoint, subset=["key"], order=["id"], snapshot_every=every).awaitTermination()
+        got = sorted((r.key, r.id) for r in service.current_dataset(spark, out, ["key"], ["id"], ["climb"]).collect())
+        assert got == [(0, 4), (1, 3), (7, 14)]

@@ -5,7 +5,7 @@ from __future__ import annotations
 import argparse
 
 from trackframe.plans.dataset import run
-from trackframe.session import builder
+from trackframe.session import builder, owned_scratch
 from trackframe.spec import DatasetSpec
 
 
@@ -33,7 +33,9 @@ def parse(arguments: list[str] | None = None) -> tuple[DatasetSpec, str]:
 def main(arguments: list[str] | None = None) -> None:
     spec, out = parse(arguments)
     spark = builder("trackframe-build").getOrCreate()
-    run(spark, spec, out).orderBy("label").show(1000, truncate=False)
+    with owned_scratch(spark):
+        report = run(spark, spec, out).orderBy("label")
+        report.show(max(report.count(), 1), truncate=False)
 
 
 if __name__ == "__main__":

@@ -8,17 +8,20 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from trackframe.session import attach, bounded
+from trackframe.session import bounded, stage
 from trackframe.spec import Vocabulary
 
 
+BROADCAST_LABELS = 10_000
+
+
 def sep_classes(df: DataFrame, vocabulary: Vocabulary, class_cols: Sequence[str]) -> DataFrame:
     """Add ``label`` and ``idx`` by the class columns; rows of no class are left out.
 
-    The vocabulary is size-checked when built, so it is always broadcast.
+    A vocabulary of up to ``BROADCAST_LABELS`` labels is broadcast; a larger one joins normally.
     """
-    lookup = F.broadcast(vocabulary.frame(df.sparkSession, class_cols))
-    return df.join(lookup, list(class_cols))
+    lookup = vocabulary.frame(df.sparkSession, class_cols)
+    return df.join(F.broadcast(lookup) if len(vocabulary.classes) <= BROADCAST_LABELS else lookup, list(class_cols))
 
 
 def nonzero(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -76,15 +79,19 @@ def sigma_filter(
 ) -> DataFrame:
     """Column after column, keep mean +- k sample deviations of what earlier columns left.
 
-    Columns named in ``minimum`` use that threshold instead. One narrow aggregation job per
-    column; its bounds are kept as a broadcast table, so the plan stays one scan with filters.
+    Columns named in ``minimum`` use that threshold instead. Each bound needs a pass of its own, so
+    the group and the filtered columns are staged once, and every pass reads only those: a narrow
+    aggregation whose result, two numbers per group, is a table for the filters that follow.
     """
     minimum = minimum or {}
+    narrow = stage(df.select(*dict.fromkeys([*group, *columns])), "sigma")
     for column in columns:
         if column in minimum:
-            df = df.where(is_at_least(column, minimum[column]))
+            keep = lambda rows, c=column: rows.where(is_at_least(c, minimum[c]))
         else:
-            df = _within(df, _bounds(df, [column], group, k), [column], group)
+            bounds = bounded(_bounds(narrow, [column], group, k))
+            keep = lambda rows, c=column, b=bounds: _within(rows, b, [c], group)
+        narrow, df = keep(narrow), keep(df)
     return df
 
 
@@ -98,7 +105,7 @@ def sigma_filter_single_pass(
     """All bounds from the unfiltered rows: one aggregation for any number of columns."""
     minimum = minimum or {}
     by_sigma = [c for c in columns if c not in minimum]
-    out = _within(df, _bounds(df, by_sigma, group, k), by_sigma, group)
+    out = _within(df, bounded(_bounds(df, by_sigma, group, k)), by_sigma, group)
     return at_least(out, {c: minimum[c] for c in columns if c in minimum})
 
 
@@ -108,14 +115,13 @@ def _bounds(df: DataFrame, columns: Sequence[str], group: Sequence[str], k: floa
         value = F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double"))
         mean, spread = F.avg(value), F.stddev_samp(value) * F.lit(k)
         measures += [(mean - spread).alias(f"_lo_{c}"), (mean + spread).alias(f"_hi_{c}")]
-    bounds = df.groupBy(*group).agg(*measures)
-    return bounds if group else bounded(bounds)
+    return df.groupBy(*group).agg(*measures)
 
 
 def _within(df: DataFrame, bounds: DataFrame, columns: Sequence[str], group: Sequence[str]) -> DataFrame:
     names = df.columns
     if group:
-        df = attach(df, bounds, group)
+        df = df.join(bounds, list(group))
     else:
         df = df.select("*", *[bounds.select(c).scalar().alias(c) for c in bounds.columns])
     inside = all_of([F.col(c).between(F.col(f"_lo_{c}"), F.col(f"_hi_{c}")) for c in columns])

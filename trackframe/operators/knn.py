@@ -2,7 +2,12 @@
 
 Training rows are put into cells; a query visits the cells that can hold its neighbour. Inside a
 cell both sides are cut into blocks of bounded size and each pair of blocks is one task group,
-compared as matrices. A group returns one row per query, never the pairs.
+compared as matrices. A group returns one row per query, never the pairs. In many dimensions cells
+prune little: if some queries, taken as a probe, visit as many cells as there are blocks of training
+rows, there is one cell and each query meets each block once. Both plans give the same rows.
+
+A test row whose vector is missing, of another length, or not finite in every component has no
+neighbour: it comes back with NULLs. Such training rows are nobody's neighbour.
 """
 
 from __future__ import annotations
@@ -19,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from trackframe.session import attach, bounded, stage
+from trackframe.session import bounded, stage
 
 # Task functions travel to the workers by value: executors need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -28,6 +33,8 @@ MAX_PIVOTS = 1024
 BLOCK_ROWS = 4096
 # Relative slack against rounding: bounds may only let too much through, never too little.
 SLACK = 1e-9
+# Queries that are routed first, to see whether cells prune.
+PROBE_ROWS = 256
 
 
 def _matrix(column: pa.ChunkedArray) -> np.ndarray:
@@ -44,8 +51,18 @@ def _prepare(train: DataFrame, test: DataFrame, train_id: str, label: str, test_
     points = train.select(
         F.col(vector).cast("array<double>").alias("x"), F.col(train_id).alias("tid"), F.col(label).alias("label")
     )
+    whole = lambda c: F.forall(c, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
+    points = points.where(F.coalesce(whole("x"), F.lit(False)))
+    width = points.agg(F.max(F.size("x"))).first()[0]
+    if width is None:
+        raise ValueError("there are no training rows")
+    points = points.where(F.size("x") == width)
     points = points.groupBy("x").agg(F.min("tid").alias("tid"), F.min_by("label", "tid").alias("label"))
-    return points, test.select(F.col(test_id).alias("qid"), F.col(vector).cast("array<double>").alias("q"))
+    queries = test.select(F.col(test_id).alias("qid"), F.col(vector).cast("array<double>").alias("q"))
+    usable = F.coalesce(whole("q") & (F.size("q") == width), F.lit(False))
+    none = [F.lit(None).cast(points.schema[c].dataType).alias(n) for c, n in (("tid", "neighbour"), ("label", "label"))]
+    lost = queries.where(~usable).select("qid", *none, F.lit(None).cast("double").alias("distance"))
+    return points, queries.where(usable), lost
 
 
 def knn1(
@@ -63,13 +80,10 @@ def knn1(
     Cells are the nearest of some training rows, the pivots. A query skips a cell only where the
     triangle inequality or the cell's half-space shows that its neighbour cannot be inside.
     """
-    points, queries = _prepare(train, test, train_id, label, test_id, vector)
-    if pivots is None:
-        pivots = int(points.count() ** 0.5) + 1
-    pivots = max(1, min(pivots, MAX_PIVOTS))
+    points, queries, lost = _prepare(train, test, train_id, label, test_id, vector)
+    n = points.count()
+    pivots = max(1, min(int(n**0.5) + 1 if pivots is None else pivots, MAX_PIVOTS))
     chosen = points.orderBy(F.md5(F.col("tid").cast("string").cast("binary")), "tid").limit(pivots).select("x").toArrow()
-    if chosen.num_rows == 0:
-        raise ValueError("there are no training rows")
     centres = _matrix(chosen.column("x"))
 
     def to_cell(batches):
@@ -93,30 +107,37 @@ def knn1(
     between = np.sqrt(_squared(centres, centres))
     scale = 1.0 + float(np.abs(centres).max())
 
+    def visits(q: np.ndarray) -> np.ndarray:
+        """Which cells each query has to visit."""
+        distance = np.sqrt(_squared(q, centres))
+        home = distance.argmin(1)
+        best = distance[np.arange(len(home)), home]
+        # Squared distances lose half their digits near zero, hence the root of the slack.
+        slack = np.sqrt(SLACK) * scale * (1.0 + best)
+        ball = distance - radius[None, :]
+        apart = between[home]
+        with np.errstate(divide="ignore", invalid="ignore"):
+            plane = (distance**2 - (best**2)[:, None]) / (2.0 * apart)
+        plane = np.where(apart > 0, plane, -np.inf)
+        return (np.maximum(ball, plane) <= (best + slack)[:, None]) & (radius >= 0)[None, :]
+
     def to_cells(batches):
         for batch in batches:
             if batch.num_rows == 0:
                 continue
-            distance = np.sqrt(_squared(_matrix(pa.chunked_array([batch.column("q")])), centres))
-            home = distance.argmin(1)
-            best = distance[np.arange(len(home)), home]
-            # Squared distances lose half their digits near zero, hence the root of the slack.
-            slack = np.sqrt(SLACK) * scale * (1.0 + best)
-            ball = distance - radius[None, :]
-            apart = between[home]
-            with np.errstate(divide="ignore", invalid="ignore"):
-                plane = (distance**2 - (best**2)[:, None]) / (2.0 * apart)
-            plane = np.where(apart > 0, plane, -np.inf)
-            visit = (np.maximum(ball, plane) <= (best + slack)[:, None]) & (radius >= 0)[None, :]
-            rows, cells = np.nonzero(visit)
+            rows, cells = np.nonzero(visits(_matrix(pa.chunked_array([batch.column("q")]))))
             taken = batch.take(pa.array(rows))
             yield pa.RecordBatch.from_arrays(
                 [*taken.columns, pa.array(cells.astype("int32"))], names=[*batch.schema.names, "cell"]
             )
 
+    probe = queries.orderBy(F.md5(F.col("qid").cast("string").cast("binary"))).limit(PROBE_ROWS).select("q").toArrow()
+    if probe.num_rows and visits(_matrix(probe.column("q"))).sum(1).mean() >= -(-n // block_rows):
+        one = F.lit(0).alias("cell")
+        return _nearest(points.select("*", one), queries.select("*", one), ["cell"], block_rows).unionByName(lost)
     query_type = queries.schema["qid"].dataType.simpleString()
     routed = queries.mapInArrow(to_cells, f"qid {query_type}, q array<double>, cell int")
-    return _nearest(celled.drop("_r"), routed, ["cell"], block_rows)
+    return _nearest(celled.drop("_r"), routed, ["cell"], block_rows).unionByName(lost)
 
 
 def knn_lsh(
@@ -135,7 +156,9 @@ def knn_lsh(
 
     A query whose buckets hold no training row is answered exactly, so no row is lost.
     """
-    points, queries = _prepare(train, test, train_id, label, test_id, vector)
+    points, queries, _ = _prepare(train, test, train_id, label, test_id, vector)
+    # Staged, or the vectors might be made before the rows that can't be one are left out.
+    points, queries = stage(points, "points"), stage(queries, "queries")
     points = points.withColumn("_v", array_to_vector("x"))
     lsh = BucketedRandomProjectionLSH(
         inputCol="_v", outputCol="_h", bucketLength=bucket_length, numHashTables=tables, seed=seed
@@ -147,10 +170,12 @@ def knn_lsh(
             "bucket", F.xxhash64(F.col("_b").cast("string"))
         ).drop("_b")
 
-    near = _nearest(
+    near = stage(_nearest(
         buckets(points), buckets(queries.withColumn("_v", array_to_vector("q"))), ["table", "bucket"], block_rows
-    )
-    missed = test.join(near.select(F.col("qid").alias(test_id)), test_id, "left_anti")
+    ), "near")
+    missed = stage(test.join(near.select(F.col("qid").alias(test_id)), test_id, "left_anti"), "missed")
+    if missed.isEmpty():
+        return near
     return near.unionByName(knn1(train, missed, train_id, label, test_id, vector, block_rows=block_rows))
 
 
@@ -161,11 +186,10 @@ def _nearest(points: DataFrame, queries: DataFrame, cell: list[str], block_rows:
 
     # Sizes decide how often the other side is repeated; cells met by one side only drop out.
     sizes = blocks(points, "_pn").join(blocks(queries, "_qn"), cell)
-    found = bounded(sizes)
-    sizes = stage(sizes, "cells") if found is sizes else found
+    sizes = bounded(sizes)
 
     def cut(df: DataFrame, own: str, other: str, own_block: str, other_block: str, row_id: str) -> DataFrame:
-        return attach(df, sizes, cell).withColumn(own_block, F.pmod(F.xxhash64(row_id), F.col(own)).cast("int")).withColumn(
+        return df.join(sizes, cell).withColumn(own_block, F.pmod(F.xxhash64(row_id), F.col(own)).cast("int")).withColumn(
             other_block, F.explode(F.sequence(F.lit(0), F.col(other) - 1))
         ).drop("_pn", "_qn")
 

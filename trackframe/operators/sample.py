@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from trackframe.functions.columns import key_number, row_key
 from trackframe.operators.position import cut_points
-from trackframe.session import attach, bounded, stage
+from trackframe.session import attach, stage
 
 # Rows a hash bucket should hold: one bucket per class is sorted, the others are only counted.
 BUCKET_ROWS = 50_000
@@ -144,13 +145,42 @@ def random_split_exact(
     df: DataFrame, ids: Sequence[str], train: float = 0.9, dev: float = 0.5, seed: int | str = 42
 ) -> DataFrame:
     """Add ``split`` with exact sizes, rounded down: two cut keys over the whole table."""
-    keyed = _keyed(df, ids, seed, df.count())
-    train_rows = F.floor(F.col("_n") * F.lit(train))
-    dev_rows = F.floor((F.col("_n") - train_rows) * F.lit(dev))
+    rows = df.count()
+    train_rows = int(rows * train)
+    ranks = {"_train": train_rows, "_dev": train_rows + int((rows - train_rows) * dev)}
+    keyed = _keyed(df, ids, seed, rows)
     order = ["_key", *ids]
-    cuts = bounded(cut_points(keyed, [], order, ["_bucket"], {"_train": train_rows, "_dev": train_rows + dev_rows}))
+    cuts = _hash_cuts(keyed, order, ranks)
     key = F.struct(*order)
-    train_cut, dev_cut = (cuts.select(c).scalar() for c in ("_train", "_dev"))
-    return keyed.withColumn(
-        "split", F.when(key <= train_cut, "train").when(key <= dev_cut, "dev").otherwise("test")
-    ).select(*df.columns, "split")
+    first, second = (F.coalesce(key <= cuts.select(c).scalar(), F.lit(False)) for c in ranks)
+    return keyed.withColumn("split", F.when(first, "train").when(second, "dev").otherwise("test")).select(*df.columns, "split")
+
+
+def _hash_cuts(keyed: DataFrame, order: Sequence[str], ranks: Mapping[str, int]) -> DataFrame:
+    """One row with the order keys at given ranks (from 1; NULL below 1) of the whole table.
+
+    Buckets are counted once. Digit by digit a rank's bucket is found from sixteen sums, so neither
+    all rows nor all buckets meet in a task; only the rows of the buckets found are sorted.
+    """
+    spark = keyed.sparkSession
+    counts = stage(keyed.groupBy("_bucket").agg(F.count("*").alias("c")), "buckets")
+    digits = counts.agg(F.max(F.length("_bucket"))).first()[0] or 0
+    places = []
+    for name, rank in ranks.items():
+        prefix, need = "", rank
+        for width in range(1, digits + 1 if rank > 0 else 1):
+            level = counts.where(F.col("_bucket").startswith(prefix)).groupBy(F.substring("_bucket", 1, width).alias("p"))
+            for p, c in sorted(map(tuple, level.agg(F.sum("c")).collect())):  # sixteen rows at most
+                if need <= c:
+                    prefix = p
+                    break
+                need -= c
+        if rank > 0:
+            places.append((name, prefix, need))
+    wanted = spark.createDataFrame(places, "_cut string, _bucket string, _need long")
+    inside = Window.partitionBy("_cut").orderBy(*order)
+    found = keyed.select("_bucket", *order).join(F.broadcast(wanted), "_bucket").withColumn("_at", F.row_number().over(inside))
+    found = found.where(F.col("_at") == F.col("_need")).select("_cut", F.struct(*order).alias("_key_at"))
+    rows = {r["_cut"]: r["_key_at"] for r in found.collect()}  # one row per rank
+    kind = T.StructType([T.StructField(n, found.schema["_key_at"].dataType) for n in ranks])
+    return spark.createDataFrame([tuple(rows.get(n) for n in ranks)], kind)

@@ -6,10 +6,15 @@ from pyspark import keyword_only
 from pyspark.ml import Estimator, Model
 from pyspark.ml.param.shared import HasInputCols, HasOutputCols, Param, Params, TypeConverters
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def _number(column: str) -> Column:
+    """The value as a double; NaN, which sorts above every number, counts as missing."""
+    return F.nanvl(F.col(column).cast("double"), F.lit(None).cast("double"))
+
+
 class MinMaxColumns(Estimator, HasInputCols, HasOutputCols, DefaultParamsReadable, DefaultParamsWritable):
     """Learns each column's minimum and maximum in one aggregation.
 
@@ -24,8 +29,8 @@ class MinMaxColumns(Estimator, HasInputCols, HasOutputCols, DefaultParamsReadabl
     def _fit(self, dataset: DataFrame) -> "MinMaxColumnsModel":
         columns = self.getInputCols()
         found = dataset.agg(
-            F.array(*[F.min(F.col(c).cast("double")) for c in columns]).alias("low"),
-            F.array(*[F.max(F.col(c).cast("double")) for c in columns]).alias("high"),
+            F.array(*[F.min(_number(c)) for c in columns]).alias("low"),
+            F.array(*[F.max(_number(c)) for c in columns]).alias("high"),
         ).first()
         if any(v is None for v in [*found.low, *found.high]):
             raise ValueError("cannot scale a column without values")

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
-from trackframe.session import attach, bounded, stage
+from trackframe.session import attach, bounded
 
 # The percentiles of a class profile.
 PROFILE_PERCENTILES = (0.01, 0.05, 0.1, 0.25, 0.5, 0.75, 0.9, 0.95, 0.99, 0.999, 0.9999)
@@ -115,10 +115,7 @@ def _values_at(long: DataFrame, keys: Sequence[str], ranks: DataFrame) -> DataFr
             .where((F.col("rank") >= F.col("start")) & (F.col("rank") < F.col("start") + F.col("c")))
             .select(*keys, "rank", F.col("next_lo").alias("lo"), F.col("next_hi").alias("hi"), F.col("start").alias("before"))
         )
-        settled = spans.where("lo = hi").unionByName(narrowed)
-        spans = bounded(settled)
-        if spans is settled:
-            spans = stage(settled, "spans")
+        spans = bounded(spans.where("lo = hi").unionByName(narrowed))
 
 
 def outcome_counts(df: DataFrame, truth: str = "truth", pred: str = "pred") -> DataFrame:
@@ -126,12 +123,25 @@ def outcome_counts(df: DataFrame, truth: str = "truth", pred: str = "pred") -> D
     return df.groupBy(F.col(truth).alias("truth"), F.col(pred).alias("pred")).agg(F.count("*").alias("n"))
 
 
-def confusion(counts: DataFrame, labels: Sequence[str]) -> DataFrame:
-    """Rows are true labels, columns ``p_<label>`` predicted ones, both sorted, zeros filled in."""
-    labels = sorted(labels)
-    grid = counts.sparkSession.createDataFrame([(x,) for x in labels], "truth string")
-    cells = [F.sum(F.when(F.col("pred") == x, F.col("n")).otherwise(0)).alias(f"p_{x}") for x in labels]
-    return grid.join(counts.groupBy("truth").agg(*cells), "truth", "left").na.fill(0)
+def confusion(counts: DataFrame, labels: Sequence[str] = ()) -> DataFrame:
+    """Rows are true labels, columns ``p_<label>`` predicted ones, both sorted, zeros filled in.
+
+    Labels are the given ones and all that occur (an action that returns one row per label); a
+    missing label is a row and a column of its own, ``NULL`` and ``p_null``. The cells add up to
+    the number of rows.
+    """
+    both = counts.select(F.explode(F.array("truth", "pred")).alias("label")).distinct()
+    seen = [r.label for r in both.collect()]
+    names = sorted({*labels, *(x for x in seen if x is not None)})
+    known = [*names, *[None] * (None in seen)]
+    grid = counts.sparkSession.createDataFrame([(x,) for x in known], "truth string")
+    cells = [
+        F.sum(F.when(F.col("pred").eqNullSafe(F.lit(x)), F.col("n")).otherwise(0)).alias(f"p_{'null' if x is None else x}")
+        for x in known
+    ]
+    sums = counts.groupBy(F.col("truth").alias("_truth")).agg(*cells)
+    joined = grid.join(sums, F.col("truth").eqNullSafe(F.col("_truth")), "left").drop("_truth")
+    return joined.na.fill(0)
 
 
 def accuracy(counts: DataFrame) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,8 +14,8 @@ from trackframe.operators.sample import append_dataset, erase_n, erase_windows,
 from trackframe.operators.sequence import clean_windows, fixed_windows
 from trackframe.operators.stats import class_counts, observe_rows
 from trackframe.session import stage
-from trackframe.sources.files import ORDER, quarantine_files, scan_dataset
-from trackframe.sources.sinks import write_csv, write_windows
+from trackframe.sources.files import ORDER, quarantine_files, scan_dataset, unclassed_rows
+from trackframe.sources.sinks import by_windows, write_csv
 from trackframe.spec import DatasetSpec
 
 # What tells windows apart: source, file and class (empty for an earlier dataset), then number.
@@ -22,9 +23,15 @@ WINDOW = ("_src", "_file", "_class", "win_id")
 
 
 def build_dataset(spark: SparkSession, spec: DatasetSpec) -> DataFrame:
-    """The cleaned rows of one run, with a ``label`` column and the order or window columns."""
+    """The cleaned rows of one run, with a ``label`` column and the order or window columns.
+
+    Rows without a whole class are left out, as are files of another shape; both can be listed by
+    :func:`trackframe.sources.files.quarantine_files` and ``unclassed_rows``.
+    """
     f = spec.features
-    new = quarantine_files(spark, spec.data_dir, f, spec.exclude_suffixes)[0] if spec.data_dir else None
+    new = None
+    if spec.data_dir:
+        new = unclassed_rows(quarantine_files(spark, spec.data_dir, f, spec.exclude_suffixes)[0], f.classes)[0]
     old = scan_dataset(spark, spec.dataset, f) if spec.dataset else None
     # Amounts and windows look at the rows several times and need row ids that stay the same.
     if new is not None and (spec.add or spec.erase or spec.time_series):
@@ -92,19 +99,43 @@ def _merge(new: DataFrame | None, old: DataFrame | None, columns: Sequence[str])
 def write_dataset(df: DataFrame, spec: DatasetSpec, path: str, mode: str = "errorifexists") -> int:
     """Write the CSV dataset and return its row count, observed during the write.
 
-    Plain rows are written in a repeatable random order, windows as runs of whole windows.
+    Plain rows are written in a repeatable random order, windows as runs of whole windows. The
+    count sits behind the sort, directly under the write: what lies below a range exchange runs
+    once more, to sample the ranges.
     """
-    counted, seen = observe_rows(df, "written")
     if spec.time_series:
-        write_windows(counted, path, spec.features.columns, WINDOW, mode)
+        ordered = by_windows(df, WINDOW)
     else:
-        keyed = counted.withColumn("_key", row_key("_src", *ORDER, seed=spec.seed))
-        write_csv(keyed.orderBy("_key"), path, spec.features.columns, mode)
+        ordered = df.withColumn("_key", row_key("_src", *ORDER, seed=spec.seed)).orderBy("_key")
+    counted, seen = observe_rows(ordered, "written")
+    write_csv(counted, path, spec.features.columns, mode)
     return seen.get["rows"]
 
 
 def run(spark: SparkSession, spec: DatasetSpec, path: str, mode: str = "errorifexists") -> DataFrame:
-    """Build, write, and return the rows per class of what was written."""
-    write_dataset(build_dataset(spark, spec), spec, path, mode)
-    written = scan_dataset(spark, path, spec.features)
-    return class_counts(written.withColumn("label", composite_label(*spec.features.classes)), "label")
+    """Build, write, and return rows per class before and after cleaning, the written ones.
+
+    The built rows are staged: they are written and counted, but read and cleaned once.
+    """
+    built = stage(build_dataset(spark, spec), "built")
+    written = write_dataset(built, spec, path, mode)
+    after = class_counts(built, "label").withColumnRenamed("n", "rows_written")
+    before = input_counts(spark, spec)
+    report = before.join(after, "label", "full").select(
+        "label", F.coalesce("rows_read", F.lit(0)).alias("rows_read"), F.coalesce("rows_written", F.lit(0)).alias("rows_written")
+    )
+    total = report.agg(F.sum("rows_written")).first()[0] or 0
+    if written != total:
+        raise RuntimeError(f"{written} rows were written, {total} were built")
+    return report
+
+
+def input_counts(spark: SparkSession, spec: DatasetSpec) -> DataFrame:
+    """Rows per class of what a run reads, before amounts, erasing and cleaning."""
+    f, sources = spec.features, []
+    if spec.data_dir:
+        sources.append(unclassed_rows(quarantine_files(spark, spec.data_dir, f, spec.exclude_suffixes)[0], f.classes)[0])
+    if spec.dataset:
+        sources.append(scan_dataset(spark, spec.dataset, f))
+    labels = [s.select(composite_label(*f.classes).alias("label")) for s in sources]
+    return class_counts(reduce(DataFrame.unionByName, labels), "label").withColumnRenamed("n", "rows_read")

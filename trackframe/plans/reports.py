@@ -12,10 +12,6 @@ from trackframe.operators.timeline import extend_one, timeline_long, trace_serie
 from trackframe.session import stage
 from trackframe.sources.files import BUCKET, ORDER, scan_lines, scan_timeline
 
-# The line patterns of a record, in order, its value names and the switch value.
-PATTERNS = ("Irradiance", "Spot Size", "Range")
-NAMES = ("intensity", "spread", "range")
-MARKER = 1994.5
 # Seconds in a bucket of a timeline.
 TIMELINE_BUCKET = 3600
 
@@ -23,12 +19,14 @@ TIMELINE_BUCKET = 3600
 def measurement_tables(
     spark: SparkSession,
     path: str,
-    patterns: Sequence[str] = PATTERNS,
-    names: Sequence[str] = NAMES,
-    by: str = "range",
-    marker: float = MARKER,
+    patterns: Sequence[str],
+    names: Sequence[str],
+    by: str,
+    marker: float,
 ) -> dict[int, DataFrame]:
-    """The distinct records before and from the marker on, as phases 1 and 2, in ascending order."""
+    """Records of lines that match ``patterns`` in turn, their values under ``names``.
+
+    The distinct records before and from the marker on, as phases 1 and 2, in ascending order."""
     records = log_records(scan_lines(spark, path), patterns, names, ["_file"], ORDER[1:], BUCKET[1:])
     phases = phase_split(stage(records, "records"), ["_file"], "record", by, marker)
     columns = [by, *[n for n in names if n != by]]
@@ -37,6 +35,7 @@ def measurement_tables(
 
 def timeline_reports(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """Chart traces of a wide label timeline, extended by one step, and the agreement per track."""
-    long = extend_one(timeline_long(scan_timeline(spark, path)), ["track", "role"])
+    # Extending looks at the rows several times: the text is read once.
+    long = extend_one(stage(timeline_long(scan_timeline(spark, path)), "timeline"), ["track", "role"])
     long = stage(long.withColumn("_bucket", F.floor(F.col("time") / TIMELINE_BUCKET)), "timeline")
     return trace_series(long, ["track", "role"], ["_bucket"]), truth_vs_pred(long, ["track"], ["_bucket"])

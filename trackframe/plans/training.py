@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-import warnings
+import itertools
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
@@ -15,8 +15,16 @@ from pyspark.ml.classification import (
     RandomForestClassifier,
 )
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-from pyspark.ml.feature import PCA, IndexToString, OneHotEncoder, StringIndexer, StringIndexerModel, VectorAssembler
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+from pyspark.ml.feature import (
+    PCA,
+    IndexToString,
+    OneHotEncoder,
+    SQLTransformer,
+    StringIndexer,
+    StringIndexerModel,
+    VectorAssembler,
+)
+from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,9 +34,10 @@ from trackframe.operators.position import cut_points
 from trackframe.operators.scale import MinMaxColumns, MinMaxColumnsModel
 from trackframe.operators.sequence import fixed_windows, seq_split, window_tensor
 from trackframe.operators.stats import accuracy, outcome_counts
-from trackframe.session import attach
+from trackframe.session import attach, stage
 
 MAX_TREE_DEPTH = 30  # the deepest tree Spark ML grows
+TOO_DEEP = "deeper than the engine grows"
 
 
 def gradient_boosting(inputs: int | None, classes: int, trees: int = 3500, depth: int = 6, rate: float = 0.3) -> Estimator:
@@ -37,13 +46,12 @@ def gradient_boosting(inputs: int | None, classes: int, trees: int = 3500, depth
 
 
 def random_forest(
-    inputs: int | None, classes: int, trees: int = 1000, depth: int = 32, share: float = 0.2, impurity: str = "entropy"
+    inputs: int | None, classes: int, trees: int = 1000, depth: int = MAX_TREE_DEPTH, share: float = 0.2, impurity: str = "entropy"
 ) -> Estimator:
+    """A forest as deep as Spark ML grows by default; a deeper one is refused, never cut."""
     if depth > MAX_TREE_DEPTH:
-        warnings.warn(f"tree depth {depth} is cut to {MAX_TREE_DEPTH}", stacklevel=2)
-    return RandomForestClassifier(
-        numTrees=trees, maxDepth=min(depth, MAX_TREE_DEPTH), featureSubsetStrategy=str(share), impurity=impurity, seed=42
-    )
+        raise ValueError(f"tree depth {depth} is {TOO_DEEP} ({MAX_TREE_DEPTH})")
+    return RandomForestClassifier(numTrees=trees, maxDepth=depth, featureSubsetStrategy=str(share), impurity=impurity, seed=42)
 
 
 def dense_network(
@@ -59,6 +67,17 @@ REGISTRY = {"gb": gradient_boosting, "rf": random_forest, "dense": dense_network
 KINDS = (*REGISTRY, "knn", "merge", "ts")
 
 
+TREES = ("gb", "rf")
+# What a missing feature counts as in trees: outside the range that training rows are scaled to.
+MISSING = -1.0
+
+
+def missing_as_value(columns: Sequence[str]) -> SQLTransformer:
+    """Add ``<column>_filled``: NULL and NaN as a value of their own, which a split can tell apart."""
+    filled = ", ".join(f"coalesce(nanvl(`{c}`, NULL), {MISSING}D) AS `{c}_filled`" for c in columns)
+    return SQLTransformer(statement=f"SELECT *, {filled} FROM __THIS__")
+
+
 def label_pipeline(
     kind: str,
     features: Sequence[str],
@@ -73,7 +92,8 @@ def label_pipeline(
     """Scale, assemble, optionally encode and reduce, classify, name the class.
 
     Encoded features go before the rest, ``unscaled`` columns after it. A fitted ``scaler`` for the
-    features may be given. One sorted label list is stored with the model.
+    features may be given. One sorted label list is stored with the model. Trees take missing
+    features as a value of their own; networks refuse them.
     """
     plain = [f for f in features if f not in encode]
     scaled = [f"{f}_scaled" for f in plain]
@@ -83,8 +103,12 @@ def label_pipeline(
         stages += encoder_stages(encode)
         blocks = [f"{f}_hot" for f in encode]
     target = "assembled" if components else "features_vector"
-    stages.append(VectorAssembler(inputCols=[*blocks, *scaled, *unscaled], outputCol=target))
-    width = len(plain) + len(unscaled)
+    numbers = [*scaled, *unscaled]
+    width = len(numbers)
+    if kind in TREES:
+        stages.append(missing_as_value(numbers))
+        numbers = [f"{c}_filled" for c in numbers]
+    stages.append(VectorAssembler(inputCols=[*blocks, *numbers], outputCol=target))
     if encode and (components or kind == "dense"):
         raise ValueError("a reduced or dense model needs plain features: its input width must be known")
     if components:
@@ -109,6 +133,30 @@ class LabelPipeline:
         # A copy leaves the training summary behind: it would tie the model to the training plan.
         return self.pipeline.fit(self.index.transform(train)).copy()
 
+    def fit_with_dev(self, train: DataFrame, dev: DataFrame, patience: int = 20, step: int = 5) -> tuple[PipelineModel, list[float]]:
+        """Fit a network ``step`` epochs at a time; keep the best by dev accuracy.
+
+        Training goes on from the weights reached and ends when ``patience`` epochs in a row bring
+        no better accuracy on ``dev``, or at the network's number of epochs. Returns the model and
+        the accuracies after each step. Prepared inputs are staged: every step reads them.
+        """
+        *before, network, name = self.pipeline.getStages()
+        prepared = Pipeline(stages=before).fit(self.index.transform(train))
+        columns = [network.getFeaturesCol(), network.getLabelCol()]
+        rows, checks = (stage(prepared.transform(self.index.transform(x)).select(*columns), "prepared") for x in (train, dev))
+        judge = MulticlassClassificationEvaluator(metricName="accuracy", labelCol=network.getLabelCol())
+        best, best_score, scores, weights, stale, epochs = None, -1.0, [], None, 0, network.getMaxIter()
+        while epochs > 0 and stale < patience:
+            now = min(step, epochs)
+            part = network.copy({network.maxIter: now})
+            model = (part if weights is None else part.setInitialWeights(weights)).fit(rows)
+            weights, epochs = model.weights, epochs - now
+            scores.append(judge.evaluate(model.transform(checks)))
+            stale = 0 if scores[-1] > best_score else stale + now
+            if scores[-1] > best_score:
+                best, best_score = model, scores[-1]
+        return PipelineModel([*prepared.stages, best, name]).copy(), scores
+
 
 def encoder_stages(columns: Sequence[str]) -> list[Estimator]:
     """Index categories in text order and one-hot encode them without dropping any."""
@@ -139,12 +187,15 @@ def grid_search(
 ) -> tuple[DataFrame, Mapping[str, object]]:
     """Mean and deviation of the accuracy per parameter combination, and the best combination.
 
-    Folds are consecutive thirds of each class, cut by position.
+    Folds are consecutive thirds of each class, cut by position. A combination the engine can't
+    grow is listed with NULL scores and the reason in ``skipped``.
     """
-    params = ParamGridBuilder()
-    for name, values in grid.items():
-        params = params.addGrid(classifier.getParam(name), list(values))
-    combinations = params.build()
+    names = list(grid)
+    wanted = [dict(zip(names, values)) for values in itertools.product(*grid.values())]
+    deep = [w for w in wanted if w.get("maxDepth", 0) > MAX_TREE_DEPTH]
+    combinations = [{classifier.getParam(n): v for n, v in w.items()} for w in wanted if w not in deep]
+    if not combinations:
+        raise ValueError(f"every combination is {TOO_DEEP}")
     scaled = [f"{f}_scaled" for f in features]
     folded = class_folds(train, label, order, bucket, folds)
     ready = Pipeline(stages=[
@@ -156,12 +207,14 @@ def grid_search(
         estimator=classifier, estimatorParamMaps=combinations, numFolds=folds, foldCol="fold", parallelism=parallelism,
         evaluator=MulticlassClassificationEvaluator(metricName="accuracy"),
     ).fit(ready)
+    shown = lambda c: ", ".join(f"{n}={v}" for n, v in sorted(c.items()))
     rows = [
-        (", ".join(f"{p.name}={v}" for p, v in sorted(c.items(), key=lambda x: x[0].name)), float(m), float(s))
+        (shown({p.name: v for p, v in c.items()}), float(m), float(s), None)
         for c, m, s in zip(combinations, search.avgMetrics, search.stdMetrics)
     ]
     best = combinations[max(range(len(rows)), key=lambda i: rows[i][1])]
-    table = train.sparkSession.createDataFrame(rows, "params string, mean_score double, sd_score double")
+    rows += [(shown(w), None, None, TOO_DEEP) for w in deep]
+    table = train.sparkSession.createDataFrame(rows, "params string, mean_score double, sd_score double, skipped string")
     return table, {p.name: v for p, v in best.items()}
 
 
@@ -251,8 +304,9 @@ def evaluate(scored: DataFrame, label: str = "label") -> DataFrame:
     return outcome_counts(scored, label, "predicted_label")
 
 
-def bundle_name(kind: str, percent: float, train_rows: int, test_rows: int, at: dt.datetime) -> str:
-    return f"{kind}_model_{percent}_{at:%Y-%m-%d_%H-%M-%S}_ds_size_{train_rows}_tested_with_{test_rows}"
+def bundle_name(kind: str, at: dt.datetime) -> str:
+    """Kind and time; sizes and scores are in the metrics file."""
+    return f"{kind}-{at:%Y%m%dT%H%M%S%f}"
 
 
 def save(model, kind: str, folder: str, counts: DataFrame, train_rows: int) -> str:
@@ -260,7 +314,7 @@ def save(model, kind: str, folder: str, counts: DataFrame, train_rows: int) -> s
     spark = counts.sparkSession
     scores = accuracy(counts).first()
     now = dt.datetime.now()
-    path = f"{folder.rstrip('/')}/{bundle_name(kind, scores.accuracy_pct, train_rows, scores.rows, now)}"
+    path = f"{folder.rstrip('/')}/{bundle_name(kind, now)}"
     if kind == "knn":
         model.save(f"{path}/model")
     else:

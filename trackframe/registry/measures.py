@@ -16,6 +16,7 @@ from trackframe.registry.rows import DEDUPE, DEDUPE_SQL, dedupe_input
 from trackframe.registry.tables import (
     ITEM_FEATURES, ITEM_ID, ITEM_KEY_SQL, ITEM_LABELS, ITEMS_SQL, Registry, embeddings, items, rounded, table,
 )
+from trackframe.session import stage
 
 registry = Registry()
 IDS = ", ".join(ITEM_ID)
@@ -37,7 +38,7 @@ def clean_report(spark, folder):
     return stats.clean_report(rows, clean.clean_rows(rows, DEDUPE, ITEM_ID, ["l_discount"]), "l_linenumber")
 
 
-PROFILED = ["l_quantity", "l_extendedprice", "l_tax"]
+PROFILED = ITEM_FEATURES
 POINTS = ", ".join(map(str, stats.PROFILE_PERCENTILES))
 
 
@@ -56,9 +57,23 @@ def profile(spark, folder):
     return rounded(stats.profile(items(spark, folder), "label", PROFILED), "mean", "sd", "value")
 
 
-@registry.add("profile_approx")
+SKETCH = 10_000
+
+
+@registry.add("profile_approx", f"""with p as ({profile_sql()})
+ select label, feature, n, mean, sd, lowest, highest, percentile, true as near from p""")
 def profile_approx(spark, folder):
-    return rounded(stats.profile_approx(items(spark, folder), "label", PROFILED), "mean", "sd", "value")
+    """The sketched values come with a check of their promise: ranks within ``n / SKETCH`` of the wanted one."""
+    rows = items(spark, folder)
+    found = stage(stats.profile_approx(rows, "label", PROFILED, accuracy=SKETCH), "profile")
+    values = rows.select("label", *PROFILED).unpivot("label", PROFILED, "feature", "x")
+    ranked = values.join(F.broadcast(found.select("label", "feature", "percentile", "value")), ["label", "feature"]).groupBy(
+        "label", "feature", "percentile"
+    ).agg(F.count_if(F.col("x") < F.col("value")).alias("below"), F.count_if(F.col("x") <= F.col("value")).alias("up_to"))
+    wanted, slack = F.ceil(F.col("n") * F.col("percentile")), F.col("n") / SKETCH + 1
+    near = (F.col("below") <= wanted + slack) & (F.col("up_to") >= wanted - slack)
+    out = found.join(ranked, ["label", "feature", "percentile"]).withColumn("near", near).drop("value", "below", "up_to")
+    return rounded(out, "mean", "sd")
 
 
 def scaled_sql(c):
@@ -147,13 +162,13 @@ def class_report(spark, folder):
     return rounded(stats.class_report(outcomes(spark, folder)), "precision", "recall", "f1")
 
 
-SCORES = [f"c{i}" for i in range(10)]
+SCORES = [f"c{i:02}" for i in range(64)]
 
 
-@registry.add("argmax_label", """with e as (select vec_id, list_slice(embedding, 1, 10) as s from embeddings)
- select vec_id, list_position(s, list_max(s)) - 1 as best, 'c' || (list_position(s, list_max(s)) - 1) as label from e""")
+@registry.add("argmax_label", """with e as (select vec_id, embedding as s from embeddings)
+ select vec_id, list_position(s, list_max(s)) - 1 as best, 'c' || lpad((list_position(s, list_max(s)) - 1)::varchar, 2, '0') as label from e""")
 def argmax_label(spark, folder):
-    rows = embeddings(spark, folder).withColumn("best", argmax(F.slice("embedding", 1, 10)))
+    rows = embeddings(spark, folder).withColumn("best", argmax(F.col("embedding")))
     return rows.select("vec_id", "best", label_at(F.col("best"), SCORES).alias("label"))
 
 
@@ -174,7 +189,40 @@ def knn1(spark, folder):
     return rounded(nearest_exact(*vectors(spark, folder), "vec_id", "label", "vec_id", "x"), "distance")
 
 
-@registry.add("knn_lsh")
+# Some vectors with a component missing, and training rows too.
+MISSING_SQL = f"""e as (select vec_id, label, case when vec_id % 7 = 3 then null else embedding end::double[] as x,
+   {VECTOR_SPLIT_SQL} as training from embeddings)"""
+
+
+@registry.add("knn_missing", f"""with {MISSING_SQL},
+ d as (select q.vec_id as qid, t.vec_id as neighbour, t.label, list_distance(q.x, t.x) as distance
+       from e q, e t where not q.training and t.training and q.x is not null and t.x is not null),
+ best as (select * from d qualify row_number() over (partition by qid order by distance, neighbour) = 1)
+ select e.vec_id as qid, neighbour, best.label, round(distance, 6) as distance
+ from e left join best on best.qid = e.vec_id where not training""")
+def knn_missing(spark, folder):
+    """Rows that can't be compared keep their place, without a neighbour."""
+    hole = F.transform("x", lambda v, i: F.when(i != F.col("vec_id") % 64, v))
+    train, test = (
+        df.withColumn("x", F.when(F.col("vec_id") % 7 != 3, F.col("x")).when(F.col("vec_id") % 2 == 0, hole)) for df in vectors(spark, folder)
+    )
+    return rounded(nearest_exact(train, test, "vec_id", "label", "vec_id", "x"), "distance")
+
+
+# Share of exact neighbours that hashing must find with these parameters.
+LSH_RECALL = 0.75
+
+
+@registry.add("knn_lsh", f"""with e as (select vec_id, {VECTOR_SPLIT_SQL} as training from embeddings)
+ select count(*) as rows, true as no_closer, true as recalled from e where not training""")
 def knn_lsh(spark, folder):
-    near = nearest_by_hash(*vectors(spark, folder), "vec_id", "label", "vec_id", "x", bucket_length=0.1, tables=4)
-    return rounded(near, "distance")
+    """Against the exact answer: no row lost, no distance below the exact one, enough of them equal."""
+    sides = vectors(spark, folder)
+    near = nearest_by_hash(*sides, "vec_id", "label", "vec_id", "x", bucket_length=0.1, tables=4)
+    exact = nearest_exact(*sides, "vec_id", "label", "vec_id", "x").select("qid", F.col("distance").alias("least"))
+    both = near.join(exact, "qid")
+    same = F.col("distance") <= F.col("least") * (1 + 1e-9)
+    return both.agg(
+        F.count("*").alias("rows"), F.coalesce(F.every(F.col("distance") >= F.col("least") * (1 - 1e-9)), F.lit(True)).alias("no_closer"),
+        (F.coalesce(F.avg(same.cast("int")), F.lit(1.0)) >= LSH_RECALL).alias("recalled"),
+    )

@@ -21,7 +21,7 @@ IDS = ", ".join(ITEM_ID)
 CUTOFF = "1998-01-01"  # rows shipped before it play the earlier dataset
 FIVE_CLASSES = Vocabulary({k: v for k, v in ITEM_VOCABULARY.classes.items() if k != "32"})
 DEDUPE = ["l_partkey", "l_suppkey", "l_quantity"]
-SIGMA = ["l_quantity", "l_extendedprice", "l_discount"]
+SIGMA = ITEM_FEATURES
 # Below the class size, above it, none given, zero; one class is left out and one has no rows.
 QUOTA = {"11": 500, "12": 100_000_000, "21": None, "22": 0, "31": 2000, "99": 10}
 EVENT_QUOTA = {"click": 50, "view": 1001, "error": None, "signup": 100_000_000}

@@ -9,7 +9,8 @@ from trackframe.operators.position import running_totals
 from trackframe.plans.dataset import build_windows as build_window_rows
 from trackframe.registry.rows import listed, quota_sql
 from trackframe.registry.tables import EVENTS_SQL, ITEM_FEATURES, Registry, events, items, rounded
-from trackframe.session import stage
+from trackframe.session import scratch_path, stage
+from trackframe.sources import files, sinks
 from trackframe.spec import DatasetSpec, FeatureSpec, Vocabulary
 
 registry = Registry()
@@ -67,14 +68,15 @@ def seq_split(spark, folder):
  select user_id, win_id, arg_min(event_type, win_pos) as label,
   max(value) filter (where win_pos = 0) as v0, max(value) filter (where win_pos = 1) as v1,
   max(value) filter (where win_pos = 2) as v2, max(value) filter (where win_pos = 3) as v3,
-  max(k) filter (where win_pos = 0)::double as k0, max(k) filter (where win_pos = 3)::double as k3
+  max(k) filter (where win_pos = 0)::double as k0, max(k) filter (where win_pos = 1)::double as k1,
+  max(k) filter (where win_pos = 2)::double as k2, max(k) filter (where win_pos = 3)::double as k3
  from win group by user_id, win_id""")
 def window_tensor(spark, folder):
     stacked = sequence.window_tensor(user_windows(spark, folder), ["user_id"], ["value", "k"], "event_type")
     cell = lambda i, j: F.col("tensor")[i][j]
     return stacked.select(
         "user_id", "win_id", F.col("event_type").alias("label"), *[cell(i, 0).alias(f"v{i}") for i in range(STEPS)],
-        cell(0, 1).alias("k0"), cell(3, 1).alias("k3"),
+        *[cell(i, 1).alias(f"k{i}") for i in range(STEPS)],
     )
 
 
@@ -164,11 +166,18 @@ LOG_SQL = f"""recursive lines as (
 
 
 def user_records(spark, folder):
+    """Through files: lines are written in order, the user in front, and scanned with their order key."""
     number = F.floor(F.col("value") / 10).cast("string")
-    lines = events(spark, folder).select(
-        "user_id", "event_id", "bucket", F.concat_ws(": ", F.col("event_id").cast("string"), "event_type", number).alias("value")
+    line = F.concat_ws(": ", F.col("event_id").cast("string"), "event_type", number)
+    ordered = events(spark, folder).repartitionByRange("user_id", "event_id").sortWithinPartitions("user_id", "event_id")
+    path = scratch_path(spark, "log")
+    ordered.select(F.concat_ws("|", F.col("user_id").cast("string"), line).alias("value")).write.text(path)
+    lines = files.scan_lines(spark, path).select(
+        F.substring_index("value", "|", 1).cast("long").alias("user_id"), F.substring_index("value", "|", -1).alias("value"), *files.ORDER
     )
-    return logs.log_records(lines, PATTERNS, ["a", "b", "c"], ["user_id"], ["event_id"], ["bucket"])
+    # Places in a file depend on how it is split; written down they are the same for every pass.
+    lines = stage(lines, "lines")
+    return logs.log_records(lines, PATTERNS, ["a", "b", "c"], ["user_id"], list(files.ORDER), list(files.BUCKET))
 
 
 @registry.add("log_records", f"with {LOG_SQL} select * from records")
@@ -233,11 +242,15 @@ EXTENDED_SQL = f"""{LONG_SQL},
 
 @registry.add("timeline_long", f"with {LONG_SQL} select * from long")
 def timeline_long(spark, folder):
-    return timeline.timeline_long(wide_timeline(spark, folder))
+    """Through a file: the wide table is written with a header and scanned again."""
+    path = scratch_path(spark, "timeline")
+    wide = wide_timeline(spark, folder)
+    sinks.write_csv(wide, path, wide.columns)
+    return timeline.timeline_long(files.scan_timeline(spark, path))
 
 
 def extended_timeline(spark, folder):
-    return timeline.extend_one(timeline.timeline_long(wide_timeline(spark, folder)), ["track", "role"])
+    return timeline.extend_one(stage(timeline.timeline_long(wide_timeline(spark, folder)), "timeline"), ["track", "role"])
 
 
 @registry.add("extend_one", f"with {EXTENDED_SQL} select * from extended")
@@ -268,7 +281,10 @@ def truth_vs_pred(spark, folder):
   string_agg(coalesce(value, ''), ',' order by time) as shown from numbered group by track, role, chunk""")
 def trace_series(spark, folder):
     long = extended_timeline(spark, folder).withColumn("day", F.floor(F.col("time") / 24))
-    traces = timeline.trace_series(long, ["track", "role"], ["day"], chunk_rows=200)
+    path = scratch_path(spark, "traces")
+    made = timeline.trace_series(long, ["track", "role"], ["day"], chunk_rows=200)
+    sinks.write_traces(made, path)
+    traces = spark.read.schema(made.schema).json(path)
     return traces.select(
         "track", "role", "chunk", F.size("times").alias("n"), "first_time", "last_time",
         F.aggregate("times", F.lit(0.0), lambda a, x: a + x).alias("time_sum"),

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.ml.classification import RandomForestClassifier
-from pyspark.ml.feature import PCA, VectorAssembler
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.feature import PCAModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from trackframe.functions.columns import row_key
@@ -13,13 +14,14 @@ from trackframe.operators.scoring import answer_requests, extract_features, pars
 from trackframe.operators.scoring import reply_json as add_reply
 from trackframe.operators.stats import accuracy
 from trackframe.plans import training
-from trackframe.registry.measures import vectors
+from trackframe.plans.dataset import run as run_builder
 from trackframe.registry.rows import DEDUPE, CUTOFF
 from trackframe.registry.tables import (
-    EVENTS_SQL, ITEM_FEATURES, ITEM_ID, ITEM_SPEC, ITEMS_SQL, Registry, embeddings, events, items, table,
+    EVENTS_SQL, ITEM_FEATURES, ITEM_ID, ITEM_SPEC, ITEM_VOCABULARY, ITEMS_SQL, Registry, embeddings, events, items, table,
 )
 from trackframe.session import scratch_path
 from trackframe.sources import files, sinks
+from trackframe.spec import DatasetSpec
 from trackframe.streaming import service
 
 registry = Registry()
@@ -66,6 +68,20 @@ def exclude_suffix(spark, folder):
     return files.scan_csv(spark, f"{path}/*", ITEM_SPEC, exclude_suffixes=[".txt"]).select(*ITEM_SPEC.columns)
 
 
+@registry.add("write_count", f"""with {ITEMS_SQL}, read as (select label, count(*) as rows_read from items group by label),
+ kept as (select distinct {", ".join(c for c in ITEM_SPEC.columns if c not in ITEM_SPEC.dedupe_ignore)}, label from items where l_discount <> 0),
+ written as (select label, count(*) as rows_written from kept group by label),
+ back as (select sum(rows_written)::bigint as in_files from written)
+ select label, rows_read, coalesce(rows_written, 0) as rows_written, in_files from read left join written using (label), back""")
+def write_count(spark, folder):
+    """A run of the builder from CSV files to a dataset: rows per class read and written, and found in its files."""
+    path = scratch_path(spark, "count")
+    sinks.write_csv(items(spark, folder), f"{path}/in", ITEM_SPEC.columns)
+    report = run_builder(spark, DatasetSpec(data_dir=f"{path}/in", features=ITEM_SPEC, vocabulary=ITEM_VOCABULARY), f"{path}/out")
+    back = files.scan_csv(spark, f"{path}/out", ITEM_SPEC).agg(F.count("*").alias("in_files"))
+    return report.withColumn("in_files", back.scalar())
+
+
 # --- models ----------------------------------------------------------------------------------
 
 # The class to learn is a rule over two features, so that a right prediction can be told in SQL.
@@ -106,31 +122,63 @@ def gb_classify(spark, folder):
     return model.transform(rows).select("event_id", "label", "predicted_label")
 
 
-@registry.add("mlp_classify")
+@registry.add("gb_missing", f"""with {RULE_SQL}, m as (select event_id, case when event_id % 11 = 5 then 'lost' else label end as label from rule)
+ select event_id, label, label as predicted_label from m""")
+def gb_missing(spark, folder):
+    """A missing number is a value of its own to trees: here it is a class."""
+    lost = F.col("event_id") % 11 == 5
+    rows = graded(spark, folder).withColumns({
+        "v": F.when(~lost, F.col("v")).when(F.col("event_id") % 2 == 0, F.lit(float("nan"))),
+        "label": F.when(lost, "lost").otherwise(F.col("label")),
+    })
+    train = random_split(rows, ["event_id"]).where("split = 'train'")
+    model = training.label_pipeline("gb", ["v", "q"], [*RULE_LABELS, "lost"], params={"trees": 4, "depth": 4, "rate": 0.3}).fit(train)
+    return model.transform(rows).select("event_id", "label", "predicted_label")
+
+
+@registry.add("mlp_classify", f"with {RULE_SQL} select event_id, label, label as predicted_label from rule")
 def mlp_classify(spark, folder):
-    train, rest = vectors(spark, folder)
-    names = [f"x{i}" for i in range(64)]
-    flat = lambda df: df.select("vec_id", F.col("label").cast("string").alias("label"), *[F.col("x")[i].alias(n) for i, n in enumerate(names)])
-    labels = [str(i) for i in range(10)]
-    model = training.label_pipeline("dense", names, labels, params={"hidden": [34], "epochs": 30}).fit(flat(train))
-    return model.transform(flat(rest)).select("vec_id", "label", "predicted_label")
+    rows = graded(spark, folder)
+    model = rule_model(rows, "dense", {"hidden": [16], "epochs": 300})
+    return model.transform(rows).select("event_id", "label", "predicted_label")
 
 
-@registry.add("grid_search")
+@registry.add("grid_search", """select * from (values
+  ('impurity=entropy, maxDepth=1', false, null), ('impurity=gini, maxDepth=1', false, null),
+  ('impurity=entropy, maxDepth=4', true, null), ('impurity=gini, maxDepth=4', true, null),
+  ('impurity=entropy, maxDepth=35', null, 'deeper than the engine grows'),
+  ('impurity=gini, maxDepth=35', null, 'deeper than the engine grows')) t(params, perfect, skipped)""")
 def grid_search(spark, folder):
+    """One split can't tell the rule, four levels can, and what is too deep is listed."""
+    forest = RandomForestClassifier(numTrees=3, featureSubsetStrategy="all", seed=42)
     table, _ = training.grid_search(
-        graded(spark, folder), ["v", "q"], "label", RULE_LABELS, RandomForestClassifier(numTrees=3, seed=42),
-        {"maxDepth": [1, 4], "impurity": ["entropy", "gini"]}, ["event_id"], ["bucket"],
+        graded(spark, folder), ["v", "q"], "label", RULE_LABELS, forest,
+        {"maxDepth": [1, 4, 35], "impurity": ["entropy", "gini"]}, ["event_id"], ["bucket"],
     )
-    return table
+    return table.select("params", (F.col("mean_score") == 1).alias("perfect"), "skipped")
 
 
-@registry.add("pca_stage")
+@registry.add("pca_stage", """select count(*) as rows, 4 as components, true as orthonormal, true as falling, true as variance_agrees
+ from embeddings""")
 def pca_stage(spark, folder):
-    rows = embeddings(spark, folder).select("vec_id", array_to_vector("x").alias("features"))
-    reduced = PCA(k=4, inputCol="features", outputCol="reduced").fit(rows).transform(rows)
-    values = vector_to_array("reduced")
-    return reduced.select("vec_id", *[F.round(values[i], 6).alias(f"p{i}") for i in range(4)])
+    """The reduction inside a label pipeline: its axes and the variance of what it returns."""
+    names = [f"x{i}" for i in range(64)]
+    rows = embeddings(spark, folder).select("vec_id", F.col("label").cast("string").alias("label"), *[F.col("x")[i].alias(n) for i, n in enumerate(names)])
+    labels = [str(i) for i in range(10)]
+    model = training.label_pipeline("rf", names, labels, components=4, params={"trees": 2, "depth": 3}).fit(rows)
+    axes = next(s for s in model.stages if isinstance(s, PCAModel))
+    out, whole = model.transform(rows), vector_to_array(axes.getInputCol())
+    reduced = vector_to_array(axes.getOutputCol())
+    measures = [F.var_samp(reduced[i]).alias(f"r{i}") for i in range(4)] + [F.var_samp(whole[i]).alias(f"w{i}") for i in range(64)]
+    found = out.agg(F.count("*").alias("rows"), F.max(F.size(reduced)).alias("components"), *measures).first()
+    share = [found[f"r{i}"] / sum(found[f"w{i}"] for i in range(64)) for i in range(4)]
+    pc, explained = axes.pc.toArray(), axes.explainedVariance.toArray()
+    flags = (
+        bool(abs(pc.T @ pc - np.eye(4)).max() < 1e-6), bool((np.diff(explained) <= 1e-12).all()), bool(abs(explained - share).max() < 1e-6),
+    )
+    return spark.createDataFrame(
+        [(found["rows"], found["components"], *flags)], "rows long, components int, orthonormal boolean, falling boolean, variance_agrees boolean"
+    )
 
 
 @registry.add("model_roundtrip", f"""with {RULE_SQL}, s as (

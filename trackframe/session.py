@@ -4,15 +4,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Largest table, in rows, that is turned into a broadcast table after counting it.
-MAX_BROADCAST_ROWS = 100_000
-# Tasks that share the rows of one key where a table is too large to broadcast.
-SALTS = 64
+# Largest staged table, in bytes of its files, that is marked for broadcast.
+MAX_BROADCAST_BYTES = 4 << 20
 
 
 def builder(app: str = "trackframe") -> SparkSession.Builder:
@@ -41,8 +41,29 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder name below the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A fresh folder name below the shared folder; a :func:`owned_scratch` around it removes it."""
+    path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    if (owner := _owner.get()) is not None:
+        owner.append(path)
+    return path
+
+
+_owner: ContextVar[list[str] | None] = ContextVar("owner", default=None)
+
+
+@contextmanager
+def owned_scratch(spark: SparkSession) -> Iterator[None]:
+    """Remove at the end the scratch folders made inside. Results that read them must be written by then."""
+    paths: list[str] = []
+    token = _owner.set(paths)
+    try:
+        yield
+    finally:
+        _owner.reset(token)
+        jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+        for path in paths:
+            folder = jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(conf).delete(folder, True)
 
 
 def stage(df: DataFrame, name: str = "stage") -> DataFrame:
@@ -57,30 +78,24 @@ def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def bounded(df: DataFrame, max_rows: int | None = None) -> DataFrame:
-    """Evaluate a table that should be small; a broadcast table if it is, else ``df`` itself.
+def bounded(df: DataFrame, max_bytes: int | None = None) -> DataFrame:
+    """Stage a table that should be small, and mark it for broadcast if its files are small.
 
-    This is an action. At most ``max_rows + 1`` rows reach the driver; a larger table stays
-    distributed and joins through a shuffle, with the same result.
+    This is an action. Its rows do not pass through Python on the driver. A larger table is returned
+    as staged and joins through a shuffle, with the same result.
     """
-    max_rows = MAX_BROADCAST_ROWS if max_rows is None else max_rows
-    table = df.limit(max_rows + 1).toArrow()
-    if table.num_rows > max_rows:
-        return df
-    return F.broadcast(df.sparkSession.createDataFrame(table, schema=df.schema))
+    max_bytes = MAX_BROADCAST_BYTES if max_bytes is None else max_bytes
+    table = stage(df, "small")
+    size = int(str(table._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return F.broadcast(table) if size <= max_bytes else table
 
 
 def attach(
-    df: DataFrame, small: DataFrame, keys: Sequence[str], how: str = "inner", max_rows: int | None = None
+    df: DataFrame, small: DataFrame, keys: Sequence[str], how: str = "inner", max_bytes: int | None = None
 ) -> DataFrame:
     """Join a table that should be small to one where a single key may hold a third of the rows.
 
-    Broadcast where :func:`bounded` allows it. Otherwise the rows of a key are spread over
-    ``SALTS`` tasks by a hash of the whole row, and the other side is repeated for each of them.
+    Broadcast where :func:`bounded` allows it. Otherwise it is a shuffle join against a staged table
+    with unique keys, of which adaptive execution splits the hot key's partition.
     """
-    table = bounded(small, max_rows)
-    if table is not small:
-        return df.join(table, list(keys), how)
-    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(SALTS)).cast("int"))
-    repeated = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return salted.join(repeated, [*keys, "_salt"], how).drop("_salt")
+    return df.join(bounded(small, max_bytes), list(keys), how)

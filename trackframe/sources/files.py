@@ -37,19 +37,27 @@ def scan_csv(
 ) -> DataFrame:
     """All CSV files of a folder; names are imposed by position, file headers are discarded.
 
-    Adds the order key. Empty cells, NaN and text become NULL, class codes integers. The parser
-    makes the NULLs: one expression per column would outgrow what the JVM compiles.
+    Adds the order key. Empty cells, NaN and text become NULL; ``Infinity`` and ``inf`` are read as
+    such. The parser makes the NULLs: one expression per column would outgrow what the JVM
+    compiles. A class code is a whole number: a fraction, or one that no integer holds, is NULL.
     """
     reader = spark.read.schema(spec.read_schema()).option("header", True).option("enforceSchema", True)
-    rows = exclude_suffix(reader.option("nullValue", "NaN").csv(path), exclude_suffixes)
-    classes = [F.col(c).cast("int").alias(c) for c in spec.classes]
+    reader = reader.option("nullValue", "NaN").option("positiveInf", "inf").option("negativeInf", "-inf")
+    rows = exclude_suffix(reader.csv(path), exclude_suffixes)
+    classes = [class_code(c).alias(c) for c in spec.classes]
     return rows.select(*spec.features, *classes, *_order_columns())
 
 
 def scan_parquet(spark: SparkSession, path: str, spec: FeatureSpec) -> DataFrame:
     """A dataset kept as Parquet, in the same shape as :func:`scan_csv`."""
     rows = spark.read.parquet(path).select(*spec.columns, *_order_columns())
-    return nan_to_null(rows, spec.columns).withColumns({c: F.col(c).cast("int") for c in spec.classes})
+    return nan_to_null(rows, spec.columns).withColumns({c: class_code(c) for c in spec.classes})
+
+
+def class_code(column: str) -> Column:
+    """The whole number a class column holds, else NULL."""
+    value = F.col(column).cast("double")
+    return F.when(value == F.floor(value), value.try_cast("int"))
 
 
 def scan_dataset(spark: SparkSession, path: str, spec: FeatureSpec) -> DataFrame:

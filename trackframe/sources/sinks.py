@@ -22,8 +22,12 @@ def write_windows(
     df: DataFrame, path: str, columns: Sequence[str], window: Sequence[str], mode: str = "errorifexists"
 ) -> None:
     """CSV files that hold whole windows, their rows side by side in order."""
-    ordered = df.repartitionByRange(*window).sortWithinPartitions(*window, "win_pos")
-    write_csv(ordered, path, columns, mode)
+    write_csv(by_windows(df, window), path, columns, mode)
+
+
+def by_windows(df: DataFrame, window: Sequence[str]) -> DataFrame:
+    """Whole windows side by side in one partition, their rows in order."""
+    return df.repartitionByRange(*window).sortWithinPartitions(*window, "win_pos")
 
 
 def column_families(df: DataFrame, spec: FeatureSpec) -> dict[str, DataFrame]:

@@ -8,10 +8,6 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-# A vocabulary is broadcast to every task, so its size is bounded here.
-MAX_VOCABULARY = 10_000
-
-
 @dataclass(frozen=True)
 class FeatureSpec:
     """Names of a track-update table by family, in file order."""
@@ -50,8 +46,6 @@ class Vocabulary:
     def __post_init__(self):
         if not self.classes:
             raise ValueError("a vocabulary needs at least one label")
-        if len(self.classes) > MAX_VOCABULARY:
-            raise ValueError(f"a vocabulary holds at most {MAX_VOCABULARY} labels")
         if len({len(v) for v in self.classes.values()}) != 1:
             raise ValueError("every label must define the same number of class columns")
         if len(set(self.classes.values())) != len(self.classes):

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from trackframe.operators.clean import clean_rows
+from trackframe.operators.clean import dedupe_first, nonzero
 from trackframe.operators.scoring import answer_requests
 
 
@@ -45,6 +45,87 @@ def score_stream(
     )
 
 
+def topic_rows(answered: DataFrame, replies: str, dead: str) -> DataFrame:
+    """Answers as rows of a topic sink: ``topic``, ``key`` (where the reply goes) and ``value``.
+
+    A reply's value is its JSON; a dead letter's holds the request and the fault.
+    """
+    is_reply = F.col("outcome") == "reply"
+    letter = F.to_json(F.struct(F.col("value").alias("request"), "fault"))
+    return answered.select(
+        F.when(is_reply, replies).otherwise(dead).alias("topic"),
+        F.concat_ws(":", "reply_host", F.col("reply_port").cast("string")).alias("key"),
+        F.when(is_reply, F.col("reply")).otherwise(letter).alias("value"),
+    )
+
+
+def score_to_topic(
+    requests: DataFrame,
+    model: PipelineModel,
+    features: Sequence[str],
+    target: str,
+    replies: str,
+    dead: str,
+    checkpoint: str,
+    options: Mapping[str, str],
+    sink: str = "kafka",
+    trigger: Mapping[str, object] | None = None,
+) -> DataStreamWriter:
+    """The writer that answers requests into two topics; ``start()`` runs it. Delivery is at least once."""
+    rows = topic_rows(answer_requests(requests, model, features, target), replies, dead)
+    return (
+        rows.writeStream.format(sink).options(**options).outputMode("append").queryName(f"answers-{target}")
+        .option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True}))
+    )
+
+
+# Batches between two snapshots of what a stream has stored so far.
+SNAPSHOT_EVERY = 100
+
+
+def _folder(spark: SparkSession, path: str):
+    """The file system of a path, and the path as it names it."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), folder
+
+
+def newest_snapshot(spark: SparkSession, out: str) -> int:
+    """The last batch that a whole snapshot covers, or -1."""
+    system, folder = _folder(spark, f"{out}/snapshots")
+    if not system.exists(folder):
+        return -1
+    names = [s.getPath() for s in system.listStatus(folder)]
+    whole = [p.getName() for p in names if system.exists(_folder(spark, f"{p.toString()}/_SUCCESS")[1])]
+    return max((int(n.removeprefix("upto=")) for n in whole), default=-1)
+
+
+def stored(spark: SparkSession, out: str) -> DataFrame:
+    """The newest snapshot and the batches after it, with ``batch``: what a reader has to look at.
+
+    ``batch`` is that of the rows in a snapshot too.
+    """
+    last = newest_snapshot(spark, out)
+    batches = spark.read.parquet(f"{out}/batches").where(F.col("batch") > last)
+    if last < 0:
+        return batches
+    return batches.unionByName(spark.read.parquet(f"{out}/snapshots/upto={last}").select(*batches.columns))
+
+
+def _save(out: str, shrink: Callable[[DataFrame], DataFrame], every: int) -> Callable[[DataFrame, int], None]:
+    """Write a batch to its own folder, and every so often a snapshot of all of them.
+
+    A repeated batch overwrites its folder. A snapshot without its success file is not read.
+    """
+
+    def save(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        batch.write.mode("overwrite").parquet(f"{out}/batches/batch={number}")
+        if number % every == every - 1 and newest_snapshot(spark, out) < number:
+            shrink(stored(spark, out)).write.mode("overwrite").parquet(f"{out}/snapshots/upto={number}")
+
+    return save
+
+
 def running_mean_stream(
     df: DataFrame,
     keys: Sequence[str],
@@ -52,46 +133,57 @@ def running_mean_stream(
     out: str,
     checkpoint: str,
     trigger: Mapping[str, object] | None = None,
+    snapshot_every: int = SNAPSHOT_EVERY,
 ) -> StreamingQuery:
     """Sum, count and mean per key over everything seen so far; each batch writes what changed.
 
-    State is one row per key. A repeated batch overwrites its own folder.
+    State is one row per key. Readers see one snapshot and at most ``snapshot_every`` batches.
     """
     means = df.groupBy(*keys).agg(F.sum(value).alias("total"), F.count(value).alias("n"), F.avg(value).alias("mean"))
-
-    def save(batch: DataFrame, number: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{out}/batch={number}")
-
     return (
-        means.writeStream.outputMode("update").foreachBatch(save)
+        means.writeStream.outputMode("update").foreachBatch(_save(out, lambda rows: _newest(rows, keys), snapshot_every))
         .option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
     )
 
 
+def _newest(history: DataFrame, keys: Sequence[str]) -> DataFrame:
+    rest = [c for c in history.columns if c not in keys]
+    return history.groupBy(*keys).agg(F.max_by(F.struct(*rest), "batch").alias("s")).select(*keys, "s.*")
+
+
 def latest_means(spark: SparkSession, out: str, keys: Sequence[str]) -> DataFrame:
     """The newest state of every key."""
-    history = spark.read.parquet(out)
-    rest = [c for c in history.columns if c not in (*keys, "batch")]
-    return history.groupBy(*keys).agg(F.max_by(F.struct(*rest), "batch").alias("s")).select(*keys, "s.*")
+    return _newest(stored(spark, out), keys).drop("batch")
 
 
 def ingest_stream(
-    rows: DataFrame, out: str, checkpoint: str, trigger: Mapping[str, object] | None = None
+    rows: DataFrame,
+    out: str,
+    checkpoint: str,
+    trigger: Mapping[str, object] | None = None,
+    subset: Sequence[str] = (),
+    order: Sequence[str] = (),
+    snapshot_every: int = SNAPSHOT_EVERY,
 ) -> StreamingQuery:
     """Append each batch of new rows to the stored history under its batch number.
 
-    A batch costs its own rows only; copies are resolved on reading (:func:`current_dataset`).
+    A batch costs its own rows only; copies are resolved on reading (:func:`current_dataset`). With
+    ``subset`` and ``order``, as given to that reader, they are also resolved in every snapshot.
     """
 
-    def save(batch: DataFrame, number: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{out}/batch={number}")
+    def shrink(history: DataFrame) -> DataFrame:
+        return _first_copies(history, subset, order) if subset else history
 
     return (
-        rows.writeStream.foreachBatch(save).option("checkpointLocation", checkpoint)
+        rows.writeStream.foreachBatch(_save(out, shrink, snapshot_every)).option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"availableNow": True})).start()
     )
 
 
+def _first_copies(history: DataFrame, subset: Sequence[str], order: Sequence[str]) -> DataFrame:
+    return dedupe_first(history.withColumn("_newest", -F.col("batch")), subset, ["_newest", *order]).drop("_newest")
+
+
 def current_dataset(
     spark: SparkSession,
     out: str,
@@ -100,5 +192,4 @@ def current_dataset(
     nonzero_columns: Sequence[str],
 ) -> DataFrame:
     """The cleaned dataset over all batches; newer batches come first, as on re-running the builder."""
-    history = spark.read.parquet(out).withColumn("_newest", -F.col("batch"))
-    return clean_rows(history, subset, ["_newest", *order], nonzero_columns).drop("_newest")
+    return nonzero(_first_copies(stored(spark, out), subset, order), nonzero_columns)

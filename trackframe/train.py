@@ -12,15 +12,17 @@ from trackframe.operators.clean import sep_classes
 from trackframe.operators.sample import random_split
 from trackframe.operators.stats import accuracy, class_report, confusion
 from trackframe.plans import training
-from trackframe.session import builder, stage
+from trackframe.session import builder, owned_scratch, stage
 from trackframe.sources.files import BUCKET, ORDER, scan_dataset
 from trackframe.spec import TRACK, TRACK_VOCABULARY, FeatureSpec, Vocabulary
 
-# The parameter grids searched per model kind.
+# The parameter grids searched per model kind. Depths beyond what the engine grows are
+# listed in the result without a score. Batch size and optimizer have no counterpart: Spark's network
+# is fitted by L-BFGS over all rows.
 GRIDS = {
     "gb": {"maxIter": [1000, 3500, 5000, 10000], "maxDepth": [3, 6, 9, 12, 15], "stepSize": [0.3, 0.7, 0.9]},
-    "rf": {"maxDepth": [26, 29, 30]},
-    "dense": {"maxIter": [25, 50, 75, 100, 200, 400]},
+    "rf": {"maxDepth": [26, 29, 32, 35, 38]},
+    "dense": {"maxIter": [25, 50, 75, 100, 125, 150, 175, 200, 225, 250, 275, 300, 325, 350, 375, 400]},
 }
 
 
@@ -42,18 +44,26 @@ def split_dataset(
     return {name: split.where(F.col("split") == name).drop("split") for name in ("train", "dev", "test")}
 
 
-def fit(kind: str, train: DataFrame, spec: FeatureSpec = TRACK, vocabulary: Vocabulary = TRACK_VOCABULARY, **params):
+def fit(
+    kind: str, train: DataFrame, spec: FeatureSpec = TRACK, vocabulary: Vocabulary = TRACK_VOCABULARY, dev: DataFrame | None = None, **params
+):
+    """A fitted model; a network with ``dev`` rows stops when they no longer profit."""
     features = model_features(kind, spec)
     if kind == "knn":
         return training.NearestNeighbourModel.fit(train, features, "label", "row_id")
     if kind == "merge":
         train, shares = training.merged_inputs(train, spec.matrix)
-        return training.label_pipeline("dense", features, vocabulary.labels, params=params, unscaled=shares).fit(train)
-    if kind == "ts":
+        dev = dev if dev is None else training.merged_inputs(dev, spec.matrix)[0]
+        pipeline = training.label_pipeline("dense", features, vocabulary.labels, params=params, unscaled=shares)
+    elif kind == "ts":
         names = [c for c in train.columns if c not in ("label", "split", "win_id")]
         scaler = training.window_scaler(train, features, names)
-        return training.label_pipeline("dense", names, vocabulary.labels, params=params, scaler=scaler).fit(train)
-    return training.label_pipeline(kind, features, vocabulary.labels, params=params).fit(train)
+        pipeline = training.label_pipeline("dense", names, vocabulary.labels, params=params, scaler=scaler)
+    else:
+        pipeline = training.label_pipeline(kind, features, vocabulary.labels, params=params)
+    if dev is None or kind in training.TREES:
+        return pipeline.fit(train)
+    return pipeline.fit_with_dev(train, dev)[0]
 
 
 def split_windows(
@@ -82,6 +92,11 @@ def throughput(kind: str, model, rows: DataFrame) -> float:
     return n / (time.perf_counter() - start)
 
 
+def show_all(df: DataFrame) -> None:
+    """Print every row of a table that has one row per class, label or combination."""
+    df.show(max(df.count(), 1), truncate=False)
+
+
 def parse(arguments: list[str] | None = None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(description="Train and evaluate a classifier")
     parser.add_argument("-d", "--dataset", required=True)
@@ -92,7 +107,7 @@ def parse(arguments: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("-tss", "--ts_steps", type=int, default=0, help="rows per window, for the ts model")
     parser.add_argument("-o", "--out", default="Models", help="folder for model bundles")
     args = parser.parse_args(arguments)
-    if args.model == "ts" and args.ts_steps < 1:
+    if args.model == "ts" and not args.load_model and args.ts_steps < 1:
         parser.error("the ts model needs -tss")
     return args
 
@@ -100,7 +115,15 @@ def parse(arguments: list[str] | None = None) -> argparse.Namespace:
 def main(arguments: list[str] | None = None) -> None:
     args = parse(arguments)
     spark = builder("trackframe-train").getOrCreate()
-    kind = args.model
+    with owned_scratch(spark):
+        _run(spark, args)
+
+
+def _run(spark: SparkSession, args: argparse.Namespace) -> None:
+    # A loaded bundle says itself what kind it is, and so how its input must be prepared.
+    kind, model = training.load(spark, args.load_model) if args.load_model else (args.model, None)
+    if kind == "ts" and args.ts_steps < 1:
+        raise SystemExit("a windowed model needs -tss")
     if kind == "ts":
         parts = split_windows(spark, args.dataset, args.ts_steps)
     else:
@@ -113,17 +136,15 @@ def main(arguments: list[str] | None = None) -> None:
         table, best = training.grid_search(
             parts["train"], features, "label", labels, classifier, GRIDS[kind], ORDER, BUCKET
         )
-        table.orderBy(F.desc("mean_score")).show(1000, truncate=False)
+        show_all(table.orderBy(F.desc_nulls_last("mean_score")))
         print("best:", best)
         return
-    if args.load_model:
-        kind, model = training.load(spark, args.load_model)
-    else:
-        model = fit(kind, parts["train"])
+    if model is None:
+        model = fit(kind, parts["train"], dev=parts["dev"])
     counts = training.evaluate(score(kind, model, parts["test"]))
-    confusion(counts, TRACK_VOCABULARY.labels).show(truncate=False)
-    accuracy(counts).show()
-    class_report(counts).show(1000, truncate=False)
+    show_all(confusion(counts, TRACK_VOCABULARY.labels))
+    show_all(accuracy(counts))
+    show_all(class_report(counts))
     if not args.load_model:
         print("saved:", training.save(model, kind, args.out, counts, parts["train"].count()))
     if args.perf_check:
