@@ -66,7 +66,7 @@ def test_run_applies_all_stages(spark):
 @pytest.mark.parametrize("rows", [EDGES, []])
 def test_stages_take_hard_rows_and_clashing_columns(spark, rows):
     schema = COLUMNS + ", score string, kept_id string, packs string, epochs string"
-    docs = spark.createDataFrame([(d, t, None, None if d and d % 2 else "s", t and len(t), *"abcd") for d, t in rows], schema)
+    docs = spark.createDataFrame([(d, t, None, None if d and d % 2 else "s", None if t is None else len(t), *"abcd") for d, t in rows], schema)
     for name, function in pipeline.STAGES:
         out = stage(function(spark, docs, FOLDER))
         if name != pipeline.STAGES[-1][0]:
