@@ -69,21 +69,58 @@ def profile_approx(
 
 
 def profile(
-    df: DataFrame, label: str, columns: Sequence[str], percentiles: Sequence[float] = PROFILE_PERCENTILES
+    df: DataFrame, label: str, columns: Sequence[str], percentiles: Sequence[float] = PROFILE_PERCENTILES, accuracy: int = 10_000
 ) -> DataFrame:
-    """Exact percentiles with linear interpolation, per class, feature and percentile."""
+    """Exact percentiles with linear interpolation, per class, feature and percentile.
+
+    Three passes for any distribution: sketched percentiles bracket each rank, the values below and
+    next to the brackets are counted, and the distinct values inside, few by the sketch's promise,
+    are ranked. A rank that no bracket holds is searched by histograms.
+    """
     long, keys = _long(df, label, columns), [label, "feature"]
-    stats = bounded(long.groupBy(*keys).agg(*_summary()))
-    points = F.explode(F.array(*[F.lit(p) for p in percentiles])).alias("percentile")
-    wanted = stats.select("*", points).withColumn("_pos", (F.col("n") - 1) * F.col("percentile"))
-    wanted = wanted.withColumns({"_low": F.floor("_pos"), "_high": F.ceil("_pos")})
-    ranks = wanted.select(*keys, "lowest", "highest", F.explode(F.array("_low", "_high")).alias("rank")).distinct()
-    found = _values_at(long, keys, ranks)
-    low = found.select(*keys, F.col("rank").alias("_low"), F.col("value").alias("_lv"))
-    high = found.select(*keys, F.col("rank").alias("_high"), F.col("value").alias("_hv"))
-    value = F.col("_lv") + (F.col("_hv") - F.col("_lv")) * (F.col("_pos") - F.col("_low"))
-    return wanted.join(low, [*keys, "_low"]).join(high, [*keys, "_high"]).select(
-        *keys, "n", "mean", "sd", "lowest", "highest", "percentile", value.alias("value")
+    slack = 2 / accuracy
+    ends = [max(p - slack, 0.0) for p in percentiles] + [min(p + slack, 1.0) for p in percentiles]
+    sketch = F.percentile_approx("value", F.array(*[F.lit(p) for p in ends]), accuracy).alias("_q")
+    stats = bounded(long.groupBy(*keys).agg(*_summary(), sketch))
+    m = len(percentiles)
+    index = F.explode(F.array(*[F.struct(F.lit(i).alias("_i"), F.lit(p).alias("percentile")) for i, p in enumerate(percentiles)])).alias("_p")
+    wanted = stats.select("*", index).withColumns({
+        "_i": F.col("_p._i"), "percentile": F.col("_p.percentile"), "_pos": (F.col("n") - 1) * F.col("_p.percentile"),
+    }).withColumns({"_low": F.floor("_pos"), "_high": F.ceil("_pos")}).drop("_p", "_q")
+    ranks = wanted.select(*keys, "_i", F.explode(F.array("_low", "_high")).alias("rank"), "lowest", "highest").distinct()
+
+    low, high = [F.col("_q")[i] for i in range(m)], [F.col("_q")[m + i] for i in range(m)]
+    bracketed = long.join(stats.select(*keys, "_q"), keys)
+    value = F.col("value")
+    sides = F.array(*[
+        F.struct(
+            F.lit(i).alias("_i"), F.count_if(value < low[i]).alias("below"), F.max(F.when(value < low[i], value)).alias("before"),
+            F.min(F.when(value > high[i], value)).alias("after"), F.count_if(value.between(low[i], high[i])).alias("inside"),
+        )
+        for i in range(m)
+    ])
+    around = bounded(bracketed.groupBy(*keys).agg(sides.alias("_s")).select(*keys, F.inline("_s")))
+    held = F.filter(F.array(*[F.lit(i) for i in range(m)]), lambda i: value.between(F.element_at("_q", i + 1), F.element_at("_q", i + 1 + m)))
+    inside = bracketed.select(*keys, "value", F.explode(held).alias("_i")).groupBy(*keys, "_i", "value").agg(F.count("*").alias("c"))
+    earlier = Window.partitionBy(*keys, "_i").orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
+    inside = inside.withColumn("first", F.coalesce(F.sum("c").over(earlier), F.lit(0)))
+
+    placed = ranks.join(around, [*keys, "_i"]).withColumn("_in", F.col("rank") - F.col("below"))
+    hit = placed.join(inside.withColumnRenamed("value", "_v"), [*keys, "_i"], "left").where(
+        (F.col("_in") >= F.col("first")) & (F.col("_in") < F.col("first") + F.col("c"))
+    ).select(*keys, "_i", "rank", F.col("_v").alias("value"))
+    beside = F.when(F.col("_in") == -1, F.col("before")).when(F.col("_in") == F.col("inside"), F.col("after"))
+    next_to = placed.where((F.col("_in") == -1) | (F.col("_in") == F.col("inside"))).select(*keys, "_i", "rank", beside.alias("value"))
+    found = bounded(hit.unionByName(next_to))
+    missed = bounded(ranks.join(found.select(*keys, "_i", "rank"), [*keys, "_i", "rank"], "left_anti"))
+    if not missed.isEmpty():
+        rest = _values_at(long, keys, missed.select(*keys, "rank", "lowest", "highest").distinct())
+        found = found.unionByName(missed.join(rest, [*keys, "rank"]).select(*found.columns))
+    below = found.select(*keys, "_i", F.col("rank").alias("_low"), F.col("value").alias("_lv"))
+    above = found.select(*keys, "_i", F.col("rank").alias("_high"), F.col("value").alias("_hv"))
+    interpolated = F.col("_lv") + (F.col("_hv") - F.col("_lv")) * (F.col("_pos") - F.col("_low"))
+    return wanted.join(below, [*keys, "_i", "_low"]).join(above, [*keys, "_i", "_high"]).select(
+        *keys, "n", "mean", "sd", "lowest", "highest", "percentile", interpolated.alias("value")
     )
 
 
