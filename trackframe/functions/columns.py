@@ -77,10 +77,6 @@ def text_part(text: Column, separator: str, index: int) -> Column:
     return F.trim(F.get(F.split(text, separator), F.lit(index)))
 
 
-def digits_as_int(name: Column) -> Column:
-    """All digits of a name, joined, as an integer: ``SystemTrack12-Truth`` -> 12."""
-    return F.regexp_replace(name, "[^0-9]", "").try_cast("int")
-
 
 def blank_sentinel(value: Column, sentinel: str = "_") -> Column:
     return F.when(value != F.lit(sentinel), value)
