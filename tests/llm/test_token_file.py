@@ -44,6 +44,7 @@ def test_grammar_round_trip_with_random_access(base):
     shard = token_file.Shard(payload)
     for k in (7, 2, 0, 6, 5, 4, 3, 1):
         assert shard.ids(k).tolist() == docs[k].tolist()
+    assert [x.tolist() for x in shard.all_ids()] == [d.tolist() for d in docs]
     # Where 16 bits leave room for six symbols only, there are no more rules.
     assert len(shard.rules) == 6 if base == 65_530 else len(shard.symbols) < len(ids) / 2
 

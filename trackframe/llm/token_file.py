@@ -37,30 +37,53 @@ from trackframe.session import scratch_path
 
 SHARD_IDS = 1024
 PART_IDS = 2_000_000
-# A round replaces pairs that occur this often; symbols then still fit 16 bits for small vocabularies.
+# A round replaces pairs that occur this often; rounds end when one saves less than this share.
 MIN_COUNT = 24
-ROUNDS = 6
+LEAST_GAIN = 0.01
 MAX_SYMBOLS = 1 << 16
 MAGIC = b"RPG1"
-CACHE = 1_000_000
+CACHE = 700_000
 
 _CHUNKS = re.compile(rb"[\t-\r ]*[^\t-\r ]+|[\t-\r ]+")
 # White space beyond ASCII, which may join a run of blanks: such texts are not cut.
 _OTHER_SPACE = re.compile(
     rb"\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80"
 )
-_IRREGULAR = re.compile(rb"[\t\x0b\x0c\r]|[ \n][ \n]|^[ \n]|[ \n]\Z")
+_PUNCTUATION = bytes(b for b in range(33, 127) if not chr(b).isalnum())
+# What a word must end in to be cut before its punctuation: ASCII letters, digits, Latin letters.
+_WORD_END = re.compile(rb"[0-9A-Za-z]\Z|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf]\Z")
+_OTHER_SPACE_HINTS = (b"\xc2", b"\xe1\x9a", b"\xe2\x80", b"\xe2\x81", b"\xe3\x80")
+
+
+def other_space(raw: bytes) -> bool:
+    """Whether a text holds white space beyond ASCII."""
+    return not raw.isascii() and any(h in raw for h in _OTHER_SPACE_HINTS) and _OTHER_SPACE.search(raw) is not None
+
+
+def regular(raw: bytes) -> bool:
+    """Whether white space is single blanks and line feeds between words."""
+    return not (
+        b"  " in raw or b"\n\n" in raw or b" \n" in raw or b"\n " in raw or b"\t" in raw or b"\r" in raw or b"\x0b" in raw
+        or b"\x0c" in raw or raw[0] in b" \n" or raw[-1] in b" \n"
+    )
 
 
 class Memory(dict):
-    """Numbers pieces in the order they are first asked for; ``new`` are those not yet encoded."""
+    """Numbers pieces in the order they are first asked for; ``new`` are those not yet encoded.
+
+    ``old`` holds pieces of the generation before, which keep their numbers when asked for again.
+    """
 
-    def __init__(self):
+    def __init__(self, old: dict[bytes, int]):
+        self.old, self.size = old, len(old)
         self.new: list[bytes] = []
 
     def __missing__(self, key: bytes) -> int:
-        number = self[key] = len(self)
-        self.new.append(key)
+        number = self.old.get(key)
+        if number is None:
+            number, self.size = self.size, self.size + 1
+            self.new.append(key)
+        self[key] = number
         return number
 
 
@@ -81,10 +104,7 @@ class CachedEncoder:
         self.size = self.library.get_vocab_size(with_added_tokens=True)
         self.added = [t.content.encode() for t in self.library.get_added_tokens_decoder().values()]
         self.feed = self.whole([b"\n"])[0][0]
-        self.forget()
-
-    def forget(self) -> None:
-        self.known = Memory()
+        self.known = Memory({})
         self.flat, self.starts = np.zeros(0, np.int32), np.zeros(1, np.int64)
 
     def whole(self, texts_: list[bytes]) -> list[list[int]]:
@@ -96,7 +116,7 @@ class CachedEncoder:
         """Keys of the pieces: `` x`` as ``x``, a line feed and ``x`` as it is, others behind a blank."""
         if not raw:
             return []
-        if _IRREGULAR.search(raw) is None:
+        if regular(raw):
             pieces = raw.replace(b"\n", b" \n").split(b" ")
             pieces[0] = b" " + pieces[0]
             return pieces
@@ -110,34 +130,62 @@ class CachedEncoder:
                 keys.append(b" " + piece)
         return keys
 
+    def age(self) -> None:
+        """Forget the pieces that were not asked for since the last time."""
+        at = np.fromiter(self.known.values(), np.int64, len(self.known))
+        sizes = self.starts[at + 1] - self.starts[at]
+        self.flat = self.flat[ranges(self.starts[at], sizes)]
+        self.starts = np.concatenate([[0], np.cumsum(sizes)])
+        self.known = Memory(dict(zip(self.known, range(len(at)))))
+
     def learn(self) -> None:
-        """Encode the new pieces: plain words in one text with line feeds between them, others alone."""
-        keys, self.known.new = self.known.new, []
-        joined = [not (k.startswith((b" ", b"\n")) or b"\n" in k) for k in keys]
-        words = [b" " + k for k, plain in zip(keys, joined) if plain]
-        ids = np.array(self.whole([b"\n".join(words)])[0], np.int32) if words else np.zeros(0, np.int32)
+        """Encode the new pieces.
+
+        Punctuation behind a word is a token run of its own, so such pieces are put together from two
+        others. Plain words are encoded in one text with line feeds between them, the rest alone.
+        """
+        known, words, others, joint = self.known, [], [], []
+        for number, key in enumerate(known.new, len(self.starts) - 1):  # grows by parts not yet known
+            stem = key.rstrip(_PUNCTUATION)
+            if len(stem) < len(key) and _WORD_END.search(stem, max(len(stem) - 2, 0)) and not key.startswith((b" ", b"\n")):
+                joint.append((number, known[stem], known[b" " + key[len(stem) :]]))
+            elif key.startswith(b" ") or b"\n" in key:
+                others.append((number, key.removeprefix(b" ")))
+            else:
+                words.append((number, b" " + key))
+        known.new = []
+        ids = np.array(self.whole([b"\n".join(w for _, w in words)])[0], np.int32) if words else np.zeros(0, np.int32)
         ends = np.append(np.flatnonzero(ids == self.feed), len(ids))
-        lengths = np.diff(ends, prepend=-1) - 1
-        if words and len(lengths) != len(words):
+        lengths = (np.diff(ends, prepend=-1) - 1)[: len(words)]
+        if len(ends) != max(len(words), 1):
             raise ValueError("a line feed is not a token of its own in this vocabulary")
-        others = self.whole([k[1:] if k[:1] == b" " else k for k, plain in zip(keys, joined) if not plain])
-        plain = np.array(joined, bool)
-        sizes = np.zeros(len(keys), np.int64)
-        sizes[plain] = lengths[: len(words)]
-        sizes[~plain] = [len(x) for x in others]
-        flat = np.zeros(int(sizes.sum()), np.int32)
-        starts = np.cumsum(sizes) - sizes
-        flat[ranges(starts[plain], sizes[plain])] = ids[ids != self.feed] if words else ids
-        flat[ranges(starts[~plain], sizes[~plain])] = np.array([i for x in others for i in x], np.int32)
-        self.starts = np.concatenate([self.starts, self.starts[-1] + starts + sizes])
-        self.flat = np.concatenate([self.flat, flat])
+        alone = self.whole([x for _, x in others])
+        first = len(self.starts) - 1
+        sizes = np.zeros(known.size, np.int64)
+        sizes[:first] = np.diff(self.starts)
+        sizes[[n for n, _ in words]] = lengths
+        sizes[[n for n, _ in others]] = [len(x) for x in alone]
+        both = np.array(joint, np.int64).reshape(-1, 3)
+        sizes[both[:, 0]] = sizes[both[:, 1]] + sizes[both[:, 2]]
+        self.starts = np.concatenate([[0], np.cumsum(sizes)])
+        flat = np.zeros(int(self.starts[-1]), np.int32)
+        flat[: len(self.flat)] = self.flat
+        to = lambda numbers: ranges(self.starts[numbers], sizes[numbers])
+        flat[to(np.array([n for n, _ in words], np.int64))] = ids[ids != self.feed]
+        flat[to(np.array([n for n, _ in others], np.int64))] = np.array([i for x in alone for i in x], np.int32)
+        at = self.starts[both[:, 0]]
+        for part in (1, 2):
+            own = both[:, part]
+            flat[ranges(at, sizes[own])] = flat[to(own)]
+            at = at + sizes[own]
+        self.flat = flat
 
     def encode(self, raw: list[bytes]) -> list[np.ndarray]:
         if len(self.known) > CACHE:
-            self.forget()
+            self.age()
         keys, counts, alone = [], [], {}
         for i, x in enumerate(raw):
-            if _OTHER_SPACE.search(x) is not None or any(a in x for a in self.added):
+            if other_space(x) or any(a in x for a in self.added):
                 alone[i] = x
                 counts.append(0)
             else:
@@ -167,7 +215,7 @@ def rank_pairs(keys: np.ndarray, inside: np.ndarray, least: int, most: int) -> t
     Pairs are counted in a hash table with one pair a slot; a pair that loses its slot waits for a
     later round.
     """
-    shift = max(32, 64 - int(2 * len(keys)).bit_length())
+    shift = max(32, 64 - (len(keys) // 2).bit_length())
     slot = ((keys * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(shift)).astype(np.int64)
     table = np.zeros(1 << (64 - shift), np.uint64)
     table[slot] = keys
@@ -188,7 +236,7 @@ def compress(ids: np.ndarray, lengths: np.ndarray, base: int) -> tuple[np.ndarra
     last[np.cumsum(lengths)[lengths > 0] - 1] = True
     rules: list[np.ndarray] = []
     made = 0
-    for _ in range(ROUNDS):
+    while True:
         room = (MAX_SYMBOLS if base < MAX_SYMBOLS else 2 * base) - base - made
         if len(symbols) < 2 or room <= 0:
             break
@@ -216,9 +264,12 @@ def compress(ids: np.ndarray, lengths: np.ndarray, base: int) -> tuple[np.ndarra
         keep = np.ones(len(symbols), bool)
         keep[hit + 1] = False
         symbols, last = symbols[keep], last[keep]
+        gain = len(hit) / (len(symbols) + len(hit))
         chosen = pairs[used]
         rules.append(np.column_stack([chosen >> np.uint64(32), chosen & np.uint64(0xFFFFFFFF)]).astype(np.uint32))
         made += len(chosen)
+        if gain < LEAST_GAIN:
+            break
     per_doc = np.zeros(len(lengths), np.int64)
     per_doc[lengths > 0] = np.diff(np.flatnonzero(last), prepend=-1)
     return symbols, per_doc, np.concatenate(rules) if rules else np.zeros((0, 2), np.uint32)
@@ -278,17 +329,26 @@ class Shard:
         # Ids stand for themselves: they are looked up behind the expansions.
         self._flat, self._starts = flat, starts
 
+    def expand(self, symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of some symbols, and the number of ids of each."""
+        made = np.flatnonzero(symbols >= self.base)
+        rule = symbols[made].astype(np.int64) - self.base
+        lengths = np.ones(len(symbols), np.int64)
+        lengths[made] = self.sizes[rule]
+        out = np.repeat(symbols.astype("<u4"), lengths)
+        to = (np.cumsum(lengths) - lengths)[made]
+        out[ranges(to, lengths[made])] = self._flat[ranges(self._starts[rule], lengths[made])]
+        return out, lengths
+
     def ids(self, k: int) -> np.ndarray:
-        """All ids of document ``k`` of the shard, the end id included."""
-        symbols = self.symbols[self.starts[k] : self.starts[k + 1]].astype(np.int64)
-        made = symbols >= self.base
-        rule = np.where(made, symbols - self.base, 0)
-        lengths = np.where(made, self.sizes[rule] if len(self.sizes) else 1, 1).astype(np.int64)
-        out = np.repeat(symbols, lengths).astype("<u4")
-        ends = np.cumsum(lengths)
-        to = ranges((ends - lengths)[made], lengths[made])
-        out[to] = self._flat[ranges(self._starts[rule[made]], lengths[made])]
-        return out
+        """All ids of document ``k`` of the shard, the end id included; no other is expanded."""
+        return self.expand(self.symbols[self.starts[k] : self.starts[k + 1]])[0]
+
+    def all_ids(self) -> list[np.ndarray]:
+        """The ids of every document."""
+        ids, lengths = self.expand(self.symbols)
+        ends = np.concatenate([[0], np.cumsum(lengths)])[self.starts[1:]]
+        return np.split(ids, ends[:-1]) if len(ends) else []
 
 
 def write_tokens(docs: DataFrame, vocabulary: str, folder: str, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text") -> None:
@@ -356,7 +416,7 @@ def read_tokens(spark: SparkSession, folder: str, with_ids: bool = True) -> Data
         for batch in slices(batches, 1):
             shard = Shard(batch.column("payload")[0].as_py())
             n = len(shard.doc_ids)
-            ids = [shard.ids(k) for k in range(n)]
+            ids = shard.all_ids()
             sizes = np.array([len(x) for x in ids], np.int64)
             columns = [
                 pa.array(shard.doc_ids, pa.int64(), mask=~shard.with_id), pa.array(np.cumsum(sizes) - sizes), pa.array(sizes),
