@@ -54,6 +54,7 @@ def test_bounds_never_drop_a_link():
         links = 100 * both >= 85 * (len(a) + len(b) - both)
         one = lambda x: join.cells(x)[None, :]
         assert not links or join.may_link(np.array([len(a)]), np.array([len(b)]), one(a), one(b), 85)[0]
+        assert not links or join.may_link_finely(len(a), len(b), join.fine_cells(a), join.fine_cells(b), 85)
         often = np.sort(r.choice(a, min(len(a), 20), replace=False))
         assert not links or len(np.intersect1d(join.prefix(a, often, 85), join.prefix(b, often, 85)))
 

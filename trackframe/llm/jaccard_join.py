@@ -8,14 +8,17 @@ the same prefix and size form a group, and only its leader sends its prefix to t
 Finding all pairs of a group of near copies would grow with its square, and only the linked
 components are wanted. So candidates are made in two rounds, which together miss no link:
 
-1. *Stars.* In every bucket (documents with a prefix token) and group, the smallest document is paired
-   with those it could link with by size; what lies beyond gets the next star. Pairs are verified on
-   whole sets, and linked ones become components.
-2. *The rest.* In buckets that still hold several components, all pairs across components are
-   candidates, with the members of groups expanded. Documents of one component need no more pairs.
+1. *Stars.* In every bucket (documents with a prefix token) and group, the smallest document is the
+   centre for those it could link with by size; what lies beyond gets the next star. A document goes
+   on with the centre it meets most often; the pair of a bucket of two always goes on. Of each
+   document's centres one is verified on whole sets, and linked documents become components.
+2. *The rest.* The other pairs of the first round, and all pairs in larger buckets that still hold
+   several components, with the members of groups expanded, as far as they lie in different
+   components. Documents of one component need no more pairs.
 
 Before whole sets are compared, pairs are pruned by size and by an upper bound of the overlap from
-64-cell histograms of the sets. Both are exact bounds: they drop only pairs that can't link.
+histograms of the sets: first of 64 cells, then of as many that a cell holds a few tokens. All are
+exact bounds: they drop only pairs that can't link.
 
 Verification sends every member's set to the task of its star's centre, where the centre's set waits
 and members stream by; a large star is dealt out over several tasks.
@@ -27,6 +30,7 @@ component is null. Rows that share an id count as one document with all their te
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -42,10 +46,11 @@ WIDTH, PERCENT = 4, 85
 # at most as many of them as a document has shingles on average, times a thousand: a bounded list.
 OFTEN_SHARE, OFTEN_LEAST = 0.001, 64
 CELLS = 64
-# Tasks that share a star; rows that a task holds of one bucket before it goes on with its centre alone.
-SALTS, HELD = 16, 50_000
-WORD_CACHE = 1_000_000
-PART_BYTES = 48 << 20
+# Members that a task gets of a star; rows that it holds of one bucket before it goes on with the centre alone.
+STAR, HELD = 256, 50_000
+# Words that a worker keeps the hashes of, and texts whose words it holds at a time.
+WORD_CACHE, TOGETHER = 200_000, 256
+PART_BYTES = 32 << 20
 
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
@@ -65,18 +70,37 @@ class _Words(dict):
 _words = _Words()
 
 
-def shingles(raw: bytes, width: int) -> np.ndarray:
-    """Sorted distinct hashes of the shingles; the whole of a shorter text is one."""
-    words = raw.translate(_LOWER).split()
-    if not words:
-        return np.zeros(0, np.uint64)
-    h = np.fromiter(map(_words.__getitem__, words), np.uint64, len(words))
-    span = min(width, len(words))
-    out = np.full(len(h) - span + 1, span, np.uint64)
-    for k in range(span):
-        out = (out ^ h[k : len(h) - span + 1 + k]) * np.uint64(0x9E3779B97F4A7C15)
-        out ^= out >> np.uint64(29)
-    return np.unique(mixed(out))
+def _distinct(values: np.ndarray) -> np.ndarray:
+    values = np.sort(values)
+    new = np.ones(len(values), bool)
+    new[1:] = values[1:] != values[:-1]
+    return values[new]
+
+
+def shingle_sets(texts_: list[bytes], width: int) -> list[np.ndarray]:
+    """Of every text the sorted distinct hashes of its shingles; the whole of a shorter text is one.
+
+    The words of some texts lie one after the other, so each step over a shingle is one for them all.
+    """
+    if len(texts_) > TOGETHER:
+        return [s for i in range(0, len(texts_), TOGETHER) for s in shingle_sets(texts_[i : i + TOGETHER], width)]
+    words = [raw.translate(_LOWER).split() for raw in texts_]
+    counts = np.fromiter(map(len, words), np.int64, len(words))
+    h = np.fromiter(map(_words.__getitem__, chain.from_iterable(words)), np.uint64, int(counts.sum()))
+    ends = np.cumsum(counts)
+
+    def rolled(h: np.ndarray, span: int) -> np.ndarray:
+        out = np.full(max(len(h) - span + 1, 0), span, np.uint64)
+        for k in range(span):
+            out = (out ^ h[k : len(h) - span + 1 + k]) * np.uint64(0x9E3779B97F4A7C15)
+            out ^= out >> np.uint64(29)
+        return mixed(out)
+
+    long = rolled(h, width)
+    return [
+        _distinct(long[end - n : end - width + 1]) if n >= width else rolled(h[end - n : end], n) if n else h[:0]
+        for end, n in zip(ends.tolist(), counts.tolist())
+    ]
 
 
 def prefix(tokens: np.ndarray, often: np.ndarray, percent: int) -> np.ndarray:
@@ -95,6 +119,24 @@ def cells(tokens: np.ndarray) -> np.ndarray:
     return np.minimum(np.bincount((tokens >> np.uint64(58)).astype(np.int64), minlength=CELLS), 255).astype(np.uint8)
 
 
+def fine_cells(tokens: np.ndarray) -> np.ndarray:
+    """Histogram with a power of two of cells, four to eight tokens each; of small sets as :func:`cells`."""
+    bits = min(max(int(len(tokens)).bit_length() - 3, 6), 16)
+    found = np.bincount((tokens >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
+    return np.minimum(found, 255).astype(np.uint8)
+
+
+def may_link_finely(n: int, m: int, left: np.ndarray, right: np.ndarray, percent: int) -> bool:
+    """As :func:`may_link` for one pair; neighbouring cells of the finer histogram are added up."""
+    left, right = left.astype(np.int64), right.astype(np.int64)
+    if len(left) > len(right):
+        left = left.reshape(len(right), -1).sum(axis=1)
+    elif len(right) > len(left):
+        right = right.reshape(len(left), -1).sum(axis=1)
+    most = int(np.minimum(left, right).sum()) + min(n - int(left.sum()), m - int(right.sum()))
+    return 100 * most >= percent * (n + m - most)
+
+
 def may_link(n: np.ndarray, m: np.ndarray, left: np.ndarray, right: np.ndarray, percent: int) -> np.ndarray:
     """Whether pairs of sets with these sizes and histograms can reach the threshold."""
     a, b = left.sum(axis=1, dtype=np.int64), right.sum(axis=1, dtype=np.int64)
@@ -120,9 +162,15 @@ def often_tokens(rows: DataFrame, width: int) -> np.ndarray:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in parts(batches):
-            sets = [shingles(x, width) for x in batch.column("text").cast(pa.binary()).to_pylist()]
-            tokens, counts = np.unique(np.concatenate(sets), return_counts=True) if sets else (np.zeros(0, np.uint64),) * 2
-            some = counts >= max(2, int(len(sets) * OFTEN_SHARE / 2))
+            sets = shingle_sets(batch.column("text").cast(pa.binary()).to_pylist(), width)
+            least_here = max(2, int(len(sets) * OFTEN_SHARE / 2))
+            tokens = np.concatenate(sets)
+            del sets
+            tokens.sort()
+            begins = np.flatnonzero(np.concatenate([[True], tokens[1:] != tokens[:-1]])) if len(tokens) else np.zeros(0, np.int64)
+            counts = np.diff(np.append(begins, len(tokens)))
+            some = counts >= least_here
+            tokens = tokens[begins]
             yield pa.RecordBatch.from_arrays([pa.array(tokens[some].view(np.int64)), pa.array(counts[some].astype(np.int64))], ["token", "n"])
 
     found = rows.select("text").mapInArrow(run, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
@@ -135,19 +183,19 @@ def document_sets(rows: DataFrame, often: np.ndarray, width: int, percent: int)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            out: list[list] = [[], [], [], [], []]
-            for raw in batch.column("text").cast(pa.binary()).to_pylist():
-                tokens = shingles(raw, width)
+            out: list[list] = [[], [], [], [], [], []]
+            for tokens in shingle_sets(batch.column("text").cast(pa.binary()).to_pylist(), width):
                 whole = xxhash.xxh3_128_digest(tokens.tobytes())
                 group = xxhash.xxh3_64_digest(prefix(tokens, often, percent).tobytes(), seed=len(tokens))
-                for column, value in zip(out, (len(tokens), whole[:8], whole[8:], group, cells(tokens).tobytes())):
+                for column, value in zip(out, (len(tokens), whole[:8], whole[8:], group, cells(tokens).tobytes(), fine_cells(tokens).tobytes())):
                     column.append(value)
             longs = [pa.array(np.frombuffer(b"".join(x), np.int64)) for x in out[1:4]]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(out[0], pa.int64()), *longs, pa.array(out[4], pa.binary())], ["doc_id", "n", "h1", "h2", "g", "cells"]
+                [batch.column("doc_id"), pa.array(out[0], pa.int64()), *longs, *(pa.array(x, pa.binary()) for x in out[4:])],
+                ["doc_id", "n", "h1", "h2", "g", "cells", "fine"],
             )
 
-    return rows.mapInArrow(run, "doc_id long, n long, h1 long, h2 long, g long, cells binary")
+    return rows.mapInArrow(run, "doc_id long, n long, h1 long, h2 long, g long, cells binary, fine binary")
 
 
 def prefix_tokens(rows: DataFrame, often: np.ndarray, width: int, percent: int) -> DataFrame:
@@ -157,11 +205,10 @@ def prefix_tokens(rows: DataFrame, often: np.ndarray, width: int, percent: int)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in parts(batches):
             seen: dict[bytes, tuple[int, int, np.ndarray]] = {}
-            for doc, raw in zip(batch.column("doc_id").to_pylist(), batch.column("text").cast(pa.binary()).to_pylist()):
-                tokens = shingles(raw, width)
+            for doc, tokens in zip(batch.column("doc_id").to_pylist(), shingle_sets(batch.column("text").cast(pa.binary()).to_pylist(), width)):
                 if not len(tokens):
                     continue
-                own = prefix(tokens, often, percent)
+                own = prefix(tokens, often, percent).copy()
                 key = xxhash.xxh3_64_digest(own.tobytes(), seed=len(tokens))
                 if key not in seen or doc < seen[key][0]:
                     seen[key] = (doc, len(tokens), own)
@@ -174,12 +221,13 @@ def prefix_tokens(rows: DataFrame, often: np.ndarray, width: int, percent: int)
     return rows.where(F.col("doc_id").isNotNull()).mapInArrow(run, "token long, n long, g long, doc long")
 
 
-# Kinds of rows that buckets give: a star's pair; a row of a bucket of several groups, or of just two.
-PAIR, MANY, TWO = 0, 1, 2
+# Kinds of rows that buckets give: the pair of a bucket of two groups, and its rows; a star's pair in a
+# larger bucket, and its rows.
+PAIR, TWO, STAR_PAIR, MANY = 0, 1, 2, 3
 
 
 def stars(tokens: DataFrame, percent: int) -> DataFrame:
-    """``kind, x, y``: pairs (centre, member), and the buckets (token, group) for the second round."""
+    """``kind, x, y``: pairs (centre, member), and the rows of buckets (token, group) for the second round."""
     rows = tokens.repartition("token").sortWithinPartitions("token", "n", "g", "doc")
 
     def pairs(n: np.ndarray, doc: np.ndarray, bucket: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -201,13 +249,16 @@ def stars(tokens: DataFrame, percent: int) -> DataFrame:
         size = np.repeat(np.diff(np.append(begins, len(token))), np.diff(np.append(begins, len(token))))
         several = size > 1
         token, n, g, doc, size = token[several], n[several], g[several], doc[several], size[several]
-        a, b = pairs(n, doc, token)
-        both = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1) if len(a) else np.zeros((2, 0), np.int64)
-        kind = np.where((size > 2) | sent, MANY, TWO).astype(np.int32)[1 if sent else 0 :]
-        token, g = (token[1:], g[1:]) if sent else (token, g)
+        large = (size > 2) | sent
+        kinds, left, right = [np.where(large, MANY, TWO)[1 if sent else 0 :]], [token[1 if sent else 0 :]], [g[1 if sent else 0 :]]
+        for kind, rows in ((PAIR, ~large), (STAR_PAIR, large)):
+            both = np.stack(pairs(n[rows], doc[rows], token[rows]))
+            both = np.unique(both, axis=1) if both.shape[1] else both
+            kinds.append(np.full(both.shape[1], kind))
+            left.append(both[0])
+            right.append(both[1])
         return pa.RecordBatch.from_arrays(
-            [pa.array(np.concatenate([np.full(both.shape[1], PAIR, np.int32), kind])), pa.array(np.concatenate([both[0], token])), pa.array(np.concatenate([both[1], g]))],
-            ["kind", "x", "y"],
+            [pa.array(np.concatenate(kinds).astype(np.int32)), pa.array(np.concatenate(left)), pa.array(np.concatenate(right))], ["kind", "x", "y"]
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -239,10 +290,10 @@ def stars(tokens: DataFrame, percent: int) -> DataFrame:
 
 
 def prune(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """Distinct pairs ``a < b`` that sizes and histograms let link."""
+    """Distinct pairs that sizes and histograms let link."""
     own = classes.select("rep", "n", "cells")
     a, b = own.toDF("a", "n_a", "cells_a"), own.toDF("b", "n_b", "cells_b")
-    rows = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a < b").distinct().join(a, "a").join(b, "b")
+    rows = pairs.where("a <> b").distinct().join(a, "a").join(b, "b")
     rows = rows.where(100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -254,24 +305,41 @@ def prune(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     return rows.mapInArrow(run, "a long, b long")
 
 
+def refine(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Pairs that fine histograms let link."""
+    own = classes.select("rep", "n", "fine")
+    rows = pairs.join(own.toDF("a", "n_a", "fine_a"), "a").join(own.toDF("b", "n_b", "fine_b"), "b")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            cells_of = [batch.column(c).to_pylist() for c in ("n_a", "n_b", "fine_a", "fine_b")]
+            good = np.fromiter(
+                (may_link_finely(n, m, np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8), percent) for n, m, x, y in zip(*cells_of)),
+                bool, batch.num_rows,
+            )
+            yield pa.RecordBatch.from_arrays([pa.array(batch.column(c).to_numpy()[good]) for c in ("a", "b")], ["a", "b"])
+
+    return rows.select("a", "b", "n_a", "n_b", "fine_a", "fine_b").mapInArrow(run, "a long, b long")
+
+
 def verify(pairs: DataFrame, rows: DataFrame, width: int, percent: int) -> DataFrame:
     """Pairs whose whole sets reach the threshold.
 
     ``pairs`` is a staged table: if it is small by its size on disk, Spark broadcasts the ids to the
     texts; otherwise texts shuffle once to the ids.
     """
-    salt = F.pmod(F.xxhash64("b"), F.lit(SALTS)).cast("int")
-    members = pairs.select(F.col("b").alias("doc_id"), F.col("a").alias("centre"), salt.alias("salt"))
+    sizes = pairs.groupBy("a").agg(F.ceil(F.count("*") / STAR).alias("parts"))
+    salt = F.pmod(F.xxhash64("b"), F.col("parts")).cast("int")
+    members = pairs.join(sizes, "a").select(F.col("b").alias("doc_id"), F.col("a").alias("centre"), salt.alias("salt"))
     centres = members.select(F.col("centre").alias("doc_id"), "centre", "salt").distinct()
     wanted = stage(members.unionByName(centres).groupBy("doc_id").agg(F.collect_list(F.struct("centre", "salt")).alias("stars")), "stars")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 128):
             out: list[list] = [[], [], [], [], []]
-            for doc, raw, stars_ in zip(
-                batch.column("doc_id").to_pylist(), batch.column("text").cast(pa.binary()).to_pylist(), batch.column("stars").to_pylist()
-            ):
-                tokens = shingles(raw, width).tobytes()
+            found = shingle_sets(batch.column("text").cast(pa.binary()).to_pylist(), width)
+            for doc, own, stars_ in zip(batch.column("doc_id").to_pylist(), found, batch.column("stars").to_pylist()):
+                tokens = own.tobytes()
                 for star in stars_:
                     for column, value in zip(out, (star["centre"], star["salt"], int(doc != star["centre"]), doc, tokens)):
                         column.append(value)
@@ -348,16 +416,21 @@ def near_documents(
     often = often_tokens(rows, width)
     sets = stage(document_sets(rows, often, width, percent), "sets")
     classes = sets.where("n > 0 and doc_id is not null").groupBy("h1", "h2", "n").agg(
-        F.min("doc_id").alias("rep"), F.first("g").alias("g"), F.first("cells").alias("cells")
+        F.min("doc_id").alias("rep"), F.first("g").alias("g"), F.first("cells").alias("cells"), F.first("fine").alias("fine")
     )
     classes = stage(classes, "classes")
     found = stage(stars(prefix_tokens(rows, often, width, percent), percent), "buckets")
     leaders = classes.groupBy("g").agg(F.min("rep").alias("a"), F.count("*").alias("members")).where("members > 1")
     inside = classes.select("g", F.col("rep").alias("b")).join(leaders, "g").where("a <> b").select("a", "b")
-    first = found.where(F.col("kind") == PAIR).select(F.col("x").alias("a"), F.col("y").alias("b")).unionByName(inside)
-    links = stage(verify(stage(prune(first, classes, percent), "candidates"), rows, width, percent), "links")
-
-    # Second round: buckets of several components, with the members of groups.
+    twos = found.where(F.col("kind") == PAIR).select(F.col("x").alias("a"), F.col("y").alias("b"))
+    met = found.where(F.col("kind") == STAR_PAIR).groupBy("x", "y").agg(F.count("*").alias("n"))
+    centres = met.groupBy(F.col("y").alias("b")).agg(F.max_by("x", F.struct("n", -F.col("x"))).alias("a"))
+    first = twos.unionByName(centres).unionByName(inside)
+    candidates = stage(refine(prune(first, classes, percent), classes, percent), "candidates")
+    nearest = stage(candidates.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "nearest")
+    links = stage(verify(nearest, rows, width, percent), "links")
+
+    # Second round: what lies in different components, with the members of groups.
     known = classes.select("rep", "n", "g", "cells").join(components(links), F.col("rep") == F.col("node"), "left")
     known = stage(known.select("rep", "n", "g", "cells", F.coalesce("component", "rep").alias("comp")), "members")
     groups = stage(known.groupBy("g").agg(F.min("comp").alias("low"), F.max("comp").alias("high")), "groups")
@@ -369,7 +442,11 @@ def near_documents(
     buckets = buckets.join(groups, "g")
     mixed_ones = buckets.groupBy("bucket").agg(F.min("low").alias("low"), F.max("high").alias("high")).where("low < high").select("bucket")
     expanded = buckets.join(mixed_ones, "bucket", "left_semi").select("bucket", "g").join(known, "g").select("bucket", "n", "rep", "comp", "cells")
-    rest = stage(across(expanded, percent).distinct(), "rest")
+    comp = known.select("rep", "comp")
+    others = candidates.join(nearest, ["a", "b"], "left_anti").join(comp.toDF("a", "comp_a"), "a").join(comp.toDF("b", "comp_b"), "b")
+    others = others.where("comp_a <> comp_b").select("a", "b")
+    more = stage(across(expanded, percent).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "across")
+    rest = stage(refine(more, classes, percent).unionByName(others).distinct(), "rest")
     links = links.unionByName(verify(rest, rows, width, percent))
 
     linked = components(links)
