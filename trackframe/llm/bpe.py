@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 
 from trackframe.llm.common import ranges, texts
 
-CACHE = 1_000_000
+CACHE = 400_000
 NONE = np.iinfo(np.int64).max
 
 OUTPUTS = {
