@@ -45,6 +45,21 @@ def test_groups_whose_prefixes_agree_but_not_all_members(spark):
     assert sorted(map(tuple, got), key=str) == jaccard(rows, 4, 85)
 
 
+def test_a_member_behind_the_leader_of_a_group_links_in_a_bucket_of_two(spark):
+    """Two linked texts share their prefix; a third links with the one that does not lead the group."""
+    rows, seed = [], 0
+    while len(rows) < 9:
+        one = [f"s{seed}b{i}" for i in range(60)]
+        two = one[:40] + [f"s{seed}x"] + one[41:]
+        three = two[:10] + [f"s{seed}y"] + two[11:]
+        a, b = (join.prefix(x, x[:0], 85).tolist() for x in join.shingle_sets([" ".join(t).encode() for t in (one, two)], 4))
+        if a == b:
+            rows += [(len(rows) + k, " ".join(t)) for k, t in enumerate((one, two, three))]
+        seed += 1
+    got = sorted(map(tuple, join.near_documents(frame(spark, rows), 4, 85).collect()), key=str)
+    assert got == jaccard(rows, 4, 85) and {c for _, _, c in got} == {0, 3, 6}
+
+
 def test_bounds_never_drop_a_link():
     r = np.random.default_rng(2)
     for _ in range(300):

@@ -12,9 +12,10 @@ components are wanted. So candidates are made in two rounds, which together miss
    centre for those it could link with by size; what lies beyond gets the next star. A document goes
    on with the centre it meets most often; the pair of a bucket of two always goes on. Of each
    document's centres one is verified on whole sets, and linked documents become components.
-2. *The rest.* The other pairs of the first round, and all pairs in larger buckets that still hold
-   several components, with the members of groups expanded, as far as they lie in different
-   components. Documents of one component need no more pairs.
+2. *The rest.* The other pairs of the first round, and all pairs in buckets that still hold several
+   components, with the members of groups expanded, as far as they lie in different components. Of a
+   bucket of two, whose leaders were a pair before, only the groups go on, once for all their buckets,
+   and only if one of them has more members. Documents of one component need no more pairs.
 
 Before whole sets are compared, pairs are pruned by size and by an upper bound of the overlap from
 histograms of the sets: first of 64 cells, then of as many that a cell holds a few tokens. All are
@@ -221,13 +222,13 @@ def prefix_tokens(rows: DataFrame, often: np.ndarray, width: int, percent: int)
     return rows.where(F.col("doc_id").isNotNull()).mapInArrow(run, "token long, n long, g long, doc long")
 
 
-# Kinds of rows that buckets give: the pair of a bucket of two groups, and its rows; a star's pair in a
+# Kinds of rows that buckets give: the pair of a bucket of two groups, and its groups; a star's pair in a
 # larger bucket, and its rows.
 PAIR, TWO, STAR_PAIR, MANY = 0, 1, 2, 3
 
 
 def stars(tokens: DataFrame, percent: int) -> DataFrame:
-    """``kind, x, y``: pairs (centre, member), and the rows of buckets (token, group) for the second round."""
+    """``kind, x, y``: pairs (centre, member), and for the second round the rows of buckets (token, group) or two groups."""
     rows = tokens.repartition("token").sortWithinPartitions("token", "n", "g", "doc")
 
     def pairs(n: np.ndarray, doc: np.ndarray, bucket: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -250,9 +251,10 @@ def stars(tokens: DataFrame, percent: int) -> DataFrame:
         several = size > 1
         token, n, g, doc, size = token[several], n[several], g[several], doc[several], size[several]
         large = (size > 2) | sent
-        kinds, left, right = [np.where(large, MANY, TWO)[1 if sent else 0 :]], [token[1 if sent else 0 :]], [g[1 if sent else 0 :]]
-        for kind, rows in ((PAIR, ~large), (STAR_PAIR, large)):
-            both = np.stack(pairs(n[rows], doc[rows], token[rows]))
+        many = np.flatnonzero(large)[1 if sent else 0 :]
+        kinds, left, right = [np.full(len(many), MANY)], [token[many]], [g[many]]
+        for kind, rows, value in ((PAIR, ~large, doc), (TWO, ~large, g), (STAR_PAIR, large, doc)):
+            both = np.stack(pairs(n[rows], value[rows], token[rows]))
             both = np.unique(both, axis=1) if both.shape[1] else both
             kinds.append(np.full(both.shape[1], kind))
             left.append(both[0])
@@ -433,11 +435,14 @@ def near_documents(
     # Second round: what lies in different components, with the members of groups.
     known = classes.select("rep", "n", "g", "cells").join(components(links), F.col("rep") == F.col("node"), "left")
     known = stage(known.select("rep", "n", "g", "cells", F.coalesce("component", "rep").alias("comp")), "members")
-    groups = stage(known.groupBy("g").agg(F.min("comp").alias("low"), F.max("comp").alias("high")), "groups")
+    groups = stage(known.groupBy("g").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("members")), "groups")
     loose = groups.where("low < high").select("g")
     many = found.where(F.col("kind") == MANY).select(F.col("x").alias("bucket"), F.col("y").alias("g"))
-    two = found.where(F.col("kind") == TWO).select(F.col("x").alias("bucket"), F.col("y").alias("g"))
-    two = two.join(two.join(loose, "g", "left_semi").select("bucket").distinct(), "bucket", "left_semi")
+    two = found.where(F.col("kind") == TWO).select("x", "y").distinct()
+    for side in ("x", "y"):
+        two = two.join(groups.toDF(side, f"low_{side}", f"high_{side}", f"members_{side}"), side)
+    two = two.where("least(low_x, low_y) < greatest(high_x, high_y) and greatest(members_x, members_y) > 1")
+    two = two.select(F.xxhash64("x", "y").alias("bucket"), F.explode(F.array("x", "y")).alias("g"))
     buckets = many.unionByName(two).unionByName(loose.select(F.col("g").alias("bucket"), "g"))
     buckets = buckets.join(groups, "g")
     mixed_ones = buckets.groupBy("bucket").agg(F.min("low").alias("low"), F.max("high").alias("high")).where("low < high").select("bucket")
