@@ -1,3 +1,4 @@
+import hashlib
 import random
 
 import pytest
@@ -60,6 +61,25 @@ def test_repeated_lines_equal_brute_force(spark, run, gram):
     assert got == repeated_lines(rows, run)
 
 
+def test_many_rows_without_an_id_are_told_apart(spark):
+    """A few thousand null ids: 16 bits of a hash can't tell them apart; an equal start is decided by the text's hash."""
+    head = [(1, "first shared line\nsecond shared line\nthird shared line")]
+    rows = head + [(None, f"own {i} a\nown {i} b\nown {i} c\n" * (1 + i % 3) + (head[0][1] if i % 2 else "end")) for i in range(3000)]
+    out = line_dedup.drop_repeated_lines(frame(spark, rows)).collect()
+    assert sorted(((r.doc_id, r.text, r.n_removed_lines) for r in out), key=str) == repeated_lines(rows, 3)
+    shared = "".join(chr(97 + i * i % 23) for i in range(60))
+    rows = [(i, f"{i:05d}" + shared) for i in range(1, 3000, 2)]
+    rows += [(None, "#" * (2 + i % 5) + (f"{i:05d}" + shared if i % 2 else hashlib.sha256(b"%d" % i).hexdigest())) for i in range(3000)]
+    got = suffix_dedup.remove_repeats(frame(spark, rows), 40, 8, with_kept=False).collect()
+    assert sorted(map(tuple, got), key=str) == repeated_bytes(rows, 40)
+
+
+def test_equal_places_of_rows_without_an_id_are_repeats(spark):
+    rows = [(None, "a a\nb b\nc c\n" + f"x{i}") for i in range(2000)]
+    out = line_dedup.drop_repeated_lines(frame(spark, rows)).collect()
+    assert sorted(r.n_removed_lines for r in out) == [0] + [3] * 1999
+
+
 def test_repeated_rows_and_empty_tables_of_lines(spark):
     text = "a a\nb b\nc c\nd d"
     out = line_dedup.drop_repeated_lines(frame(spark, [(1, text), (1, text), (2, text + "\ne")])).collect()

@@ -67,7 +67,7 @@ def windows(docs: DataFrame, gram: int, run: int, id_col: str, text_col: str) ->
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            found: list[list[np.ndarray]] = [[], [], [], []]
+            found: list[list[np.ndarray]] = [[], [], [], [], []]
             for raw, doc, ver in zip(
                 batch.column("text").cast(pa.binary()).to_pylist(), batch.column("doc").to_pylist(), batch.column("ver").to_pylist()
             ):
@@ -80,7 +80,8 @@ def windows(docs: DataFrame, gram: int, run: int, id_col: str, text_col: str) ->
                 found[0].append(mixed(prints + place.astype(np.uint64)).view(np.int64))
                 found[1].append(run_hashes(h, run, 2).view(np.int64))
                 found[2].append(np.full(n, doc, np.int64))
-                found[3].append(packed(np.arange(n), np.ones(n), np.full(n, ver)))
+                found[3].append(np.full(n, ver, np.int64))
+                found[4].append(packed(np.arange(n), np.ones(n)))
             if found[0]:
                 yield rows_batch(*map(np.concatenate, found))
 
@@ -101,7 +102,7 @@ def drop_repeated_lines(
     names = [free_name(docs, x) for x in ("doc", "ver", "packs")]
     spans = spans.toDF(*names)
     doc, ver = F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(NO_ID)), F.xxhash64(F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")))
-    rows = docs.join(spans, (doc == F.col(names[0])) & (ver.bitwiseAND(0xFFFF) == F.col(names[1])), "left").drop(*names[:2])
+    rows = docs.join(spans, (doc == F.col(names[0])) & (ver == F.col(names[1])), "left").drop(*names[:2])
     schema = T.StructType([*docs.schema.fields, T.StructField(removed, T.LongType())])
     place = docs.columns.index(text_col)
 

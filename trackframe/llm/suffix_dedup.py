@@ -134,7 +134,7 @@ def anchor_rows(rows: DataFrame, depth: int, gram: int) -> DataFrame:
             for a, b, data, starts in blocks(batch.column("text"), BLOCK):
                 text, start, count, grams, context = anchors(data, starts, depth, gram)
                 if len(text):
-                    yield rows_batch(grams, context, docs[a:b][text], packed(start, count, versions[a:b][text]))
+                    yield rows_batch(grams, context, docs[a:b][text], versions[a:b][text], packed(start, count))
 
     return rows.mapInArrow(run, ROWS)
 
@@ -149,11 +149,11 @@ def window_rows(rows: DataFrame, depth: int) -> DataFrame:
             for a, b, data, starts in blocks(batch.column("text"), BLOCK):
                 chosen = packs.slice(a, b - a)
                 per_text = np.diff(chosen.offsets.to_numpy())
-                start, count, _ = unpacked(chosen.flatten().to_numpy())
+                start, count = unpacked(chosen.flatten().to_numpy())
                 text = np.repeat(np.repeat(np.arange(b - a), per_text), count)
                 at = ranges(start, count) + starts[:-1][text]
                 one, two = (mixed(Hashes(data, k).at(at, at + depth, at)).view(np.int64) for k in (0, 1))
-                yield rows_batch(one, two, docs[a:b][text], packed(at - starts[:-1][text], np.ones(len(at)), versions[a:b][text]))
+                yield rows_batch(one, two, docs[a:b][text], versions[a:b][text], packed(at - starts[:-1][text], np.ones(len(at))))
 
     return rows.mapInArrow(run, ROWS)
 
@@ -164,9 +164,9 @@ def repeated_spans(docs: DataFrame, depth: int = DEPTH, gram: int = GRAM, id_col
         raise ValueError("a gram is no longer than a window, and a run has at most 127 windows")
     rows = versioned(docs, id_col, text_col).where(F.octet_length("text") >= depth)
     found = stage(repeated(anchor_rows(rows, depth, gram), with_rivals=True), "contexts")
-    whole = found.where("again").select("doc", "pack")
+    whole = found.where("again").select("doc", "ver", "pack")
     chosen = rows.join(by_document(found.where("not again")), ["doc", "ver"])
-    single = stage(repeated(window_rows(chosen.select("doc", "ver", "text", "packs"), depth)).select("doc", "pack"), "windows")
+    single = stage(repeated(window_rows(chosen.select("doc", "ver", "text", "packs"), depth)).select("doc", "ver", "pack"), "windows")
     return by_document(whole.unionByName(single))
 
 
