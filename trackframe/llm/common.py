@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -49,6 +49,19 @@ def text_bytes(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarr
     return np.frombuffer(data, np.uint8)[starts[0] : starts[-1]], starts - starts[0]
 
 
+def byte_slices(batches: Iterator[pa.RecordBatch], column: str, limit: int) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
+    """Parts of the batches of at most ``limit`` bytes of text, and the texts; a longer text is a part of its own."""
+    for batch in batches:
+        data, starts = text_bytes(batch.column(column))
+        begin = 0
+        while begin < batch.num_rows:
+            end = max(int(np.searchsorted(starts, starts[begin] + limit, "right")) - 1, begin + 1)
+            part = data[starts[begin] : starts[end]].tobytes()
+            cuts = (starts[begin : end + 1] - starts[begin]).tolist()
+            yield batch.slice(begin, end - begin), [part[a:b] for a, b in zip(cuts[:-1], cuts[1:])]
+            begin = end
+
+
 def ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """start, start + 1, ... of every range, one after the other."""
     total = int(lengths.sum())

@@ -12,6 +12,7 @@ from trackframe.llm import (
     license_scan,
     line_dedup,
     mixing,
+    periodic_runs,
     quality_model,
     quality_rules,
     suffix_dedup,
@@ -84,3 +85,9 @@ def op1_licence_scan(spark: SparkSession, folder: str) -> DataFrame:
 @registry.add("op7_ngram_jaccard_join")
 def op7_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_join.near_documents(table(spark, folder, "documents"))
+
+
+@registry.add("op11_periodic_runs")
+def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    rows = periodic_runs.with_cycles(table(spark, folder, "documents"))
+    return periodic_runs.digest(periodic_runs.find_runs(rows, with_text=False))
