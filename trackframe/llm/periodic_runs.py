@@ -37,6 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trackframe.llm.common import byte_slices, ranges, texts
+from trackframe.llm.suffix_array import doublings
 
 SHORTEST = 12
 # Bytes of text whose suffixes are sorted together; a longer text is sorted alone.
@@ -88,16 +89,6 @@ class WaveletTree:
         return found
 
 
-def pair_order(first: np.ndarray, second: np.ndarray, bits: int) -> np.ndarray:
-    """The order by two numbers below ``2^bits``; one sort of packed integers where they fit."""
-    index = max(len(first) - 1, 1).bit_length()
-    if 2 * bits + index <= 63:
-        packed = (first << (bits + index)) | (second << index) | np.arange(len(first))
-        packed.sort()
-        return packed & ((1 << index) - 1)
-    return np.lexsort((second, first))
-
-
 class Suffixes:
     """Suffix array of numbered words and the names of all blocks of ``2^k`` words.
 
@@ -107,33 +98,16 @@ class Suffixes:
 
     def __init__(self, symbols: np.ndarray):
         n = len(symbols)
-        bits = max(n, 1).bit_length()
-        counts = np.bincount(symbols)
-        name = (np.cumsum(counts) - counts)[symbols]
-        active = np.flatnonzero(counts[symbols] > 1)
-        self.names, self.blocks, self.twice = [name], [None], np.zeros(0, np.int64)
-        while len(active):
-            width = 1 << (len(self.names) - 1)
-            first, second = name[active], name[active + width]
-            order = pair_order(first, second, bits)
-            places, first, second = active[order], first[order], second[order]
-            new_first = np.concatenate([[True], first[1:] != first[:-1]])
-            new = new_first | np.concatenate([[True], second[1:] != second[:-1]])
-            at = np.flatnonzero(new)
-            group = np.cumsum(new) - 1
-            start = at[group]
-            start_first = np.flatnonzero(new_first)[np.cumsum(new_first) - 1]
-            size = np.diff(np.append(at, len(places)))[group]
-            name = name.copy()
-            name[places] = first + start - start_first
-            again = size > 1
-            active = places[again]
-            aligned = again & (places & (2 * width - 1) == 0)
+        self.names, self.blocks, self.twice = [], [], np.zeros(0, np.int64)
+        name = np.zeros(0, np.int64)
+        for name, places, size in doublings(symbols):
+            k = len(self.names)
+            aligned = (size > 1) & (places & ((1 << k) - 1) == 0)
             low = name[places[aligned]]
             self.blocks.append((places[aligned], low, low + size[aligned]))
             self.names.append(name)
-            if len(self.names) == 2:
-                self.twice = active
+            if k == 1:
+                self.twice = places[size > 1]
         self.array = np.empty(n, np.int64)
         self.array[name] = np.arange(n)
         self.tree = None

@@ -7,12 +7,14 @@ from pyspark.sql import functions as F
 
 from trackframe.llm import (
     bpe,
+    decontaminate,
     embedding_dedup,
     jaccard_join,
     license_scan,
     line_dedup,
     mixing,
     periodic_runs,
+    prefix_trie,
     quality_model,
     quality_rules,
     suffix_dedup,
@@ -91,3 +93,14 @@ def op7_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
 def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
     rows = periodic_runs.with_cycles(table(spark, folder, "documents"))
     return periodic_runs.digest(periodic_runs.find_runs(rows, with_text=False))
+
+
+@registry.add("op12_prefix_trie", prefix_trie.SQL)
+def op12_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    turns = prefix_trie.numbered_turns(table(spark, folder, "conversations"))
+    return prefix_trie.trie_report(*prefix_trie.rebuilt(turns))
+
+
+@registry.add("op13_benchmark_matches", decontaminate.SQL)
+def op13_benchmark_matches(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.digest(decontaminate.find_matches(table(spark, folder, "documents"), table(spark, folder, "benchmark")))
