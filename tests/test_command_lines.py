@@ -46,3 +46,18 @@ def test_windows_from_recordings(spark, recordings, tmp_path, capsys):
     }
     windows = train.split_windows(spark, dataset, 4)
     assert sum(p.count() for p in windows.values()) == 9
+
+
+@pytest.mark.parametrize("kind,grid,fixed", [
+    ("gb", {"trees": [2, 4], "depth": [2], "rate": [0.3, 0.9]}, {}), ("rf", {"depth": [2, 35]}, {"trees": 4}), ("dense", {"epochs": [2, 30]}, {"hidden": [16]}),
+])
+def test_grid_search_of_every_kind(spark, recordings, tmp_path, capsys, monkeypatch, kind, grid, fixed):
+    dataset = str(tmp_path / "current")
+    build.main(["-dir", recordings, "-a", "-t", "1111", "2200", "-amt", "40", "40", "-o", dataset])
+    capsys.readouterr()
+    monkeypatch.setitem(train.GRIDS, kind, grid)
+    monkeypatch.setitem(train.SEARCH_PARAMS, kind, fixed)
+    train.main(["-d", dataset, "-m", kind, "-gs"])
+    shown = capsys.readouterr().out
+    lines = [x for x in shown.splitlines() if x.startswith("|") and "=" in x]
+    assert len(lines) == {"gb": 4, "rf": 2, "dense": 2}[kind] and "best: {" in shown

@@ -110,16 +110,10 @@ def test_fitted_models_carry_no_training_plan(parts):
     assert not [s for s in model.stages if getattr(s, "hasSummary", False)]
 
 
-def test_trees_deeper_than_the_engine_grows_are_refused():
-    with pytest.raises(ValueError, match="depth 32"):
-        training.random_forest(3, 3, depth=32)
-    assert training.random_forest(3, 3).getMaxDepth() == 30
-
-
 def test_grids_are_whole():
     sizes = {k: {p: len(v) for p, v in grid.items()} for k, grid in trainer.GRIDS.items()}
-    assert sizes == {"gb": {"maxIter": 4, "maxDepth": 5, "stepSize": 3}, "rf": {"maxDepth": 5}, "dense": {"maxIter": 16}}
-    assert trainer.GRIDS["rf"]["maxDepth"] == [26, 29, 32, 35, 38]
+    assert sizes == {"gb": {"trees": 4, "depth": 5, "rate": 3}, "rf": {"depth": 5}, "dense": {"epochs": 16}}
+    assert trainer.GRIDS["rf"]["depth"] == [26, 29, 32, 35, 38]
 
 
 def test_training_stops_when_dev_no_longer_improves(spark, parts):
@@ -168,14 +162,21 @@ def test_reduction_and_encoding(spark, parts):
     assert [list(r.encoded) for r in rows] == [[1, 0, 1], [0, 1, 2], [1, 0, 3]]
 
 
-def test_grid_search_lists_every_combination(parts):
-    classifier = training.random_forest(2, 3, trees=2, depth=2)
-    table, best = training.grid_search(
-        parts["train"], ["p", "q"], "label", CLASSES.labels, classifier, {"maxDepth": [1, 4]}, ["_file", "_blk", "_pos"], ["_file", "_blk"]
-    )
+@pytest.mark.parametrize("kind,grid,params", [
+    ("rf", {"depth": [1, 4]}, {"trees": 4}),
+    ("gb", {"trees": [1, 5], "depth": [2, 3]}, {}),
+    ("dense", {"epochs": [1, 60]}, {"hidden": [8]}),
+])
+def test_grid_search_lists_every_combination(parts, kind, grid, params):
+    rows = parts["train"]
+    if kind != "dense":
+        rows = rows.withColumn("q", F.when(F.col("row_id") % 10 > 0, F.col("q")))  # missing features are searched too
+    table, best = training.grid_search(rows, ["p", "q"], "label", CLASSES.labels, kind, grid, ["_file", "_blk", "_pos"], ["_file", "_blk"], params=params)
     rows = {r.params: r for r in table.collect()}
-    assert set(rows) == {"maxDepth=1", "maxDepth=4"} and best == {"maxDepth": 4}
-    assert rows["maxDepth=4"].mean_score > 0.9 and rows["maxDepth=4"].sd_score < 0.2
+    wanted = {f"depth={d}, trees={t}" for d in (2, 3) for t in (1, 5)} if kind == "gb" else {f"{n}={v}" for n, values in grid.items() for v in values}
+    assert set(rows) == wanted and set(best) == set(grid)
+    top = rows[", ".join(f"{n}={v}" for n, v in sorted(best.items()))]
+    assert top.mean_score == max(r.mean_score for r in rows.values()) > 0.9 and top.sd_score < 0.2
 
 
 def test_trainer_arguments():

@@ -7,14 +7,8 @@ import itertools
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.ml import Estimator, Pipeline, PipelineModel
-from pyspark.ml.classification import (
-    GBTClassifier,
-    MultilayerPerceptronClassifier,
-    OneVsRest,
-    RandomForestClassifier,
-)
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import (
     PCA,
     IndexToString,
@@ -24,7 +18,6 @@ from pyspark.ml.feature import (
     StringIndexerModel,
     VectorAssembler,
 )
-from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,31 +27,37 @@ from trackframe.operators.position import cut_points
 from trackframe.operators.scale import MinMaxColumns, MinMaxColumnsModel
 from trackframe.operators.sequence import fixed_windows, seq_split, window_tensor
 from trackframe.operators.stats import accuracy, outcome_counts
+from trackframe.plans.networks import DenseNetwork, Settings, fit_network
+from trackframe.plans.tree_models import DeepForest, SoftmaxBoosting
+from trackframe.plans.trees import Ensemble, boost, grow_forest, held_out_accuracy
 from trackframe.session import attach, stage
 
-MAX_TREE_DEPTH = 30  # the deepest tree Spark ML grows
-TOO_DEEP = "deeper than the engine grows"
-
-
-def gradient_boosting(inputs: int | None, classes: int, trees: int = 3500, depth: int = 6, rate: float = 0.3) -> Estimator:
-    """One boosted ensemble per class; Spark's boosting is binary, so this is an analogue."""
-    return OneVsRest(classifier=GBTClassifier(maxIter=trees, maxDepth=depth, stepSize=rate, seed=42))
+def gradient_boosting(inputs: int | None, classes: int, trees: int = 3500, depth: int = 6, rate: float = 0.3) -> SoftmaxBoosting:
+    """Boosted trees for the softmax of all classes; ``trees`` counts rounds of one tree a class."""
+    return SoftmaxBoosting(classes, rounds=trees, depth=depth, rate=rate)
 
 
 def random_forest(
-    inputs: int | None, classes: int, trees: int = 1000, depth: int = MAX_TREE_DEPTH, share: float = 0.2, impurity: str = "entropy"
-) -> Estimator:
-    """A forest as deep as Spark ML grows by default; a deeper one is refused, never cut."""
-    if depth > MAX_TREE_DEPTH:
-        raise ValueError(f"tree depth {depth} is {TOO_DEEP} ({MAX_TREE_DEPTH})")
-    return RandomForestClassifier(numTrees=trees, maxDepth=depth, featureSubsetStrategy=str(share), impurity=impurity, seed=42)
+    inputs: int | None, classes: int, trees: int = 1000, depth: int = 32, share: float = 0.2, impurity: str = "entropy"
+) -> DeepForest:
+    """A forest of trees of any depth; every node chooses among a ``share`` of the features."""
+    return DeepForest(classes, trees=trees, depth=depth, share=share, measure=impurity)
 
 
 def dense_network(
-    inputs: int, classes: int, hidden: Sequence[int] = (34,) * 11 + (14,), epochs: int = 1000
-) -> Estimator:
-    """A feed-forward network; Spark's has sigmoid layers and no dropout, so this is an analogue."""
-    return MultilayerPerceptronClassifier(layers=[inputs, *hidden, classes], maxIter=epochs, seed=42)
+    inputs: int, classes: int, hidden: Sequence[int] | None = None, epochs: int = 1000, dropout: float = 0.1, batch: int = 512, rate: float = 0.001
+) -> DenseNetwork:
+    """A feed-forward network of ReLU layers.
+
+    Without ``hidden`` it has ten layers of five more than half of inputs and classes together, with dropout
+    behind every second of the first eight, and one of a quarter.
+    """
+    if hidden is None:
+        half = (inputs + classes) // 2
+        hidden, dropped = (*[half + 5] * 10, *([half // 2] if half // 2 > 1 else [])), (1, 3, 5, 7)
+    else:
+        dropped = ()
+    return DenseNetwork(inputs, classes, Settings(tuple(hidden), epochs, dropout, dropped, batch, rate))
 
 
 # Model kinds by their short names. "knn" is fitted by NearestNeighbourModel.
@@ -68,12 +67,12 @@ KINDS = (*REGISTRY, "knn", "merge", "ts")
 
 
 TREES = ("gb", "rf")
-# What a missing feature counts as in trees: outside the range that training rows are scaled to.
+# What a missing feature counts as in a reduction: outside the range that training rows are scaled to.
 MISSING = -1.0
 
 
 def missing_as_value(columns: Sequence[str]) -> SQLTransformer:
-    """Add ``<column>_filled``: NULL and NaN as a value of their own, which a split can tell apart."""
+    """Add ``<column>_filled``: NULL and NaN as a value of their own, which a reduction can take."""
     filled = ", ".join(f"coalesce(nanvl(`{c}`, NULL), {MISSING}D) AS `{c}_filled`" for c in columns)
     return SQLTransformer(statement=f"SELECT *, {filled} FROM __THIS__")
 
@@ -92,8 +91,8 @@ def label_pipeline(
     """Scale, assemble, optionally encode and reduce, classify, name the class.
 
     Encoded features go before the rest, ``unscaled`` columns after it. A fitted ``scaler`` for the
-    features may be given. One sorted label list is stored with the model. Trees take missing
-    features as a value of their own; networks refuse them.
+    features may be given. One sorted label list is stored with the model. Trees learn where missing
+    features go (before a reduction they are a value of their own); networks refuse them.
     """
     plain = [f for f in features if f not in encode]
     scaled = [f"{f}_scaled" for f in plain]
@@ -105,10 +104,11 @@ def label_pipeline(
     target = "assembled" if components else "features_vector"
     numbers = [*scaled, *unscaled]
     width = len(numbers)
-    if kind in TREES:
+    if kind in TREES and components:
         stages.append(missing_as_value(numbers))
         numbers = [f"{c}_filled" for c in numbers]
-    stages.append(VectorAssembler(inputCols=[*blocks, *numbers], outputCol=target))
+    # Trees and networks get missing values as NaN: the ones learn from them, the others refuse them.
+    stages.append(VectorAssembler(inputCols=[*blocks, *numbers], outputCol=target, handleInvalid="error" if components else "keep"))
     if encode and (components or kind == "dense"):
         raise ValueError("a reduced or dense model needs plain features: its input width must be known")
     if components:
@@ -133,29 +133,22 @@ class LabelPipeline:
         # A copy leaves the training summary behind: it would tie the model to the training plan.
         return self.pipeline.fit(self.index.transform(train)).copy()
 
+    def prepared(self, *tables: DataFrame) -> tuple[list[Estimator], list[DataFrame]]:
+        """The stages before the classifier, fitted on the first table, and all tables after them."""
+        stages = Pipeline(stages=self.pipeline.getStages()[:-2]).fit(self.index.transform(tables[0]))
+        return stages.stages, [stages.transform(self.index.transform(t)) for t in tables]
+
     def fit_with_dev(self, train: DataFrame, dev: DataFrame, patience: int = 20, step: int = 5) -> tuple[PipelineModel, list[float]]:
-        """Fit a network ``step`` epochs at a time; keep the best by dev accuracy.
+        """Fit a network or boosted trees and keep what did best on ``dev``.
 
-        Training goes on from the weights reached and ends when ``patience`` epochs in a row bring
-        no better accuracy on ``dev``, or at the network's number of epochs. Returns the model and
-        the accuracies after each step. Prepared inputs are staged: every step reads them.
+        Training ends when ``patience`` epochs (or rounds) bring no better accuracy on ``dev``, which is looked
+        at every ``step`` epochs (or whenever raw scores are written). Returns the model and these accuracies.
         """
-        *before, network, name = self.pipeline.getStages()
-        prepared = Pipeline(stages=before).fit(self.index.transform(train))
-        columns = [network.getFeaturesCol(), network.getLabelCol()]
-        rows, checks = (stage(prepared.transform(self.index.transform(x)).select(*columns), "prepared") for x in (train, dev))
-        judge = MulticlassClassificationEvaluator(metricName="accuracy", labelCol=network.getLabelCol())
-        best, best_score, scores, weights, stale, epochs = None, -1.0, [], None, 0, network.getMaxIter()
-        while epochs > 0 and stale < patience:
-            now = min(step, epochs)
-            part = network.copy({network.maxIter: now})
-            model = (part if weights is None else part.setInitialWeights(weights)).fit(rows)
-            weights, epochs = model.weights, epochs - now
-            scores.append(judge.evaluate(model.transform(checks)))
-            stale = 0 if scores[-1] > best_score else stale + now
-            if scores[-1] > best_score:
-                best, best_score = model, scores[-1]
-        return PipelineModel([*prepared.stages, best, name]).copy(), scores
+        stages, rows = self.prepared(train, dev)
+        classifier, name = self.pipeline.getStages()[-2:]
+        more = {"step": step} if isinstance(classifier, DenseNetwork) else {}
+        model, seen = classifier.fit_with_dev(*rows, patience, **more)
+        return PipelineModel([*stages, model, name]).copy(), [seen[k] for k in sorted(seen)]
 
 
 def encoder_stages(columns: Sequence[str]) -> list[Estimator]:
@@ -173,49 +166,62 @@ def subset_encoder(encode: Sequence[str], rest: Sequence[str], out: str = "encod
     return Pipeline(stages=[*encoder_stages(encode), VectorAssembler(inputCols=[*blocks, *rest], outputCol=out)])
 
 
+# What a model reaches on the way to its largest value: one fit is scored at all values of it.
+PATHS = {"gb": "trees", "rf": "depth", "dense": "epochs"}
+
+
 def grid_search(
     train: DataFrame,
     features: Sequence[str],
     label: str,
     labels: Sequence[str],
-    classifier: Estimator,
+    kind: str,
     grid: Mapping[str, Sequence[object]],
     order: Sequence[str],
     bucket: Sequence[str],
     folds: int = 3,
-    parallelism: int = 2,
+    params: Mapping[str, object] | None = None,
 ) -> tuple[DataFrame, Mapping[str, object]]:
     """Mean and deviation of the accuracy per parameter combination, and the best combination.
 
-    Folds are consecutive thirds of each class, cut by position. A combination the engine can't
-    grow is listed with NULL scores and the reason in ``skipped``.
+    ``grid`` and ``params`` name arguments of the kind's entry in ``REGISTRY``. Folds are consecutive parts of
+    each class, cut by position. All folds share one table of prepared rows, and combinations that differ only in
+    the kind's path (``PATHS``) share one fit a fold: boosting is scored after some rounds of a longer fit, a
+    network after some epochs, a forest as cut off at a depth.
     """
-    names = list(grid)
-    wanted = [dict(zip(names, values)) for values in itertools.product(*grid.values())]
-    deep = [w for w in wanted if w.get("maxDepth", 0) > MAX_TREE_DEPTH]
-    combinations = [{classifier.getParam(n): v for n, v in w.items()} for w in wanted if w not in deep]
-    if not combinations:
-        raise ValueError(f"every combination is {TOO_DEEP}")
-    scaled = [f"{f}_scaled" for f in features]
+    path = PATHS[kind]
+    values = list(grid.get(path, [{**(params or {})}.get(path)]))
+    others = [n for n in grid if n != path]
+    rest = [dict(zip(others, v)) for v in itertools.product(*[grid[n] for n in others])]
+    most = {} if values == [None] else {path: max(values)}
     folded = class_folds(train, label, order, bucket, folds)
-    ready = Pipeline(stages=[
-        MinMaxColumns(inputCols=list(features), outputCols=scaled),
-        VectorAssembler(inputCols=scaled, outputCol="features"),
-        StringIndexerModel.from_labels(sorted(labels), inputCol=label, outputCol="label_index", handleInvalid="error"),
-    ]).fit(folded).transform(folded).select("features", F.col("label_index").alias("label"), "fold")
-    search = CrossValidator(
-        estimator=classifier, estimatorParamMaps=combinations, numFolds=folds, foldCol="fold", parallelism=parallelism,
-        evaluator=MulticlassClassificationEvaluator(metricName="accuracy"),
-    ).fit(ready)
-    shown = lambda c: ", ".join(f"{n}={v}" for n, v in sorted(c.items()))
-    rows = [
-        (shown({p.name: v for p, v in c.items()}), float(m), float(s), None)
-        for c, m, s in zip(combinations, search.avgMetrics, search.stdMetrics)
-    ]
-    best = combinations[max(range(len(rows)), key=lambda i: rows[i][1])]
-    rows += [(shown(w), None, None, TOO_DEEP) for w in deep]
-    table = train.sparkSession.createDataFrame(rows, "params string, mean_score double, sd_score double, skipped string")
-    return table, {p.name: v for p, v in best.items()}
+    pipelines = [label_pipeline(kind, features, labels, label, params={**(params or {}), **most, **r}) for r in rest]
+    _, (rows,) = pipelines[0].prepared(folded)
+    found: dict[tuple, list[float]] = {}
+    shared = None
+    for r, pipeline in zip(rest, pipelines):
+        classifier = pipeline.pipeline.getStages()[-2]
+        if shared is None:
+            shared = classifier.pieces(rows, "fold") if kind == "dense" else classifier.bins(rows, F.col("fold"))
+        settings = getattr(classifier, "settings")
+        for fold in range(folds):
+            if kind == "gb":
+                marks = values if most else [settings["rounds"]]
+                seen = boost(shared, **settings, held_out=fold, checks=marks)[1]
+            elif kind == "rf":
+                marks = values if most else [settings["depth"]]
+                groups = grow_forest(shared, **settings, held_out=fold)
+                seen = held_out_accuracy(shared, Ensemble(shared.edges, len(labels), groups, False), fold, marks)
+            else:
+                marks = values if most else [settings.epochs]
+                seen = fit_network(*shared, classifier.sizes, settings, fold, step=settings.epochs, checks=marks)[1]
+            for value, mark in zip(values, marks):
+                found.setdefault((*r.items(), *([(path, value)] if most else [])), []).append(seen[mark])
+    shown = lambda c: ", ".join(f"{n}={v}" for n, v in sorted(c))
+    scores = [(shown(c), float(np.mean(s)), float(np.std(s))) for c, s in found.items()]
+    best = list(found)[max(range(len(scores)), key=lambda i: scores[i][1])]
+    table = train.sparkSession.createDataFrame(scores, "params string, mean_score double, sd_score double")
+    return table, dict(best)
 
 
 def class_folds(df: DataFrame, label: str, order: Sequence[str], bucket: Sequence[str], folds: int) -> DataFrame:

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import numpy as np
-from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import PCAModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
@@ -15,6 +14,7 @@ from trackframe.operators.scoring import reply_json as add_reply
 from trackframe.operators.stats import accuracy
 from trackframe.plans import training
 from trackframe.plans.dataset import run as run_builder
+from trackframe.plans.trees import tree_depths
 from trackframe.registry.rows import DEDUPE, CUTOFF
 from trackframe.registry.tables import (
     EVENTS_SQL, ITEM_FEATURES, ITEM_ID, ITEM_SPEC, ITEM_VOCABULARY, ITEMS_SQL, Registry, embeddings, events, items, table,
@@ -109,6 +109,15 @@ def rule_model(rows, kind, params):
 FOREST = {"trees": 15, "depth": 6, "share": 1.0}
 
 
+def with_lost(spark, folder):
+    """Graded events, every eleventh without its first number (NULL or NaN), which makes it a class of its own."""
+    lost = F.col("event_id") % 11 == 5
+    return graded(spark, folder).withColumns({
+        "v": F.when(~lost, F.col("v")).when(F.col("event_id") % 2 == 0, F.lit(float("nan"))),
+        "label": F.when(lost, "lost").otherwise(F.col("label")),
+    })
+
+
 @registry.add("rf_classify", f"with {RULE_SQL} select event_id, label, label as predicted_label from rule")
 def rf_classify(spark, folder):
     rows = graded(spark, folder)
@@ -126,16 +135,43 @@ def gb_classify(spark, folder):
  select event_id, label, label as predicted_label from m""")
 def gb_missing(spark, folder):
     """A missing number is a value of its own to trees: here it is a class."""
-    lost = F.col("event_id") % 11 == 5
-    rows = graded(spark, folder).withColumns({
-        "v": F.when(~lost, F.col("v")).when(F.col("event_id") % 2 == 0, F.lit(float("nan"))),
-        "label": F.when(lost, "lost").otherwise(F.col("label")),
-    })
+    rows = with_lost(spark, folder)
     train = random_split(rows, ["event_id"]).where("split = 'train'")
     model = training.label_pipeline("gb", ["v", "q"], [*RULE_LABELS, "lost"], params={"trees": 4, "depth": 4, "rate": 0.3}).fit(train)
     return model.transform(rows).select("event_id", "label", "predicted_label")
 
 
+@registry.add("gb_softmax", f"""with {RULE_SQL}, m as (select event_id, case when event_id % 11 = 5 then 'lost' else label end as label from rule)
+ select event_id, label, label as predicted_label, true as stopped_early from m""")
+def gb_softmax(spark, folder):
+    """One ensemble for four classes, two of them told by what is missing, that ends when dev rows no longer profit."""
+    rows = with_lost(spark, folder)
+    split = random_split(rows, ["event_id"])
+    train, dev = split.where("split = 'train'"), split.where("split = 'dev'")
+    pipeline = training.label_pipeline("gb", ["v", "q"], [*RULE_LABELS, "lost"], params={"trees": 200, "depth": 3})
+    model, seen = pipeline.fit_with_dev(train, dev, patience=10)
+    stopped = F.lit(len(seen) < 20 and max(seen) == seen[0] == 1.0)
+    return model.transform(rows).select("event_id", "label", "predicted_label", stopped.alias("stopped_early"))
+
+
+# Numbers of 70 groups, told by 70 flags. Odd and even ones take turns, so a split peels off one number at a time, and
+# 35 of them must go before the rest is of one class.
+FLAGS = 70
+
+
+@registry.add("rf_deep", f"""select event_id, case when event_id % {FLAGS} % 2 = 0 then 'even' else 'odd' end as label,
+ case when event_id % {FLAGS} % 2 = 0 then 'even' else 'odd' end as predicted_label, true as deeper_than_30 from events""")
+def rf_deep(spark, folder):
+    """A rule that no tree of 30 levels can hold."""
+    k = F.col("event_id") % FLAGS
+    rows = events(spark, folder).select("event_id", F.when(k % 2 == 0, "even").otherwise("odd").alias("label"), *[(k == i).cast("double").alias(f"f{i}") for i in range(FLAGS)])
+    train = random_split(rows, ["event_id"]).where("split = 'train'")
+    model = training.label_pipeline("rf", [f"f{i}" for i in range(FLAGS)], ["even", "odd"], params={"trees": 3, "depth": 60, "share": 1.0}).fit(train)
+    forest = model.stages[-2].ensemble
+    deep = min(tree_depths(g).max() for g in forest.groups) > 30
+    return model.transform(rows).select("event_id", "label", "predicted_label", F.lit(bool(deep)).alias("deeper_than_30"))
+
+
 @registry.add("mlp_classify", f"with {RULE_SQL} select event_id, label, label as predicted_label from rule")
 def mlp_classify(spark, folder):
     rows = graded(spark, folder)
@@ -143,19 +179,37 @@ def mlp_classify(spark, folder):
     return model.transform(rows).select("event_id", "label", "predicted_label")
 
 
+@registry.add("mlp_deep", f"with {RULE_SQL} select event_id, label, label as predicted_label from rule")
+def mlp_deep(spark, folder):
+    """Twelve layers of weights, stopped on dev rows."""
+    rows = graded(spark, folder)
+    split = random_split(rows, ["event_id"])
+    pipeline = training.label_pipeline("dense", ["v", "q"], RULE_LABELS, params={"hidden": [24] * 11, "epochs": 400, "rate": 0.002})
+    model, _ = pipeline.fit_with_dev(split.where("split = 'train'"), split.where("split <> 'train'"), patience=60, step=10)
+    return model.transform(rows).select("event_id", "label", "predicted_label")
+
+
 @registry.add("grid_search", """select * from (values
-  ('impurity=entropy, maxDepth=1', false, null), ('impurity=gini, maxDepth=1', false, null),
-  ('impurity=entropy, maxDepth=4', true, null), ('impurity=gini, maxDepth=4', true, null),
-  ('impurity=entropy, maxDepth=35', null, 'deeper than the engine grows'),
-  ('impurity=gini, maxDepth=35', null, 'deeper than the engine grows')) t(params, perfect, skipped)""")
+  ('depth=1, impurity=entropy', false), ('depth=1, impurity=gini', false), ('depth=4, impurity=entropy', true),
+  ('depth=4, impurity=gini', true), ('depth=35, impurity=entropy', true), ('depth=35, impurity=gini', true)) t(params, perfect)""")
 def grid_search(spark, folder):
-    """One split can't tell the rule, four levels can, and what is too deep is listed."""
-    forest = RandomForestClassifier(numTrees=3, featureSubsetStrategy="all", seed=42)
+    """One split can't tell the rule, four levels can; no level is too deep."""
+    table, _ = training.grid_search(
+        graded(spark, folder), ["v", "q"], "label", RULE_LABELS, "rf", {"depth": [1, 4, 35], "impurity": ["entropy", "gini"]},
+        ["event_id"], ["bucket"], params={"trees": 3, "share": 1.0},
+    )
+    return table.select("params", (F.col("mean_score") == 1).alias("perfect"))
+
+
+@registry.add("grid_boost", """select 'depth=' || d || ', rate=' || r || ', trees=' || t as params, true as perfect
+ from (values (3), (5)) a(d), (values ('0.3'), ('0.9')) b(r), (values (2), (4)) c(t)""")
+def grid_boost(spark, folder):
+    """Every combination of boosting, with missing numbers; both numbers of rounds come from one fit a fold."""
     table, _ = training.grid_search(
-        graded(spark, folder), ["v", "q"], "label", RULE_LABELS, forest,
-        {"maxDepth": [1, 4, 35], "impurity": ["entropy", "gini"]}, ["event_id"], ["bucket"],
+        with_lost(spark, folder), ["v", "q"], "label", [*RULE_LABELS, "lost"], "gb",
+        {"trees": [2, 4], "depth": [3, 5], "rate": [0.3, 0.9]}, ["event_id"], ["bucket"],
     )
-    return table.select("params", (F.col("mean_score") == 1).alias("perfect"), "skipped")
+    return table.select("params", (F.col("mean_score") == 1).alias("perfect"))
 
 
 @registry.add("pca_stage", """select count(*) as rows, 4 as components, true as orthonormal, true as falling, true as variance_agrees

@@ -16,14 +16,16 @@ from trackframe.session import builder, owned_scratch, stage
 from trackframe.sources.files import BUCKET, ORDER, scan_dataset
 from trackframe.spec import TRACK, TRACK_VOCABULARY, FeatureSpec, Vocabulary
 
-# The parameter grids searched per model kind. Depths beyond what the engine grows are
-# listed in the result without a score. Batch size and optimizer have no counterpart: Spark's network
-# is fitted by L-BFGS over all rows.
+# The parameter grids searched per model kind.
 GRIDS = {
-    "gb": {"maxIter": [1000, 3500, 5000, 10000], "maxDepth": [3, 6, 9, 12, 15], "stepSize": [0.3, 0.7, 0.9]},
-    "rf": {"maxDepth": [26, 29, 32, 35, 38]},
-    "dense": {"maxIter": [25, 50, 75, 100, 125, 150, 175, 200, 225, 250, 275, 300, 325, 350, 375, 400]},
+    "gb": {"trees": [1000, 3500, 5000, 10000], "depth": [3, 6, 9, 12, 15], "rate": [0.3, 0.7, 0.9]},
+    "rf": {"depth": [26, 29, 32, 35, 38]},
+    "dense": {"epochs": [25, 50, 75, 100, 125, 150, 175, 200, 225, 250, 275, 300, 325, 350, 375, 400]},
 }
+# What a search holds fixed besides.
+SEARCH_PARAMS: dict[str, dict[str, object]] = {}
+# Rounds of boosting and epochs of a network without better accuracy on dev rows, after which training ends.
+PATIENCE = {"gb": 50, "dense": 20}
 
 
 def model_features(kind: str, spec: FeatureSpec = TRACK) -> list[str]:
@@ -47,7 +49,7 @@ def split_dataset(
 def fit(
     kind: str, train: DataFrame, spec: FeatureSpec = TRACK, vocabulary: Vocabulary = TRACK_VOCABULARY, dev: DataFrame | None = None, **params
 ):
-    """A fitted model; a network with ``dev`` rows stops when they no longer profit."""
+    """A fitted model; with ``dev`` rows a network or boosting stops when they no longer profit."""
     features = model_features(kind, spec)
     if kind == "knn":
         return training.NearestNeighbourModel.fit(train, features, "label", "row_id")
@@ -61,9 +63,9 @@ def fit(
         pipeline = training.label_pipeline("dense", names, vocabulary.labels, params=params, scaler=scaler)
     else:
         pipeline = training.label_pipeline(kind, features, vocabulary.labels, params=params)
-    if dev is None or kind in training.TREES:
+    if dev is None or kind == "rf":
         return pipeline.fit(train)
-    return pipeline.fit_with_dev(train, dev)[0]
+    return pipeline.fit_with_dev(train, dev, PATIENCE.get(kind, PATIENCE["dense"]))[0]
 
 
 def split_windows(
@@ -131,10 +133,8 @@ def _run(spark: SparkSession, args: argparse.Namespace) -> None:
     if args.grid_search:
         if kind not in GRIDS:
             raise SystemExit(f"there is no parameter grid for {kind}")
-        features, labels = model_features(kind), TRACK_VOCABULARY.labels
-        classifier = training.REGISTRY[kind](len(features), len(labels))
         table, best = training.grid_search(
-            parts["train"], features, "label", labels, classifier, GRIDS[kind], ORDER, BUCKET
+            parts["train"], model_features(kind), "label", TRACK_VOCABULARY.labels, kind, GRIDS[kind], ORDER, BUCKET, params=SEARCH_PARAMS.get(kind)
         )
         show_all(table.orderBy(F.desc_nulls_last("mean_score")))
         print("best:", best)
