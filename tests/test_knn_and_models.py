@@ -154,6 +154,28 @@ def test_queries_meet_each_block_once_where_cells_do_not_prune(spark):
     assert "cell" in plan and plan.count("MapInArrow") == 0  # nothing was routed to cells
 
 
+def test_clusters_in_many_dimensions_are_pruned(spark):
+    rng = np.random.default_rng(9)
+    centres = rng.normal(0, 3, (40, 48))
+    train = [(i, str(i % 40), centres[i % 40] + rng.normal(0, 0.2, 48)) for i in range(4000)]
+    test = [(i, centres[i % 40] + rng.normal(0, 0.2, 48)) for i in range(200)] + [(500, rng.normal(0, 3, 48))]
+    found = knn1(*frames(spark, train, test), "id", "label", "id", "x", compared=True).collect()
+    assert {r.qid: (r.neighbour, r.label) for r in found} == brute(train, test)
+    assert sum(r.compared for r in found) < 0.1 * len(train) * len(test)
+
+
+def test_probing_further_buckets_reaches_the_promised_recall(spark):
+    rng = np.random.default_rng(10)
+    train = [(i, str(i), rng.normal(size=24)) for i in range(1500)]
+    test = [(i, rng.normal(size=24)) for i in range(150)]
+    want = brute(train, test)
+    share = {}
+    for recall in (0.5, 0.97):
+        got = knn_lsh(*frames(spark, train, test), "id", "label", "id", "x", bucket_length=0.2, tables=3, recall=recall).collect()
+        share[recall] = sum(r.neighbour == want[r.qid][0] for r in got) / len(test)
+    assert share[0.97] >= 0.95 and share[0.97] >= share[0.5] >= 0.4
+
+
 def test_reduction_and_encoding(spark, parts):
     reduced = training.label_pipeline("rf", ["p", "q", "r"], CLASSES.labels, components=2, params={"trees": 4, "depth": 4})
     assert training.accuracy(training.evaluate(reduced.fit(parts["train"]).transform(parts["test"]))).first().accuracy > 0.9

@@ -248,7 +248,7 @@ class NearestNeighbourModel:
         rows = scaler.transform(train).select(
             F.col(row_id).alias("_tid"), F.col(label).alias("label"), cls._vector(scaler).alias("x")
         )
-        return cls(scaler, rows)
+        return cls(scaler, stage(rows, "neighbours"))
 
     @staticmethod
     def _vector(scaler: MinMaxColumnsModel) -> Column:
