@@ -3,6 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from trackframe.operators import position
 from trackframe.operators.logs import log_records, phase_split
 from trackframe.session import attach
 from trackframe.operators.position import cut_points, neighbour, number_rows, running_totals
@@ -116,3 +117,36 @@ def test_joins_without_broadcast_give_the_same_rows(spark):
     for how in ("inner", "left", "left_anti", "left_semi"):
         plain, salted = (sorted(tuple(r) for r in attach(rows, small, ["k"], how, n).fillna(-1).collect()) for n in (100, 5))
         assert plain == salted, how
+
+
+@pytest.mark.parametrize("level", [20, 100])
+def test_sums_of_sums_give_the_same_positions(spark, rows, monkeypatch, level):
+    """Tiny buckets, and levels of a few rows: the same results, and no range larger than a level."""
+    data, df = rows
+    sizes = []
+    real = position._ranges
+
+    def watched(table, group, bucket):
+        found, part = real(table, group, bucket)
+        if part:
+            sizes.append(found.groupBy(part).count().agg(F.max("count")).first()[0])
+        else:
+            sizes.append(found.count())
+        return found, part
+
+    monkeypatch.setattr(position, "LEVEL_ROWS", level)
+    monkeypatch.setattr(position, "_ranges", watched)
+    df = df.withColumn("b", F.floor(F.col("k") / 3))
+    numbered = {(r.g, r.k): (r._rn, r._n) for r in number_rows(df, ["g"], ["k"], ["b"]).collect()}
+    near = neighbour(neighbour(df, ["g"], ["k"], ["b"], F.col("k"), "prev"), ["g"], ["k"], ["b"], F.col("k"), "next", step=1)
+    near = {(r.g, r.k): (r.prev, r.next) for r in near.collect()}
+    sums = {(r.g, r.k): r.s for r in running_totals(df, ["g"], ["k"], ["b"], {"s": F.col("k")}).collect()}
+    cuts = {r.g: r.half.k for r in cut_points(df, ["g"], ["k"], ["b"], {"half": F.expr("_n div 2")}).collect()}
+    for g, items in by_group(data).items():
+        ks = [k for k, _ in items]
+        assert cuts[g] == ks[len(ks) // 2 - 1]
+        for i, k in enumerate(ks):
+            assert numbered[g, k] == (i + 1, len(ks))
+            assert near[g, k] == (ks[i - 1] if i else None, ks[i + 1] if i + 1 < len(ks) else None)
+            assert sums[g, k] == sum(ks[: i + 1])
+    assert max(sizes) <= level

@@ -3,7 +3,9 @@
 A plain window over a group puts the whole group into one task. Here a group is cut into
 buckets by an expression that never decreases along the order key (a file split, a key range,
 a hash prefix). Rows only ever meet inside one bucket; what crosses buckets is one row per
-(group, bucket), which is aggregated before it is shuffled.
+(group, bucket), which is aggregated before it is shuffled. Where these rows are many, they are
+cut into ranges of bounded size and the same is done with one row per (group, range), level by
+level, so that no window grows with the table.
 """
 
 from __future__ import annotations
@@ -13,23 +15,61 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from trackframe.session import bounded
+from trackframe.session import bounded, stage
+
+
+# Rows of one level that windows run over at once; more are cut into ranges of half as many.
+LEVEL_ROWS = 10_000
+
+
+def _ranges(rows: DataFrame, group: Sequence[str], bucket: Sequence[str]) -> tuple[DataFrame, str | None]:
+    """The rows, staged; if they are many, with a column that numbers consecutive ranges of their order."""
+    rows = stage(rows, "buckets")
+    n = rows.count()
+    if n <= LEVEL_ROWS:
+        return rows, None
+    name = "_range" if "_range" not in rows.columns else "_wider_range"
+    cut = rows.repartitionByRange(-(-2 * n // LEVEL_ROWS), *group, *bucket)
+    return stage(cut.withColumn(name, F.spark_partition_id()), "ranges"), name
 
 
 def bucket_totals(
     df: DataFrame, group: Sequence[str], bucket: Sequence[str], measures: Mapping[str, Column]
 ) -> DataFrame:
     """Sum ``measures`` per bucket; adds ``<name>_before`` (earlier buckets) and ``<name>_all``."""
-    sums = df.groupBy(*group, *bucket).agg(*[F.sum(m).alias(n) for n, m in measures.items()])
-    whole = Window.partitionBy(*group)
-    earlier = whole.orderBy(*bucket).rowsBetween(Window.unboundedPreceding, -1)
-    return sums.select(
-        "*",
-        *[F.coalesce(F.sum(n).over(earlier), F.lit(0)).alias(f"{n}_before") for n in measures],
-        *[F.sum(n).over(whole).alias(f"{n}_all") for n in measures],
+    return _totals(df.groupBy(*group, *bucket).agg(*[F.sum(m).alias(n) for n, m in measures.items()]), group, bucket, list(measures))
+
+
+def _totals(sums: DataFrame, group: Sequence[str], bucket: Sequence[str], names: Sequence[str]) -> DataFrame:
+    rows, part = _ranges(sums, group, bucket)
+    near = Window.partitionBy(*group, *([part] if part else []))
+    earlier = near.orderBy(*bucket).rowsBetween(Window.unboundedPreceding, -1)
+    before = {n: F.coalesce(F.sum(n).over(earlier), F.lit(0)) for n in names}
+    if part is None:
+        return rows.select("*", *[b.alias(f"{n}_before") for n, b in before.items()], *[F.sum(n).over(near).alias(f"{n}_all") for n in names])
+    keys = [*group, part]
+    above = _totals(rows.groupBy(*keys).agg(*[F.sum(n).alias(n) for n in names]), group, [part], names).drop(*names)
+    rows = rows.select("*", *[b.alias(f"_{n}_here") for n, b in before.items()]).join(above, keys)
+    return rows.select(
+        *sums.columns, *[(F.col(f"_{n}_here") + F.col(f"{n}_before")).alias(f"{n}_before") for n in names], *[f"{n}_all" for n in names]
     )
 
 
+def _edges(edges: DataFrame, group: Sequence[str], bucket: Sequence[str], step: int) -> DataFrame:
+    """``_edge`` of the bucket before (``step=-1``) or after each bucket."""
+    rows, part = _ranges(edges, group, bucket)
+    move = F.lag if step < 0 else F.lead
+    near = Window.partitionBy(*group, *([part] if part else [])).orderBy(*bucket)
+    moved = rows.select(*group, *bucket, *([part] if part else []), move("_edge").over(near).alias("_edge"))
+    if part is None:
+        return moved
+    keys = [*group, part]
+    pick = F.max_by if step < 0 else F.min_by
+    ends = rows.groupBy(*keys).agg(pick("_edge", F.struct(*bucket)).alias("_edge"))
+    above = _edges(ends, group, [part], step).withColumnRenamed("_edge", "_far")
+    return moved.join(above, keys).select(*group, *bucket, F.coalesce("_edge", "_far").alias("_edge"))
+
+
 def number_rows(
     df: DataFrame,
     group: Sequence[str],
@@ -110,10 +150,8 @@ def neighbour(
     keys = [*group, *bucket]
     df = df.withColumn("_v", F.struct(value.alias("v")))
     pick = F.max_by if step < 0 else F.min_by
-    edges = df.groupBy(*keys).agg(pick("_v", F.struct(*order)).alias("_edge"))
-    across = Window.partitionBy(*group).orderBy(*bucket)
+    edges = _edges(df.groupBy(*keys).agg(pick("_v", F.struct(*order)).alias("_edge")), group, bucket, step)
     move = F.lag if step < 0 else F.lead
-    edges = edges.select(*keys, move("_edge").over(across).alias("_edge"))
     local = Window.partitionBy(*keys).orderBy(*order)
     return (
         df.withColumn("_near", move("_v").over(local))
