@@ -89,6 +89,34 @@ def test_profile_with_tables_too_large_to_broadcast(spark, skewed, monkeypatch):
         assert got[label, 0.5] == pytest.approx(rows.v.median())
 
 
+def test_profile_of_infinite_and_alike_values(spark):
+    inf = float("inf")
+    values = {"a": [inf, 1.0, -inf, 0.0, -0.0, 5e-324, 1.7976931348623157e308], "b": [2.0] * 50, "c": [-(2.0**k) for k in range(-20, 20)], "d": [3.5]}
+    df = spark.createDataFrame([(k, v) for k, own in values.items() for v in own], "label string, v double")
+    got = {(r.label, r.percentile): r for r in stats.profile(df, "label", ["v"], [0.0, 0.25, 0.5, 1.0]).collect()}
+    for label, own in values.items():
+        for p in (0.0, 0.25, 0.5, 1.0):
+            with np.errstate(invalid="ignore"):
+                want = np.percentile(own, p * 100)
+            low, high = sorted(own)[int(np.floor(p * (len(own) - 1)))], sorted(own)[int(np.ceil(p * (len(own) - 1)))]
+            assert got[label, p].value == (low if low == high else pytest.approx(want))
+    assert got["b", 0.5].sd == 0 and got["d", 0.5].sd is None
+    assert got["c", 0.5].sd == pytest.approx(np.std(values["c"], ddof=1))
+
+
+def test_sketches_of_parts_merge(spark, skewed):
+    pdf, df = skewed
+    stored = None
+    for part in range(3):
+        own = stats.sketches(df.where(F.col("id") % 3 == part), "label", ["v", "w"], 2048)
+        stored = own if stored is None else stored.unionByName(own)
+    for r in stats.sketched_percentiles(stats.merged_sketches(stored, "label"), "label", [0.1, 0.5, 0.9]).collect():
+        own = np.sort(pdf[pdf.label == r.label][r.feature])
+        assert (r.n, r.lowest, r.highest) == (len(own), own[0], own[-1])
+        rank, slack = r.percentile * len(own), 0.005 * len(own) + 1
+        assert np.searchsorted(own, r.value) <= rank + slack and np.searchsorted(own, r.value, "right") >= rank - slack
+
+
 def sequential(pdf, columns, k, minimum):
     for c in columns:
         mean, sd = pdf[c].mean(), pdf[c].std()

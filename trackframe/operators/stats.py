@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
-from trackframe.session import attach, bounded
+from trackframe.session import bounded, stage
 
 # The percentiles of a class profile.
 PROFILE_PERCENTILES = (0.01, 0.05, 0.1, 0.25, 0.5, 0.75, 0.9, 0.95, 0.99, 0.999, 0.9999)
@@ -68,91 +68,100 @@ def profile_approx(
     )
 
 
-def profile(
-    df: DataFrame, label: str, columns: Sequence[str], percentiles: Sequence[float] = PROFILE_PERCENTILES, accuracy: int = 10_000
-) -> DataFrame:
-    """Exact percentiles with linear interpolation, per class, feature and percentile.
+def sketches(df: DataFrame, label: str, columns: Sequence[str], k: int = 4096) -> DataFrame:
+    """One row per class and feature to be stored beside a file: counts, sums and a mergeable quantile sketch.
 
-    Three passes for any distribution: sketched percentiles bracket each rank, the values below and
-    next to the brackets are counted, and the distinct values inside, few by the sketch's promise,
-    are ranked. A rank that no bracket holds is searched by histograms.
+    A larger ``k`` makes ranks more exact: they are off by some ``2.3 / k ** 0.9`` of the rows.
     """
-    long, keys = _long(df, label, columns), [label, "feature"]
-    slack = 2 / accuracy
-    ends = [max(p - slack, 0.0) for p in percentiles] + [min(p + slack, 1.0) for p in percentiles]
-    sketch = F.percentile_approx("value", F.array(*[F.lit(p) for p in ends]), accuracy).alias("_q")
-    stats = bounded(long.groupBy(*keys).agg(*_summary(), sketch))
-    m = len(percentiles)
-    index = F.explode(F.array(*[F.struct(F.lit(i).alias("_i"), F.lit(p).alias("percentile")) for i, p in enumerate(percentiles)])).alias("_p")
-    wanted = stats.select("*", index).withColumns({
-        "_i": F.col("_p._i"), "percentile": F.col("_p.percentile"), "_pos": (F.col("n") - 1) * F.col("_p.percentile"),
-    }).withColumns({"_low": F.floor("_pos"), "_high": F.ceil("_pos")}).drop("_p", "_q")
-    ranks = wanted.select(*keys, "_i", F.explode(F.array("_low", "_high")).alias("rank"), "lowest", "highest").distinct()
-
-    low, high = [F.col("_q")[i] for i in range(m)], [F.col("_q")[m + i] for i in range(m)]
-    bracketed = long.join(stats.select(*keys, "_q"), keys)
-    value = F.col("value")
-    sides = F.array(*[
-        F.struct(
-            F.lit(i).alias("_i"), F.count_if(value < low[i]).alias("below"), F.max(F.when(value < low[i], value)).alias("before"),
-            F.min(F.when(value > high[i], value)).alias("after"), F.count_if(value.between(low[i], high[i])).alias("inside"),
-        )
-        for i in range(m)
-    ])
-    around = bounded(bracketed.groupBy(*keys).agg(sides.alias("_s")).select(*keys, F.inline("_s")))
-    held = F.filter(F.array(*[F.lit(i) for i in range(m)]), lambda i: value.between(F.element_at("_q", i + 1), F.element_at("_q", i + 1 + m)))
-    inside = bracketed.select(*keys, "value", F.explode(held).alias("_i")).groupBy(*keys, "_i", "value").agg(F.count("*").alias("c"))
-    earlier = Window.partitionBy(*keys, "_i").orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
-    inside = inside.withColumn("first", F.coalesce(F.sum("c").over(earlier), F.lit(0)))
-
-    placed = ranks.join(around, [*keys, "_i"]).withColumn("_in", F.col("rank") - F.col("below"))
-    hit = placed.join(inside.withColumnRenamed("value", "_v"), [*keys, "_i"], "left").where(
-        (F.col("_in") >= F.col("first")) & (F.col("_in") < F.col("first") + F.col("c"))
-    ).select(*keys, "_i", "rank", F.col("_v").alias("value"))
-    beside = F.when(F.col("_in") == -1, F.col("before")).when(F.col("_in") == F.col("inside"), F.col("after"))
-    next_to = placed.where((F.col("_in") == -1) | (F.col("_in") == F.col("inside"))).select(*keys, "_i", "rank", beside.alias("value"))
-    found = bounded(hit.unionByName(next_to))
-    missed = bounded(ranks.join(found.select(*keys, "_i", "rank"), [*keys, "_i", "rank"], "left_anti"))
-    if not missed.isEmpty():
-        rest = _values_at(long, keys, missed.select(*keys, "rank", "lowest", "highest").distinct())
-        found = found.unionByName(missed.join(rest, [*keys, "rank"]).select(*found.columns))
-    below = found.select(*keys, "_i", F.col("rank").alias("_low"), F.col("value").alias("_lv"))
-    above = found.select(*keys, "_i", F.col("rank").alias("_high"), F.col("value").alias("_hv"))
-    interpolated = F.col("_lv") + (F.col("_hv") - F.col("_lv")) * (F.col("_pos") - F.col("_low"))
-    return wanted.join(below, [*keys, "_i", "_low"]).join(above, [*keys, "_i", "_high"]).select(
-        *keys, "n", "mean", "sd", "lowest", "highest", "percentile", interpolated.alias("value")
+    return _long(df, label, columns).groupBy(label, "feature").agg(
+        F.count("value").alias("n"), F.sum("value").alias("total"), F.min("value").alias("lowest"), F.max("value").alias("highest"),
+        F.kll_sketch_agg_double("value", k).alias("sketch"),
+    )
+
+
+def merged_sketches(stored: DataFrame, label: str) -> DataFrame:
+    """Rows of :func:`sketches` of several files as those of all their rows; no row of data is read again."""
+    return stored.groupBy(label, "feature").agg(
+        F.sum("n").alias("n"), F.sum("total").alias("total"), F.min("lowest").alias("lowest"), F.max("highest").alias("highest"),
+        F.kll_merge_agg_double("sketch").alias("sketch"),
     )
 
 
-def _values_at(long: DataFrame, keys: Sequence[str], ranks: DataFrame) -> DataFrame:
-    """``keys, rank, value``: the values at given ranks (from 0) of each group.
+def sketched_percentiles(stored: DataFrame, label: str, percentiles: Sequence[float] = PROFILE_PERCENTILES) -> DataFrame:
+    """Count, mean, range and percentiles, per class, feature and percentile, from stored sketches."""
+    points = [F.struct(F.lit(p).alias("percentile"), F.kll_sketch_get_quantile_double("sketch", F.lit(p)).alias("value")) for p in percentiles]
+    return stored.withColumn("_p", F.explode(F.array(*points))).select(
+        label, "feature", "n", (F.col("total") / F.col("n")).alias("mean"), "lowest", "highest", "_p.*"
+    )
+
+
+def _octave(value: Column) -> Column:
+    """A slot number that never falls as the value grows: sixteen slots for each doubling, on both sides of zero."""
+    size = F.abs(value)
+    power = F.least(F.floor(F.log2(size)), F.lit(1023))
+    slot = (power + 1100) * 16 + F.floor((size / F.pow(F.lit(2.0), power) - 1) * 16)
+    slot = F.when(size == float("inf"), F.lit(40_000)).otherwise(slot)
+    return F.when(value == 0, F.lit(0)).when(value > 0, slot).otherwise(-slot).cast("long")
+
 
-    Nothing is sorted and no group is gathered: a histogram of the span that holds a rank finds
-    the bucket that holds it, whose smallest and largest value are the next span, until both are
-    equal. A round is one narrow aggregation and divides a span by ``HISTOGRAM_BUCKETS``.
+def profile(
+    df: DataFrame, label: str, columns: Sequence[str], percentiles: Sequence[float] = PROFILE_PERCENTILES
+) -> DataFrame:
+    """Exact percentiles with linear interpolation, per class, feature and percentile.
+
+    Distributed selection: all values are counted by slots of their size, which also gives mean and deviation;
+    the slots that hold a wanted rank are cut into ``HISTOGRAM_BUCKETS`` parts and counted again, all
+    percentiles of all features at once, until a part holds one value. Only values of these slots are read in
+    the next round. No group is sorted, and no window holds more rows than there are slots.
     """
-    spans = bounded(ranks.select(*keys, "rank", F.col("lowest").alias("lo"), F.col("highest").alias("hi"),
-                                 F.lit(0).cast("long").alias("before")))
-    while True:
-        unsettled = spans.where("lo <> hi")
-        if unsettled.isEmpty():
-            return spans.select(*keys, "rank", F.col("lo").alias("value"))
+    keys = [label, "feature"]
+    rows = stage(_long(df, label, columns), "values")
+    rows = rows.withColumns({"span": F.lit(0.0), "slot": _octave(F.col("value"))})
+    # Deviations from the slot's mean, so that the sum of squares loses no digits.
+    more = [F.avg("value").alias("mean"), F.var_pop("value").alias("spread")]
+    counted = stage(_counted(rows, keys, more), "slots")
+    whole = counted.groupBy(*keys).agg(F.sum("c").alias("n"), (F.sum(F.col("mean") * F.col("c")) / F.sum("c")).alias("mean"), F.min("lo").alias("lowest"), F.max("hi").alias("highest"))
+    apart = counted.select(*keys, "c", F.col("mean").alias("_m"), "spread").join(whole.select(*keys, "mean"), keys)
+    squares = F.sum(F.col("c") * (F.col("spread") + (F.col("_m") - F.col("mean")) ** 2))
+    deviations = apart.groupBy(*keys).agg(F.when(F.sum("c") > 1, F.sqrt(squares / (F.sum("c") - 1))).alias("sd"))
+    stats = bounded(whole.join(deviations, keys))
+    wanted = stats.withColumn("percentile", F.explode(F.array(*[F.lit(p) for p in percentiles])))
+    wanted = wanted.withColumn("_pos", (F.col("n") - 1) * F.col("percentile")).withColumns({"_low": F.floor("_pos"), "_high": F.ceil("_pos")})
+    ranks = wanted.select(*keys, F.explode(F.array("_low", "_high")).alias("rank")).distinct()
+
+    spans = _narrowed(ranks.withColumns({"span": F.lit(0.0), "before": F.lit(0).cast("long")}), counted, keys)
+    settled = spans.where("lo = hi")
+    while not (open := spans.where("lo <> hi")).isEmpty():
+        parts = bounded(open.select(*keys, "span", "slot", "lo", "hi").distinct())
         # Halved, so that the width of a span cannot overflow.
         share = (F.col("value") / 2 - F.col("lo") / 2) / (F.col("hi") / 2 - F.col("lo") / 2)
-        slot = F.least(F.floor(share * HISTOGRAM_BUCKETS), F.lit(HISTOGRAM_BUCKETS - 1)).alias("slot")
-        inside = attach(long, unsettled.select(*keys, "lo", "hi", "before").distinct(), keys)
-        counted = inside.where("value between lo and hi").groupBy(*keys, "lo", "before", slot).agg(
-            F.count("*").alias("c"), F.min("value").alias("next_lo"), F.max("value").alias("next_hi")
-        )
-        earlier = Window.partitionBy(*keys, "lo").orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)
-        start = F.col("before") + F.coalesce(F.sum("c").over(earlier), F.lit(0))
-        slots = counted.withColumn("start", start).drop("before")
-        narrowed = (
-            unsettled.select(*keys, "rank", "lo").join(slots, [*keys, "lo"])
-            .where((F.col("rank") >= F.col("start")) & (F.col("rank") < F.col("start") + F.col("c")))
-            .select(*keys, "rank", F.col("next_lo").alias("lo"), F.col("next_hi").alias("hi"), F.col("start").alias("before"))
-        )
-        spans = bounded(spans.where("lo = hi").unionByName(narrowed))
+        slot = F.least(F.floor(share * HISTOGRAM_BUCKETS), F.lit(HISTOGRAM_BUCKETS - 1))
+        rows = rows.join(parts, [*keys, "span", "slot"]).select(*keys, "value", F.col("lo").alias("span"), slot.alias("slot"))
+        rows = stage(rows, "values")
+        spans = _narrowed(open.select(*keys, "rank", F.col("lo").alias("span"), "before"), _counted(rows, keys), keys)
+        settled = settled.unionByName(spans.where("lo = hi"))
+    found = settled.select(*keys, "rank", F.col("lo").alias("value"))
+    below = found.select(*keys, F.col("rank").alias("_low"), F.col("value").alias("_lv"))
+    above = found.select(*keys, F.col("rank").alias("_high"), F.col("value").alias("_hv"))
+    # Nothing is added between equal values, so that infinite ones stay what they are.
+    between = F.when(F.col("_hv") == F.col("_lv"), 0.0).otherwise((F.col("_hv") - F.col("_lv")) * (F.col("_pos") - F.col("_low")))
+    return wanted.join(below, [*keys, "_low"]).join(above, [*keys, "_high"]).select(
+        *keys, "n", "mean", "sd", "lowest", "highest", "percentile", (F.col("_lv") + between).alias("value")
+    )
+
+
+def _counted(rows: DataFrame, keys: Sequence[str], more: Sequence[Column] = ()) -> DataFrame:
+    """Rows, smallest and largest value of every slot of every span."""
+    return rows.groupBy(*keys, "span", "slot").agg(F.count("*").alias("c"), F.min("value").alias("lo"), F.max("value").alias("hi"), *more)
+
+
+def _narrowed(ranks: DataFrame, counted: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The slot that holds each wanted rank; ``before`` counts the values of the group in front of the span."""
+    earlier = Window.partitionBy(*keys, "span").orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)
+    slots = counted.select(*keys, "span", "slot", "c", "lo", "hi", F.coalesce(F.sum("c").over(earlier), F.lit(0)).alias("start"))
+    held = F.col("rank") - F.col("before")
+    found = ranks.join(slots, [*keys, "span"]).where((held >= F.col("start")) & (held < F.col("start") + F.col("c")))
+    return stage(found.select(*keys, "rank", "span", "slot", "lo", "hi", (F.col("before") + F.col("start")).alias("before")), "spans")
 
 
 def outcome_counts(df: DataFrame, truth: str = "truth", pred: str = "pred") -> DataFrame:

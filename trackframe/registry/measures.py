@@ -57,6 +57,28 @@ def profile(spark, folder):
     return rounded(stats.profile(items(spark, folder), "label", PROFILED), "mean", "sd", "value")
 
 
+# How exact stored sketches are, and by what share of the rows their ranks may be off.
+SKETCH_K, SKETCH_SLACK = 4096, 0.0025
+
+
+@registry.add("profile_merged", f"""with p as ({profile_sql()})
+ select label, feature, n, mean, lowest, highest, percentile, true as near from p""")
+def profile_merged(spark, folder):
+    """Sketches of two deliveries, stored and merged, against the ranks of all their rows."""
+    rows = items(spark, folder)
+    halves = [stats.sketches(rows.where(F.col("l_orderkey") % 2 == i), "label", PROFILED, SKETCH_K) for i in (0, 1)]
+    stored = stage(halves[0].unionByName(halves[1]), "sketches")
+    found = stage(stats.sketched_percentiles(stats.merged_sketches(stored, "label"), "label"), "profile")
+    values = rows.select("label", *PROFILED).unpivot("label", PROFILED, "feature", "x")
+    ranked = values.join(F.broadcast(found.select("label", "feature", "percentile", "value")), ["label", "feature"]).groupBy(
+        "label", "feature", "percentile"
+    ).agg(F.count_if(F.col("x") < F.col("value")).alias("below"), F.count_if(F.col("x") <= F.col("value")).alias("up_to"))
+    wanted, slack = F.col("n") * F.col("percentile"), F.col("n") * SKETCH_SLACK + 2
+    near = (F.col("below") <= wanted + slack) & (F.col("up_to") >= wanted - slack)
+    out = found.join(ranked, ["label", "feature", "percentile"]).withColumn("near", near).drop("value", "below", "up_to")
+    return rounded(out, "mean")
+
+
 SKETCH = 10_000
 
 
