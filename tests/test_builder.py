@@ -6,8 +6,10 @@ from pyspark.sql import functions as F
 from trackframe.build import parse
 from trackframe.operators.clean import clean_rows, dedupe_first, nonzero
 from trackframe.operators.sequence import clean_windows, fixed_windows
+from trackframe.plans import dataset
 from trackframe.plans.dataset import build_dataset, run, write_dataset
 from trackframe.session import owned_scratch, stage
+from trackframe.sources import files
 from trackframe.sources.files import quarantine_files, scan_csv, unclassed_rows
 from trackframe.sources.sinks import write_families
 from trackframe.spec import TRACK, DatasetSpec, FeatureSpec, Vocabulary
@@ -203,3 +205,42 @@ def test_owned_scratch_is_removed(spark, tmp_path):
         path = kept.inputFiles()[0].removeprefix("file://").rsplit("/", 1)[0]
         assert os.path.isdir(path)
     assert not os.path.exists(path)
+
+
+def test_a_run_reads_the_text_once(spark, tmp_path, monkeypatch):
+    """Counting, cleaning and writing go on when the recordings are out of reach after they were parsed."""
+    (tmp_path / "in").mkdir()
+    path = folder(tmp_path / "in", {"a.csv": [row(i) for i in range(40)], "b.csv": [row(i, c1=2, c2=0) for i in range(30)], "long.csv": [row(1) + ",9"]})
+    real = dataset.read_sources
+
+    def read_then_hide(*args):
+        sources = real(*args)
+        (tmp_path / "in").rename(tmp_path / "out-of-reach")
+        return sources
+
+    monkeypatch.setattr(dataset, "read_sources", read_then_hide)
+    report = run(spark, spec(path, add=True, types=("11", "20"), amounts=(10, 20)), str(tmp_path / "out"))
+    assert {(r.label, r.rows_read, r.rows_written) for r in report.collect()} == {("11", 40, 10), ("20", 30, 20)}
+
+
+@pytest.mark.parametrize("cells", ["1,,NaN,NA,null,2.0,0", '"1",2,inf,-inf,1e3,2,0', "1,2,Infinity,+3, 4 ,2.5,99999999999", "1,2", "x,y,z,,,1,1", "1,\"a,b\",3,4,5,1,1"])
+def test_the_single_parse_gives_the_rows_of_the_scan(spark, tmp_path, cells):
+    path = folder(tmp_path, {"a.csv": [row(7), "", cells, "   ", row(8)]})
+    columns = [*SMALL.features, *SMALL.classes]
+    want = [tuple(r) for r in scan_csv(spark, path, SMALL).orderBy("_file", "_blk", "_pos").select(*columns).collect()]
+    got = [tuple(r) for r in quarantine_files(spark, path, SMALL)[0].orderBy("_file", "_blk", "_pos").select(*columns).collect()]
+    assert got == want and len(got) == 3
+
+
+def test_files_that_cannot_be_split_have_parts_of_bounded_size(spark, tmp_path, monkeypatch):
+    import gzip
+
+    monkeypatch.setattr(files, "PART_BITS", 4)
+    for name in ("a.csv.gz", "b.csv.gz"):
+        (tmp_path / name).write_bytes(gzip.compress("\n".join([HEADER, *[row(i) for i in range(200)]]).encode()))
+    rows = scan_csv(spark, str(tmp_path), SMALL)
+    assert [r.speed for r in rows.where(F.col("_file").contains("b.csv")).orderBy("_blk", "_pos").collect()] == list(range(200))
+    assert rows.groupBy("_file", "_blk").count().agg(F.max("count")).first()[0] <= 16
+    windows = fixed_windows(rows.withColumn("label", F.lit("x")), ["_file", "label"], ["_blk", "_pos"], ["_blk"], 7)
+    got = {(r._file[-8:], r.win_id): r.lowest for r in windows.groupBy("_file", "win_id").agg(F.min("speed").alias("lowest")).collect()}
+    assert len(got) == 2 * 28 and sorted(got.values())[:4] == [0, 0, 7, 7]

@@ -28,16 +28,23 @@ def build_dataset(spark: SparkSession, spec: DatasetSpec) -> DataFrame:
     Rows without a whole class are left out, as are files of another shape; both can be listed by
     :func:`trackframe.sources.files.quarantine_files` and ``unclassed_rows``.
     """
-    f = spec.features
-    new = None
+    return _build(*read_sources(spark, spec), spec)
+
+
+def read_sources(spark: SparkSession, spec: DatasetSpec) -> tuple[DataFrame | None, DataFrame | None]:
+    """The rows with a whole class of new recordings, and those of an earlier dataset.
+
+    Both are parsed once and staged: everything after reads columns, not text, and row ids stay the same.
+    """
+    f, new, old = spec.features, None, None
     if spec.data_dir:
         new = unclassed_rows(quarantine_files(spark, spec.data_dir, f, spec.exclude_suffixes)[0], f.classes)[0]
-    old = scan_dataset(spark, spec.dataset, f) if spec.dataset else None
-    # Amounts and windows look at the rows several times and need row ids that stay the same.
-    if new is not None and (spec.add or spec.erase or spec.time_series):
-        new = stage(new, "new-rows")
-    if old is not None and (spec.erase or spec.time_series):
-        old = stage(old, "old-rows")
+    if spec.dataset:
+        old = stage(scan_dataset(spark, spec.dataset, f), "old-rows")
+    return new, old
+
+
+def _build(new: DataFrame | None, old: DataFrame | None, spec: DatasetSpec) -> DataFrame:
     return build_windows(new, old, spec) if spec.time_series else build_rows(new, old, spec)
 
 
@@ -117,10 +124,11 @@ def run(spark: SparkSession, spec: DatasetSpec, path: str, mode: str = "errorife
 
     The built rows are staged: they are written and counted, but read and cleaned once.
     """
-    built = stage(build_dataset(spark, spec), "built")
+    sources = read_sources(spark, spec)
+    built = stage(_build(*sources, spec), "built")
     written = write_dataset(built, spec, path, mode)
     after = class_counts(built, "label").withColumnRenamed("n", "rows_written")
-    before = input_counts(spark, spec)
+    before = input_counts(sources, spec)
     report = before.join(after, "label", "full").select(
         "label", F.coalesce("rows_read", F.lit(0)).alias("rows_read"), F.coalesce("rows_written", F.lit(0)).alias("rows_written")
     )
@@ -130,12 +138,7 @@ def run(spark: SparkSession, spec: DatasetSpec, path: str, mode: str = "errorife
     return report
 
 
-def input_counts(spark: SparkSession, spec: DatasetSpec) -> DataFrame:
-    """Rows per class of what a run reads, before amounts, erasing and cleaning."""
-    f, sources = spec.features, []
-    if spec.data_dir:
-        sources.append(unclassed_rows(quarantine_files(spark, spec.data_dir, f, spec.exclude_suffixes)[0], f.classes)[0])
-    if spec.dataset:
-        sources.append(scan_dataset(spark, spec.dataset, f))
-    labels = [s.select(composite_label(*f.classes).alias("label")) for s in sources]
+def input_counts(sources: Sequence[DataFrame | None], spec: DatasetSpec) -> DataFrame:
+    """Rows per class of what a run has read, before amounts, erasing and cleaning."""
+    labels = [s.select(composite_label(*spec.features.classes).alias("label")) for s in sources if s is not None]
     return class_counts(reduce(DataFrame.unionByName, labels), "label").withColumnRenamed("n", "rows_read")

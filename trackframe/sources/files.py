@@ -8,20 +8,25 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trackframe.functions.columns import nan_to_null
-from trackframe.session import attach, bounded
+from trackframe.session import attach, bounded, stage
 from trackframe.spec import FeatureSpec
 
-# Row order of a scan: file, start of the file split, running id inside the scan task. A split
-# is also the bucket of the positional operators: it never outgrows maxPartitionBytes.
+# Row order of a scan: file, part of the file, running id inside the scan task. A part is also the
+# bucket of the positional operators and holds at most 2^PART_BITS rows, also where a file can't be
+# split (a compressed one): its number is the start of the file split plus the running row number
+# over 2^PART_BITS, which stays below the start of the next split, as a row has a byte at least.
 ORDER = ("_file", "_blk", "_pos")
 BUCKET = ("_file", "_blk")
+PART_BITS = 16
+_ROW_BITS = 33  # of the running id, below the number of the task
 
 
 def _order_columns() -> list[Column]:
+    running = F.monotonically_increasing_id()
     return [
         F.col("_metadata.file_path").alias("_file"),
-        F.col("_metadata.file_block_start").alias("_blk"),
-        F.monotonically_increasing_id().alias("_pos"),
+        (F.col("_metadata.file_block_start") + F.shiftright(running.bitwiseAND(F.lit((1 << _ROW_BITS) - 1)), PART_BITS)).alias("_blk"),
+        running.alias("_pos"),
     ]
 
 
@@ -32,6 +37,10 @@ def exclude_suffix(df: DataFrame, suffixes: Sequence[str]) -> DataFrame:
     return df
 
 
+# How cells are read.
+CELLS = {"nullValue": "NaN", "positiveInf": "inf", "negativeInf": "-inf"}
+
+
 def scan_csv(
     spark: SparkSession, path: str, spec: FeatureSpec, exclude_suffixes: Sequence[str] = ()
 ) -> DataFrame:
@@ -41,8 +50,7 @@ def scan_csv(
     such. The parser makes the NULLs: one expression per column would outgrow what the JVM
     compiles. A class code is a whole number: a fraction, or one that no integer holds, is NULL.
     """
-    reader = spark.read.schema(spec.read_schema()).option("header", True).option("enforceSchema", True)
-    reader = reader.option("nullValue", "NaN").option("positiveInf", "inf").option("negativeInf", "-inf")
+    reader = spark.read.schema(spec.read_schema()).options(header=True, enforceSchema=True, **CELLS)
     rows = exclude_suffix(reader.csv(path), exclude_suffixes)
     classes = [class_code(c).alias(c) for c in spec.classes]
     return rows.select(*spec.features, *classes, *_order_columns())
@@ -64,30 +72,43 @@ def scan_dataset(spark: SparkSession, path: str, spec: FeatureSpec) -> DataFrame
     return scan_parquet(spark, path, spec) if path.rstrip("/").endswith(".parquet") else scan_csv(spark, path, spec)
 
 
-def bad_files(
-    spark: SparkSession, path: str, width: int, exclude_suffixes: Sequence[str] = ()
-) -> DataFrame:
-    """Files whose header does not have ``width`` fields or that hold a longer row.
+def parse_files(spark: SparkSession, path: str, spec: FeatureSpec, exclude_suffixes: Sequence[str] = ()) -> DataFrame:
+    """Every line of all CSV files of a folder, read and parsed once and staged.
 
-    One aggregation over the raw lines; a shorter row is no fault (its missing cells are NULL).
+    The rows are those of :func:`scan_csv`, headers and rows of bad files included, with ``_fields``, the
+    number of cells of the line. Blank lines are left out.
     """
-    lines = exclude_suffix(spark.read.text(path), exclude_suffixes).select("value", *_order_columns())
+    lines = exclude_suffix(spark.read.text(path), exclude_suffixes).select("value", *_order_columns()).where(F.trim("value") != "")
     quoted = F.col("value").contains('"')
     plain = F.when(quoted, F.regexp_replace("value", '"[^"]*"', "")).otherwise(F.col("value"))
-    fields = (F.octet_length(plain) - F.octet_length(F.replace(plain, F.lit(","))) + 1).alias("fields")
-    widths = lines.where(F.trim("value") != "").select(*ORDER, fields)
-    per_file = widths.groupBy("_file").agg(
-        F.min_by("fields", F.struct("_blk", "_pos")).alias("header_fields"), F.max("fields").alias("most_fields")
-    )
-    return per_file.where((F.col("header_fields") != width) | (F.col("most_fields") > width))
+    fields = (F.octet_length(plain) - F.octet_length(F.replace(plain, F.lit(","))) + 1).alias("_fields")
+    cells = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spec.read_schema())
+    row = F.from_csv("value", cells, CELLS)
+    rows = lines.select(*ORDER, fields, row.alias("_row"))
+    return stage(rows.select(
+        *[F.col(f"_row.`{c}`").alias(c) for c in spec.features], *[class_code(f"_row.`{c}`").alias(c) for c in spec.classes], *ORDER, "_fields"
+    ), "parsed")
 
 
 def quarantine_files(
     spark: SparkSession, path: str, spec: FeatureSpec, exclude_suffixes: Sequence[str] = ()
 ) -> tuple[DataFrame, DataFrame]:
-    """The rows of all sound files, and the list of files left out."""
-    bad = bounded(bad_files(spark, path, len(spec.columns), exclude_suffixes))
-    return attach(scan_csv(spark, path, spec, exclude_suffixes), bad.select("_file"), ["_file"], "left_anti"), bad
+    """The rows of all sound files, and the list of files left out.
+
+    A file is bad if its header does not have a cell per column or if it holds a longer row; a shorter row is
+    no fault (its missing cells are NULL). Text is read once: what is known about a file after that decides
+    which of the staged rows count.
+    """
+    parsed = parse_files(spark, path, spec, exclude_suffixes)
+    place = F.struct("_blk", "_pos")
+    per_file = bounded(parsed.groupBy("_file").agg(
+        F.min_by("_fields", place).alias("header_fields"), F.max("_fields").alias("most_fields"), F.min(place).alias("_header")
+    ))
+    width = len(spec.columns)
+    bad = per_file.where((F.col("header_fields") != width) | (F.col("most_fields") > width)).drop("_header")
+    sound = per_file.where((F.col("header_fields") == width) & (F.col("most_fields") == width)).select("_file", "_header")
+    rows = attach(parsed, sound, ["_file"]).where(place != F.col("_header"))
+    return rows.select(*spec.columns, *ORDER), bad
 
 
 def unclassed_rows(df: DataFrame, classes: Sequence[str]) -> tuple[DataFrame, DataFrame]:
