@@ -154,26 +154,73 @@ def test_answers_for_topics(spark):
     assert got == {"replies": ("host:12", '{"a":1}'), "dead-letters": ("", '{"request":"bad","fault":"malformed"}')}
 
 
-def test_snapshots_bound_what_a_reader_looks_at(spark, tmp_path):
+def test_merged_runs_bound_what_a_reader_looks_at(spark, tmp_path):
     source, out, checkpoint = (str(tmp_path / n) for n in ("in", "out", "checkpoint"))
     seen = {}
     for i in range(7):
         spark.createDataFrame([("a", float(i)), (f"k{i}", 1.0)], "k string, v double").coalesce(1).write.mode("append").parquet(source)
         stream = spark.readStream.schema("k string, v double").parquet(source)
-        service.running_mean_stream(stream, ["k"], "v", out, checkpoint, snapshot_every=3).awaitTermination()
+        service.running_mean_stream(stream, ["k"], "v", out, checkpoint, fan=3).awaitTermination()
         got = {r.k: (r.total, r.n) for r in service.latest_means(spark, out, ["k"]).collect()}
         seen = {**seen, "a": (sum(range(i + 1)), i + 1), f"k{i}": (1.0, 1)}
         assert got == seen
-    assert service.newest_snapshot(spark, out) == 5
-    assert {r.batch for r in spark.read.parquet(f"{out}/batches").where("batch > 5").collect()} == {6}
-
-
-def test_ingest_snapshots_keep_the_answer(spark, tmp_path):
-    for every in (2, 100):
-        source, out, checkpoint = (str(tmp_path / f"{n}{every}") for n in ("in", "out", "checkpoint"))
+    assert service.live_runs(spark, out) == [service.run_name(1, 0, 2), service.run_name(1, 3, 5), service.run_name(0, 6, 6)]
+    # Only what the last two manifests list is left: both lists, and the runs that were live before the last batch.
+    assert service.manifests(spark, out) == [5, 6] and len(list((tmp_path / "out" / "runs").iterdir())) == 3
+    assert spark.read.parquet(f"{out}/runs/{service.run_name(1, 0, 2)}").count() == 4  # one row a key
+
+
+def test_a_thousand_batches_rewrite_each_row_once_a_level():
+    runs, rewritten, most, sizes = [], 0, 0, {}
+    for number in range(1000):
+        own = service.run_name(0, number, number)
+        sizes[own] = 1
+        runs, merges = service.merge_plan([*runs, own], 10)
+        for parts, merged in merges:
+            sizes[merged] = sum(sizes[p] for p in parts)
+            rewritten += sizes[merged]
+        most = max(most, len(runs))
+    assert rewritten == 3 * 1000 and most <= 27 and runs == [service.run_name(3, 0, 999)]
+
+
+def test_a_batch_that_comes_again_is_stored_once(spark, tmp_path):
+    save = service._save(str(tmp_path), lambda rows: rows, 2)
+    rows = spark.createDataFrame([(1,)], "x int")
+    for number in (0, 0, 1, 2, 2):
+        save(rows, number)
+    assert sorted(r.batch for r in service.stored(spark, str(tmp_path)).collect()) == [0, 1, 2]
+    with pytest.raises(ValueError, match="older"):
+        save(rows, 1)
+    with pytest.raises(ValueError, match="nothing"):
+        service.stored(spark, str(tmp_path / "empty"))
+
+
+def test_merged_runs_keep_the_answer(spark, tmp_path):
+    for fan in (2, 100):
+        source, out, checkpoint = (str(tmp_path / f"{n}{fan}") for n in ("in", "out", "checkpoint"))
         for i in range(5):
             spark.createDataFrame([(i, i % 2, float(i)), (10 + i, 7, float(i == 4))], "id long, key int, climb double").coalesce(1).write.mode("append").parquet(source)
             stream = spark.readStream.schema("id long, key int, climb double").parquet(source)
-            service.ingest_stream(stream, out, checkpoint, subset=["key"], order=["id"], snapshot_every=every).awaitTermination()
+            service.ingest_stream(stream, out, checkpoint, subset=["key"], order=["id"], fan=fan).awaitTermination()
         got = sorted((r.key, r.id) for r in service.current_dataset(spark, out, ["key"], ["id"], ["climb"]).collect())
         assert got == [(0, 4), (1, 3), (7, 14)]
+
+
+def test_topics_get_every_answer_once_over_a_restart(spark, tmp_path):
+    """The topic path through a stream, into files that play the topics."""
+    train = spark.createDataFrame([(float(i % 4), "low" if i % 4 < 2 else "high") for i in range(40)], "v double, label string")
+    model = training.label_pipeline("rf", ["v"], ["low", "high"], params={"trees": 3, "depth": 3, "share": 1.0}).fit(train)
+    source, out, checkpoint = (str(tmp_path / n) for n in ("in", "out", "checkpoint"))
+
+    def request(i):
+        v = '"none"' if i % 5 == 4 else str(i % 4)
+        return '{"AppName":"a","Command":"c","ReplyId":%d,"ReplyInfo":"udp:h:%d","Parameters":{"v":%s,"version":"1"}}' % (i, 100 + i, v)
+
+    for first in (0, 10):
+        spark.createDataFrame([(request(i),) for i in range(first, first + 10)], "value string").coalesce(2).write.mode("append").text(source)
+        writer = service.score_to_topic(service.read_requests(spark, source, files_per_batch=1), model, ["v"], "grade", "replies", "dead", checkpoint, {"path": out}, sink="parquet")
+        writer.start().awaitTermination()
+    rows = spark.read.parquet(out).collect()
+    assert sorted(r.key for r in rows) == sorted(f"h:{100 + i}" for i in range(20))
+    assert {r.topic for r in rows} == {"replies", "dead"} and sum(r.topic == "dead" for r in rows) == 4
+    assert all(json.loads(r.value)["Parameters"]["grade"] == ("low" if (int(r.key[2:]) - 100) % 4 < 2 else "high") for r in rows if r.topic == "replies")

@@ -381,6 +381,25 @@ def stream_score(spark, folder):
     )
 
 
+@registry.add("topic_score", f"""{ANSWER_SQL} select case when fault is null then 'replies' else 'dead' end as topic,
+  case when fault = 'malformed' then '' else 'host-' || user_id || ':12002' end as key,
+  case when fault is null then label end as target, fault from said""")
+def topic_score(spark, folder):
+    """The topic path through a stream; files play the topics."""
+    base = scratch_path(spark, "topics")
+    requests(spark, folder).select("value").repartition(4, row_key("value")).write.text(f"{base}/in")
+    model = rule_model(graded(spark, folder), "rf", FOREST)
+    stream = service.read_requests(spark, f"{base}/in", files_per_batch=2)
+    writer = service.score_to_topic(
+        stream, model, ["v", "q"], "grade", "replies", "dead", f"{base}/checkpoint", {"path": f"{base}/out"}, sink="parquet"
+    )
+    writer.start().awaitTermination()
+    field = lambda path, topic: F.when(F.col("topic") == topic, F.get_json_object("value", path))
+    return spark.read.parquet(f"{base}/out").select(
+        "topic", "key", field("$.Parameters.grade", "replies").alias("target"), field("$.fault", "dead").alias("fault")
+    )
+
+
 @registry.add("stream_running_mean", """select user_id, sum(round(value * 100)::bigint)::bigint as total, count(*) as n,
   sum(round(value * 100)::bigint)::double / count(*) as mean from events group by user_id""")
 def stream_running_mean(spark, folder):

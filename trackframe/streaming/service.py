@@ -79,8 +79,8 @@ def score_to_topic(
     )
 
 
-# Batches between two snapshots of what a stream has stored so far.
-SNAPSHOT_EVERY = 100
+# Runs of one level that are merged into one of the next.
+FAN = 10
 
 
 def _folder(spark: SparkSession, path: str):
@@ -89,39 +89,80 @@ def _folder(spark: SparkSession, path: str):
     return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), folder
 
 
-def newest_snapshot(spark: SparkSession, out: str) -> int:
-    """The last batch that a whole snapshot covers, or -1."""
-    system, folder = _folder(spark, f"{out}/snapshots")
-    if not system.exists(folder):
-        return -1
-    names = [s.getPath() for s in system.listStatus(folder)]
-    whole = [p.getName() for p in names if system.exists(_folder(spark, f"{p.toString()}/_SUCCESS")[1])]
-    return max((int(n.removeprefix("upto=")) for n in whole), default=-1)
+def _names(spark: SparkSession, path: str) -> list[str]:
+    system, folder = _folder(spark, path)
+    return [s.getPath().getName() for s in system.listStatus(folder)] if system.exists(folder) else []
 
 
-def stored(spark: SparkSession, out: str) -> DataFrame:
-    """The newest snapshot and the batches after it, with ``batch``: what a reader has to look at.
+def manifests(spark: SparkSession, out: str) -> list[int]:
+    """The batches after which a whole list of live runs was written, oldest first."""
+    whole = [n for n in _names(spark, f"{out}/manifests") if _folder(spark, f"{out}/manifests/{n}/_SUCCESS")[0].exists(_folder(spark, f"{out}/manifests/{n}/_SUCCESS")[1])]
+    return sorted(int(n.removeprefix("upto-")) for n in whole)
 
-    ``batch`` is that of the rows in a snapshot too.
-    """
-    last = newest_snapshot(spark, out)
-    batches = spark.read.parquet(f"{out}/batches").where(F.col("batch") > last)
-    if last < 0:
-        return batches
-    return batches.unionByName(spark.read.parquet(f"{out}/snapshots/upto={last}").select(*batches.columns))
+
+def live_runs(spark: SparkSession, out: str, batch: int | None = None) -> list[str]:
+    """The runs a reader has to look at, oldest first, after the newest batch or a given one."""
+    known = manifests(spark, out) if batch is None else [batch]
+    return [r.value for r in spark.read.text(f"{out}/manifests/upto-{known[-1]}").orderBy("value").collect()] if known else []
+
+
+def run_name(level: int, first: int, last: int) -> str:
+    """Names sort by the batches they hold."""
+    return f"run-{first:012d}-{last:012d}-{level}"
+
+
+def merge_plan(runs: Sequence[str], fan: int) -> tuple[list[str], list[tuple[list[str], str]]]:
+    """Merge the last ``fan`` runs as long as they are of one level: the runs left, and each merge in turn."""
+    runs, merges = list(runs), []
+    parsed = lambda name: [int(x) for x in name.split("-")[1:]]
+    while len(runs) >= fan and len({parsed(r)[2] for r in runs[-fan:]}) == 1:
+        last = runs[-fan:]
+        merged = run_name(parsed(last[0])[2] + 1, parsed(last[0])[0], parsed(last[-1])[1])
+        merges.append((last, merged))
+        runs = [*runs[:-fan], merged]
+    return runs, merges
+
+
+def stored(spark: SparkSession, out: str) -> DataFrame:
+    """All rows that count, with ``batch``: the runs of the newest manifest."""
+    runs = live_runs(spark, out)
+    if not runs:
+        raise ValueError(f"nothing is stored in {out}")
+    return spark.read.parquet(*[f"{out}/runs/{r}" for r in runs])
 
 
-def _save(out: str, shrink: Callable[[DataFrame], DataFrame], every: int) -> Callable[[DataFrame, int], None]:
-    """Write a batch to its own folder, and every so often a snapshot of all of them.
+def _save(out: str, shrink: Callable[[DataFrame], DataFrame], fan: int) -> Callable[[DataFrame, int], None]:
+    """Write a batch as a run of its own, and merge runs level by level.
 
-    A repeated batch overwrites its folder. A snapshot without its success file is not read.
+    ``fan`` runs of a level become one of the next, so a row is rewritten once a level: a batch costs its own rows
+    and, on average, as many again for every level. A manifest lists the live runs and is written last; a batch
+    whose manifest is there is not stored again. Runs that neither of the last two manifests lists are removed.
     """
 
     def save(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        batch.write.mode("overwrite").parquet(f"{out}/batches/batch={number}")
-        if number % every == every - 1 and newest_snapshot(spark, out) < number:
-            shrink(stored(spark, out)).write.mode("overwrite").parquet(f"{out}/snapshots/upto={number}")
+        known = manifests(spark, out)
+        if known and known[-1] >= number:
+            if known[-1] > number:
+                raise ValueError(f"batch {number} comes again, but batch {known[-1]} is stored: the checkpoint is older than {out}")
+            return
+        before = live_runs(spark, out, known[-1]) if known else []
+        own = run_name(0, number, number)
+        batch.withColumn("batch", F.lit(number).cast("long")).write.mode("overwrite").parquet(f"{out}/runs/{own}")
+        runs, merges = merge_plan([*before, own], fan)
+        for parts, merged in merges:
+            rows = spark.read.parquet(*[f"{out}/runs/{r}" for r in parts])
+            shrink(rows).select(*rows.columns).write.mode("overwrite").parquet(f"{out}/runs/{merged}")
+        lines = spark.createDataFrame([(r,) for r in runs], "value string")
+        lines.coalesce(1).write.mode("overwrite").text(f"{out}/manifests/upto-{number}")
+        kept = {*runs, *before}
+        for name in _names(spark, f"{out}/runs"):
+            if name not in kept:
+                system, folder = _folder(spark, f"{out}/runs/{name}")
+                system.delete(folder, True)
+        for old in known[:-1]:
+            system, folder = _folder(spark, f"{out}/manifests/upto-{old}")
+            system.delete(folder, True)
 
     return save
 
@@ -133,15 +174,15 @@ def running_mean_stream(
     out: str,
     checkpoint: str,
     trigger: Mapping[str, object] | None = None,
-    snapshot_every: int = SNAPSHOT_EVERY,
+    fan: int = FAN,
 ) -> StreamingQuery:
     """Sum, count and mean per key over everything seen so far; each batch writes what changed.
 
-    State is one row per key. Readers see one snapshot and at most ``snapshot_every`` batches.
+    State is one row per key. Readers see the runs of one manifest, fewer than ``fan`` of each level.
     """
     means = df.groupBy(*keys).agg(F.sum(value).alias("total"), F.count(value).alias("n"), F.avg(value).alias("mean"))
     return (
-        means.writeStream.outputMode("update").foreachBatch(_save(out, lambda rows: _newest(rows, keys), snapshot_every))
+        means.writeStream.outputMode("update").foreachBatch(_save(out, lambda rows: _newest(rows, keys), fan))
         .option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
     )
 
@@ -163,19 +204,19 @@ def ingest_stream(
     trigger: Mapping[str, object] | None = None,
     subset: Sequence[str] = (),
     order: Sequence[str] = (),
-    snapshot_every: int = SNAPSHOT_EVERY,
+    fan: int = FAN,
 ) -> StreamingQuery:
     """Append each batch of new rows to the stored history under its batch number.
 
-    A batch costs its own rows only; copies are resolved on reading (:func:`current_dataset`). With
-    ``subset`` and ``order``, as given to that reader, they are also resolved in every snapshot.
+    Copies are resolved on reading (:func:`current_dataset`). With ``subset`` and ``order``, as given to
+    that reader, they are also resolved whenever runs are merged.
     """
 
     def shrink(history: DataFrame) -> DataFrame:
         return _first_copies(history, subset, order) if subset else history
 
     return (
-        rows.writeStream.foreachBatch(_save(out, shrink, snapshot_every)).option("checkpointLocation", checkpoint)
+        rows.writeStream.foreachBatch(_save(out, shrink, fan)).option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"availableNow": True})).start()
     )
 
