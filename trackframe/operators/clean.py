@@ -70,6 +70,10 @@ def clean_rows(
     return nonzero(dedupe_first(df, subset, order), nonzero_columns)
 
 
+# Columns whose bounds are applied to the narrow rows before these are written again.
+STAGED_COLUMNS = 3
+
+
 def sigma_filter(
     df: DataFrame,
     columns: Sequence[str],
@@ -80,19 +84,27 @@ def sigma_filter(
     """Column after column, keep mean +- k sample deviations of what earlier columns left.
 
     Columns named in ``minimum`` use that threshold instead. Each bound needs a pass of its own, so
-    the group and the filtered columns are staged once, and every pass reads only those: a narrow
-    aggregation whose result, two numbers per group, is a table for the filters that follow.
+    the group and the filtered columns are staged, again after every ``STAGED_COLUMNS`` columns, and a
+    pass reads only those. The rows themselves are filtered once, by all bounds together.
     """
     minimum = minimum or {}
-    narrow = stage(df.select(*dict.fromkeys([*group, *columns])), "sigma")
-    for column in columns:
+    narrow, found = stage(df.select(*dict.fromkeys([*group, *columns])), "sigma"), []
+    for number, column in enumerate(columns, 1):
         if column in minimum:
-            keep = lambda rows, c=column: rows.where(is_at_least(c, minimum[c]))
+            narrow = narrow.where(is_at_least(column, minimum[column]))
         else:
-            bounds = bounded(_bounds(narrow, [column], group, k))
-            keep = lambda rows, c=column, b=bounds: _within(rows, b, [c], group)
-        narrow, df = keep(narrow), keep(df)
-    return df
+            found.append((column, bounded(_bounds(narrow, [column], group, k))))
+            narrow = _within(narrow, found[-1][1], [column], group)
+        if number % STAGED_COLUMNS == 0 and number < len(columns):
+            narrow = stage(narrow, "sigma")
+    if group and found:
+        # One row per group that had rows left at that column; a group missing later has lost all of them.
+        together = reduce(lambda a, b: a.join(b, list(group)), [b for _, b in found])
+        df = _within(df, bounded(together), [c for c, _ in found], group)
+    else:
+        for column, bounds in found:
+            df = _within(df, bounds, [column], group)
+    return at_least(df, {c: minimum[c] for c in columns if c in minimum})
 
 
 def sigma_filter_single_pass(

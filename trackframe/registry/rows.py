@@ -13,7 +13,8 @@ from trackframe.plans.training import class_folds
 from trackframe.registry.tables import (
     EVENTS_SQL, ITEM_FEATURES, ITEM_ID, ITEM_KEY_SQL, ITEM_SPEC, ITEM_VOCABULARY, ITEMS_SQL, Registry, events, items,
 )
-from trackframe.sources.sinks import column_families
+from trackframe.session import scratch_path
+from trackframe.sources.sinks import column_families, write_families
 from trackframe.spec import DatasetSpec, Vocabulary
 
 registry = Registry()
@@ -106,9 +107,13 @@ def column_range(spark, folder):
  union all select 'y', 'flag', count(*), sum(flag)::double from items
  union all select 'y', 'status', count(*), sum(status)::double from items""")
 def families(spark, folder):
-    parts = []
-    for family, df in column_families(items(spark, folder), ITEM_SPEC).items():
-        sums = df.agg(F.count("*").alias("n"), *[F.round(F.sum(c).cast("double"), 2).alias(c) for c in df.columns])
+    """Written as one folder a family, and read back."""
+    path, parts = scratch_path(spark, "families"), []
+    rows = items(spark, folder)
+    write_families(rows, path, ITEM_SPEC)
+    for family, df in column_families(rows, ITEM_SPEC).items():
+        back = spark.read.schema(", ".join(f"{c} double" for c in df.columns)).option("header", True).csv(f"{path}/{family}")
+        sums = back.agg(F.count("*").alias("n"), *[F.round(F.sum(c), 2).alias(c) for c in df.columns])
         parts.append(sums.unpivot("n", df.columns, "name", "total").withColumn("family", F.lit(family)))
     return reduce(lambda a, b: a.unionByName(b), parts)
 
