@@ -158,11 +158,23 @@ def window_rows(rows: DataFrame, depth: int) -> DataFrame:
     return rows.mapInArrow(run, ROWS)
 
 
+def told_apart(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """Rows as ``doc``, ``ver``, ``text``; ``ver`` is 0 where every id is that of one row, as it then tells nothing."""
+    rows = versioned(docs, id_col, text_col)
+    if rows.groupBy("doc").count().where("count > 1").limit(1).isEmpty():
+        rows = rows.withColumn("ver", F.lit(0).cast("long"))
+    return rows
+
+
 def repeated_spans(docs: DataFrame, depth: int = DEPTH, gram: int = GRAM, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Places whose windows repeat earlier ones: ``doc``, ``ver``, ``packs``. ``doc`` is ``NO_ID`` for null."""
+    return _spans(told_apart(docs, id_col, text_col), depth, gram)
+
+
+def _spans(rows: DataFrame, depth: int, gram: int) -> DataFrame:
     if not 0 < gram <= depth or depth - gram + 1 > 127:
         raise ValueError("a gram is no longer than a window, and a run has at most 127 windows")
-    rows = versioned(docs, id_col, text_col).where(F.octet_length("text") >= depth)
+    rows = rows.where(F.octet_length("text") >= depth)
     found = stage(repeated(anchor_rows(rows, depth, gram), with_rivals=True), "contexts")
     whole = found.where("again").select("doc", "ver", "pack")
     chosen = rows.join(by_document(found.where("not again")), ["doc", "ver"])
@@ -174,8 +186,8 @@ def remove_repeats(
     docs: DataFrame, depth: int = DEPTH, gram: int = GRAM, id_col: str = "doc_id", text_col: str = "text", with_kept: bool = True
 ) -> DataFrame:
     """One row per document: bytes, removed bytes and runs, digest of the rest and, if wanted, the rest."""
-    spans = repeated_spans(docs, depth, gram, id_col, text_col)
-    rows = versioned(docs, id_col, text_col).join(spans, ["doc", "ver"], "left")
+    rows = told_apart(docs, id_col, text_col)
+    rows = rows.join(_spans(rows, depth, gram), ["doc", "ver"], "left")
     names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", *["kept"] * with_kept]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
