@@ -78,13 +78,18 @@ def _prepare(train: DataFrame, test: DataFrame, train_id: str, label: str, test_
     points = train.select(
         F.col(vector).cast("array<double>").alias("x"), F.col(train_id).alias("tid"), F.col(label).alias("label")
     )
-    whole = lambda c: F.forall(c, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
+    # Compiled functions instead of one on every element: NaN counts as the largest number, and looking for a value
+    # in an array that holds a null does not give "no".
+    inf = float("inf")
+    whole = lambda c: ~F.array_contains(c, F.lit(inf)) & (F.array_max(c) < inf) & (F.array_min(c) > -inf)
     points = points.where(F.coalesce(whole("x"), F.lit(False)))
     width = points.agg(F.max(F.size("x"))).first()[0]
     if width is None:
         raise ValueError("there are no training rows")
     points = points.where(F.size("x") == width)
-    points = points.groupBy("x").agg(F.min("tid").alias("tid"), F.min_by("label", "tid").alias("label"))
+    # Equal by 128 bits of hash: an array as a key would be rebuilt element by element.
+    same = [F.xxhash64("x").alias("_h1"), F.xxhash64(F.lit("second"), "x").alias("_h2")]
+    points = points.groupBy(*same).agg(F.first("x").alias("x"), F.min("tid").alias("tid"), F.min_by("label", "tid").alias("label")).drop("_h1", "_h2")
     queries = test.select(F.col(test_id).alias("qid"), F.col(vector).cast("array<double>").alias("q"))
     usable = F.coalesce(whole("q") & (F.size("q") == width), F.lit(False))
     none = [F.lit(None).cast(points.schema[c].dataType).alias(n) for c, n in (("tid", "neighbour"), ("label", "label"))]
