@@ -70,17 +70,20 @@ def repeated_bytes(rows, depth):
     return sorted(out, key=str)
 
 
-def repeated_lines(rows, run):
+def repeated_lines(rows, run, least_words=50):
     """(id, text without repeated runs of lines, lines removed); ids must be unique."""
     seen, out = set(), []
     for doc, text in in_order(rows):
         lines = (text or "").split("\n")
         worded = [i for i, x in enumerate(lines) if x.strip(" \t\n\x0b\x0c\r")]
         gone = set()
-        for s in range(len(worded) - run + 1):
-            key = tuple(lines[i].strip(" \t\n\x0b\x0c\r") for i in worded[s : s + run])
-            if key in seen:
-                gone.update(worded[s : s + run])
-            seen.add(key)
+        for s in range(len(worded)):
+            for width in range(1, min(run, len(worded) - s) + 1):
+                key = tuple(lines[i].strip(" \t\n\x0b\x0c\r") for i in worded[s : s + width])
+                if width < run and sum(len(WORD.findall(x)) for x in key) < least_words:
+                    continue
+                if key in seen:
+                    gone.update(worded[s : s + width])
+                seen.add(key)
         out.append((doc, None if text is None else "\n".join(x for i, x in enumerate(lines) if i not in gone), len(gone)))
     return sorted(out, key=str)

@@ -61,6 +61,31 @@ def test_repeated_lines_equal_brute_force(spark, run, gram):
     assert got == repeated_lines(rows, run)
 
 
+def test_long_lines_repeat_alone(spark):
+    """A line of 50 words, and two lines that hold as many, go without a third."""
+    r = random.Random(8)
+    passage = " ".join(r.choice("abcdefgh") + str(i) for i in range(60))
+    left, right = passage[: len(passage) // 2].strip(), passage[len(passage) // 2 :].strip()
+    rows = [(i, f"own {i}\n{passage}\nend {i}") for i in range(20)] + [(20 + i, f"{left}\n\n {right}") for i in range(20)]
+    rows += [(50, passage), (51, passage[:-1]), (52, f"{passage}\n{passage}"), (53, " ".join(passage.split()[:49])), (54, " ".join(passage.split()[:49])), (None, passage)]
+    rows += [(60, " ".join(passage.split()[:50])), (61, "x\n" + " ".join(passage.split()[:50])), (62, "q\n" * 20_000 + passage)]
+    out = line_dedup.drop_repeated_lines(frame(spark, rows).repartition(7)).collect()
+    got = sorted(((x.doc_id, x.text, x.n_removed_lines) for x in out), key=str)
+    assert got == repeated_lines(rows, 3)
+    by_id = {d: n for d, _, n in got}
+    assert by_id[0] == 0 and all(by_id[i] == 1 for i in range(1, 20)) and by_id[20] == 0 and by_id[21] == 2
+    assert (by_id[52], by_id[53], by_id[54], by_id[61]) == (2, 0, 0, 1)
+
+
+@pytest.mark.parametrize("least", [3, 7])
+def test_runs_by_words_equal_brute_force(spark, least):
+    r = random.Random(9)
+    lines = ["a", "b c", "d e f", "g h i j", "k l m n o p q", ""]
+    rows = [(i * 7 % 201, "\n".join(r.choice(lines) for _ in range(r.randint(0, 9)))) for i in range(200)]
+    out = line_dedup.drop_repeated_lines(frame(spark, rows), 4, 2, least_words=least).collect()
+    assert sorted(((x.doc_id, x.text, x.n_removed_lines) for x in out), key=str) == repeated_lines(rows, 4, least)
+
+
 def test_many_rows_without_an_id_are_told_apart(spark):
     """A few thousand null ids: 16 bits of a hash can't tell them apart; an equal start is decided by the text's hash."""
     head = [(1, "first shared line\nsecond shared line\nthird shared line")]
