@@ -71,6 +71,19 @@ def test_sample_is_bounded(spark):
     assert model.fit_quality(docs, labels, max_rows=10, trees=1) is not None
 
 
+def test_a_repeated_id_is_learnt_once(spark, monkeypatch):
+    """Labels without a document and 3,000 rows of one id: the fit gets one row for each id that has a document."""
+    seen = []
+    monkeypatch.setattr(model, "fit_trees", lambda x, y, **_: seen.append((len(x), y.tolist())))
+    labels = spark.createDataFrame([(i, i % 2) for i in range(400)] + [(4, 1)], "doc_id long, quality int")
+    docs = frame(spark, [(i, "w " * (1 + i % 7)) for i in range(100)] + [(4, f"more {i}") for i in range(3000)])
+    model.fit_quality(docs, labels)
+    learnt = spark.range(100).where(~model.held_out("id")).count()
+    assert seen[0][0] == learnt
+    model.fit_quality(docs, labels, max_rows=20)
+    assert seen[1][0] == 20
+
+
 def test_statistics_of_odd_texts_are_finite():
     x = model.statistics(pa.array([t for _, t in EDGES], pa.string()))
     assert x.shape == (len(EDGES), len(model.FEATURES)) and np.isfinite(x).all()

@@ -162,22 +162,26 @@ def held_out(id_col: str = "doc_id"):
 def fit_quality(docs: DataFrame, labels: DataFrame, label_col: str = "quality", max_rows: int = SAMPLE, **params) -> Trees:
     """Fit on at most ``max_rows`` labelled rows that are not held out (an action).
 
-    The ids of the sample are broadcast; their number is bounded by ``max_rows``.
+    The sample is drawn from labelled ids that have a document, one label (the smallest) an id. The ids are
+    broadcast; their number is bounded by ``max_rows``. Of documents that share an id the one with the
+    smallest hash of its text is learnt, so no more rows than that reach the driver.
     """
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label_col).cast("double").alias("y"))
-    known = known.where(F.col("y").isNotNull() & F.col("doc_id").isNotNull() & ~held_out())
-    sample = known.orderBy(F.xxhash64("doc_id"), "doc_id", "y").limit(max_rows)
-    rows = texts(docs).join(F.broadcast(sample), "doc_id")
+    known = known.where(F.col("y").isNotNull() & F.col("doc_id").isNotNull() & ~held_out()).groupBy("doc_id").agg(F.min("y").alias("y"))
+    known = known.join(texts(docs).select("doc_id").distinct(), "doc_id", "left_semi")
+    sample = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
+    rows = texts(docs).join(F.broadcast(sample), "doc_id").withColumn("h", F.xxhash64("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             x = statistics(batch.column("text"))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("y"), pa.FixedSizeListArray.from_arrays(x.ravel(), x.shape[1]).cast(pa.list_(pa.float64()))],
-                ["doc_id", "y", "x"],
+                [batch.column("doc_id"), batch.column("y"), batch.column("h"), pa.FixedSizeListArray.from_arrays(x.ravel(), x.shape[1]).cast(pa.list_(pa.float64()))],
+                ["doc_id", "y", "h", "x"],
             )
 
-    found = rows.mapInArrow(run, "doc_id long, y double, x array<double>").orderBy("doc_id", "y").toArrow()
+    found = rows.mapInArrow(run, "doc_id long, y double, h long, x array<double>")
+    found = found.groupBy("doc_id").agg(F.min("y").alias("y"), F.min_by("x", "h").alias("x")).orderBy("doc_id").toArrow()
     x = found.column("x").combine_chunks().flatten().to_numpy().reshape(-1, len(FEATURES))
     return fit_trees(x, found.column("y").to_numpy(), **params)
 
