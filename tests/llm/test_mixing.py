@@ -95,6 +95,21 @@ def test_edges_clashing_columns_and_rows_that_come_back(spark):
     assert mixing.mix(docs(spark, [(1, None, "a"), (2, "", None)]), target_entropy=0.9).count() == 0
 
 
+def test_rows_of_one_id_keep_the_limit_and_share_no_key(spark):
+    """A third of the rows shares an id, as many have none, some of them with equal texts."""
+    rows = [(7, f"hot {i % 700} " + "w " * (i % 5), "a") for i in range(3000)] + [(None, f"none {i}", "a") for i in range(3000)]
+    rows += [(i, "u " * (1 + i % 4), "b" if i % 9 else "c") for i in range(100, 3100)]
+    total = sizes(rows)
+    df = docs(spark, rows).repartition(6)
+    mixed = mixing.mix(df, max_repeats=1.25)
+    keys = mixed.groupBy("source", "epoch", "order_key").count()
+    assert keys.where("count > 1").count() == 0
+    used = {r.source: r.n for r in mixed.groupBy("source").agg({"n_tokens": "sum"}).toDF("source", "n").collect()}
+    assert all(used[s] <= 1.25 * total[s] + 1e-6 for s in used) and sum(used.values()) >= 0.99 * sum(total.values())
+    back = sizes([tuple(r) for r in mixing.mixed_rows(df, max_repeats=1.25).collect()])
+    assert all(back[s] <= 1.25 * total[s] + 1e-6 for s in back) and sum(back.values()) >= 0.99 * sum(total.values())
+
+
 def test_plan_is_native(spark):
     plan = mixing.mix(docs(spark, make()), max_repeats=2.5)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "InPandas" not in plan

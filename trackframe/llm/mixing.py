@@ -15,8 +15,10 @@ prefixes, two digits at a time, give every small bucket its offset, and only row
 in a window. The only numbers that reach the driver are totals and the candidates of a bisection pass.
 
 A null source is a source like others. Null and empty texts have no words and take no budget: they
-are not in the mixture, and a source without words has weight 0. Repeated rows are separate
-documents of the same md5, ordered arbitrarily. An empty table gives no rows.
+are not in the mixture, and a source without words has weight 0. Rows that share an id, or have none, are
+separate documents: their md5 also takes in a hash of the text, and of equal texts a running number of
+the row, so no key holds many rows. Texts are only counted, whatever their length; other columns are not
+read. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -28,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from trackframe.llm.common import free_name
-from trackframe.session import stage
+from trackframe.session import attach, stage
 
 # Bisection steps that one pass over the source table decides together, and passes.
 STEPS, PASSES = 8, 5
@@ -125,26 +127,26 @@ def running_start(copies: DataFrame, group: list[str], largest: int) -> DataFram
     return rows.withColumn("_start", F.col("_before") + F.coalesce(F.sum("_tokens").over(order), F.lit(0))).drop("_at", "_before")
 
 
-def mix(
-    docs: DataFrame,
-    budget: int | None = None,
-    target_entropy: float | None = None,
-    max_repeats: float | None = None,
-    block_words: int = 1 << 20,
-    seed: int = 42,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    source_col: str = "source",
-) -> DataFrame:
-    """The mixture: one row per copy of a document (``budget``: words, by default those of the corpus).
+def keyed(rows: DataFrame) -> DataFrame:
+    """Add ``_tie``: null, or what tells apart rows that share ``_id``: hash of the text, and number if that is repeated."""
+    shared = rows.groupBy("_id").agg(F.count("*").alias("_n")).where("_n > 1").select("_id", F.lit(True).alias("_shared"))
+    rows = attach(rows, shared, ["_id"], "left")
+    again = rows.where("_shared").groupBy("_id", "_hash").agg(F.count("*").alias("_n")).where("_n > 1")
+    rows = attach(rows, again.select("_id", "_hash", F.lit(True).alias("_again")), ["_id", "_hash"], "left")
+    return rows.withColumn("_tie", F.when(F.col("_shared"), F.concat_ws("|", "_hash", F.when(F.col("_again"), F.col("_row")))))
 
-    ``doc_id, source, n_tokens, epoch, start`` (words before it in its source's sequence), ``block``
-    and ``order_key`` (order within the block).
-    """
+
+def place(
+    docs: DataFrame, row: Column, budget: int | None, target_entropy: float | None, max_repeats: float | None, block_words: int, seed: int,
+    id_col: str, text_col: str, source_col: str,
+) -> DataFrame:
+    """The columns of :func:`mix`, and ``_row``: the number of the row a copy comes from."""
     if (target_entropy is None) == (max_repeats is None):
         raise ValueError("give either target_entropy or max_repeats")
+    doc, source = F.col(f"`{id_col}`").cast("long"), F.col(f"`{source_col}`").cast("string")
     rows = docs.select(
-        F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{source_col}`").cast("string").alias("source"), n_words(text_col).alias("_tokens")
+        doc.alias("doc_id"), source.alias("source"), n_words(text_col).alias("_tokens"), F.xxhash64(F.col(f"`{text_col}`").cast("string")).alias("_hash"),
+        F.coalesce(doc.cast("string"), F.lit("")).alias("_id"), row.alias("_row"),
     ).where("_tokens > 0")
     # Sources as non-null keys for grouping and joining.
     rows = stage(rows.withColumn("_source", F.coalesce(F.concat(F.lit("s"), "source"), F.lit("n"))), "words")
@@ -153,28 +155,56 @@ def mix(
     budget = int(whole[0] or 0) if budget is None else int(budget)
     exponent = find_exponent(totals, budget, target_entropy, max_repeats)
     budgets = stage(source_budgets(totals, budget, exponent), "budgets")
-    copies = rows.join(budgets.select("_source", "tokens", "take", "epochs"), "_source")
+    copies = keyed(rows).join(budgets.select("_source", "tokens", "take", "epochs"), "_source")
     copies = copies.withColumn("epoch", F.explode(F.sequence(F.lit(0).cast("long"), F.col("epochs") - 1))).withColumn(
-        "_key", F.md5(F.concat_ws("|", F.lit(seed), "epoch", F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
+        "_key", F.md5(F.concat_ws("|", F.lit(seed), "epoch", "_id", "_tie"))
     )
+    copies = copies.select("doc_id", "source", "_source", "_tokens", "_row", "tokens", "take", "epoch", "_key")
     placed = running_start(copies, ["_source", "epoch"], int(whole[1] or 0))
     placed = placed.withColumn("start", F.col("epoch") * F.col("tokens") + F.col("_start")).where("start + _tokens <= take")
     blocks = max(1, -(-budget // block_words))
     block = F.floor(F.col("start") * blocks / F.col("take")).cast("long")
-    return placed.select("doc_id", "source", F.col("_tokens").alias("n_tokens"), "epoch", "start", block.alias("block"), F.col("_key").alias("order_key"))
+    return placed.select(
+        "doc_id", "source", F.col("_tokens").alias("n_tokens"), "epoch", "start", block.alias("block"), F.col("_key").alias("order_key"), "_row"
+    )
 
 
-def mixed_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **params) -> DataFrame:
-    """The documents of the mixture with all their columns, once for every epoch that holds them.
+def mix(
+    docs: DataFrame,
+    budget: int | None = None,
+    target_entropy: float | None = None,
+    max_repeats: float | None = None,
+    block_words: int = 1 << 20,
+    seed: int = 42,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    source_col: str = "source",
+) -> DataFrame:
+    """The mixture: one row per copy of a document (``budget``: words, by default those of the corpus).
 
-    Rows that share an id are drawn alike; a row without an id goes by its text.
+    ``doc_id, source, n_tokens, epoch, start`` (words before it in its source's sequence), ``block``
+    and ``order_key`` (order within the block).
     """
-    key = F.coalesce(F.col(f"`{id_col}`").cast("long"), F.xxhash64(F.col(f"`{text_col}`").cast("string")))
-    own, epochs, again = (free_name(docs, x) for x in ("mixed_id", "epochs", "again"))
-    keyed = docs.withColumn(own, key)
-    times = mix(keyed, id_col=own, text_col=text_col, **params).select("doc_id", "epoch").distinct()
-    times = times.groupBy("doc_id").agg(F.count("*").cast("int").alias(epochs)).withColumnRenamed("doc_id", own)
-    found = keyed.join(times, own)
+    number = F.monotonically_increasing_id()
+    return place(docs, number, budget, target_entropy, max_repeats, block_words, seed, id_col, text_col, source_col).drop("_row")
+
+
+def mixed_rows(
+    docs: DataFrame,
+    budget: int | None = None,
+    target_entropy: float | None = None,
+    max_repeats: float | None = None,
+    seed: int = 42,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    source_col: str = "source",
+) -> DataFrame:
+    """The documents of the mixture with all their columns, each row once for every epoch that holds it."""
+    own, epochs, again = (free_name(docs, x) for x in ("mixed_row", "epochs", "again"))
+    rows = stage(docs.withColumn(own, F.monotonically_increasing_id()), "numbered")
+    placed = place(rows, F.col(own), budget, target_entropy, max_repeats, 1 << 20, seed, id_col, text_col, source_col)
+    times = placed.groupBy("_row").agg(F.count("*").cast("int").alias(epochs)).withColumnRenamed("_row", own)
+    found = rows.join(times, own)
     return found.withColumn(again, F.explode(F.sequence(F.lit(1), F.col(epochs)))).select(*docs.columns)
 
 
