@@ -1,8 +1,8 @@
 """From raw documents to token counts: five stages, each written as Parquet before the next reads it.
 
 Every stage takes ``(spark, docs, sf_dir)`` and works on all rows it is given. All but the last return
-the columns of ``docs``; other columns of the input pass through. Rows without an id are kept unless
-their text is rejected.
+the columns of ``docs``; other columns of the input pass through. Rows without an id are judged by their
+text as others are; where copies of a text have ids, one of these stays.
 """
 
 from __future__ import annotations
@@ -38,11 +38,17 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of every group of near copies (five words, Jaccard 0.8)."""
-    kept = jaccard_join.near_documents(docs, WIDTH, PERCENT)
-    kept = kept.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    kept = kept.withColumnRenamed("doc_id", free_name(docs, "kept_id"))
-    return docs.join(kept, F.col("doc_id").cast("long").eqNullSafe(F.col(kept.columns[0])), "left_semi")
+    """One row of every group of near copies (five words, Jaccard 0.8): that with the smallest id, if any has one.
+
+    Rows are numbered and written with their numbers, so rows that share an id, or have none, are copies of
+    each other like any others.
+    """
+    key, component = free_name(docs, "row_key"), free_name(docs, "row_component")
+    docs = stage(docs.withColumn(key, F.monotonically_increasing_id()), "keyed")
+    groups = jaccard_join.near_documents(docs, WIDTH, PERCENT, id_col=key).select(F.col("doc_id").alias(key), F.col("component_id").alias(component))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col(key).alias("row")))
+    kept = docs.select(key, "doc_id").join(groups, key).groupBy(component).agg(first.alias("first")).select(F.col("first.row").alias(key))
+    return docs.join(kept, key, "left_semi").drop(key)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

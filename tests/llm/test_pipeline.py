@@ -73,3 +73,13 @@ def test_stages_take_hard_rows_and_clashing_columns(spark, rows):
             assert out.columns == docs.columns
             assert {(r.doc_id, r.score, r.epochs) for r in out.collect()} <= {(r.doc_id, r.score, r.epochs) for r in docs.collect()}
         docs = out
+
+
+def test_rows_of_one_id_are_copies_of_each_other(spark):
+    """A third of the rows shares an id, as many have none: one row of each group of copies stays."""
+    text = " ".join(f"w{i}" for i in range(80))
+    near = text.replace("w40", "other")
+    rows = [(1, text)] * 300 + [(None, near)] * 300 + [(7, near), (8, "a text of its own"), (None, "alone here too"), (None, "alone here too"), (9, None)]
+    docs = spark.createDataFrame([(d, t, "en", "s", 0, "x") for d, t in rows], COLUMNS + ", row_key string")
+    out = pipeline.drop_near_copies(spark, docs.repartition(5), FOLDER)
+    assert out.columns == docs.columns and sorted(rows_of(out), key=str) == sorted([(1, text), (8, "a text of its own"), (9, None), (None, "alone here too")], key=str)
