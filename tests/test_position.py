@@ -150,3 +150,24 @@ def test_sums_of_sums_give_the_same_positions(spark, rows, monkeypatch, level):
             assert near[g, k] == (ks[i - 1] if i else None, ks[i + 1] if i + 1 < len(ks) else None)
             assert sums[g, k] == sum(ks[: i + 1])
     assert max(sizes) <= level
+
+
+def test_more_groups_than_a_level_has_rows(spark, monkeypatch):
+    """Each group keeps a row on every level, so their number must not ask for one level more."""
+    levels = []
+    real = position._ranges
+
+    def counted(table, group, bucket):
+        levels.append(1)
+        assert len(levels) <= 12, "levels without end"
+        return real(table, group, bucket)
+
+    monkeypatch.setattr(position, "LEVEL_ROWS", 20)
+    monkeypatch.setattr(position, "_ranges", counted)
+    data = [(g, k) for g in range(50) for k in range(2)] + [(99, k) for k in range(120)]
+    df = spark.createDataFrame(data, "g long, k long").withColumn("b", F.col("k"))
+    got = sorted(tuple(r) for r in number_rows(df, ["g"], ["k"], ["b"]).select("g", "k", "_rn", "_n").collect())
+    assert got == sorted((g, k, k + 1, 120 if g == 99 else 2) for g, k in data)
+    levels.clear()
+    near = neighbour(df, ["g"], ["k"], ["b"], F.col("k"), "prev").select("g", "k", "prev").collect()
+    assert {(r.g, r.k): r.prev for r in near} == {(g, k): k - 1 if k else None for g, k in data}

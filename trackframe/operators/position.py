@@ -3,7 +3,7 @@
 A plain window over a group puts the whole group into one task. Here a group is cut into
 buckets by an expression that never decreases along the order key (a file split, a key range,
 a hash prefix). Rows only ever meet inside one bucket; what crosses buckets is one row per
-(group, bucket), which is aggregated before it is shuffled. Where these rows are many, they are
+(group, bucket), which is aggregated before it is shuffled. Where a group has many of them, they are
 cut into ranges of bounded size and the same is done with one row per (group, range), level by
 level, so that no window grows with the table.
 """
@@ -23,10 +23,14 @@ LEVEL_ROWS = 10_000
 
 
 def _ranges(rows: DataFrame, group: Sequence[str], bucket: Sequence[str]) -> tuple[DataFrame, str | None]:
-    """The rows, staged; if they are many, with a column that numbers consecutive ranges of their order."""
+    """The rows, staged; if those of a group are many, with a column that numbers consecutive ranges of their order.
+
+    Many groups of few rows are no reason to cut: a group keeps at least one row a level, so levels
+    above more than ``LEVEL_ROWS`` groups would never end.
+    """
     rows = stage(rows, "buckets")
     n = rows.count()
-    if n <= LEVEL_ROWS:
+    if n <= LEVEL_ROWS or rows.groupBy(*group).count().agg(F.max("count")).first()[0] <= LEVEL_ROWS // 2:
         return rows, None
     name = "_range" if "_range" not in rows.columns else "_wider_range"
     cut = rows.repartitionByRange(-(-2 * n // LEVEL_ROWS), *group, *bucket)
