@@ -60,6 +60,29 @@ def test_a_member_behind_the_leader_of_a_group_links_in_a_bucket_of_two(spark):
     assert got == jaccard(rows, 4, 85) and {c for _, _, c in got} == {0, 3, 6}
 
 
+def test_pairs_of_a_large_cluster_of_edited_copies_do_not_grow_with_its_square(spark, monkeypatch):
+    """Copies with edits of their own rarely link with the first one; others join them before all pairs are made."""
+    r = random.Random(9)
+    base = [f"b{i}" for i in range(150)]
+    rows = []
+    for i in range(300):
+        x = list(base)
+        for k in r.sample(range(150), 2 if i else 4):
+            x[k] = f"e{i}k{k}"
+        rows.append((i, " ".join(x)))
+    made, real = [], join.across
+
+    def counted(*args):
+        out = real(*args).distinct()
+        made.append(out.count())
+        return out
+
+    monkeypatch.setattr(join, "across", counted)
+    got = sorted(map(tuple, join.near_documents(frame(spark, rows), 4, 85).collect()), key=str)
+    assert got == jaccard(rows, 4, 85)
+    assert made[0] < 10 * len(rows)
+
+
 def test_bounds_never_drop_a_link():
     r = np.random.default_rng(2)
     for _ in range(300):

@@ -6,19 +6,23 @@ a token of their prefixes. Equal sets are one class, of which the smallest id go
 the same prefix and size form a group, and only its leader sends its prefix to the join.
 
 Finding all pairs of a group of near copies would grow with its square, and only the linked
-components are wanted. So candidates are made in two rounds, which together miss no link:
+components are wanted. So candidates are made in three steps, which together miss no link:
 
 1. *Stars.* In every bucket (documents with a prefix token) and group, the smallest document is the
    centre for those it could link with by size; what lies beyond gets the next star. A document goes
    on with the centre it meets most often; the pair of a bucket of two always goes on. Of each
    document's centres one is verified on whole sets, and linked documents become components.
-2. *The rest.* The other pairs of the first round, and all pairs in buckets that still hold several
+2. *More stars.* Edited copies often miss the centre's threshold and still link with each other. In
+   buckets that hold several components and more members than a few, with groups expanded, some members
+   drawn by a hash are centres for all others of other components; drawn alike in all buckets, so pairs
+   stay few. This leaves most of a large cluster in one component at linear cost.
+3. *The rest.* The other pairs of the first step, and all pairs in buckets that still hold several
    components, with the members of groups expanded, as far as they lie in different components. Of a
    bucket of two, whose leaders were a pair before, only the groups go on, once for all their buckets,
    and only if one of them has more members. Documents of one component need no more pairs.
 
 Before whole sets are compared, pairs are pruned by size and by an upper bound of the overlap from
-histograms of the sets: first of 64 cells, then of as many that a cell holds a few tokens. All are
+histograms of the sets: first of 256 cells, then of as many that a cell holds a few tokens. All are
 exact bounds: they drop only pairs that can't link.
 
 Verification sends every member's set to the task of its star's centre, where the centre's set waits
@@ -46,9 +50,12 @@ WIDTH, PERCENT = 4, 85
 # Tokens of at least this share of all documents (and this many) go to the end of the order. There are
 # at most as many of them as a document has shingles on average, times a thousand: a bounded list.
 OFTEN_SHARE, OFTEN_LEAST = 0.001, 64
-CELLS = 64
+CELL_BITS = 8
+CELLS = 1 << CELL_BITS
 # Members that a task gets of a star; rows that it holds of one bucket before it goes on with the centre alone.
 STAR, HELD = 256, 50_000
+# Centres drawn in a bucket before all pairs of what is left; buckets of up to twice as many members are left to that.
+CENTRES = 8
 # Words that a worker keeps the hashes of, and texts whose words it holds at a time.
 WORD_CACHE, TOGETHER = 200_000, 256
 PART_BYTES = 32 << 20
@@ -117,12 +124,12 @@ def prefix(tokens: np.ndarray, often: np.ndarray, percent: int) -> np.ndarray:
 
 def cells(tokens: np.ndarray) -> np.ndarray:
     """Histogram of a set by its leading bits, saturated."""
-    return np.minimum(np.bincount((tokens >> np.uint64(58)).astype(np.int64), minlength=CELLS), 255).astype(np.uint8)
+    return np.minimum(np.bincount((tokens >> np.uint64(64 - CELL_BITS)).astype(np.int64), minlength=CELLS), 255).astype(np.uint8)
 
 
 def fine_cells(tokens: np.ndarray) -> np.ndarray:
     """Histogram with a power of two of cells, four to eight tokens each; of small sets as :func:`cells`."""
-    bits = min(max(int(len(tokens)).bit_length() - 3, 6), 16)
+    bits = min(max(int(len(tokens)).bit_length() - 3, CELL_BITS), 16)
     found = np.bincount((tokens >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
     return np.minimum(found, 255).astype(np.uint8)
 
@@ -374,6 +381,37 @@ def verify(pairs: DataFrame, rows: DataFrame, width: int, percent: int) -> DataF
     return found.mapInArrow(compare, "a long, b long")
 
 
+def drawn_stars(rows: DataFrame, percent: int) -> DataFrame:
+    """Pairs (centre, member) of different components, for ``CENTRES`` rows of each bucket: rows as for :func:`across`.
+
+    Centres are the first by a hash of their id; they come first, and the other members stream by.
+    """
+    ordered = rows.repartition("bucket").withColumn("key", F.xxhash64("rep")).sortWithinPartitions("bucket", "key", "rep").drop("key")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] | None = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            now = [batch.column(i).to_numpy() for i in range(4)]
+            now.append(np.frombuffer(b"".join(batch.column(4).to_pylist()), np.uint8).reshape(-1, CELLS))
+            old = 0 if held is None else len(held[0])
+            bucket, n, rep, comp, hist = now if held is None else (np.concatenate(x) for x in zip(held, now))
+            begins = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
+            first = np.repeat(begins, np.diff(np.append(begins, len(bucket))))
+            at = np.arange(len(bucket))
+            for k in range(CENTRES):
+                j = np.flatnonzero((at - first > k) & (at >= old))
+                i = first[j] + k
+                near = (comp[i] != comp[j]) & (100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j]))
+                i, j = i[near], j[near]
+                good = may_link(n[i], n[j], hist[i], hist[j], percent)
+                yield pa.RecordBatch.from_arrays([pa.array(rep[i[good]]), pa.array(rep[j[good]])], ["a", "b"])
+            held = [x[begins[-1] : begins[-1] + CENTRES] for x in (bucket, n, rep, comp, hist)]
+
+    return ordered.mapInArrow(run, "a long, b long")
+
+
 def across(rows: DataFrame, percent: int) -> DataFrame:
     """Pairs of different components within a bucket: rows ``bucket, n, rep, comp, cells``."""
     ordered = rows.repartition("bucket").sortWithinPartitions("bucket", "n", "rep")
@@ -387,8 +425,8 @@ def across(rows: DataFrame, percent: int) -> DataFrame:
             open_pairs = (comp[mine][:, None] != comp[other]) & (other > mine[:, None]) & (100 * n[mine][:, None] >= percent * n[other])
             i, j = np.nonzero(open_pairs)
             i, j = mine[i], other[j]
-            for part in range(0, len(i), 200_000):
-                a, b = i[part : part + 200_000], j[part : part + 200_000]
+            for part in range(0, len(i), 50_000):
+                a, b = i[part : part + 50_000], j[part : part + 50_000]
                 good = may_link(n[a], n[b], hist[a], hist[b], percent)
                 if good.any():
                     yield pa.RecordBatch.from_arrays([pa.array(rep[a[good]]), pa.array(rep[b[good]])], ["a", "b"])
@@ -410,6 +448,29 @@ def across(rows: DataFrame, percent: int) -> DataFrame:
     return ordered.mapInArrow(run, "a long, b long")
 
 
+def with_components(classes: DataFrame, links: DataFrame) -> DataFrame:
+    """Every class with its component under the links so far: ``rep``, ``n``, ``g``, ``cells``, ``comp``."""
+    known = classes.select("rep", "n", "g", "cells").join(components(links), F.col("rep") == F.col("node"), "left")
+    return stage(known.select("rep", "n", "g", "cells", F.coalesce("component", "rep").alias("comp")), "members")
+
+
+def open_members(found: DataFrame, known: DataFrame, least: int = 0) -> DataFrame:
+    """Rows ``bucket, n, rep, comp, cells``: members of buckets with several components and more than ``least`` members."""
+    groups = stage(known.groupBy("g").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("members")), "groups")
+    loose = groups.where("low < high").select("g")
+    many = found.where(F.col("kind") == MANY).select(F.col("x").alias("bucket"), F.col("y").alias("g"))
+    two = found.where(F.col("kind") == TWO).select("x", "y").distinct()
+    for side in ("x", "y"):
+        two = two.join(groups.toDF(side, f"low_{side}", f"high_{side}", f"members_{side}"), side)
+    two = two.where("least(low_x, low_y) < greatest(high_x, high_y) and greatest(members_x, members_y) > 1")
+    two = two.select(F.xxhash64("x", "y").alias("bucket"), F.explode(F.array("x", "y")).alias("g"))
+    buckets = many.unionByName(two).unionByName(loose.select(F.col("g").alias("bucket"), "g"))
+    buckets = buckets.join(groups, "g")
+    mixed_ones = buckets.groupBy("bucket").agg(F.min("low").alias("low"), F.max("high").alias("high"), F.sum("members").alias("size"))
+    mixed_ones = mixed_ones.where((F.col("low") < F.col("high")) & (F.col("size") > least)).select("bucket")
+    return buckets.join(mixed_ones, "bucket", "left_semi").select("bucket", "g").join(known, "g").select("bucket", "n", "rep", "comp", "cells")
+
+
 def near_documents(
     docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -432,21 +493,14 @@ def near_documents(
     nearest = stage(candidates.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "nearest")
     links = stage(verify(nearest, rows, width, percent), "links")
 
-    # Second round: what lies in different components, with the members of groups.
-    known = classes.select("rep", "n", "g", "cells").join(components(links), F.col("rep") == F.col("node"), "left")
-    known = stage(known.select("rep", "n", "g", "cells", F.coalesce("component", "rep").alias("comp")), "members")
-    groups = stage(known.groupBy("g").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("members")), "groups")
-    loose = groups.where("low < high").select("g")
-    many = found.where(F.col("kind") == MANY).select(F.col("x").alias("bucket"), F.col("y").alias("g"))
-    two = found.where(F.col("kind") == TWO).select("x", "y").distinct()
-    for side in ("x", "y"):
-        two = two.join(groups.toDF(side, f"low_{side}", f"high_{side}", f"members_{side}"), side)
-    two = two.where("least(low_x, low_y) < greatest(high_x, high_y) and greatest(members_x, members_y) > 1")
-    two = two.select(F.xxhash64("x", "y").alias("bucket"), F.explode(F.array("x", "y")).alias("g"))
-    buckets = many.unionByName(two).unionByName(loose.select(F.col("g").alias("bucket"), "g"))
-    buckets = buckets.join(groups, "g")
-    mixed_ones = buckets.groupBy("bucket").agg(F.min("low").alias("low"), F.max("high").alias("high")).where("low < high").select("bucket")
-    expanded = buckets.join(mixed_ones, "bucket", "left_semi").select("bucket", "g").join(known, "g").select("bucket", "n", "rep", "comp", "cells")
+    expanded = open_members(found, with_components(classes, links), 2 * CENTRES)
+    drawn = stage(drawn_stars(expanded, percent).distinct(), "drawn")
+    tries = stage(refine(drawn, classes, percent), "tries")
+    links = stage(links.unionByName(verify(tries, rows, width, percent)), "links")
+
+    # What still lies in different components, with the members of groups.
+    known = with_components(classes, links)
+    expanded = open_members(found, known)
     comp = known.select("rep", "comp")
     others = candidates.join(nearest, ["a", "b"], "left_anti").join(comp.toDF("a", "comp_a"), "a").join(comp.toDF("b", "comp_b"), "b")
     others = others.where("comp_a <> comp_b").select("a", "b")
