@@ -3,6 +3,7 @@ import random
 import zlib
 
 import pytest
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from tests.llm.brute import WORD
@@ -123,6 +124,25 @@ def test_long_conversations_copies_and_long_texts(spark, monkeypatch):
     assert got[9, 1].n_leaves == 1 and got[8, 5000].saved_tokens == 0
 
 
+def test_plans_do_not_grow_with_depth(spark, monkeypatch):
+    """The driver holds every plan: however many levels there are, each reads a few tables only."""
+    scans, write = [], DataFrameWriter.parquet
+
+    def counted(self, *args, **options):
+        scans.append(self._df._jdf.queryExecution().optimizedPlan().collectLeaves().size())
+        write(self, *args, **options)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", counted)
+    most = {}
+    for deepest in (9, 150):
+        scans.clear()
+        turns = numbered_turns(frame(spark, [(c, i, "user", f"{min(i, 140)} {c % 2}") for c in range(3) for i in range(deepest)]))
+        out = trie_report(turns, turns.where("pos = 0").select("conv", "total"))
+        assert out.where("depth > 0").count() == 2 * deepest
+        most[deepest] = max(scans)
+    assert most[150] == most[9]
+
+
 def test_digests_of_ids_in_numeric_order(spark):
     ids = [5, 40_000, 100, 3, -7, 1 << 40, 4096, 9]
     ends = spark.createDataFrame([(i, 1, 2) for i in ids], "conv long, v1 long, v2 long")

@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trackframe.operators.position import number_rows
-from trackframe.session import stage
+from trackframe.session import stage, staged_path
 
 WORD = r"[^\x20\x09-\x0D]+"
 # Turn numbers that share a bucket when turns are counted: 2^8; ids whose digests are joined together: 2^12.
@@ -87,77 +87,89 @@ def cut(rows: DataFrame, half: int) -> tuple[DataFrame, DataFrame]:
     Rows are ``s`` (the sequence), ``pos``, ``total``, ``n`` (how many it stands for), the name of its
     group and the hash of the turn. A sequence that does not reach the cut stays whole. The second table
     has each row of a sequence that does, with the prefix's name and the sequence that stands for it.
+    Both are filters over one staged table, so that plans do not grow from level to level.
     """
     far = F.expr(f"total - (pos div {2 * half}) * {2 * half} > {half}")
     upper = F.expr(f"pos % {2 * half} < {half}")
-    block = F.expr(f"pos div {2 * half}").alias("block")
-    long = rows.where(far).select("*", block)
-    named = long.where(upper).groupBy("s", "block").agg(
+    rows = rows.withColumn("block", F.when(far, F.expr(f"pos div {2 * half}")))
+    named = rows.where(far & upper).groupBy("s", "block").agg(
         *[F.bit_xor(x).alias(u) for x, u in (("x1", "u1"), ("x2", "u2"))], F.first("g1").alias("b1"), F.first("g2").alias("b2"), F.first("n").alias("m")
     )
     named = named.select("s", "block", "m", _xor("b1", "u1").alias("c1"), _xor("b2", "u2").alias("c2"))
     prefixes = named.groupBy("c1", "c2", "block").agg(F.min("s").alias("rep"), F.sum("m").alias("weight"))
     named = named.drop("m").join(prefixes, ["c1", "c2", "block"])
-    parts = stage(long.join(named, ["s", "block"]), "cut")
-    first = parts.where(upper & (F.col("s") == F.col("rep"))).withColumn("n", F.col("weight"))
-    second = parts.where(~upper).withColumns({"g1": F.col("c1"), "g2": F.col("c2")})
-    left = rows.where(~far).unionByName(first.select(*rows.columns)).unionByName(second.select(*rows.columns))
-    return left, parts.where(upper)
+    parts = stage(rows.join(named, ["s", "block"], "left"), "cut")
+    first, second = F.col("block").isNotNull() & upper, F.col("block").isNotNull() & ~upper
+    left = parts.where(~first | (F.col("s") == F.col("rep"))).select(
+        "s", "pos", "total", F.when(first, F.col("weight")).otherwise(F.col("n")).alias("n"),
+        *[F.when(second, F.col(c)).otherwise(F.col(g)).alias(g) for g, c in zip(PARENT, ("c1", "c2"))], "x1", "x2", "words",
+    )
+    return left, parts.where(first)
 
 
 def prefix_trie(turns: DataFrame, convs: DataFrame) -> DataFrame:
     """One row per distinct prefix of the conversations, the empty one included.
 
     ``turns`` are as :func:`numbered_turns` gives them, ``convs`` has ``conv`` and ``total`` of every
-    conversation, also of those without turns. The result has the node's name and its parent's (128 bits
-    each), ``conv_id`` (smallest member), ``depth``, ``n_convs``, ``n_children``, ``n_leaves`` and
-    ``saved_tokens`` (words of all but the first copy of each turn) of its subtree.
+    conversation, also of those without turns; both are read several times and had better be staged. The
+    result has the node's name and its parent's (128 bits each), ``conv_id`` (smallest member), ``depth``,
+    ``n_convs``, ``n_children``, ``n_leaves`` and ``saved_tokens`` (words of all but the first copy of each
+    turn) of its subtree.
     """
-    rows = stage(turns.select(
+    spark = turns.sparkSession
+    turns = turns.select(
         F.col("conv").alias("s"), "pos", "total", F.lit(1).cast("long").alias("n"),
         F.lit(0).cast("long").alias("g1"), F.lit(0).cast("long").alias("g2"),
         F.xxhash64("pos", "h1", "h2").alias("x1"), F.xxhash64(F.lit("second"), "pos", "h2", "h1").alias("x2"), "words",
-    ), "turns")
-    deepest = rows.agg(F.max("total")).first()[0] or 0
+    )
+    deepest = convs.agg(F.max("total")).first()[0] or 0
     halves = [1 << k for k in range(max(deepest - 1, 0).bit_length())]
-    cuts = {}
-    for half in reversed(halves):
-        rows, cuts[half] = cut(rows, half)
+    # A sequence enters at the first cut that it reaches.
+    rows, cuts = None, {}
+    for half in [*reversed(halves), 0]:
+        entering = turns.where(f"total > {half} and total <= {max(2 * half, 1)}")
+        rows = entering if rows is None else rows.unionByName(entering)
+        if half:
+            rows, cuts[half] = cut(rows, half)
 
     # Blocks of one turn: a node is a turn in a group.
-    rows = stage(rows.withColumns({"v1": _xor("g1", "x1"), "v2": _xor("g2", "x2")}), "single_turns")
-    nodes = stage(rows.groupBy(*NAME).agg(
+    singles = staged_path(rows.withColumns({"v1": _xor("g1", "x1"), "v2": _xor("g2", "x2")}), "single_turns")
+    nodes = stage(spark.read.parquet(singles).groupBy(*NAME).agg(
         F.first("g1").alias("g1"), F.first("g2").alias("g2"), F.min("s").alias("conv_id"), F.sum("n").alias("n_convs"),
         F.first("pos").alias("pos"), F.first("words").alias("words"),
     ), "nodes")
-    children = stage(nodes.groupBy(*PARENT).agg(F.count("*").alias("n_children")).toDF(*NAME, "n_children"), "children")
+    children = nodes.groupBy(*PARENT).agg(F.count("*").alias("n_children")).toDF(*NAME, "n_children")
     nodes = nodes.join(children, NAME, "left").fillna(0, ["n_children"])
-    totals = stage(nodes.select(
-        *NAME, *PARENT, "pos", F.expr("cast(n_children = 0 as long)").alias("n_leaves"), F.expr("(n_convs - 1) * words").alias("saved_tokens"),
-    ), "totals")
+    nodes = nodes.withColumns({"n_leaves": F.expr("cast(n_children = 0 as long)"), "saved_tokens": F.expr("(n_convs - 1) * words")})
+    totals_at = [staged_path(nodes, "totals")]
+    nodes = spark.read.schema(nodes.schema).parquet(*totals_at)
+    keys = "v1 long, v2 long, g1 long, g2 long, pos long"
+
+    def totals() -> DataFrame:
+        return spark.read.schema(f"{keys}, n_leaves long, saved_tokens long").parquet(*totals_at)
 
     # Graft totals upward, level by level. A level's rows need the names of their nodes: rows that another
-    # sequence stood for take its names once the level is done.
-    named = rows.select("s", "pos", "total", *NAME, *PARENT)
+    # sequence stood for take its names once the level is done. What is named stays; later levels add to it.
+    named_at = [singles]
     sums = [F.sum("n_leaves").alias("n_leaves"), F.sum("saved_tokens").alias("saved_tokens")]
     for half in halves:
-        prefix, last = cuts[half], half == halves[-1]
-        forests = totals.where(f"pos % {2 * half} = {half}").groupBy(*PARENT).agg(*sums).toDF("c1", "c2", "n_leaves", "saved_tokens")
-        paths = prefix.where("s = rep").select("s", "pos", "c1", "c2").join(forests, ["c1", "c2"]).drop("c1", "c2")
-        gained = paths.join(named.drop("total"), ["s", "pos"]).groupBy(*NAME, *PARENT, "pos").agg(*sums)
-        totals = totals.unionByName(stage(gained, "grafted"))
-        if not last:
-            full = F.expr(f"total >= (pos div {2 * half} + 1) * {2 * half}")
-            others = prefix.where(full & (F.col("s") != F.col("rep"))).select("s", F.col("rep"), "pos", "total")
-            names = named.select(F.col("s").alias("rep"), "pos", *NAME, *PARENT)
-            others = others.join(names, ["rep", "pos"]).select(*named.columns)
-            named = stage(named.where(full).unionByName(others), "named")
+        own, last = F.col("s") == F.col("rep"), half == halves[-1]
+        named = spark.read.schema(f"s long, total long, rep long, {keys}").parquet(*named_at)
+        named = named.where(F.col("rep").isNull() | ~own).where(f"total >= (pos div {half} + 1) * {half}")
+        names = named.select(F.col("s").alias("rep"), "pos", *NAME, *PARENT)
+        full = F.expr(f"total >= (pos div {2 * half} + 1) * {2 * half}")
+        prefix = cuts[half].where(own if last else own | full).select("s", "pos", "total", "rep", "c1", "c2").join(names, ["rep", "pos"])
+        named_at.append(staged_path(prefix, "named"))
+        prefix = spark.read.schema(prefix.schema).parquet(named_at[-1])
+        forests = totals().where(f"pos % {2 * half} = {half}").groupBy(*PARENT).agg(*sums).toDF("c1", "c2", "n_leaves", "saved_tokens")
+        gained = prefix.where(own).join(forests, ["c1", "c2"]).groupBy(*NAME, *PARENT, "pos").agg(*sums)
+        totals_at.append(staged_path(gained, "grafted"))
 
     sums_of_root = [F.min("conv").alias("conv_id"), *[F.sum(c).alias(c) for c in ("n_convs", "n_children", "n_leaves", "saved_tokens")]]
     none, one = F.lit(0).cast("long"), F.lit(1).cast("long")
     root = (
         convs.select("conv", one.alias("n_convs"), none.alias("n_children"), none.alias("n_leaves"), none.alias("saved_tokens"))
-        .unionAll(totals.where("pos = 0").select(F.lit(None), none, none, "n_leaves", "saved_tokens"))
+        .unionAll(totals().where("pos = 0").select(F.lit(None), none, none, "n_leaves", "saved_tokens"))
         .unionAll(nodes.where("pos = 0").select(F.lit(None), none, one, none, none))
         .agg(*sums_of_root).where("n_convs > 0")
     )
@@ -165,7 +177,7 @@ def prefix_trie(turns: DataFrame, convs: DataFrame) -> DataFrame:
         *[none.alias(x) for x in NAME], *[F.lit(None).cast("long").alias(x) for x in PARENT], "conv_id", none.alias("depth"),
         "n_convs", "n_children", F.greatest("n_leaves", one).alias("n_leaves"), "saved_tokens",
     )
-    below = nodes.join(totals.groupBy(*NAME).agg(*sums), NAME).select(
+    below = nodes.drop("n_leaves", "saved_tokens").join(totals().groupBy(*NAME).agg(*sums), NAME).select(
         *NAME, *PARENT, "conv_id", (F.col("pos") + 1).alias("depth"), "n_convs", "n_children", "n_leaves", "saved_tokens"
     )
     return below.unionByName(root)

@@ -73,9 +73,18 @@ def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     lost executor costs a re-read. It also fixes running row ids: the splits of a text scan, and
     with them the ids, may differ between two jobs.
     """
+    return df.sparkSession.read.schema(df.schema).parquet(staged_path(df, name))
+
+
+def staged_path(df: DataFrame, name: str = "stage") -> str:
+    """Write ``df`` as :func:`stage` does and return its path.
+
+    Tables that are written one after the other are read by one scan of all their paths, where a union
+    would scan, plan and compile each of them alone.
+    """
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return path
 
 
 def bounded(df: DataFrame, max_bytes: int | None = None) -> DataFrame:
