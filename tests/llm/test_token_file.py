@@ -35,6 +35,24 @@ def test_cached_ids_equal_the_library(library, monkeypatch, cache):
         assert ids == [x.ids for x in library.encode_batch(part, add_special_tokens=False)]
 
 
+def test_words_of_letters_go_to_the_model_once(library, monkeypatch):
+    """Only other pieces are searched for token runs; words asked for again, or by another text, are looked up."""
+    r = random.Random(5)
+    letters = "abcdefghijklmnopqrstuvwxyzABCÀÉÖØßäéöøÿ"
+    words = ["".join(r.choice(letters) for _ in range(r.randint(1, 12))) for _ in range(500)]
+    texts = [" ".join(r.choice(words) + r.choice(["", "", ",", "..."]) for _ in range(300)) for _ in range(40)]
+    encoder, searched, whole, runs = token_file.CachedEncoder(PATH), [], token_file.CachedEncoder.whole, getattr(token_file.CachedEncoder, "runs", None)
+    sent = []
+    monkeypatch.setattr(token_file.CachedEncoder, "whole", lambda self, x: searched.extend(x) or whole(self, x))
+    monkeypatch.setattr(token_file.CachedEncoder, "runs", lambda self, x: sent.extend(x) or runs(self, x), raising=False)
+    ids = [x.tolist() for x in encoder.encode([t.encode() for t in texts[:30]])]
+    ids += [x.tolist() for x in encoder.encode([t.encode() for t in texts[30:]])]
+    assert ids == [x.ids for x in library.encode_batch(texts, add_special_tokens=False)]
+    # First words, which have no blank before them, and punctuation.
+    assert sum(map(len, searched)) < 40 * 16 + 100
+    assert len(sent) == len(set(sent)) <= 500
+
+
 @pytest.mark.parametrize("base", [300, 65_530, 70_000])
 def test_grammar_round_trip_with_random_access(base):
     r = np.random.default_rng(3)

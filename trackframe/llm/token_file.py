@@ -19,6 +19,8 @@ only the end id; repeated rows stay; other columns are not read. A shard with mo
 
 from __future__ import annotations
 
+import itertools
+import json
 import os
 import re
 import zlib
@@ -27,11 +29,12 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from trackframe.llm.common import ranges, texts
+from trackframe.llm.common import byte_slices, ranges, text_bytes, texts
 from trackframe.llm.words import slices
 from trackframe.session import scratch_path
 
@@ -43,6 +46,8 @@ LEAST_GAIN = 0.01
 MAX_SYMBOLS = 1 << 16
 MAGIC = b"RPG1"
 CACHE = 700_000
+# Bytes of text that are encoded at once.
+SLICE_BYTES = 8 << 20
 
 _CHUNKS = re.compile(rb"[\t-\r ]*[^\t-\r ]+|[\t-\r ]+")
 # White space beyond ASCII, which may join a run of blanks: such texts are not cut.
@@ -52,6 +57,11 @@ _OTHER_SPACE = re.compile(
 _PUNCTUATION = bytes(b for b in range(33, 127) if not chr(b).isalnum())
 # What a word must end in to be cut before its punctuation: ASCII letters, digits, Latin letters.
 _WORD_END = re.compile(rb"[0-9A-Za-z]\Z|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf]\Z")
+# Words of such letters alone are one token run each.
+_LETTERS = re.compile(rb"(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+")
+# The characters that stand for bytes in byte-level vocabularies, by byte.
+_SHOWN = [*range(33, 127), *range(161, 173), *range(174, 256)]
+BYTE_CHARS = {b: chr(256 + k) for k, b in enumerate(b for b in range(256) if b not in set(_SHOWN))} | {b: chr(b) for b in _SHOWN}
 _OTHER_SPACE_HINTS = (b"\xc2", b"\xe1\x9a", b"\xe2\x80", b"\xe2\x81", b"\xe3\x80")
 
 
@@ -78,13 +88,20 @@ class Memory(dict):
         self.old, self.size = old, len(old)
         self.new: list[bytes] = []
 
-    def __missing__(self, key: bytes) -> int:
-        number = self.old.get(key)
-        if number is None:
-            number, self.size = self.size, self.size + 1
-            self.new.append(key)
-        self[key] = number
-        return number
+    def ask(self, keys: list[bytes]) -> np.ndarray:
+        found = list(map(self.get, keys))
+        places = [i for i, number in enumerate(found) if number is None]
+        fresh = list(dict.fromkeys([keys[i] for i in places]))
+        if self.old:
+            again = {key: self.old[key] for key in fresh if key in self.old}
+            self.update(again)
+            fresh = [key for key in fresh if key not in again]
+        self.update(zip(fresh, range(self.size, self.size + len(fresh))))
+        self.size += len(fresh)
+        self.new += fresh
+        for i in places:
+            found[i] = self[keys[i]]
+        return np.array(found, np.int64)
 
 
 class CachedEncoder:
@@ -104,13 +121,30 @@ class CachedEncoder:
         self.size = self.library.get_vocab_size(with_added_tokens=True)
         self.added = [t.content.encode() for t in self.library.get_added_tokens_decoder().values()]
         self.feed = self.whole([b"\n"])[0][0]
+        self.model = self.library.model
+        spec = json.loads(self.library.to_str())
+        self.plain = spec["normalizer"] is None and spec["pre_tokenizer"] == {
+            "type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True
+        }
         self.known = Memory({})
-        self.flat, self.starts = np.zeros(0, np.int32), np.zeros(1, np.int64)
+        # Ids of piece ``k``: ``sizes[k]`` of them from ``flat[starts[k]]``. Behind ``used`` there is room for more.
+        self.flat, self.used = np.zeros(1 << 16, np.int32), 0
+        self.starts, self.sizes = np.zeros(0, np.int64), np.zeros(0, np.int64)
 
     def whole(self, texts_: list[bytes]) -> list[list[int]]:
         found = self.library.encode_batch_fast([x.decode("utf-8") for x in texts_], add_special_tokens=False)
         return [x.ids for x in found]
 
+    def runs(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids, and how many each has, of words of letters behind a blank: the library's model without its search for runs."""
+        shown = b"\n".join(words).decode("latin-1").translate(BYTE_CHARS).split(BYTE_CHARS[10]) if words else []
+        ids, sizes = [], []
+        for x in shown:
+            own = self.model.tokenize(BYTE_CHARS[32] + x)
+            ids += [token.id for token in own]
+            sizes.append(len(own))
+        return np.array(ids, np.int32), np.array(sizes, np.int64)
+
     @staticmethod
     def cut(raw: bytes) -> list[bytes]:
         """Keys of the pieces: `` x`` as ``x``, a line feed and ``x`` as it is, others behind a blank."""
@@ -133,73 +167,112 @@ class CachedEncoder:
     def age(self) -> None:
         """Forget the pieces that were not asked for since the last time."""
         at = np.fromiter(self.known.values(), np.int64, len(self.known))
-        sizes = self.starts[at + 1] - self.starts[at]
-        self.flat = self.flat[ranges(self.starts[at], sizes)]
-        self.starts = np.concatenate([[0], np.cumsum(sizes)])
+        self.flat = self.flat[ranges(self.starts[at], self.sizes[at])]
+        self.sizes, self.used = self.sizes[at], len(self.flat)
+        self.starts = np.cumsum(self.sizes) - self.sizes
         self.known = Memory(dict(zip(self.known, range(len(at)))))
 
+    def add(self, ids: np.ndarray) -> None:
+        """Append ids; ``flat`` at least doubles when it has to grow."""
+        end = self.used + len(ids)
+        if end > len(self.flat):
+            self.flat = np.concatenate([self.flat[: self.used], np.zeros(max(self.used, len(ids)), np.int32)])
+        self.flat[self.used : end] = ids
+        self.used = end
+
     def learn(self) -> None:
-        """Encode the new pieces.
+        """Encode the new pieces; what is known already is not touched.
 
         Punctuation behind a word is a token run of its own, so such pieces are put together from two
-        others. Plain words are encoded in one text with line feeds between them, the rest alone.
+        others. Words of letters go to the model at once, other words are encoded in one text with line feeds
+        between them, the rest alone.
         """
-        known, words, others, joint = self.known, [], [], []
-        for number, key in enumerate(known.new, len(self.starts) - 1):  # grows by parts not yet known
-            stem = key.rstrip(_PUNCTUATION)
-            if len(stem) < len(key) and _WORD_END.search(stem, max(len(stem) - 2, 0)) and not key.startswith((b" ", b"\n")):
-                joint.append((number, known[stem], known[b" " + key[len(stem) :]]))
-            elif key.startswith(b" ") or b"\n" in key:
-                others.append((number, key.removeprefix(b" ")))
+        known, first = self.known, len(self.starts)
+        words, word_numbers, others, other_numbers, joint, stems, tails = [], [], [], [], [], [], []
+        for number, key in enumerate(known.new, first):
+            begin = key[0]
+            if begin in b" \n":
+                others.append(key[1:] if begin == 32 else key)
+                other_numbers.append(number)
+            elif key[-1] in _PUNCTUATION and _WORD_END.search(stem := key.rstrip(_PUNCTUATION), max(len(stem) - 2, 0)):
+                joint.append(number)
+                stems.append(stem)
+                tails.append(b" " + key[len(stem) :])
             else:
-                words.append((number, b" " + key))
+                words.append(key)
+                word_numbers.append(number)
+        halves = []
+        for keys, texts_, numbers in ((stems, words, word_numbers), (tails, others, other_numbers)):
+            known.new, size = [], known.size
+            halves.append(known.ask(keys))
+            texts_ += [key.removeprefix(b" ") for key in known.new]
+            numbers += range(size, known.size)
         known.new = []
-        ids = np.array(self.whole([b"\n".join(w for _, w in words)])[0], np.int32) if words else np.zeros(0, np.int32)
+        letters = [self.plain and (key.isalpha() or _LETTERS.fullmatch(key) is not None) for key in words]
+        single, single_numbers = list(itertools.compress(words, letters)), list(itertools.compress(word_numbers, letters))
+        mixed = [not x for x in letters]
+        words, word_numbers = list(itertools.compress(words, mixed)), list(itertools.compress(word_numbers, mixed))
+        ids = np.array(self.whole([b" " + b"\n ".join(words)])[0], np.int32) if words else np.zeros(0, np.int32)
         ends = np.append(np.flatnonzero(ids == self.feed), len(ids))
-        lengths = (np.diff(ends, prepend=-1) - 1)[: len(words)]
         if len(ends) != max(len(words), 1):
             raise ValueError("a line feed is not a token of its own in this vocabulary")
-        alone = self.whole([x for _, x in others])
-        first = len(self.starts) - 1
+        alone = self.whole(others)
         sizes = np.zeros(known.size, np.int64)
-        sizes[:first] = np.diff(self.starts)
-        sizes[[n for n, _ in words]] = lengths
-        sizes[[n for n, _ in others]] = [len(x) for x in alone]
-        both = np.array(joint, np.int64).reshape(-1, 3)
-        sizes[both[:, 0]] = sizes[both[:, 1]] + sizes[both[:, 2]]
-        self.starts = np.concatenate([[0], np.cumsum(sizes)])
-        flat = np.zeros(int(self.starts[-1]), np.int32)
-        flat[: len(self.flat)] = self.flat
-        to = lambda numbers: ranges(self.starts[numbers], sizes[numbers])
-        flat[to(np.array([n for n, _ in words], np.int64))] = ids[ids != self.feed]
-        flat[to(np.array([n for n, _ in others], np.int64))] = np.array([i for x in alone for i in x], np.int32)
-        at = self.starts[both[:, 0]]
-        for part in (1, 2):
-            own = both[:, part]
-            flat[ranges(at, sizes[own])] = flat[to(own)]
-            at = at + sizes[own]
-        self.flat = flat
+        sizes[:first] = self.sizes
+        starts = np.zeros(known.size, np.int64)
+        starts[:first] = self.starts
+        single_ids, single_sizes = self.runs(single)
+        parts = [
+            (single_numbers, single_sizes, single_ids),
+            (word_numbers, (np.diff(ends, prepend=-1) - 1)[: len(words)], ids[ids != self.feed]),
+            (other_numbers, np.array([len(x) for x in alone], np.int64), np.array([i for x in alone for i in x], np.int32)),
+        ]
+        for numbers, own, found in parts:
+            at = np.array(numbers, np.int64)
+            sizes[at], starts[at] = own, self.used + np.cumsum(own) - own
+            self.add(found)
+        at, both = np.array(joint, np.int64), np.column_stack(halves)
+        own = sizes[both].sum(axis=1)
+        sizes[at], starts[at] = own, self.used + np.cumsum(own) - own
+        self.add(self.flat[ranges(starts[both.ravel()], sizes[both.ravel()])])
+        self.starts, self.sizes = starts, sizes
+
+    def numbers(self, raw: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of the pieces of regular texts, and how many each text has.
+
+        Arrow cuts the texts and finds equal pieces, so that only distinct ones are looked up.
+        """
+        parts = pc.split_pattern(pc.replace_substring(pa.array(raw, pa.large_binary()), b"\n", b" \n"), b" ")
+        pieces, offsets = parts.flatten().dictionary_encode(), parts.offsets.to_numpy()
+        data, starts = text_bytes(pieces.dictionary)
+        data, starts = data.tobytes(), starts.tolist()
+        at = self.known.ask([data[a:b] for a, b in zip(starts[:-1], starts[1:])])[pieces.indices.to_numpy()]
+        at[offsets[:-1]] = self.known.ask([b" " + x.split(None, 1)[0] for x in raw])
+        return at, np.diff(offsets)
 
     def encode(self, raw: list[bytes]) -> list[np.ndarray]:
         if len(self.known) > CACHE:
             self.age()
-        keys, counts, alone = [], [], {}
+        whole, even, odd = [], [], []
         for i, x in enumerate(raw):
             if other_space(x) or any(a in x for a in self.added):
-                alone[i] = x
-                counts.append(0)
-            else:
-                own = self.cut(x)
-                keys += own
-                counts.append(len(own))
-        at = np.fromiter(map(self.known.__getitem__, keys), np.int64, len(keys))
+                whole.append(i)
+            elif x:
+                (even if regular(x) else odd).append(i)
+        at, counts = self.numbers([raw[i] for i in even]) if even else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+        cuts = [self.cut(raw[i]) for i in odd]
+        keys = [key for own in cuts for key in own]
+        at = np.concatenate([at, self.known.ask(keys)])
+        counts = np.concatenate([counts, np.array([len(own) for own in cuts], np.int64)])
         if self.known.new:
             self.learn()
-        sizes = (self.starts[1:] - self.starts[:-1])[at]
+        sizes = self.sizes[at]
         ids = self.flat[ranges(self.starts[at], sizes)]
         ends = np.concatenate([[0], np.cumsum(sizes)])[np.cumsum(counts)]
-        out = np.split(ids, ends[:-1])
-        for i, found in zip(alone, self.whole(list(alone.values())) if alone else []):
+        out = [np.zeros(0, np.int32)] * len(raw)
+        for i, found in zip(even + odd, np.split(ids, ends[:-1])):
+            out[i] = found
+        for i, found in zip(whole, self.whole([raw[i] for i in whole]) if whole else []):
             out[i] = np.array(found, np.int32)
         return out
 
@@ -215,22 +288,26 @@ def rank_pairs(keys: np.ndarray, inside: np.ndarray, least: int, most: int) -> t
     Pairs are counted in a hash table with one pair a slot; a pair that loses its slot waits for a
     later round.
     """
-    shift = max(32, 64 - (len(keys) // 2).bit_length())
-    slot = ((keys * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(shift)).astype(np.int64)
-    table = np.zeros(1 << (64 - shift), np.uint64)
+    bits = keys.dtype.itemsize * 8
+    shift = bits - min((len(keys) // 2).bit_length(), 31)
+    factor = keys.dtype.type(0x9E3779B97F4A7C15 >> (64 - bits) | 1)
+    slot = ((keys * factor) >> keys.dtype.type(shift)).astype(np.int64)
+    table = np.zeros(1 << (bits - shift), keys.dtype)
     table[slot] = keys
-    own = (table[slot] == keys) & inside
+    own = (table.take(slot) == keys) & inside
     counts = np.bincount(slot[own], minlength=len(table))
     often = np.flatnonzero(counts >= least)
     often = often[np.argsort(-counts[often], kind="stable")][:most]
     rank = np.full(len(table), len(often), np.int32)
     rank[often] = np.arange(len(often), dtype=np.int32)
-    return table[often], np.where(own, rank[slot], np.int32(len(often)))
+    return table[often], np.where(own, rank.take(slot), np.int32(len(often)))
 
 
 def compress(ids: np.ndarray, lengths: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Re-Pair of documents that lie one after the other: symbols, symbols per document, rules."""
     symbols = ids.astype(np.uint32)
+    # A pair is one number, of half the width where all symbols fit into 16 bits.
+    kind, bits = (np.uint32, 16) if base < MAX_SYMBOLS else (np.uint64, 32)
     # The last symbol of every document; it moves along as symbols merge.
     last = np.zeros(len(ids), bool)
     last[np.cumsum(lengths)[lengths > 0] - 1] = True
@@ -240,7 +317,7 @@ def compress(ids: np.ndarray, lengths: np.ndarray, base: int) -> tuple[np.ndarra
         room = (MAX_SYMBOLS if base < MAX_SYMBOLS else 2 * base) - base - made
         if len(symbols) < 2 or room <= 0:
             break
-        keys = (symbols[:-1].astype(np.uint64) << np.uint64(32)) | symbols[1:]
+        keys = (symbols[:-1].astype(kind) << kind(bits)) | symbols[1:]
         pairs, rank = rank_pairs(keys, ~last[:-1], MIN_COUNT, room)
         if not len(pairs):
             break
@@ -266,7 +343,7 @@ def compress(ids: np.ndarray, lengths: np.ndarray, base: int) -> tuple[np.ndarra
         symbols, last = symbols[keep], last[keep]
         gain = len(hit) / (len(symbols) + len(hit))
         chosen = pairs[used]
-        rules.append(np.column_stack([chosen >> np.uint64(32), chosen & np.uint64(0xFFFFFFFF)]).astype(np.uint32))
+        rules.append(np.column_stack([chosen >> kind(bits), chosen & kind((1 << bits) - 1)]).astype(np.uint32))
         made += len(chosen)
         if gain < LEAST_GAIN:
             break
@@ -379,11 +456,10 @@ def write_tokens(docs: DataFrame, vocabulary: str, folder: str, end_id: int = 0,
             values = [key[0], key[1], part, len(ids), payload]
             return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(values, kinds)], names)
 
-        for batch in slices(batches, 256):
-            raw = batch.column("text").cast(pa.binary()).to_pylist()
-            for i, (a, b, doc_id, ids) in enumerate(zip(
+        for batch, raw in byte_slices(batches, "text", SLICE_BYTES):
+            for a, b, doc_id, ids in zip(
                 batch.column("with_id").to_pylist(), batch.column("shard").to_pylist(), batch.column("doc_id").to_pylist(), bpe.encode(raw)
-            )):
+            ):
                 if held and ((a, b) != key or held_ids >= PART_IDS):
                     yield flush()
                     part = part + 1 if (a, b) == key else 0
