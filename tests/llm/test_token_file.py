@@ -53,6 +53,27 @@ def test_words_of_letters_go_to_the_model_once(library, monkeypatch):
     assert len(sent) == len(set(sent)) <= 500
 
 
+def test_pieces_are_kept_without_the_punctuation_and_line_feeds_beside_them(library):
+    """A word is encoded once however it is written, so what is kept grows with the words, not with their surroundings."""
+    r = random.Random(8)
+    words = sorted({"".join(r.choice("abcdeéßü") for _ in range(r.randint(3, 9))) for _ in range(200)})
+    marks = [",", ".", "...", "!?", ":)", '"', "'"]
+    texts = ["".join(f"{r.choice(words)}{m}{r.choice([' ', chr(10)])}" for m in marks * 60).strip() for _ in range(30)]
+    encoder = token_file.CachedEncoder(PATH)
+    assert [x.tolist() for x in encoder.encode([t.encode() for t in texts])] == [x.ids for x in library.encode_batch(texts, add_special_tokens=False)]
+    # With a blank before them and without; the marks and the line feed.
+    assert len(encoder.known) <= 2 * len(words) + len(marks) + 1
+
+
+def test_cuts_keep_contractions_runs_of_white_space_and_text_borders(library):
+    parts = ["a", "É", "ß×", "x's", "'s", "'", "''ll", "1", "½", ",", "?!", " ", "  ", "\n", "\n\n", "\r\n", "\t", "\x0b ", "你", "\x1c", "#a#", "é."]
+    r = random.Random(11)
+    texts = ["".join(r.choice(parts) for _ in range(r.randint(1, 9))) for _ in range(5000)]
+    encoder = token_file.CachedEncoder(PATH)
+    ids = [x.tolist() for x in encoder.encode([t.encode() for t in texts])]
+    assert ids == [x.ids for x in library.encode_batch(texts, add_special_tokens=False)]
+
+
 @pytest.mark.parametrize("base", [300, 65_530, 70_000])
 def test_grammar_round_trip_with_random_access(base):
     r = np.random.default_rng(3)

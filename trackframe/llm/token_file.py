@@ -19,7 +19,6 @@ only the end id; repeated rows stay; other columns are not read. A shard with mo
 
 from __future__ import annotations
 
-import itertools
 import json
 import os
 import re
@@ -48,17 +47,22 @@ MAGIC = b"RPG1"
 CACHE = 700_000
 # Bytes of text that are encoded at once.
 SLICE_BYTES = 8 << 20
+# Words whose tokens are held as objects at once.
+SOME_WORDS = 256
 
-_CHUNKS = re.compile(rb"[\t-\r ]*[^\t-\r ]+|[\t-\r ]+")
 # White space beyond ASCII, which may join a run of blanks: such texts are not cut.
 _OTHER_SPACE = re.compile(
     rb"\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80"
 )
-_PUNCTUATION = bytes(b for b in range(33, 127) if not chr(b).isalnum())
-# What a word must end in to be cut before its punctuation: ASCII letters, digits, Latin letters.
-_WORD_END = re.compile(rb"[0-9A-Za-z]\Z|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf]\Z")
-# Words of such letters alone are one token run each.
-_LETTERS = re.compile(rb"(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+")
+# Kinds of bytes: white space, punctuation, letters and digits of ASCII, and the second byte of Latin letters.
+WHITE, PUNCTUATION, LETTER, DIGIT, LATIN = (
+    np.isin(np.arange(256), list(x))
+    for x in (
+        b"\t\n\x0b\x0c\r ", [b for b in range(33, 127) if not chr(b).isalnum()], [b for b in range(128) if chr(b).isalpha()],
+        b"0123456789", [b for b in range(0x80, 0xC0) if b not in (0x97, 0xB7)],
+    )
+)
+BLANK, FEED, LATIN_LEAD = 0x20, 0x0A, 0xC3
 # The characters that stand for bytes in byte-level vocabularies, by byte.
 _SHOWN = [*range(33, 127), *range(161, 173), *range(174, 256)]
 BYTE_CHARS = {b: chr(256 + k) for k, b in enumerate(b for b in range(256) if b not in set(_SHOWN))} | {b: chr(b) for b in _SHOWN}
@@ -70,50 +74,53 @@ def other_space(raw: bytes) -> bool:
     return not raw.isascii() and any(h in raw for h in _OTHER_SPACE_HINTS) and _OTHER_SPACE.search(raw) is not None
 
 
-def regular(raw: bytes) -> bool:
-    """Whether white space is single blanks and line feeds between words."""
-    return not (
-        b"  " in raw or b"\n\n" in raw or b" \n" in raw or b"\n " in raw or b"\t" in raw or b"\r" in raw or b"\x0b" in raw
-        or b"\x0c" in raw or raw[0] in b" \n" or raw[-1] in b" \n"
-    )
+def latin_letters(data: np.ndarray) -> np.ndarray:
+    """Whether each byte is part of an ASCII letter or of one of the Latin letters behind byte C3."""
+    good = LETTER[data]
+    pair = (data[:-1] == LATIN_LEAD) & LATIN[data[1:]]
+    good[:-1] |= pair
+    good[1:] |= pair
+    return good
 
 
-class Memory(dict):
-    """Numbers pieces in the order they are first asked for; ``new`` are those not yet encoded.
+def piece_starts(data: np.ndarray, begins: np.ndarray) -> np.ndarray:
+    """Where the pieces of texts that lie one after the other begin; each text has a byte at least.
 
-    ``old`` holds pieces of the generation before, which keep their numbers when asked for again.
+    Cuts lie where the search for token runs must stop: before every run of white space, behind a line
+    feed that is such a run alone, and before punctuation that ends a piece behind a letter or digit.
     """
-
-    def __init__(self, old: dict[bytes, int]):
-        self.old, self.size = old, len(old)
-        self.new: list[bytes] = []
-
-    def ask(self, keys: list[bytes]) -> np.ndarray:
-        found = list(map(self.get, keys))
-        places = [i for i, number in enumerate(found) if number is None]
-        fresh = list(dict.fromkeys([keys[i] for i in places]))
-        if self.old:
-            again = {key: self.old[key] for key in fresh if key in self.old}
-            self.update(again)
-            fresh = [key for key in fresh if key not in again]
-        self.update(zip(fresh, range(self.size, self.size + len(fresh))))
-        self.size += len(fresh)
-        self.new += fresh
-        for i in places:
-            found[i] = self[keys[i]]
-        return np.array(found, np.int64)
+    white = WHITE[data]
+    cut = white.copy()
+    cut[1:] &= ~white[:-1]
+    cut[begins] = True
+    feeds = np.flatnonzero(cut[:-1] & (data[:-1] == FEED) & ~white[1:])
+    cut[feeds + 1] = True
+    starts = np.flatnonzero(cut)
+    ends = np.append(starts[1:], len(data))
+    marks = PUNCTUATION[data]
+    tailed = marks[ends - 1]
+    if tailed.any():
+        ends, starts = ends[tailed], starts[tailed]
+        first = np.flatnonzero(marks & np.append(True, ~marks[:-1]))
+        tail = first[np.searchsorted(first, ends) - 1]
+        tail = tail[tail > starts]
+        before = data[tail - 1]
+        word = LETTER[before] | DIGIT[before] | (LATIN[before] & (data[np.maximum(tail - 2, 0)] == LATIN_LEAD))
+        cut[tail[word]] = True
+    return np.flatnonzero(cut)
 
 
 class CachedEncoder:
     """The ``tokenizers`` library's ids, with pieces of text encoded once per worker.
 
     A run of white space begins a new token in byte-level vocabularies, so a text may be cut before
-    every run. Texts with added tokens or other white space are encoded whole.
+    every run (see :func:`piece_starts`). Texts with added tokens or other white space are encoded whole.
+    Arrow finds equal pieces and those known already, so that Python handles each new piece once.
     """
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, models
 
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
@@ -121,12 +128,17 @@ class CachedEncoder:
         self.size = self.library.get_vocab_size(with_added_tokens=True)
         self.added = [t.content.encode() for t in self.library.get_added_tokens_decoder().values()]
         self.feed = self.whole([b"\n"])[0][0]
-        self.model = self.library.model
         spec = json.loads(self.library.to_str())
-        self.plain = spec["normalizer"] is None and spec["pre_tokenizer"] == {
+        model = spec["model"]
+        self.plain = model["type"] == "BPE" and spec["normalizer"] is None and spec["pre_tokenizer"] == {
             "type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True
         }
-        self.known = Memory({})
+        if self.plain:
+            options = {k: v for k, v in model.items() if k not in ("type", "vocab", "merges") and v is not None}
+            # Without the model's own memory of words: no word is sent twice.
+            self.model = models.BPE(model["vocab"], [tuple(x) for x in model["merges"]], cache_capacity=0, **options)
+        # Piece ``k``, and whether it was asked for since pieces were last forgotten.
+        self.known, self.asked = pa.array([], pa.large_binary()), np.zeros(0, bool)
         # Ids of piece ``k``: ``sizes[k]`` of them from ``flat[starts[k]]``. Behind ``used`` there is room for more.
         self.flat, self.used = np.zeros(1 << 16, np.int32), 0
         self.starts, self.sizes = np.zeros(0, np.int64), np.zeros(0, np.int64)
@@ -139,38 +151,19 @@ class CachedEncoder:
         """Ids, and how many each has, of words of letters behind a blank: the library's model without its search for runs."""
         shown = b"\n".join(words).decode("latin-1").translate(BYTE_CHARS).split(BYTE_CHARS[10]) if words else []
         ids, sizes = [], []
-        for x in shown:
-            own = self.model.tokenize(BYTE_CHARS[32] + x)
-            ids += [token.id for token in own]
-            sizes.append(len(own))
+        for k in range(0, len(shown), SOME_WORDS):
+            own = [self.model.tokenize(BYTE_CHARS[32] + x) for x in shown[k : k + SOME_WORDS]]
+            ids += [token.id for tokens in own for token in tokens]
+            sizes += map(len, own)
         return np.array(ids, np.int32), np.array(sizes, np.int64)
 
-    @staticmethod
-    def cut(raw: bytes) -> list[bytes]:
-        """Keys of the pieces: `` x`` as ``x``, a line feed and ``x`` as it is, others behind a blank."""
-        if not raw:
-            return []
-        if regular(raw):
-            pieces = raw.replace(b"\n", b" \n").split(b" ")
-            pieces[0] = b" " + pieces[0]
-            return pieces
-        keys = []
-        for piece in _CHUNKS.findall(raw):
-            if len(piece) > 1 and piece[:1] == b" " and piece[1] not in b"\t\n\x0b\x0c\r ":
-                keys.append(piece[1:])
-            elif len(piece) > 1 and piece[:1] == b"\n" and piece[1] not in b"\t\n\x0b\x0c\r ":
-                keys.append(piece)
-            else:
-                keys.append(b" " + piece)
-        return keys
-
     def age(self) -> None:
         """Forget the pieces that were not asked for since the last time."""
-        at = np.fromiter(self.known.values(), np.int64, len(self.known))
+        at = np.flatnonzero(self.asked)
+        self.known, self.asked = self.known.take(pa.array(at)), np.zeros(len(at), bool)
         self.flat = self.flat[ranges(self.starts[at], self.sizes[at])]
         self.sizes, self.used = self.sizes[at], len(self.flat)
         self.starts = np.cumsum(self.sizes) - self.sizes
-        self.known = Memory(dict(zip(self.known, range(len(at)))))
 
     def add(self, ids: np.ndarray) -> None:
         """Append ids; ``flat`` at least doubles when it has to grow."""
@@ -180,98 +173,78 @@ class CachedEncoder:
         self.flat[self.used : end] = ids
         self.used = end
 
-    def learn(self) -> None:
-        """Encode the new pieces; what is known already is not touched.
+    def learn(self, new: pa.LargeBinaryArray) -> None:
+        """Encode new pieces; what is known already is not touched.
 
-        Punctuation behind a word is a token run of its own, so such pieces are put together from two
-        others. Words of letters go to the model at once, other words are encoded in one text with line feeds
+        Words of letters go to the model at once, other words are encoded in one text with line feeds
         between them, the rest alone.
         """
-        known, first = self.known, len(self.starts)
-        words, word_numbers, others, other_numbers, joint, stems, tails = [], [], [], [], [], [], []
-        for number, key in enumerate(known.new, first):
-            begin = key[0]
-            if begin in b" \n":
-                others.append(key[1:] if begin == 32 else key)
-                other_numbers.append(number)
-            elif key[-1] in _PUNCTUATION and _WORD_END.search(stem := key.rstrip(_PUNCTUATION), max(len(stem) - 2, 0)):
-                joint.append(number)
-                stems.append(stem)
-                tails.append(b" " + key[len(stem) :])
-            else:
-                words.append(key)
-                word_numbers.append(number)
-        halves = []
-        for keys, texts_, numbers in ((stems, words, word_numbers), (tails, others, other_numbers)):
-            known.new, size = [], known.size
-            halves.append(known.ask(keys))
-            texts_ += [key.removeprefix(b" ") for key in known.new]
-            numbers += range(size, known.size)
-        known.new = []
-        letters = [self.plain and (key.isalpha() or _LETTERS.fullmatch(key) is not None) for key in words]
-        single, single_numbers = list(itertools.compress(words, letters)), list(itertools.compress(word_numbers, letters))
-        mixed = [not x for x in letters]
-        words, word_numbers = list(itertools.compress(words, mixed)), list(itertools.compress(word_numbers, mixed))
-        ids = np.array(self.whole([b" " + b"\n ".join(words)])[0], np.int32) if words else np.zeros(0, np.int32)
+        data, starts = text_bytes(new)
+        lengths = np.diff(starts)
+        first, second = data[starts[:-1]], data[np.minimum(starts[:-1] + 1, len(data) - 1)]
+        words = (first == BLANK) & (lengths > 1) & ~WHITE[second]
+        # A word of letters has one other byte, its blank.
+        letters = words & (np.add.reduceat(~latin_letters(data), starts[:-1], dtype=np.int64) == 1)
+        letters &= self.plain
+        raw, bounds = data.tobytes(), starts.tolist()
+        single, mixed, others = (np.flatnonzero(x) for x in (letters, words & ~letters, ~words))
+        single_ids, single_sizes = self.runs([raw[bounds[k] + 1 : bounds[k + 1]] for k in single.tolist()])
+        text = b"\n".join([raw[bounds[k] : bounds[k + 1]] for k in mixed.tolist()])
+        ids = np.array(self.whole([text])[0] if text else [], np.int32)
         ends = np.append(np.flatnonzero(ids == self.feed), len(ids))
-        if len(ends) != max(len(words), 1):
+        if len(ends) != max(len(mixed), 1):
             raise ValueError("a line feed is not a token of its own in this vocabulary")
-        alone = self.whole(others)
-        sizes = np.zeros(known.size, np.int64)
-        sizes[:first] = self.sizes
-        starts = np.zeros(known.size, np.int64)
-        starts[:first] = self.starts
-        single_ids, single_sizes = self.runs(single)
+        alone = self.whole([raw[bounds[k] : bounds[k + 1]] for k in others.tolist()])
         parts = [
-            (single_numbers, single_sizes, single_ids),
-            (word_numbers, (np.diff(ends, prepend=-1) - 1)[: len(words)], ids[ids != self.feed]),
-            (other_numbers, np.array([len(x) for x in alone], np.int64), np.array([i for x in alone for i in x], np.int32)),
+            (single, single_sizes, single_ids),
+            (mixed, (np.diff(ends, prepend=-1) - 1)[: len(mixed)], ids[ids != self.feed]),
+            (others, np.array([len(x) for x in alone], np.int64), np.array([i for x in alone for i in x], np.int32)),
         ]
-        for numbers, own, found in parts:
-            at = np.array(numbers, np.int64)
-            sizes[at], starts[at] = own, self.used + np.cumsum(own) - own
+        sizes, begins = np.zeros(len(new), np.int64), np.zeros(len(new), np.int64)
+        for at, own, found in parts:
+            sizes[at], begins[at] = own, self.used + np.cumsum(own) - own
             self.add(found)
-        at, both = np.array(joint, np.int64), np.column_stack(halves)
-        own = sizes[both].sum(axis=1)
-        sizes[at], starts[at] = own, self.used + np.cumsum(own) - own
-        self.add(self.flat[ranges(starts[both.ravel()], sizes[both.ravel()])])
-        self.starts, self.sizes = starts, sizes
-
-    def numbers(self, raw: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """Numbers of the pieces of regular texts, and how many each text has.
-
-        Arrow cuts the texts and finds equal pieces, so that only distinct ones are looked up.
-        """
-        parts = pc.split_pattern(pc.replace_substring(pa.array(raw, pa.large_binary()), b"\n", b" \n"), b" ")
-        pieces, offsets = parts.flatten().dictionary_encode(), parts.offsets.to_numpy()
-        data, starts = text_bytes(pieces.dictionary)
-        data, starts = data.tobytes(), starts.tolist()
-        at = self.known.ask([data[a:b] for a, b in zip(starts[:-1], starts[1:])])[pieces.indices.to_numpy()]
-        at[offsets[:-1]] = self.known.ask([b" " + x.split(None, 1)[0] for x in raw])
-        return at, np.diff(offsets)
+        self.known = pa.concat_arrays([self.known, new])
+        self.asked = np.append(self.asked, np.ones(len(new), bool))
+        self.starts, self.sizes = np.append(self.starts, begins), np.append(self.sizes, sizes)
+
+    def numbers(self, data: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        """The number of every piece; those not known are learnt."""
+        bounds = np.append(starts, len(data)).astype(np.int64)
+        pieces = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(bounds), pa.py_buffer(data)])
+        pieces = pieces.dictionary_encode()
+        # The pieces of a slice are fewer than those known, so they are the side that Arrow hashes.
+        found = pc.index_in(self.known, value_set=pieces.dictionary)
+        old = np.flatnonzero(found.is_valid().to_numpy(zero_copy_only=False))
+        at = np.full(len(pieces.dictionary), -1, np.int64)
+        at[found.drop_null().to_numpy()] = old
+        self.asked[old] = True
+        fresh = at < 0
+        if fresh.any():
+            at[fresh] = np.arange(len(self.known), len(self.known) + np.count_nonzero(fresh))
+            self.learn(pieces.dictionary.filter(pa.array(fresh)))
+        return at[pieces.indices.to_numpy()]
 
     def encode(self, raw: list[bytes]) -> list[np.ndarray]:
-        if len(self.known) > CACHE:
+        if np.count_nonzero(self.asked) > CACHE:
             self.age()
-        whole, even, odd = [], [], []
+        whole, pieced = [], []
         for i, x in enumerate(raw):
             if other_space(x) or any(a in x for a in self.added):
                 whole.append(i)
             elif x:
-                (even if regular(x) else odd).append(i)
-        at, counts = self.numbers([raw[i] for i in even]) if even else (np.zeros(0, np.int64), np.zeros(0, np.int64))
-        cuts = [self.cut(raw[i]) for i in odd]
-        keys = [key for own in cuts for key in own]
-        at = np.concatenate([at, self.known.ask(keys)])
-        counts = np.concatenate([counts, np.array([len(own) for own in cuts], np.int64)])
-        if self.known.new:
-            self.learn()
-        sizes = self.sizes[at]
-        ids = self.flat[ranges(self.starts[at], sizes)]
-        ends = np.concatenate([[0], np.cumsum(sizes)])[np.cumsum(counts)]
+                pieced.append(i)
         out = [np.zeros(0, np.int32)] * len(raw)
-        for i, found in zip(even + odd, np.split(ids, ends[:-1])):
-            out[i] = found
+        if pieced:
+            data = np.frombuffer(b"".join([raw[i] for i in pieced]), np.uint8)
+            ends = np.cumsum([len(raw[i]) for i in pieced])
+            starts = piece_starts(data, np.append(0, ends[:-1]))
+            at = self.numbers(data, starts)
+            sizes = self.sizes[at]
+            ids = self.flat[ranges(self.starts[at], sizes)]
+            cuts = np.append(0, np.cumsum(sizes))[np.searchsorted(starts, ends[:-1])]
+            for i, found in zip(pieced, np.split(ids, cuts)):
+                out[i] = found
         for i, found in zip(whole, self.whole([raw[i] for i in whole]) if whole else []):
             out[i] = np.array(found, np.int32)
         return out
